@@ -346,25 +346,30 @@ def rate_quotes(
     return rolling(df, [pair], [time, tiebreak], 1, compute)
 
 
-def rate_anomalies(
+def _flag_changes(rows, window, change, window_rows, min_rows, deviations) -> DataFrame:
+    """Flag changes more than some sample deviations from the last ones, itself included."""
+    frame = window.rowsBetween(-(window_rows - 1), 0)
+    count = F.count(change).over(frame)
+    mean, spread = F.avg(change).over(frame), F.stddev(change).over(frame)
+    far = F.abs(F.col(change) - mean) > F.lit(deviations) * spread
+    flag = (count >= min_rows) & (spread > 0) & far
+    return rows.withColumn("is_anomaly", F.coalesce(flag, F.lit(False)))
+
+
+def rate_changes(
     df: DataFrame,
     pair: str,
     time: str,
-    change: str,
+    rate: str,
     tiebreak: str,
     window_rows: int = 20,
     min_rows: int = 5,
     deviations: float = 2.0,
-    output: str = "is_anomaly",
 ) -> DataFrame:
-    """Flag changes more than two sample deviations from the last 20, itself included."""
+    """Change against the previous rate and its rolling anomaly flag, in one ordered pass."""
 
     def compute(rows: DataFrame, window) -> DataFrame:
-        frame = window.rowsBetween(-(window_rows - 1), 0)
-        count = F.count(change).over(frame)
-        mean, spread = F.avg(change).over(frame), F.stddev(change).over(frame)
-        far = F.abs(F.col(change) - mean) > F.lit(deviations) * spread
-        flag = (count >= min_rows) & (spread > 0) & far
-        return rows.withColumn(output, F.coalesce(flag, F.lit(False)))
-
-    return rolling(df, [pair], [time, tiebreak], window_rows - 1, compute)
+        changed = rows.withColumn("pct_change", X.change_pct(rate, F.lag(rate, 1).over(window)))
+        return _flag_changes(changed, window, "pct_change", window_rows, min_rows, deviations)
+
+    return rolling(df, [pair], [time, tiebreak], window_rows, compute)

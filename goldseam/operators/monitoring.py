@@ -186,6 +186,5 @@ def route_alerts(alerts: DataFrame, routes: Sequence[tuple[str, str]] = ALERT_RO
         *[F.struct(F.lit(s).alias("s"), F.lit(r).alias("receiver")) for s, r in routes]
     )
     matching = F.filter(receivers, lambda x: x["s"] == F.col("severity"))
-    return kept.select(
-        "alert", "severity", "value", F.explode(matching)["receiver"].alias("receiver")
-    )
+    routed = kept.select("alert", "severity", "value", F.explode(matching).alias("_route"))
+    return routed.select("alert", "severity", "value", F.col("_route.receiver").alias("receiver"))

@@ -15,10 +15,11 @@ SETTINGS = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.files.maxPartitionBytes": "128m",
+    "spark.sql.streaming.stateStore.providerClass": (
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    ),
 }
 
-STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-
 
 def create_session(
     app_name: str = "goldseam",
@@ -51,7 +52,11 @@ def active_session() -> SparkSession:
 def apply_settings(spark: SparkSession) -> SparkSession:
     """Set the options results depend on, for a session that somebody else built."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    for name in (
+        "spark.sql.sources.partitionOverwriteMode",
+        "spark.sql.streaming.stateStore.providerClass",
+    ):
+        spark.conf.set(name, SETTINGS[name])
     return spark
 
 
