@@ -22,6 +22,7 @@ from goldseam.workloads.binding import (
     FAULT_TEXT_SQL,
     TX_SQL,
     dirty_transactions,
+    half_up,
     long,
     money,
     ntz,
@@ -362,25 +363,23 @@ def json_extract(spark: SparkSession, folder: str) -> DataFrame:
     "gold_daily_volume",
     f"""with {TX_SQL}, b as (
       select cast("timestamp" as date) as date, currency, cast(sum(amount_brl) as decimal(18,2)) as tv,
-        count(transaction_id) as n, cast(sum(amount_brl) as double) / count(*) as av,
+        count(transaction_id) as n, {half_up("sum(amount_brl)", "count(*)")} as av,
         min(amount_brl) as mn, max(amount_brl) as mx, quantile_disc(amount_brl, 0.95) as p95
       from tx group by 1, 2)
     select date, currency, cast(tv as double) as total_volume_brl, n as transaction_count,
-      round(av, 6) as avg_amount, cast(mn as double) as min_amount, cast(mx as double) as max_amount,
+      av as avg_amount, cast(mn as double) as min_amount, cast(mx as double) as max_amount,
       cast(p95 as double) as p95_amount,
       round(cast(tv - lag(tv) over w as double) / nullif(cast(lag(tv) over w as double), 0) * 100, 6)
         as volume_change_pct,
-      round(cast(sum(tv) over (partition by currency order by date rows between 6 preceding and current row)
-        as double) / count(*) over (partition by currency order by date
-        rows between 6 preceding and current row), 6) as ma7_volume_brl
-    from b window w as (partition by currency order by date)""",
+      {half_up("sum(tv) over r", "count(*) over r")} as ma7_volume_brl
+    from b window w as (partition by currency order by date),
+      r as (partition by currency order by date rows between 6 preceding and current row)""",
 )
 def gold_daily_volume(spark: SparkSession, folder: str) -> DataFrame:
     result = G.daily_volume(transactions(spark, folder))
     names = ("total_volume_brl", "min_amount", "max_amount")
-    rounded = ("avg_amount", "volume_change_pct", "ma7_volume_brl")
     return result.withColumns(
-        {**{n: money(n) for n in names}, **{n: r6(n) for n in rounded}}
+        {**{n: money(n) for n in names}, "volume_change_pct": r6("volume_change_pct")}
     )
 
 
@@ -388,7 +387,7 @@ def gold_daily_volume(spark: SparkSession, folder: str) -> DataFrame:
     "gold_user_summary",
     f"""with {TX_SQL} select user_id, count(transaction_id) as total_transactions,
       cast(sum(amount_brl) as double) as total_volume_brl,
-      round(cast(sum(amount_brl) as double) / count(*), 4) as avg_transaction_brl,
+      {half_up("sum(amount_brl)", "count(*)")} as avg_transaction_brl,
       min("timestamp") as first_transaction_at, max("timestamp") as last_transaction_at
     from tx group by user_id""",
 )
@@ -396,7 +395,6 @@ def gold_user_summary(spark: SparkSession, folder: str) -> DataFrame:
     return G.user_summary(transactions(spark, folder)).withColumns(
         {
             "total_volume_brl": money("total_volume_brl"),
-            "avg_transaction_brl": F.round("avg_transaction_brl", 4),
         }
     )
 

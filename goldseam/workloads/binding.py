@@ -120,6 +120,11 @@ def raw_values(spark: SparkSession, folder: str) -> DataFrame:
     return rows.select("event_id", rows.timestamp.alias("ts"), text.alias("value"))
 
 
+def half_up(total: str, count: str) -> str:
+    """SQL of a mean of cents, rounded half up to six places in whole numbers."""
+    return f"(cast({total} * 100 as bigint) * 20000 + {count}) // (2 * {count}) / 1000000.0"
+
+
 FAULT_SQL = (
     "(event_id % 97 = 0 or event_id % 101 = 0 or event_id % 103 = 0 or event_id % 107 = 0)"
 )

@@ -319,7 +319,7 @@ def temporal_split(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(
     "avg_over_24h",
-    """select distinct event_type, ts, round(cast(sum(cast(value as decimal(15,2))) over w as double) / count(*) over w, 6)
+    """select distinct event_type, ts, round(cast(sum(cast(value as decimal(15,2))) over w as double) / count(*) over w, 9)
       as avg_24h from events window w as (partition by event_type order by ts
       range between interval 24 hour preceding and current row)""",
 )
@@ -328,7 +328,7 @@ def avg_over_24h(spark: SparkSession, folder: str) -> DataFrame:
         "event_type", "ts", F.col("value").cast("decimal(15,2)").alias("value")
     )
     found = FE.average_over_span(rows, ["event_type"], "ts", "value", FE.DAY, "avg_24h")
-    return found.withColumn("avg_24h", r6("avg_24h"))
+    return found.withColumn("avg_24h", F.round("avg_24h", 9))
 
 
 @query(
