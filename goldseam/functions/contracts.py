@@ -7,6 +7,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from goldseam import schemas as S
 
@@ -79,17 +80,17 @@ FORMATS = {
 _NUMBERS = "^(TINYINT|SMALLINT|INT|BIGINT|FLOAT|DOUBLE|DECIMAL.*)$"
 
 
-def _field_checks(rule: FieldRule, seen: Column, formats: bool) -> Sequence[Column]:
-    kind, text, number = seen["kind"], seen["text"], seen["text"].try_cast("double")
-    present = kind.isNotNull()
+def _field_checks(rule: FieldRule, formats: bool) -> Sequence[Column]:
+    field, kind = F.col(f"_f_{rule.name}"), F.col(f"_t_{rule.name}")
+    text, number = field.try_cast("string"), field.try_cast("double")
     right = {
         "string": kind == "STRING",
         "number": kind.rlike(_NUMBERS),
         "boolean": kind == "BOOLEAN",
     }[rule.kind]
-    checks = [F.when(present & ~right, F.lit(f"type:{rule.name}"))]
+    checks = [F.when(~right, F.lit(f"type:{rule.name}"))]
     if rule.required:
-        checks.append(F.when(~present, F.lit(f"required:{rule.name}")))
+        checks.append(F.when(kind.isNull(), F.lit(f"required:{rule.name}")))
     tests = {}
     if rule.enum:
         tests["enum"] = ~text.isin(*rule.enum)
@@ -102,7 +103,7 @@ def _field_checks(rule: FieldRule, seen: Column, formats: bool) -> Sequence[Colu
     if formats and rule.format:
         tests["format"] = ~text.rlike(FORMATS[rule.format])
     for name, broken in tests.items():
-        checks.append(F.when(present & right & broken, F.lit(f"{name}:{rule.name}")))
+        checks.append(F.when(right & broken, F.lit(f"{name}:{rule.name}")))
     return checks
 
 
@@ -115,28 +116,15 @@ def with_violations(
 ) -> DataFrame:
     """Add the sorted codes of the rules that a JSON text breaks; empty when it is valid.
 
-    The steps are separate projections: each text is parsed once and each field is looked
-    up once, however many rules use it.
+    The steps are separate projections: a text is parsed once into one variant per field,
+    whose kind tells the JSON type. A missing field has no kind; a null one has a wrong kind.
     """
     names = [rule.name for rule in contract.rules]
-    parsed = df.withColumns(
-        {"_doc": F.try_parse_json(value), "_keys": F.json_object_keys(value)}
-    )
-    fields = parsed.withColumns(
-        {f"_f_{n}": F.try_variant_get("_doc", f"$.{n}", "variant") for n in names}
-    )
-    seen = fields.withColumns(
-        {
-            f"_s_{n}": F.struct(
-                F.schema_of_variant(f"_f_{n}").alias("kind"),
-                F.try_variant_get(F.col(f"_f_{n}"), "$", "string").alias("text"),
-            )
-            for n in names
-        }
-    )
-    codes = [
-        c for rule in contract.rules for c in _field_checks(rule, F.col(f"_s_{rule.name}"), assert_formats)
-    ]
+    fields = T.StructType([T.StructField(n, T.VariantType(), True) for n in names])
+    parsed = df.withColumns({"_doc": F.from_json(value, fields), "_keys": F.json_object_keys(value)})
+    split = parsed.withColumns({f"_f_{n}": F.col("_doc").getField(n) for n in names})
+    seen = split.withColumns({f"_t_{n}": F.schema_of_variant(f"_f_{n}") for n in names})
+    codes = [c for rule in contract.rules for c in _field_checks(rule, assert_formats)]
     found = F.array_compact(F.array(*codes))
     if contract.closed:
         extra = F.array_except("_keys", F.array(*[F.lit(n) for n in names]))

@@ -158,18 +158,24 @@ def pattern_features(
     night_until: int = 6,
 ) -> DataFrame:
     """Rolling behaviour of a user at each of their event times."""
+    night = F.when(F.hour(time) < night_until, 1).otherwise(0)
+    if fits_one_task(df, [user], SLIDING_ROWS):
+        return _patterns_in_one_pass(df, user, time, amount, currency, night)
     hour = span_totals(
         df, [user], time, HOUR, amount, ("transactions_last_1h", "_s1"), cells=1
     ).drop("_s1")
     day = span_totals(df, [user], time, DAY, amount, ("_n24", "_s24"), cells=24)
     kinds = distinct_over_span(df, user, time, currency, 7 * DAY, "distinct_currencies_last_7d")
-    night = F.when(F.hour(time) < night_until, 1).otherwise(0)
     per_time = df.groupBy(user, time).agg(
         F.count(F.lit(1)).alias("_n"), F.sum(night).alias("_night")
     )
     upto = running_sums(per_time, [user], [time], {"_all": "_n", "_nights": "_night"})
     joined = hour.join(day, [user, time]).join(kinds, [user, time]).join(upto, [user, time])
-    return joined.select(
+    return _pattern_columns(joined, user, time)
+
+
+def _pattern_columns(df: DataFrame, user: str, time: str) -> DataFrame:
+    return df.select(
         user,
         F.col(time).alias("event_timestamp"),
         "transactions_last_1h",
@@ -179,6 +185,38 @@ def pattern_features(
     )
 
 
+def _patterns_in_one_pass(
+    df: DataFrame, user: str, time: str, amount: str, currency: str, night: Column
+) -> DataFrame:
+    """All frames share one shuffle and one sort by user and time."""
+    points = (
+        df.withColumn("_t", micros(time))
+        .groupBy(user, time, "_t")
+        .agg(
+            F.count(amount).alias("_n"),
+            F.sum(amount).alias("_s"),
+            F.count(F.lit(1)).alias("_rows"),
+            F.sum(night).alias("_night"),
+            F.collect_set(currency).alias("_items"),
+        )
+    )
+    line = Window.partitionBy(user).orderBy("_t")
+    hour, day, week = (line.rangeBetween(-s * 1_000_000, 0) for s in (HOUR, DAY, 7 * DAY))
+    upto = line.rangeBetween(Window.unboundedPreceding, 0)
+    kinds = F.array_distinct(F.flatten(F.collect_list("_items").over(week)))
+    framed = points.withColumns(
+        {
+            "transactions_last_1h": F.sum("_n").over(hour),
+            "_n24": F.sum("_n").over(day),
+            "_s24": F.sum("_s").over(day),
+            "distinct_currencies_last_7d": F.size(kinds).cast("long"),
+            "_all": F.sum("_rows").over(upto),
+            "_nights": F.sum("_night").over(upto),
+        }
+    )
+    return _pattern_columns(framed, user, time)
+
+
 def average_over_span(
     df: DataFrame, keys: Sequence[str], time: str, value: str, span_seconds: int, output: str
 ) -> DataFrame:

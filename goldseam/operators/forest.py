@@ -133,30 +133,36 @@ class Forest:
         packed = []
         for _, tree in rows.groupby("tree", sort=True):
             tree = tree.sort_values("node")
+            leaf = (tree["feature"] < 0).to_numpy()
+            number = np.arange(len(tree))
+            # A leaf points to itself, so every row takes the same number of steps.
+            step = np.empty((len(tree), 2), dtype=np.int32)
+            step[:, 0] = np.where(leaf, number, tree["left"])
+            step[:, 1] = np.where(leaf, number, tree["right"])
+            ends = tree["depth"].to_numpy() + np.array([average_path(n) for n in tree["size"]])
             packed.append(
-                tuple(
-                    tree[c].to_numpy()
-                    for c in ("feature", "threshold", "left", "right", "size", "depth")
+                (
+                    np.where(leaf, 0, tree["feature"]).astype(np.int32),
+                    tree["threshold"].to_numpy(dtype=float),
+                    step.ravel(),
+                    ends,
+                    int(tree["depth"].max()),
                 )
             )
         return Forest(tuple(features), sample_rows, tuple(packed))
 
     def path_lengths(self, values: np.ndarray) -> np.ndarray:
         """Mean path length of each row."""
+        columns = values.shape[1]
+        flat = np.ascontiguousarray(values).ravel()
+        first = np.arange(len(values)) * columns
         total = np.zeros(len(values))
-        rows = np.arange(len(values))
-        for feature, threshold, left, right, size, depth in self.trees:
-            at = np.zeros(len(values), dtype=np.int64)
-            for _ in range(int(depth.max()) if len(depth) else 0):
-                split = feature[at]
-                inner = split >= 0
-                if not inner.any():
-                    break
-                goes_left = values[rows, np.maximum(split, 0)] <= threshold[at]
-                step = np.where(goes_left, left[at], right[at])
-                at = np.where(inner, step, at)
-            ends = np.array([average_path(s) for s in size])
-            total += depth[at] + ends[at]
+        for feature, threshold, step, ends, depth in self.trees:
+            at = np.zeros(len(values), dtype=np.int32)
+            for _ in range(depth):
+                right = flat.take(first + feature.take(at)) > threshold.take(at)
+                at = step.take(2 * at + right)
+            total += ends.take(at)
         return total / max(len(self.trees), 1)
 
     def scores(self, values: np.ndarray) -> np.ndarray:
@@ -244,7 +250,9 @@ def permutation_importance(
     swapped = mixed.withColumns(
         {n: F.when(F.col("feature") == n, F.col(f"_other.{n}")).otherwise(F.col(n)) for n in names}
     )
-    scored = swapped.withColumn("_score", score_column(forest))
+    # Scoring is costly per row, so the trials are spread over tasks by number, not by size.
+    spread = swapped.repartition(repeats * len(names) + 1, "feature", "repeat")
+    scored = spread.withColumn("_score", score_column(forest))
     flagged = scored.withColumn("prediction", (F.col("_score") > threshold).cast("int"))
     f1 = confusion(flagged, label, "prediction", ["feature", "repeat"])
     # One row per trial from here on.

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from goldseam.functions import columns as X
-from goldseam.operators.ordered import exact_quantiles
+from goldseam.operators.ordered import exact_quantiles, fits_one_task
 from goldseam.schemas import VALID_CURRENCIES
 
 
@@ -220,18 +220,43 @@ def unpivot(df: DataFrame, columns: Sequence[str], keep: Sequence[str] = ()) ->
 
 
 def profile_numeric(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Minimum, quartiles, maximum, mean and deviation of each column, quartiles exact."""
-    long = unpivot(df, columns)
-    basic = long.groupBy("name").agg(
-        F.count("value").alias("non_null"),
-        F.min("value").alias("min"),
-        F.max("value").alias("max"),
-        F.avg("value").alias("mean"),
-        F.stddev("value").alias("stddev"),
-    )
-    quartiles = exact_quantiles(long, ["name"], "value", [0.25, 0.5, 0.75])
-    return basic.join(quartiles, "name").select(
-        F.col("name").alias("column_name"),
+    """Minimum, quartiles, maximum, mean and deviation of each column, quartiles exact.
+
+    A table that fits one task is profiled in a single aggregate. A larger one takes its
+    quartiles from counts per distinct value.
+    """
+    wanted = [0.25, 0.5, 0.75]
+    small = fits_one_task(df, [])
+    parts = []
+    for i, name in enumerate(columns):
+        value = F.col(name).cast("double")
+        parts += [
+            F.count(value).alias(f"n{i}"),
+            F.min(value).alias(f"lo{i}"),
+            F.max(value).alias(f"hi{i}"),
+            F.avg(value).alias(f"m{i}"),
+            F.stddev(value).alias(f"s{i}"),
+        ]
+        if small:
+            parts.append(F.percentile(value, F.array(*[F.lit(p) for p in wanted])).alias(f"q{i}"))
+    rows = [
+        F.struct(
+            F.lit(name).alias("column_name"),
+            F.col(f"n{i}").alias("non_null"),
+            F.col(f"lo{i}").alias("min"),
+            F.col(f"hi{i}").alias("max"),
+            F.col(f"m{i}").alias("mean"),
+            F.col(f"s{i}").alias("stddev"),
+            *([F.col(f"q{i}").alias("quantiles")] if small else []),
+        )
+        for i, name in enumerate(columns)
+    ]
+    profile = df.agg(*parts).select(F.inline(F.array(*rows)))
+    if not small:
+        quartiles = exact_quantiles(unpivot(df, columns), ["name"], "value", wanted)
+        profile = profile.join(quartiles.withColumnRenamed("name", "column_name"), "column_name", "left")
+    return profile.select(
+        "column_name",
         "non_null",
         "min",
         *[F.col("quantiles")[i].alias(n) for i, n in enumerate(("p25", "p50", "p75"))],

@@ -203,3 +203,36 @@ def test_ingestion_gaps(frame, data):
     times = sorted(data["ts"])
     want = [(a, b) for a, b in zip(times, times[1:]) if b - a > timedelta(hours=1)]
     assert sorted(zip(got["gap_start"], got["gap_end"])) == want
+
+
+def test_pattern_features(frame, data, plan):
+    got = FE.pattern_features(frame, "key", "ts", "value", "item").toPandas()
+    assert len(got) == len(data.drop_duplicates(["key", "ts"]))
+    for row in got.sample(60, random_state=1).itertuples():
+        mine = data[(data["key"] == row.key) & (data["ts"] <= row.event_timestamp)]
+        hour = mine[mine["ts"] >= row.event_timestamp - timedelta(hours=1)]
+        day = mine[mine["ts"] >= row.event_timestamp - timedelta(days=1)]
+        week = mine[mine["ts"] >= row.event_timestamp - timedelta(days=7)]
+        assert row.transactions_last_1h == len(hour)
+        assert row.avg_amount_last_24h == pytest.approx(day["value"].mean())
+        assert row.distinct_currencies_last_7d == week["item"].nunique()
+        assert row.night_transaction_ratio == pytest.approx((mine["ts"].dt.hour < 6).mean())
+
+
+def test_profile_numeric(frame, data, plan):
+    from goldseam.operators import quality as Q
+
+    got = Q.profile_numeric(frame, ["id", "value"]).toPandas().set_index("column_name")
+    for name in ("id", "value"):
+        assert got.loc[name, "p25"] == pytest.approx(data[name].quantile(0.25))
+        assert got.loc[name, "p75"] == pytest.approx(data[name].quantile(0.75))
+        assert got.loc[name, "stddev"] == pytest.approx(data[name].std())
+
+
+def test_volume_rank(spark, plan):
+    from goldseam.operators import gold as G
+
+    rows = [("a", 5), ("b", 7), ("c", 5), ("d", 1), ("e", 9)]
+    frame_ = spark.createDataFrame(rows, "user_id string, total_volume_brl long")
+    got = {r["user_id"]: (r["volume_rank"], r["dense_rank"]) for r in G.volume_rank(frame_).collect()}
+    assert got == {"e": (1, 1), "b": (2, 2), "a": (3, 3), "c": (3, 3), "d": (5, 4)}
