@@ -8,6 +8,7 @@ That bound is checked before the nodes are sent to the scoring tasks.
 from __future__ import annotations
 
 import math
+import time
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
@@ -65,7 +66,7 @@ def sample_per_tree(
     one the trees share rows.
     """
     window = Window.partitionBy("tree").orderBy("_pick", key)
-    if total > 4 * trees * sample_rows:
+    if total > 2 * trees * sample_rows:
         drawn = df.filter(
             F.pmod(F.xxhash64(F.lit(seed), key), F.lit(total)) < 2 * trees * sample_rows
         ).withColumn("tree", F.pmod(F.xxhash64(F.lit(seed + 1), key), F.lit(trees)).cast("int"))
@@ -76,9 +77,12 @@ def sample_per_tree(
             < 2 * sample_rows,
         )
         drawn = df.withColumn("tree", F.explode(chosen))
+    # About 2 * trees * sample_rows rows are left. They are placed by tree in a fixed number of
+    # tasks, because growing is costly per row and the sizes would suggest a single task.
     ranked = drawn.withColumn("_pick", F.xxhash64(F.lit(seed + 2), "tree", key))
+    placed = ranked.repartition(trees, "tree")
     return (
-        ranked.withColumn("_rn", F.row_number().over(window))
+        placed.withColumn("_rn", F.row_number().over(window))
         .filter(F.col("_rn") <= sample_rows)
         .drop("_rn")
     )
@@ -184,6 +188,22 @@ def score_column(forest: Forest, paths: bool = False) -> Column:
     return score(*[F.col(n).cast("double") for n in names])
 
 
+def timed_score_column(forest: Forest) -> Column:
+    """Score and the milliseconds a row took, averaged over its Arrow batch."""
+    names = list(forest.features)
+
+    @F.pandas_udf("score double, latency_ms double")
+    def score(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            start = time.perf_counter()
+            values = np.column_stack([s.to_numpy(dtype=float) for s in batch])
+            scores = forest.scores(values)
+            took = (time.perf_counter() - start) * 1000.0 / max(len(values), 1)
+            yield pd.DataFrame({"score": scores, "latency_ms": took})
+
+    return score(*[F.col(n).cast("double") for n in names])
+
+
 def threshold_of(train: DataFrame, score: str, contamination: float = 0.05) -> float:
     """Score above which the given share of the training rows lies."""
     found = exact_quantiles(train, [], score, [1.0 - contamination]).first()
