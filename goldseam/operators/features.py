@@ -344,25 +344,29 @@ def feature_matrix(
     return df.select(*keep, *columns, target.alias("label"))
 
 
+def fit_moments(df: DataFrame, features: Sequence[str]) -> dict[str, tuple[float, float]]:
+    """Mean and population deviation per feature: one aggregate, one row to the driver."""
+    row = df.agg(
+        *[F.avg(f).alias(f"m_{f}") for f in features],
+        *[F.stddev_pop(f).alias(f"s_{f}") for f in features],
+    ).first()
+    return {f: (row[f"m_{f}"] or 0.0, row[f"s_{f}"] or 1.0) for f in features}
+
+
+def apply_moments(df: DataFrame, moments: dict[str, tuple[float, float]]) -> DataFrame:
+    scaled = {f: (F.col(f) - F.lit(m)) / F.lit(s) for f, (m, s) in moments.items()}
+    return df.withColumns(scaled)
+
+
 def standardize(
     df: DataFrame, features: Sequence[str], fit_on: Column | None = None
 ) -> DataFrame:
     """Zero mean and unit population deviation; constant columns only lose their mean.
 
-    The moments come from one aggregate, over all rows or over ``fit_on``, and reach the
-    rows as a scalar subquery.
+    The moments are taken over all rows or over ``fit_on``.
     """
     base = df if fit_on is None else df.filter(fit_on)
-    moments = base.agg(
-        F.struct(
-            *[F.avg(f).alias(f"m_{f}") for f in features],
-            *[X.nonzero(F.stddev_pop(f)).alias(f"s_{f}") for f in features],
-        ).alias("moments")
-    ).scalar()
-    scaled = {
-        f: (F.col(f) - moments.getField(f"m_{f}")) / moments.getField(f"s_{f}") for f in features
-    }
-    return df.withColumns(scaled)
+    return apply_moments(df, fit_moments(base, features))
 
 
 def rate_quotes(

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from goldseam.functions import columns as X
 from goldseam.operators.ordered import exact_quantiles, running_sums
-from goldseam.schemas import ANOMALY_SUMMARY_DDL
+from goldseam.schemas import ANOMALY_SUMMARY
 
 
 def daily_volume(
@@ -92,7 +92,8 @@ def anomaly_summary(
 ) -> DataFrame:
     """Anomalies per day; an empty table of the same columns when there is no flag."""
     if flag not in df.columns:
-        return df.sparkSession.createDataFrame([], ANOMALY_SUMMARY_DDL)
+        empty = df.sparkSession.range(0)
+        return empty.select(*[F.lit(None).cast(t).alias(n) for n, t in ANOMALY_SUMMARY.items()])
     counts = df.groupBy(F.to_date(time).alias("date")).agg(
         F.count(key).alias("total_transactions"),
         F.sum(F.col(flag).cast("long")).alias("total_anomalies"),

@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from goldseam.functions import columns as X
-from goldseam.operators.ordered import exact_quantiles, running_sums
+from goldseam.operators.ordered import exact_quantiles, row_at, running_sums
+from goldseam.session import materialize
 
 
 def bucket_counts(
@@ -138,6 +139,12 @@ def pr_curve(
     )
 
 
+def value_range(df: DataFrame, value: str) -> tuple[float, float]:
+    """Minimum and maximum, from one aggregate; zeros for an empty table."""
+    row = df.agg(F.min(value).cast("double").alias("lo"), F.max(value).cast("double").alias("hi")).first()
+    return (row["lo"] or 0.0, row["hi"] or 0.0)
+
+
 def equal_width_histogram(
     df: DataFrame,
     value: str,
@@ -151,25 +158,18 @@ def equal_width_histogram(
     to one.
     """
     rows = df.filter(F.col(value).isNotNull())
-    ends = rows.agg(
-        F.struct(
-            F.min(value).cast("double").alias("lo"), F.max(value).cast("double").alias("hi")
-        ).alias("ends")
-    ).scalar()
-    low, high = ends.getField("lo"), ends.getField("hi")
-    width = F.when(high > low, (high - low) / bins).otherwise(F.lit(1.0) / bins)
+    low, high = value_range(rows, value)
+    width = F.lit(((high - low) if high > low else 1.0) / bins)
     index = F.least(F.floor((F.col(value) - low) / width), F.lit(bins - 1)).cast("int")
     keys = [F.col(by)] if by else []
-    counts = rows.groupBy(*keys, index.alias("bin")).agg(
-        F.count(F.lit(1)).alias("n"), F.first(low).alias("_lo"), F.first(width).alias("_w")
-    )
-    edges = counts.withColumn("bin_start", F.col("_lo") + F.col("bin") * F.col("_w"))
-    edges = edges.withColumn("bin_end", F.col("_lo") + (F.col("bin") + 1) * F.col("_w"))
+    counts = rows.groupBy(*keys, index.alias("bin")).agg(F.count(F.lit(1)).alias("n"))
+    edges = counts.withColumn("bin_start", low + F.col("bin") * width)
+    edges = edges.withColumn("bin_end", low + (F.col("bin") + 1) * width)
     if density:
         whole = Window.partitionBy(by) if by else Window.partitionBy(F.lit(0))
         share = X.ratio("n", F.sum("n").over(whole))
-        edges = edges.withColumn("density", share / F.col("_w"))
-    return edges.drop("_lo", "_w")
+        edges = edges.withColumn("density", share / width)
+    return edges
 
 
 def drift(
@@ -190,11 +190,11 @@ def drift(
     edges = exact_quantiles(expected, keys, value, steps, "edges").withColumn(
         "edges", F.array_distinct("edges")
     )
+    # Written out, so that Spark knows the true size of this small table when it joins.
+    edges = materialize(edges, "edges")
     a = expected.select(*keys, F.col(value).cast("double").alias("_v"), F.lit(1).alias("_e"))
     b = actual.select(*keys, F.col(value).cast("double").alias("_v"), F.lit(0).alias("_e"))
     both = a.unionByName(b).filter("_v is not null")
-    # At most one row per key and ``buckets`` + 1 numbers each; Spark measures it and
-    # decides how to join.
     placed = both.join(edges, list(keys)) if keys else both.withColumn(
         "edges", edges.select("edges").scalar()
     )
@@ -266,8 +266,6 @@ def chronological_split(
     Only the two border rows are searched for; labelling compares each row with them, so
     the wide rows are never sorted or moved.
     """
-    from goldseam.operators.ordered import row_at
-
     total = df.count()
     n_train = int(total * train_ratio)
     n_validation = int(total * validation_ratio)

@@ -79,9 +79,12 @@ RATE_EVENT = _struct(
     },
 )
 BRONZE_AUDIT = ("_bronze_loaded_at", "_source_file", "_batch_id")
-ANOMALY_SUMMARY_DDL = (
-    "date DATE, total_transactions LONG, total_anomalies LONG, anomaly_rate DOUBLE"
-)
+ANOMALY_SUMMARY = {
+    "date": "date",
+    "total_transactions": "long",
+    "total_anomalies": "long",
+    "anomaly_rate": "double",
+}
 
 # The model's input columns, in vector order.
 MODEL_FEATURES = (

@@ -110,14 +110,19 @@ def partition_overwrite(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(path).select("date", "transaction_id", money("amount_brl").alias("amount_brl"))
 
 
-@query("bucket_layout")
+@query(
+    "bucket_layout",
+    f"""with {TX_SQL} select cast("timestamp" as date) as date, currency, count(*) as n, 1::bigint as buckets
+    from tx group by 1, 2""",
+)
 def bucket_layout(spark: SparkSession, folder: str) -> DataFrame:
-    """Rows per day and currency bucket of a table written in the layer layout."""
+    """A table in the layer layout: each currency lies in one bucket of each day."""
     path = new_path(spark, "layout")
     rows = OUT.add_layout(transactions(spark, folder), bucket_by="currency")
     OUT.overwrite_partitions(rows, path, ["date", "bucket"])
-    counts = spark.read.parquet(path).groupBy("date", "bucket").agg(F.count(F.lit(1)).alias("n"))
-    return counts.select("date", long("bucket").alias("bucket"), "n")
+    return spark.read.parquet(path).groupBy("date", "currency").agg(
+        F.count(F.lit(1)).alias("n"), F.count_distinct("bucket").alias("buckets")
+    )
 
 
 @query(
@@ -133,17 +138,21 @@ def bronze_dedup(spark: SparkSession, folder: str) -> DataFrame:
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate", "l_extendedprice"
     )
     order = ["l_shipdate", "l_partkey", "l_suppkey", "l_extendedprice"]
-    return R.latest_per_key(rows, ["l_orderkey", "l_linenumber"], order).withColumn(
-        "l_linenumber", long("l_linenumber")
-    )
+    return R.latest_per_key(rows, ["l_orderkey", "l_linenumber"], order)
 
 
-@query("bronze_audit")
+@query(
+    "bronze_audit",
+    """select event_id, 'events.parquet' as source_file, 'events' as batch_id, true as loaded from events""",
+)
 def bronze_audit(spark: SparkSession, folder: str) -> DataFrame:
-    """Rows per source file and batch id after adding the audit columns."""
+    """The audit columns, reduced to what does not depend on place and time."""
     audited = R.add_audit(table(spark, folder, "events"))
-    return audited.groupBy("_source_file", "_batch_id").agg(
-        F.count(F.lit(1)).alias("n"), F.max("_bronze_loaded_at").alias("loaded_at")
+    return audited.select(
+        "event_id",
+        F.element_at(F.split("_source_file", "/"), -1).alias("source_file"),
+        F.col("_batch_id").alias("batch_id"),
+        F.col("_bronze_loaded_at").isNotNull().alias("loaded"),
     )
 
 
@@ -258,13 +267,20 @@ def contract_users(spark: SparkSession, folder: str) -> DataFrame:
     return checked.select("c_custkey", F.concat_ws(",", "violations").alias("violations"))
 
 
-@query("ingest_enrich")
+@query(
+    "ingest_enrich",
+    """select cast(event_id as varchar) as transaction_id, 'debezium-cdc' as source_system, true as stamped,
+      36::bigint as id_length from events""",
+)
 def ingest_enrich(spark: SparkSession, folder: str) -> DataFrame:
-    """Transactions with the ingest metadata."""
+    """The ingest metadata, reduced to what does not depend on time and chance."""
     from goldseam.streaming.ingest import add_ingest_metadata
 
     return add_ingest_metadata(transactions(spark, folder)).select(
-        "transaction_id", "ingestion_timestamp", "source_system", "batch_id"
+        "transaction_id",
+        "source_system",
+        F.col("ingestion_timestamp").isNotNull().alias("stamped"),
+        long(F.length("batch_id")).alias("id_length"),
     )
 
 
@@ -436,7 +452,11 @@ def gold_anomaly_summary(spark: SparkSession, folder: str) -> DataFrame:
     return G.anomaly_summary(transactions(spark, folder)).withColumn("anomaly_rate", r6("anomaly_rate"))
 
 
-@query("anomaly_summary_missing")
+@query(
+    "anomaly_summary_missing",
+    """select cast(ts as date) as date, 0::bigint as total_transactions, 0::bigint as total_anomalies,
+      0.0::double as anomaly_rate from events where false""",
+)
 def anomaly_summary_missing(spark: SparkSession, folder: str) -> DataFrame:
     """Without the flag column the summary is empty but typed."""
     return G.anomaly_summary(transactions(spark, folder).drop("is_anomaly"))

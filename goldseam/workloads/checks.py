@@ -46,8 +46,8 @@ def _report_sql(source: str, table_name: str, checks: list[tuple[str, str]]) ->
     )
     n = len(checks)
     return f"""c as (select {counts} from {source})
-      select '{table_name}' as table_name, {n} as total_checks, {passed} as passed,
-        {n} - ({passed}) as failed, case when {passed} = {n} then 'PASS' else 'FAIL' end as overall,
+      select '{table_name}' as table_name, {n}::bigint as total_checks, ({passed})::bigint as passed,
+        ({n} - ({passed}))::bigint as failed, case when {passed} = {n} then 'PASS' else 'FAIL' end as overall,
         concat_ws('; ', {failures}) as failures from c"""
 
 
@@ -622,13 +622,14 @@ def msg_rate(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-@query("raw_freshness")
+@query("raw_freshness", "select 'fresh' as status, true as listed from events limit 1")
 def raw_freshness(spark: SparkSession, folder: str) -> DataFrame:
     """Age of the newest file of a raw folder written just now."""
     base = new_path(spark, "fresh")
     rows = transactions(spark, folder).withColumn("event_date", F.to_date("timestamp"))
     OUT.write_raw_json(rows, base)
-    return V.freshness_of_files(IN.list_files(spark, base), F.current_timestamp())
+    found = V.freshness_of_files(IN.list_files(spark, base), F.current_timestamp())
+    return found.select("status", F.col("last_modified").isNotNull().alias("listed"))
 
 
 def daily_runs(spark: SparkSession, folder: str) -> DataFrame:

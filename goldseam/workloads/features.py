@@ -360,8 +360,8 @@ def unusual_hour(spark: SparkSession, folder: str) -> DataFrame:
 )
 def score_minmax(spark: SparkSession, folder: str) -> DataFrame:
     rows = table(spark, folder, "events")
-    ends = rows.agg(F.struct(F.min("value").alias("lo"), F.max("value").alias("hi")).alias("e")).scalar()
-    score = X.min_max("value", ends.getField("lo"), ends.getField("hi"))
+    low, high = M.value_range(rows, "value")
+    score = X.min_max("value", F.lit(low), F.lit(high))
     prediction = F.when(F.col("event_type") == "error", -1).otherwise(1)
     return rows.select("event_id", r6(score).alias("score"), X.outlier_to_label(prediction).alias("label"))
 

@@ -12,7 +12,7 @@ from goldseam.operators import forest as FO
 from goldseam.operators import neighbors as N
 from goldseam.session import materialize
 from goldseam.sources import outputs as OUT
-from goldseam.workloads.binding import r6, transactions
+from goldseam.workloads.binding import TX_SQL, r6, transactions
 from goldseam.workloads.checks import _LABELLED_SQL, labelled
 from goldseam.workloads.features import model_matrix
 from goldseam.workloads.registry import query, table
@@ -64,15 +64,21 @@ def iforest_score(spark: SparkSession, folder: str) -> DataFrame:
     return points(spark, folder).select("event_id", r6(FO.score_column(forest)).alias("score"))
 
 
-@query("iforest_nodes")
+@query(
+    "iforest_nodes",
+    """select cast(i as int) as tree, least(256, (select count(*) from events)) as rows, true as bounded
+    from range(100) t(i)""",
+)
 def iforest_nodes(spark: SparkSession, folder: str) -> DataFrame:
-    """Size and depth of each tree fitted on the model matrix."""
+    """Each tree fitted on the model matrix: rows seen, and whether its size is in bounds."""
     nodes, _ = FO.fit_forest(model_matrix(spark, folder), S.MODEL_FEATURES, "transaction_id")
-    return nodes.groupBy("tree").agg(
+    trees = nodes.groupBy("tree").agg(
         F.count(F.lit(1)).alias("nodes"),
         F.max("depth").alias("depth"),
         F.sum(F.when(F.col("feature") < 0, F.col("size"))).alias("rows"),
     )
+    bounded = (F.col("nodes") <= 2 * F.col("rows") - 1) & (F.col("depth") <= 8)
+    return trees.select("tree", "rows", bounded.alias("bounded"))
 
 
 def fitted(spark: SparkSession, folder: str) -> tuple[DataFrame, FO.Forest]:
@@ -161,7 +167,13 @@ def model_metrics(spark: SparkSession, folder: str) -> DataFrame:
     return found.select(*[r6(n).alias(n) for n in names])
 
 
-@query("prediction_log")
+@query(
+    "prediction_log",
+    f"""with {TX_SQL} select transaction_id as key, transaction_id, round(least(value / 100, 1), 6) as anomaly_score,
+      value / 100 >= 0.4 as is_anomaly, case when value / 100 >= 0.7 then 'high' when value / 100 >= 0.4 then 'medium'
+      else 'low' end as risk_level, round(value, 3) as latency_ms, cast(hour("timestamp") as double) as hour_of_day,
+      true as logged from tx""",
+)
 def prediction_log(spark: SparkSession, folder: str) -> DataFrame:
     """Key and JSON record of each prediction."""
     rows = transactions(spark, folder)
@@ -184,4 +196,15 @@ def prediction_log(spark: SparkSession, folder: str) -> DataFrame:
             "latency_ms": F.col("value"),
         }
     )
-    return OUT.prediction_records(judged, S.MODEL_FEATURES)
+    records = OUT.prediction_records(judged, S.MODEL_FEATURES)
+    fields = (
+        "transaction_id string, anomaly_score double, is_anomaly boolean, risk_level string, "
+        "latency_ms double, features struct<hour_of_day: double>, logged_at string"
+    )
+    read = records.select("key", F.from_json("value", fields).alias("v"))
+    return read.select(
+        "key",
+        *[f"v.{n}" for n in ("transaction_id", "anomaly_score", "is_anomaly", "risk_level", "latency_ms")],
+        "v.features.hour_of_day",
+        F.col("v.logged_at").isNotNull().alias("logged"),
+    )

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from goldseam import schemas as S
+from goldseam.operators import forest as FO
 from goldseam.session import new_path
 from goldseam.sources import inputs as IN
 from goldseam.streaming import changes as CH
@@ -20,8 +20,11 @@ from goldseam.workloads.binding import (
     code,
     money,
     ntz,
+    r6,
     raw_values,
 )
+from goldseam.workloads.features import _USERS_SQL, user_features
+from goldseam.workloads.models import _NODES_SQL, _PATH_SQL, FIXED_NODES
 from goldseam.workloads.registry import query, table
 
 
@@ -214,14 +217,29 @@ def stream_hourly_volume(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-@query("stream_score")
+@query(
+    "stream_score",
+    f"""with recursive {TX_SQL}, {_USERS_SQL},
+      n(tree, node, feature, threshold, l, r, size, depth) as (values {_NODES_SQL}),
+      w as (select event_id, value, cast(hour(ts) as double) as hour, t.tree, 0 as node from events,
+          (values (0), (1)) t(tree)
+        union all select event_id, value, hour, w.tree,
+          case when (case when feature = 0 then value else hour end) <= threshold then l else r end
+        from w join n on n.tree = w.tree and n.node = w.node where feature >= 0),
+      p as (select event_id, avg(depth + {_PATH_SQL}) as path from w join n on n.tree = w.tree and n.node = w.node
+        where feature < 0 group by event_id),
+      s as (select event_id, least(power(2, -path / (2 * (ln(7.0) + 0.5772156649015329) - 2 * 7.0 / 8)) / 0.5, 1) as score
+        from p)
+    select cast(event_id as varchar) as key, round(score, 6) as anomaly_score, score >= 0.4 as is_anomaly,
+      case when score >= 0.7 then 'high' when score >= 0.4 then 'medium' else 'low' end as risk_level,
+      round((value - coalesce(cast(v as double) / n, value)) / greatest(coalesce(cast(v as double) / n, value) * 0.3, 1), 6)
+        as z_score_amount
+    from s join tx using (event_id) left join u30 using (user_id)""",
+)
 def stream_score(spark: SparkSession, folder: str) -> DataFrame:
-    """Each event joined with its user's features and scored by a fitted forest."""
-    from goldseam.operators import forest as FO
-    from goldseam.workloads.features import model_matrix, user_features
-
-    nodes, rows = FO.fit_forest(model_matrix(spark, folder), S.MODEL_FEATURES, "transaction_id")
-    forest = FO.Forest.collect(nodes, S.MODEL_FEATURES, rows)
+    """Each event joined with its user's features and scored by the hand-written forest."""
+    nodes = spark.createDataFrame(FIXED_NODES, FO.NODE_DDL)
+    forest = FO.Forest.collect(nodes, ["amount_brl", "hour_of_day"], 8)
     users = user_features(spark, folder).select(
         "user_id",
         "avg_ticket_30d",
@@ -239,4 +257,11 @@ def stream_score(spark: SparkSession, folder: str) -> DataFrame:
     output = new_path(spark, "predictions")
     records = ST.score_stream(stream, users, forest)
     IG.run_available(ST.append_sink(records, output), new_path(spark, "checkpoint"))
-    return spark.read.schema(records.schema).parquet(output)
+    fields = (
+        "anomaly_score double, is_anomaly boolean, risk_level string, features struct<z_score_amount: double>"
+    )
+    read = spark.read.schema(records.schema).parquet(output)
+    parsed = read.select("key", F.from_json("value", fields).alias("v"))
+    return parsed.select(
+        "key", "v.anomaly_score", "v.is_anomaly", "v.risk_level", r6("v.features.z_score_amount").alias("z_score_amount")
+    )

@@ -209,5 +209,4 @@ def bronze_upsert(spark: SparkSession, folder: str) -> DataFrame:
     rows = table(spark, folder, "lineitem").select(*KEYS, *TIES)
     border = F.expr("timestamp_ntz '1999-01-01 00:00:00'")
     current = R.latest_per_key(rows.filter(F.col("l_shipdate") < border), KEYS, TIES)
-    merged = R.merge_latest(current, rows.filter(F.col("l_shipdate") >= border), KEYS, TIES)
-    return merged.withColumn("l_linenumber", long("l_linenumber"))
+    return R.merge_latest(current, rows.filter(F.col("l_shipdate") >= border), KEYS, TIES)
