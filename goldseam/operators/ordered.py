@@ -30,6 +30,8 @@ GROUP_ROWS = 2_000_000
 # Spark evaluates a sliding frame anew for every row, so the cost of a group grows with
 # rows times frame length. Time-span frames therefore get a lower limit.
 SLIDING_ROWS = 20_000
+# The built-in exact percentile keeps every distinct value of a group in one task's map.
+PERCENTILE_ROWS = 1_000_000
 _SETTING = "goldseam.maxGroupRows"
 
 
@@ -255,13 +257,14 @@ def exact_quantiles(
     """
     present = df.select(*keys, F.col(value).cast("double").alias("_v")).filter("_v is not null")
     wanted = [float(p) for p in probabilities]
-    if fits_one_task(present, keys):
+    if fits_one_task(present, keys, PERCENTILE_ROWS):
         picked = F.percentile("_v", F.array(*[F.lit(p) for p in wanted]))
         return present.groupBy(*keys).agg(picked.alias(output))
 
-    counts = present.groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_n"))
+    # Written once, since the size check, the ranks and the totals all read it.
+    counts = materialize(present.groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_n")), "counts")
     ranked = running_sums(counts, keys, ["_v"], {"_cum": "_n"})
-    totals = present.groupBy(*keys).agg(F.count(F.lit(1)).alias("_total"))
+    totals = counts.groupBy(*keys).agg(F.sum("_n").alias("_total"))
     if keys:
         both = ranked.join(totals, list(keys))
     else:

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from goldseam.functions import columns as X
-from goldseam.operators.ordered import exact_quantiles, fits_one_task
+from goldseam.operators.ordered import PERCENTILE_ROWS, exact_quantiles, fits_one_task
 from goldseam.schemas import VALID_CURRENCIES
 
 
@@ -226,7 +226,7 @@ def profile_numeric(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     quartiles from counts per distinct value.
     """
     wanted = [0.25, 0.5, 0.75]
-    small = fits_one_task(df, [])
+    small = fits_one_task(df, [], PERCENTILE_ROWS)
     parts = []
     for i, name in enumerate(columns):
         value = F.col(name).cast("double")
