@@ -10,7 +10,7 @@ from goldseam.operators.ordered import exact_quantiles, running_sums
 from goldseam.schemas import ANOMALY_SUMMARY
 
 
-def daily_volume(
+def daily_base(
     df: DataFrame,
     time: str = "timestamp",
     currency: str = "currency",
@@ -18,14 +18,9 @@ def daily_volume(
     key: str = "transaction_id",
     percentile: float = 0.95,
     accuracy: int = 10_000,
-    average_rows: int = 7,
-    calendar_days: bool = False,
 ) -> DataFrame:
-    """Volume per day and currency, day-over-day change and moving average.
-
-    The average covers the last ``average_rows`` days that have data, or calendar days.
-    """
-    base = df.groupBy(F.to_date(time).alias("date"), F.col(currency).alias("currency")).agg(
+    """Volume statistics per day and currency. A day depends on its own rows only."""
+    return df.groupBy(F.to_date(time).alias("date"), F.col(currency).alias("currency")).agg(
         F.sum(F.col(amount)).cast("decimal(18,2)").alias("total_volume_brl"),
         F.count(key).alias("transaction_count"),
         F.avg(amount).cast("double").alias("avg_amount"),
@@ -33,6 +28,13 @@ def daily_volume(
         F.max(amount).alias("max_amount"),
         F.percentile_approx(amount, percentile, accuracy).cast("double").alias("p95_amount"),
     )
+
+
+def daily_trend(base: DataFrame, average_rows: int = 7, calendar_days: bool = False) -> DataFrame:
+    """Add the day-over-day change and the moving average to daily statistics.
+
+    The average covers the last ``average_rows`` days that have data, or calendar days.
+    """
     by_currency = Window.partitionBy("currency")
     by_day = by_currency.orderBy("date")
     if calendar_days:
@@ -48,6 +50,48 @@ def daily_volume(
     )
 
 
+def daily_volume(
+    df: DataFrame,
+    time: str = "timestamp",
+    currency: str = "currency",
+    amount: str = "amount_brl",
+    key: str = "transaction_id",
+    average_rows: int = 7,
+    calendar_days: bool = False,
+) -> DataFrame:
+    """Daily statistics with their trend."""
+    return daily_trend(daily_base(df, time, currency, amount, key), average_rows, calendar_days)
+
+
+def user_days(
+    df: DataFrame,
+    user: str = "user_id",
+    time: str = "timestamp",
+    amount: str = "amount_brl",
+    key: str = "transaction_id",
+) -> DataFrame:
+    """Mergeable totals per user and day."""
+    return df.groupBy(F.col(user).alias("user_id"), F.to_date(time).alias("date")).agg(
+        F.count(key).alias("transactions"),
+        F.sum(amount).alias("volume"),
+        F.count(amount).alias("amounts"),
+        F.min(time).alias("first_at"),
+        F.max(time).alias("last_at"),
+    )
+
+
+def combine_user_days(days: DataFrame) -> DataFrame:
+    """The user summary from daily totals."""
+    average = F.try_divide(F.sum("volume"), F.sum("amounts"))
+    return days.groupBy("user_id").agg(
+        F.sum("transactions").alias("total_transactions"),
+        F.sum("volume").cast("decimal(18,2)").alias("total_volume_brl"),
+        average.cast("double").alias("avg_transaction_brl"),
+        F.min("first_at").alias("first_transaction_at"),
+        F.max("last_at").alias("last_transaction_at"),
+    )
+
+
 def user_summary(
     df: DataFrame,
     user: str = "user_id",

@@ -46,17 +46,34 @@ def load_silver(spark: SparkSession, lake: str, first_day: str, last_day: str |
     return OUT.overwrite_partitions(laid, _path(lake, "silver", "transactions"), ["date"])
 
 
-def load_gold(spark: SparkSession, lake: str) -> dict[str, int]:
-    """Rebuild the four aggregates from silver."""
-    silver = spark.read.parquet(_path(lake, "silver", "transactions"))
-    tables = {
-        "daily_volume": G.daily_volume(silver),
-        "user_summary": G.user_summary(silver),
-        "hourly_rates": G.hourly_rates(silver),
-        "anomaly_summary": G.anomaly_summary(silver),
-    }
+def load_gold(
+    spark: SparkSession, lake: str, first_day: str, last_day: str | None = None
+) -> dict[str, int]:
+    """Refresh the four aggregates for the given days.
+
+    Only those days of silver are read. What spans days (the trend and the user totals) is
+    computed from small per-day tables, so the work grows with the new rows and not with
+    the history.
+    """
+
+    def at(name: str) -> str:
+        return _path(lake, "gold", name)
+
+    silver = _days(spark.read.parquet(_path(lake, "silver", "transactions")), first_day, last_day)
+    OUT.overwrite_partitions(G.daily_base(silver), at("daily_base"), ["date"])
+    OUT.overwrite_partitions(G.user_days(silver), at("user_days"), ["date"])
+    hourly = G.hourly_rates(silver).withColumn(
+        "date", F.to_date((F.expr("hour_bucket div 100")).cast("string"), "yyyyMMdd")
+    )
+    trend = G.daily_trend(spark.read.parquet(at("daily_base")))
+    users = G.combine_user_days(spark.read.parquet(at("user_days")))
     return {
-        name: OUT.replace_table(df, _path(lake, "gold", name)) for name, df in tables.items()
+        "daily_volume": OUT.replace_table(trend, at("daily_volume")),
+        "user_summary": OUT.replace_table(users, at("user_summary")),
+        "hourly_rates": OUT.overwrite_partitions(hourly, at("hourly_rates"), ["date"]),
+        "anomaly_summary": OUT.overwrite_partitions(
+            G.anomaly_summary(silver), at("anomaly_summary"), ["date"]
+        ),
     }
 
 
@@ -72,5 +89,5 @@ def run(
     silver = _days(spark.read.parquet(_path(lake, "silver", "transactions")), start, last_day)
     R.validate_silver(silver)
     Q.raise_if_failed(Q.run_all(silver, Q.silver_suite(), "silver.transactions"))
-    counts["gold"] = load_gold(spark, lake)
+    counts["gold"] = load_gold(spark, lake, start, last_day)
     return counts

@@ -321,7 +321,7 @@ def job_cost(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("cdc_route", "select event_id, event_type as target from events")
 def cdc_route(spark: SparkSession, folder: str) -> DataFrame:
-    topic = F.concat(F.lit("fx.public."), F.col("event_type"))
+    topic = F.concat(F.lit("shop.public."), F.col("event_type"))
     return table(spark, folder, "events").select("event_id", X.topic_table(topic).alias("target"))
 
 

@@ -155,6 +155,35 @@ def test_daily_job_is_repeatable(spark):
     assert {(r["transaction_id"], float(r["amount_brl"])) for r in silver.collect()} == {("1", 110.0), ("2", 50.0)}
 
 
+def test_gold_by_day_equals_gold_at_once(spark):
+    lake = new_path(spark, "lake")
+    rows = spark.range(400).select(
+        F.col("id").cast("string").alias("transaction_id"),
+        (F.col("id") % 7).cast("string").alias("user_id"),
+        F.timestamp_seconds(1_704_067_200 + F.col("id") * 1_300).alias("timestamp"),
+        F.when(F.col("id") % 3 == 0, "USD").otherwise("EUR").alias("currency"),
+        (F.col("id") * 1.37 + 1).cast("decimal(15,2)").alias("amount_brl"),
+        (F.col("id") % 50 + 1).cast("decimal(10,4)").alias("exchange_rate"),
+        (F.col("id") % 11 == 0).alias("is_anomaly"),
+    )
+    silver = rows.withColumn("date", F.to_date("timestamp"))
+    OUT.overwrite_partitions(silver, f"{lake}/silver/transactions", ["date"])
+    days = sorted(str(r["date"]) for r in silver.select("date").distinct().collect())
+    assert len(days) == 7
+    for day in [*days, days[2]]:
+        daily.load_gold(spark, lake, day)
+    whole = {
+        "daily_volume": G.daily_volume(silver),
+        "user_summary": G.user_summary(silver),
+        "hourly_rates": G.hourly_rates(silver),
+        "anomaly_summary": G.anomaly_summary(silver),
+    }
+    for name, want in whole.items():
+        got = spark.read.parquet(f"{lake}/gold/{name}").select(*want.columns)
+        assert got.count() == want.count() > 0
+        assert got.exceptAll(want).count() == 0, name
+
+
 def test_gates_stop_the_daily_job(spark):
     raw, lake = new_path(spark, "raw"), new_path(spark, "lake")
     rows = [("1", "u1", datetime(2024, 1, 15, 10), "USD", -100)]
