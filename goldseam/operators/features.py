@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 from goldseam.functions import columns as X
 from goldseam.operators.ordered import (
     SLIDING_ROWS,
+    cell_of,
     fits_one_task,
+    join_whole,
     micros,
     rolling,
     running_sums,
@@ -90,7 +92,7 @@ def currency_features(
 
     day = by.rangeBetween(-23, 0)
     week = by.rangeBetween(-(24 * 7 - 1), 0)
-    rows = hourly.withColumn("_h", F.expr(f"unix_micros(cast({hour} as timestamp)) div 3600000000L"))
+    rows = hourly.withColumn("_t", micros(hour)).withColumn("_h", cell_of("_t", HOUR * 1_000_000))
     return rows.select(
         currency,
         F.col(hour).alias("event_timestamp"),
@@ -124,7 +126,7 @@ def distinct_over_span(
         return points.select(key, time, F.size(seen).cast("long").alias(output))
 
     width = max(span // cells, 1)
-    points = materialize(points.withColumn("_cell", F.expr(f"_t div {width}L")), "points")
+    points = materialize(points.withColumn("_cell", cell_of("_t", width)), "points")
     latest = (
         points.select(key, "_cell", "_t", F.explode("_items").alias("_item"))
         .groupBy(key, "_cell", "_item")
@@ -141,7 +143,8 @@ def distinct_over_span(
     here = F.array_distinct(
         F.flatten(F.collect_list("_items").over(inside.rangeBetween(Window.unboundedPreceding, 0)))
     )
-    joined = points.withColumn("_here", here).join(carried, [key, "_cell"])
+    joined = points.withColumn("_here", here)
+    joined = join_whole(joined, carried, [key, "_cell"])
     live = F.filter("_before", lambda x: x["_at"] >= F.col("_t") - span)
     names = F.transform(live, lambda x: x["_item"])
     return joined.select(
@@ -170,7 +173,9 @@ def pattern_features(
         F.count(F.lit(1)).alias("_n"), F.sum(night).alias("_night")
     )
     upto = running_sums(per_time, [user], [time], {"_all": "_n", "_nights": "_night"})
-    joined = hour.join(day, [user, time]).join(kinds, [user, time]).join(upto, [user, time])
+    joined = hour
+    for part in (day, kinds, upto):
+        joined = join_whole(joined, part, [user, time])
     return _pattern_columns(joined, user, time)
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from goldseam.functions import columns as X
-from goldseam.operators.ordered import exact_quantiles, running_sums
+from goldseam.operators.ordered import exact_quantiles, join_whole, running_sums
 from goldseam.schemas import ANOMALY_SUMMARY
 
 
@@ -175,7 +175,7 @@ def volume_rank(summary: DataFrame, volume: str = "total_volume_brl") -> DataFra
         (F.col("_above") + 1).alias("volume_rank"),
         (F.col("_dense") + 1).alias("dense_rank"),
     )
-    return summary.join(ranks, volume)
+    return join_whole(summary, ranks, [volume])
 
 
 def top_users(summary: DataFrame, n: int, volume: str = "total_volume_brl") -> DataFrame:

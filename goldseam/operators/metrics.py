@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from goldseam.functions import columns as X
 from goldseam.operators.ordered import exact_quantiles, row_at, running_sums
@@ -254,6 +255,13 @@ def overall_status(stale_views: Column, drifted_views: Column) -> Column:
     )
 
 
+def _literal(value: object, kind: T.DataType) -> Column:
+    """A collected value as a literal; wall-clock times must not pass through a time zone."""
+    if isinstance(kind, T.TimestampNTZType):
+        return F.lit(str(value)).cast(kind)
+    return F.lit(value).cast(kind)
+
+
 def chronological_split(
     df: DataFrame,
     order: Sequence[str],
@@ -280,7 +288,7 @@ def chronological_split(
             return F.lit(False)
         found = F.lit(True)
         for name, spec in reversed(list(zip(names, order))):
-            edge = F.lit(ends[border][name]).cast(df.schema[name].dataType)
+            edge = _literal(ends[border][name], df.schema[name].dataType)
             before = F.col(name) > edge if spec.startswith("-") else F.col(name) < edge
             found = before | ((F.col(name) == edge) & found)
         return found

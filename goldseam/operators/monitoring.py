@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from goldseam.functions import columns as X
-from goldseam.operators.ordered import micros
+from goldseam.operators.ordered import cell_of, micros
 
 HOUR = 3_600
 
@@ -39,7 +39,7 @@ def ingestion_gaps(df: DataFrame, time: str, seconds: int = HOUR) -> DataFrame:
     width = seconds * 1_000_000
     ends = (
         df.select(time, micros(time).alias("_t"))
-        .groupBy(F.expr(f"_t div {width}L").alias("_b"))
+        .groupBy(cell_of("_t", width).alias("_b"))
         .agg(F.min(time).alias("_first"), F.max(time).alias("_last"))
     )
     line = Window.partitionBy(F.lit(0)).orderBy("_b")
@@ -54,9 +54,8 @@ def islands(
     df: DataFrame, bucket: str, condition: Column, step_seconds: int, keys: Sequence[str] = ()
 ) -> DataFrame:
     """Runs of consecutive buckets in which a condition holds."""
-    hits = df.filter(condition).withColumn(
-        "_i", F.expr(f"unix_micros(cast({bucket} as timestamp)) div {step_seconds * 1_000_000}L")
-    )
+    times = df.filter(condition).withColumn("_t", micros(bucket))
+    hits = times.withColumn("_i", cell_of("_t", step_seconds * 1_000_000))
     line = (Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0))).orderBy("_i")
     runs = hits.withColumn("_run", F.col("_i") - F.row_number().over(line))
     return runs.groupBy(*keys, "_run").agg(

@@ -62,6 +62,22 @@ def micros(column: str | Column) -> Column:
     return F.unix_micros(value.cast("timestamp"))
 
 
+def cell_of(column: str, width: int) -> Column:
+    """Number of the cell of ``width`` that a whole number lies in, rounded down."""
+    return F.expr(f"({column} - pmod({column}, {width}L)) div {width}L")
+
+
+def join_whole(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "inner") -> DataFrame:
+    """Equi join in which null keys match each other, with the left side's key columns."""
+    renamed = right
+    for name in on:
+        renamed = renamed.withColumnRenamed(name, f"_k_{name}")
+    condition = F.lit(True)
+    for name in on:
+        condition = condition & left[name].eqNullSafe(renamed[f"_k_{name}"])
+    return left.join(renamed, condition, how).drop(*[f"_k_{name}" for name in on])
+
+
 def _by(keys: Sequence[str]) -> WindowSpec:
     return Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0))
 
@@ -84,16 +100,8 @@ def _spanning(chunked: DataFrame, keys: Sequence[str], *totals: Column) -> DataF
 
 
 def _attach(big: DataFrame, small: DataFrame, on: Sequence[str], how: str) -> DataFrame:
-    """Join the bounded ``small`` table on null-safe keys, keeping ``big``'s key columns."""
-    renamed = small
-    for name in on:
-        renamed = renamed.withColumnRenamed(name, f"_k_{name}")
-    condition = None
-    for name in on:
-        equal = big[name].eqNullSafe(renamed[f"_k_{name}"])
-        condition = equal if condition is None else condition & equal
-    joined = big.join(F.broadcast(renamed), condition, how)
-    return joined.drop(*[f"_k_{name}" for name in on])
+    """Join a table that is bounded by the number of chunks."""
+    return join_whole(big, F.broadcast(small), on, how)
 
 
 def rolling(
@@ -266,7 +274,7 @@ def exact_quantiles(
     ranked = running_sums(counts, keys, ["_v"], {"_cum": "_n"})
     totals = counts.groupBy(*keys).agg(F.sum("_n").alias("_total"))
     if keys:
-        both = ranked.join(totals, list(keys))
+        both = join_whole(ranked, totals, keys)
     else:
         both = ranked.withColumn("_total", totals.select("_total").scalar())
     picks = []
@@ -316,7 +324,7 @@ def span_totals(
         )
 
     width = span // cells
-    points = materialize(points.withColumn("_cell", F.expr(f"_t div {width}L")), "points")
+    points = materialize(points.withColumn("_cell", cell_of("_t", width)), "points")
     own = points.select(*keys, time, "_t", "_cell", "_n", "_s", F.lit(False).alias("_old"))
     old = points.select(
         *keys,
@@ -354,7 +362,7 @@ def span_totals(
         return result.select(
             *keys, time, F.col("_pn").alias(count_name), F.col("_ps").alias(sum_name)
         )
-    joined = result.join(middle, [*keys, "_cell"])
+    joined = join_whole(result, middle, [*keys, "_cell"])
     return joined.select(
         *keys,
         time,

@@ -7,7 +7,6 @@ and one grouping by key. A single writer per table is assumed.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -167,11 +166,23 @@ def compaction_plan(
     )
 
 
-def compact(df: DataFrame, partitions: Sequence[str], total_bytes: int, target: int = TARGET_BYTES) -> DataFrame:
-    """Rows laid out for right-sized files: one shuffle on partition and a spread value."""
-    files = max(1, math.ceil(total_bytes / target))
-    spread = F.pmod(F.xxhash64(*df.columns), F.lit(files))
-    return df.repartition(files, *[F.col(p) for p in partitions], spread)
+def files_wanted(files: DataFrame, partition: str, size: str = "size", target: int = TARGET_BYTES) -> DataFrame:
+    """Number of right-sized files per partition."""
+    total = F.sum(size) / F.lit(target)
+    return files.groupBy(partition).agg(F.greatest(F.ceil(total), F.lit(1)).cast("int").alias("output_files"))
+
+
+def compact(df: DataFrame, partition: str, wanted: DataFrame) -> DataFrame:
+    """Rows laid out so that each partition is written as its wanted number of files.
+
+    ``wanted`` (partition, output_files) has a row per partition. One shuffle on partition
+    and slice, with one task per file.
+    """
+    total = wanted.agg(F.sum("output_files").alias("n")).first()["n"] or 1
+    sliced = df.join(wanted, partition).withColumn(
+        "_slice", F.pmod(F.xxhash64(*df.columns), F.col("output_files"))
+    )
+    return sliced.repartition(int(total), partition, "_slice").drop("_slice", "output_files")
 
 
 def reprocess_range(

@@ -83,18 +83,20 @@ def compact_table(
     value = F.regexp_extract("full_path", rf"/{partition}=([^/]+)/", 1)
     files = IN.list_files(spark, path, "*.parquet").withColumn("part", value)
     plan = V.compaction_plan(files, "part", "size", target, minimum).filter("rewrite")
-    totals = plan.agg(F.sum("small_bytes").alias("b"), F.count(F.lit(1)).alias("n")).first()
-    if not totals["n"]:
-        return None
     plan = materialize(plan, "plan")
+    if plan.isEmpty():
+        return None
     table = spark.read.parquet(path)
-    chosen = table.join(
-        plan.select(F.col("part").cast(table.schema[partition].dataType).alias(partition)),
-        partition,
-        "left_semi",
+    kind = table.schema[partition].dataType
+    wanted = V.files_wanted(files.join(plan, "part", "left_semi"), "part", "size", target)
+    wanted = materialize(
+        wanted.select(F.col("part").cast(kind).alias(partition), "output_files"), "wanted"
     )
-    held = materialize(chosen, "compact")
-    OUT.overwrite_partitions(V.compact(held, [partition], int(totals["b"]), target), path, [partition])
+    held = materialize(table.join(wanted, partition, "left_semi"), "compact")
+    laid = V.compact(held, partition, wanted)
+    laid.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
+        partition
+    ).parquet(path)
     return plan
 
 

@@ -165,7 +165,9 @@ def compact_rewrite(spark: SparkSession, folder: str) -> DataFrame:
     """Rewriting into right-sized files leaves the rows as they are."""
     rows = table(spark, folder, "events").select("event_type", "event_id", "value")
     path = new_path(spark, "compact")
-    OUT.overwrite_partitions(V.compact(rows, ["event_type"], 5 * V.TARGET_BYTES), path, ["event_type"])
+    sizes = rows.groupBy("event_type").agg((F.count(F.lit(1)) * 50_000).alias("size"))
+    laid = V.compact(rows, "event_type", V.files_wanted(sizes, "event_type"))
+    laid.write.partitionBy("event_type").parquet(path)
     return spark.read.parquet(path).select("event_type", "event_id", "value")
 
 

@@ -236,3 +236,17 @@ def test_volume_rank(spark, plan):
     frame_ = spark.createDataFrame(rows, "user_id string, total_volume_brl long")
     got = {r["user_id"]: (r["volume_rank"], r["dense_rank"]) for r in G.volume_rank(frame_).collect()}
     assert got == {"e": (1, 1), "b": (2, 2), "a": (3, 3), "c": (3, 3), "d": (5, 4)}
+
+
+def test_null_keys_and_early_times_are_kept(spark, plan):
+    start = datetime(1969, 12, 31, 20)
+    rows = [(i, None if i % 2 else "a", start + timedelta(minutes=20 * i), i, "xy"[i % 2]) for i in range(60)]
+    df = spark.createDataFrame(rows, "id int, key string, ts timestamp, value int, item string")
+    got = O.span_totals(df, ["key"], "ts", 7_200, "value", ("n", "s"), 2).toPandas()
+    assert len(got) == 60
+    assert sorted(got["n"]) == sorted([min(i // 2 + 1, 4) for i in range(60)])
+    assert len(FE.pattern_features(df, "key", "ts", "value", "item").collect()) == 60
+    medians = {r["key"]: r["quantiles"][0] for r in O.exact_quantiles(df, ["key"], "value", [0.5]).collect()}
+    assert medians == {"a": 29.0, None: 30.0}
+    last = O.running_last(df.withColumn("v", F.when(F.col("id") < 2, F.col("id"))), ["key"], ["ts"], "v", "last")
+    assert {(r["key"], r["last"]) for r in last.collect()} == {("a", 0), (None, 1)}

@@ -110,6 +110,17 @@ def test_compact_table(spark):
     assert MT.compact_table(spark, path, "p") is None
 
 
+def test_compact_writes_the_wanted_files(spark):
+    path = new_path(spark, "wanted")
+    rows = spark.range(3_000).withColumn("p", F.col("id") % 3)
+    wanted = spark.createDataFrame([(0, 1), (1, 2), (2, 5)], "p long, output_files int")
+    V.compact(rows, "p", wanted).write.partitionBy("p").parquet(path)
+    files = spark.read.parquet(path).select("p", F.input_file_name().alias("f")).distinct()
+    counts = {r["p"]: r["count"] for r in files.groupBy("p").count().collect()}
+    assert counts[0] == 1 and counts[1] <= 2 and counts[2] <= 5
+    assert spark.read.parquet(path).count() == 3_000
+
+
 def test_orphans_by_path_or_key(spark):
     files = spark.createDataFrame(
         [("s3a://b/1", "1", 5), ("s3a://b/2", "2", 6), ("s3a://b/3", "3", 7), ("s3a://b/v.metadata.json", "v.metadata.json", 1)],
