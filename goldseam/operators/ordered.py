@@ -32,18 +32,27 @@ GROUP_ROWS = 2_000_000
 SLIDING_ROWS = 20_000
 # The built-in exact percentile keeps every distinct value of a group in one task's map.
 PERCENTILE_ROWS = 1_000_000
+# Chunks grow in number with the table; the upper bound keeps the borders and the tables of
+# spanning keys small, and a chunk that gets larger than planned is sorted with spilling.
+CHUNK_ROWS = 5_000_000
+MAX_CHUNKS = 20_000
 _SETTING = "goldseam.maxGroupRows"
 
 
+def _measure(df: DataFrame, keys: Sequence[str], limit: int = GROUP_ROWS) -> tuple[bool, int]:
+    """Whether the largest group is small enough for a plain window, and all rows."""
+    limit = min(limit, int(df.sparkSession.conf.get(_SETTING, str(limit))))
+    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    row = sizes.agg(F.max("n").alias("largest"), F.sum("n").alias("total")).first()
+    return (row["largest"] or 0) <= limit, row["total"] or 0
+
+
 def fits_one_task(df: DataFrame, keys: Sequence[str], limit: int = GROUP_ROWS) -> bool:
     """Whether the largest group of ``df`` is small enough for a plain window.
 
     The setting ``goldseam.maxGroupRows`` lowers the limit.
     """
-    limit = min(limit, int(df.sparkSession.conf.get(_SETTING, str(limit))))
-    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-    largest = sizes.agg(F.max("n").alias("n")).first()["n"]
-    return (largest or 0) <= limit
+    return _measure(df, keys, limit)[0]
 
 
 def sort_columns(order: Sequence[str], flip: bool = False) -> list[Column]:
@@ -82,13 +91,14 @@ def _by(keys: Sequence[str]) -> WindowSpec:
     return Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0))
 
 
-def _chunked(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+def _chunked(df: DataFrame, keys: Sequence[str], order: Sequence[str], total: int) -> DataFrame:
     """Rows with ``_chunk``, a balanced range of the (keys, order) sequence.
 
     The table is written out: the chunk borders come from a sample, and every later read
     must see the same borders.
     """
-    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = min(max(least, total // CHUNK_ROWS + 1), max(least, MAX_CHUNKS))
     laid = df.repartitionByRange(parts, *[F.col(k) for k in keys], *sort_columns(order))
     return materialize(laid.withColumn("_chunk", F.spark_partition_id()), "chunks")
 
@@ -115,10 +125,11 @@ def rolling(
 
     ``compute`` gets the rows and an ordered window and adds columns to them.
     """
-    if fits_one_task(df, keys):
+    small, total = _measure(df, keys)
+    if small:
         return compute(df, _by(keys).orderBy(*sort_columns(order)))
 
-    rows = _chunked(df, keys, order)
+    rows = _chunked(df, keys, order, total)
     on = [*keys, "_chunk"]
     ahead = _by(keys).orderBy("_chunk").rowsBetween(1, reach)
     following = _spanning(rows, keys, F.count(F.lit(1)).alias("_n")).withColumn(
@@ -173,10 +184,11 @@ def running_sums(
         }
         return rows.withColumns(columns)
 
-    if fits_one_task(df, keys):
+    small, total = _measure(df, keys)
+    if small:
         return local(df, _by(keys).orderBy(*sort_columns(order)))
 
-    rows = _chunked(df, keys, order)
+    rows = _chunked(df, keys, order, total)
     on = [*keys, "_chunk"]
     before = _by(keys).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
     totals = _spanning(rows, keys, *[F.sum(src).alias(f"_t_{out}") for out, src in sums.items()])
@@ -200,10 +212,11 @@ def running_last(
         frame = window.rowsBetween(Window.unboundedPreceding, Window.currentRow)
         return rows.withColumn(output, F.last(source, ignorenulls=True).over(frame))
 
-    if fits_one_task(df, keys):
+    small, total = _measure(df, keys)
+    if small:
         return local(df, _by(keys).orderBy(*sort_columns(order)))
 
-    rows = _chunked(df, keys, order)
+    rows = _chunked(df, keys, order, total)
     on = [*keys, "_chunk"]
     place = F.when(F.col(source).isNotNull(), F.struct(*order))
     ends = _spanning(rows, keys, F.max_by(source, place).alias("_end"))
@@ -233,12 +246,13 @@ def row_at(df: DataFrame, order: Sequence[str], positions: dict[str, int]) -> Da
         hits = rows.withColumn("_hit", F.explode(wanted)).filter("_hit._rank = _place")
         return hits.select(F.col("_hit._at").alias("_at"), *names)
 
-    if fits_one_task(narrow, []):
+    small, total = _measure(narrow, [])
+    if small:
         return pick(
             narrow.withColumn("_place", F.row_number().over(_by([]).orderBy(*sort_columns(order))))
         )
 
-    rows = _chunked(narrow, [], order)
+    rows = _chunked(narrow, [], order, total)
     sizes = rows.groupBy("_chunk").agg(F.count(F.lit(1)).alias("_n"))
     before = _by([]).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
     starts = sizes.withColumn("_start", F.coalesce(F.sum("_n").over(before), F.lit(0)))
