@@ -122,7 +122,7 @@ def distinct_over_span(
     )
     if fits_one_task(df, [key], SLIDING_ROWS):
         frame = Window.partitionBy(key).orderBy("_t").rangeBetween(-span, 0)
-        seen = F.array_distinct(F.flatten(F.collect_list("_items").over(frame)))
+        seen = F.array_distinct(F.flatten(F.collect_set("_items").over(frame)))
         return points.select(key, time, F.size(seen).cast("long").alias(output))
 
     width = max(span // cells, 1)
@@ -141,7 +141,7 @@ def distinct_over_span(
     )
     inside = Window.partitionBy(key, "_cell").orderBy("_t")
     here = F.array_distinct(
-        F.flatten(F.collect_list("_items").over(inside.rangeBetween(Window.unboundedPreceding, 0)))
+        F.flatten(F.collect_set("_items").over(inside.rangeBetween(Window.unboundedPreceding, 0)))
     )
     joined = points.withColumn("_here", here)
     joined = join_whole(joined, carried, [key, "_cell"])
@@ -208,7 +208,7 @@ def _patterns_in_one_pass(
     line = Window.partitionBy(user).orderBy("_t")
     hour, day, week = (line.rangeBetween(-s * 1_000_000, 0) for s in (HOUR, DAY, 7 * DAY))
     upto = line.rangeBetween(Window.unboundedPreceding, 0)
-    kinds = F.array_distinct(F.flatten(F.collect_list("_items").over(week)))
+    kinds = F.array_distinct(F.flatten(F.collect_set("_items").over(week)))
     framed = points.withColumns(
         {
             "transactions_last_1h": F.sum("_n").over(hour),

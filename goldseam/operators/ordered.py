@@ -305,6 +305,13 @@ def exact_quantiles(
     return found.select(*keys, F.array(*values).alias(output))
 
 
+def _divisor(span: int, least: int) -> int:
+    """The first number from ``least`` on that divides the span, so that cells line up."""
+    while span % least:
+        least += 1
+    return least
+
+
 def span_totals(
     df: DataFrame,
     keys: Sequence[str],
@@ -317,9 +324,9 @@ def span_totals(
     """Row count and sum of ``value`` over the closed span [t - span, t], per (key, time).
 
     One row per distinct (key, time) comes back. Above the limit the time line is cut into
-    cells of ``span / cells``: a row then needs its own cell up to ``t``, the whole cells in
-    between from a small table, and the late part of the cell one span earlier, whose rows
-    are copied in shifted by the span.
+    at least ``cells`` cells per span, more where a cell would be too full. A row then needs
+    its own cell up to ``t``, the whole cells in between from a small table, and the late part
+    of the cell one span earlier, whose rows are copied in shifted by the span.
     """
     count_name, sum_name = outputs
     span = span_seconds * 1_000_000
@@ -337,8 +344,12 @@ def span_totals(
             F.sum("_s").over(frame).alias(sum_name),
         )
 
-    width = span // cells
-    points = materialize(points.withColumn("_cell", cell_of("_t", width)), "points")
+    points = materialize(points, "points")
+    cells = _divisor(span, cells)
+    fullest = points.groupBy(*keys, cell_of("_t", span // cells)).count().agg(F.max("count")).first()[0]
+    # Times are distinct within a key, so finer cells split any cell that is too full.
+    cells = _divisor(span, cells * max(1, -(-(fullest or 0) // GROUP_ROWS)))
+    points = points.withColumn("_cell", cell_of("_t", span // cells))
     own = points.select(*keys, time, "_t", "_cell", "_n", "_s", F.lit(False).alias("_old"))
     old = points.select(
         *keys,

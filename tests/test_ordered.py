@@ -250,3 +250,20 @@ def test_null_keys_and_early_times_are_kept(spark, plan):
     assert medians == {"a": 29.0, None: 30.0}
     last = O.running_last(df.withColumn("v", F.when(F.col("id") < 2, F.col("id"))), ["key"], ["ts"], "v", "last")
     assert {(r["key"], r["last"]) for r in last.collect()} == {("a", 0), (None, 1)}
+
+
+def test_full_cells_are_split(frame, data, spark, monkeypatch):
+    monkeypatch.setattr(O, "GROUP_ROWS", 3)
+    spark.conf.set("goldseam.maxGroupRows", "0")
+    try:
+        got = O.span_totals(frame, ["key"], "ts", 30 * 3600, "value", ("n", "s"), 7).toPandas()
+    finally:
+        spark.conf.unset("goldseam.maxGroupRows")
+    assert len(got) == len(data.drop_duplicates(["key", "ts"]))
+    for row in got.itertuples():
+        inside = data[
+            (data["key"] == row.key)
+            & (data["ts"] <= row.ts)
+            & (data["ts"] >= row.ts - timedelta(hours=30))
+        ]
+        assert row.n == len(inside)
