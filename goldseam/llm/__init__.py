@@ -1,6 +1,14 @@
 """Operators for training-data pipelines. Nothing outside this folder imports them."""
 
-from goldseam.llm import bpe, hostrules, licences, packing, tokenfiles  # noqa: F401
+from goldseam.llm import (  # noqa: F401
+    bpe,
+    hostrules,
+    licences,
+    packing,
+    secrets,
+    tokenfiles,
+    topk,
+)
 from goldseam.llm.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
