@@ -4,6 +4,7 @@ from goldseam.llm import (  # noqa: F401
     bpe,
     hostrules,
     licences,
+    ngramjoin,
     packing,
     secrets,
     tokenfiles,
