@@ -3,9 +3,11 @@
 from goldseam.llm import (  # noqa: F401
     bpe,
     hostrules,
+    htmltext,
     licences,
     ngramjoin,
     packing,
+    quality,
     secrets,
     tokenfiles,
     topk,
