@@ -11,6 +11,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from goldseam.llm.common import ddl, map_frames
 from goldseam.llm.pieces import SPACE, PieceEncoder, batches_of
 from goldseam.llm.registry import query
 from goldseam.workloads.registry import table
@@ -172,7 +173,7 @@ def encode_texts(
 
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("_text"))
     kind = rows.schema["doc_id"].dataType.simpleString()
-    return rows.mapInPandas(encode, f"doc_id {kind}, ids binary")
+    return map_frames(rows, encode, f"doc_id {kind}, ids binary")
 
 
 def decode_ids(encoded: DataFrame, ranks: str, ids_col: str = "ids") -> DataFrame:
@@ -184,8 +185,8 @@ def decode_ids(encoded: DataFrame, ranks: str, ids_col: str = "ids") -> DataFram
             ids = [np.frombuffer(x or b"", "<u4") for x in frame[ids_col]]
             yield frame.assign(decoded=[pairs.decode(x) for x in ids])
 
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in encoded.schema.fields)
-    return encoded.mapInPandas(decode, f"{schema}, decoded binary")
+    schema = ddl(encoded)
+    return map_frames(encoded, decode, f"{schema}, decoded binary")
 
 
 @query("op4_byte_bpe")

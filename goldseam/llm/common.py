@@ -1,8 +1,14 @@
-"""Small helpers of the operators: written tables, bounded counts, batches."""
+"""Small helpers of the operators: written tables, and pandas frames that keep whole numbers."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable, Iterator
+
+import pandas as pd
+import pyarrow as pa
+from pyspark.sql import DataFrame, GroupedData
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 from goldseam.session import new_path
 
@@ -13,3 +19,43 @@ def written(df: DataFrame, label: str) -> DataFrame:
     path = new_path(df.sparkSession, label)
     df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def _arrow(schema: str) -> pa.Schema:
+    return to_arrow_schema(StructType.fromDDL(schema))
+
+
+def _frame(data: pa.RecordBatch | pa.Table) -> pd.DataFrame:
+    """Whole numbers beside nulls stay whole numbers (as objects), not doubles."""
+    return data.to_pandas(integer_object_nulls=True, date_as_object=True)
+
+
+def map_frames(
+    df: DataFrame, fn: Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]], schema: str
+) -> DataFrame:
+    """Like ``mapInPandas``, without turning 64-bit numbers into doubles where a batch has nulls."""
+    arrow = _arrow(schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for frame in fn(_frame(batch) for batch in batches):
+            yield from pa.Table.from_pandas(frame, arrow, preserve_index=False).to_batches()
+
+    return df.mapInArrow(run, schema)
+
+
+def apply_frames(
+    grouped: GroupedData, fn: Callable[[pd.DataFrame], pd.DataFrame], schema: str
+) -> DataFrame:
+    """Like ``applyInPandas``, with whole numbers kept in the same way."""
+    arrow = _arrow(schema)
+
+    def run(group: pa.Table) -> pa.Table:
+        return pa.Table.from_pandas(fn(_frame(group)), arrow, preserve_index=False)
+
+    return grouped.applyInArrow(run, schema)
+
+
+def ddl(df: DataFrame, *added: str, without: tuple[str, ...] = ()) -> str:
+    """The columns of a frame and further ones as a schema string."""
+    own = [f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields if f.name not in without]
+    return ", ".join([*own, *added])

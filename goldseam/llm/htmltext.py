@@ -10,6 +10,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from goldseam.llm.common import ddl, map_frames
 from goldseam.llm.pieces import batches_of
 from goldseam.llm.registry import query
 from goldseam.workloads.registry import table
@@ -241,8 +242,8 @@ def extract_main_text(pages: DataFrame, html_col: str = "html") -> DataFrame:
         for frame in batches_of(frames, html_col):
             yield frame.assign(_text=[main_text(x) for x in frame[html_col]])
 
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pages.schema.fields)
-    return pages.mapInPandas(extract, f"{schema}, _text string")
+    schema = ddl(pages)
+    return map_frames(pages, extract, f"{schema}, _text string")
 
 
 @query("op2_main_text")

@@ -18,7 +18,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from goldseam.llm.common import written
+from goldseam.llm.common import ddl, map_frames, written
 from goldseam.llm.pieces import batches_of
 from goldseam.llm.registry import query
 from goldseam.llm.sketch import summed
@@ -132,8 +132,8 @@ def index(docs: DataFrame, words: int, limit: Threshold, keep: list[str]) -> Dat
             yield frame.drop(columns="_text").assign(_n=n, _set=ids, _prefix=prefixes)
 
     rows = docs.withColumn("_key", F.xxhash64("_text")).select(*keep, "_key", "_text")
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema if f.name != "_text")
-    return written(rows.mapInPandas(sets, f"{schema}, _n long, _set binary, _prefix array<long>"), "sets")
+    schema = ddl(rows, "_n long", "_set binary", "_prefix array<long>", without=("_text",))
+    return written(map_frames(rows, sets, schema), "sets")
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -172,7 +172,7 @@ def compare(docs: DataFrame, rows: DataFrame, pairs: DataFrame, words: int) -> D
     same = F.col("l._pick").eqNullSafe(F.col("r._pick")) & (F.col("l._key") == F.col("r._key"))
     texts = docs.withColumn("_key", F.xxhash64("_text")).alias("l").join(chosen.alias("r"), same, "left_semi")
     sets = written(
-        texts.select("_text").mapInPandas(make, "set binary, items binary").dropDuplicates(["set"]), "items"
+        map_frames(texts.select("_text"), make, "set binary, items binary").dropDuplicates(["set"]), "items"
     )
 
     def overlap(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -186,7 +186,7 @@ def compare(docs: DataFrame, rows: DataFrame, pairs: DataFrame, words: int) -> D
     x = sets.select(F.col("set").alias("a"), F.col("items").alias("x"))
     y = sets.select(F.col("set").alias("b"), F.col("items").alias("y"))
     both = pairs.join(x, "a").join(y, "b").select("a", "b", "na", "nb", "x", "y")
-    return both.mapInPandas(overlap, "a binary, b binary, na long, nb long, common long")
+    return map_frames(both, overlap, "a binary, b binary, na long, nb long, common long")
 
 
 def _pair(x: str, y: str) -> list[Column]:

@@ -11,7 +11,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from goldseam.llm.common import written
+from goldseam.llm.common import apply_frames, map_frames, written
 from goldseam.llm.pieces import batches_of, tokenizer_encoder
 from goldseam.llm.registry import query
 from goldseam.workloads.registry import table
@@ -93,10 +93,7 @@ def pack(
 
         def table_of(out: list) -> pd.DataFrame:
             names = "doc_id start length doc_tokens sequence_id offset ids open_group".split()
-            frame = pd.DataFrame(out, columns=names)
-            for name in ("doc_id", "open_group"):
-                frame[name] = frame[name].astype("Int64")
-            return frame
+            return pd.DataFrame(out, columns=names, dtype=object)
 
         for frame in batches_of(frames, "_text", 1_000_000):
             out: list = []
@@ -133,9 +130,10 @@ def pack(
         )
 
     texts = docs.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).alias("_text"))
-    first = written(texts.mapInPandas(local, PIECES), "packed")
+    first = written(map_frames(texts, local, PIECES), "packed")
     closed = first.where("open_group is null")
-    rest = first.where("open_group is not null").groupBy("open_group").applyInPandas(merge, PIECES)
+    groups = first.where("open_group is not null").groupBy("open_group")
+    rest = apply_frames(groups, merge, PIECES)
     return closed.unionByName(rest).drop("open_group")
 
 

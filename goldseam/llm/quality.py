@@ -12,6 +12,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from goldseam.llm.common import ddl, map_frames
 from goldseam.llm.pieces import batches_of
 from goldseam.llm.registry import query
 from goldseam.llm.sketch import summed
@@ -194,8 +195,8 @@ class QualityModel:
             for frame in batches_of(frames, text_col, 1_000_000):
                 yield frame.assign(_score=network.scores(pool(frame[text_col], vectors)))
 
-        schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
-        return docs.mapInPandas(run, f"{schema}, _score double")
+        schema = ddl(docs)
+        return map_frames(docs, run, f"{schema}, _score double")
 
 
 def fit_quality(
@@ -221,7 +222,7 @@ def fit_quality(
             yield pd.DataFrame({"_id": frame["_id"], "_label": frame["_label"], "_x": [v.tobytes() for v in x]})
 
     kind = rows.schema["_id"].dataType.simpleString()
-    sample = rows.mapInPandas(pooled, f"_id {kind}, _label int, _x binary")
+    sample = map_frames(rows, pooled, f"_id {kind}, _label int, _x binary")
     sample = sample.orderBy(F.xxhash64("_id"), "_id", "_x").limit(SAMPLE_ROWS).toPandas()
     x = np.frombuffer(b"".join(sample["_x"]), np.float32).reshape(-1, POOLED).astype(float)
     return QualityModel(vectors, fit_network(x, sample["_label"].to_numpy()))

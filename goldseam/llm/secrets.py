@@ -10,6 +10,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from goldseam.llm.common import ddl, map_frames
 from goldseam.llm.pieces import batches_of
 from goldseam.llm.registry import query
 from goldseam.workloads.registry import table
@@ -121,9 +122,9 @@ def scan_secrets(docs: DataFrame, text_col: str = "text") -> DataFrame:
                 rows.append((*n, joined(base), joined(spans)))
             yield frame.assign(**dict(zip(added, zip(*rows))))
 
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
-    return docs.mapInPandas(
-        scan, f"{schema}, _n_assign long, _n_access long, _n_hex long, _base string, _spans string"
+    schema = ddl(docs)
+    return map_frames(
+        docs, scan, f"{schema}, _n_assign long, _n_access long, _n_hex long, _base string, _spans string"
     )
 
 
@@ -147,7 +148,7 @@ def redact(docs: DataFrame, text_col: str = "text", label: str = "[secret]") ->
                 out.append("".join(done) + text[at:] if done else text)
             yield frame.assign(**{text_col: out})[columns]
 
-    return found.mapInPandas(replace, docs.schema)
+    return map_frames(found, replace, ddl(docs))
 
 
 @query("op6_secret_scan")

@@ -11,6 +11,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from goldseam.llm.common import map_frames
 from goldseam.llm.pieces import batches_of, tokenizer_encoder
 from goldseam.llm.registry import query
 from goldseam.session import new_path
@@ -147,7 +148,7 @@ def write_token_files(
     rows = docs.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).alias("_text"))
     order = ("_id", F.xxhash64("_text"))
     dealt = rows.repartitionByRange(*order).sortWithinPartitions(*order)
-    dealt.mapInPandas(blocks, BLOCKS).write.option("compression", "zstd").parquet(path)
+    map_frames(dealt, blocks, BLOCKS).write.option("compression", "zstd").parquet(path)
 
 
 def read_token_files(spark: SparkSession, path: str) -> DataFrame:
@@ -174,7 +175,7 @@ def read_token_files(spark: SparkSession, path: str) -> DataFrame:
     # One row per written range, so the running total is over a short list.
     before = F.sum("part_ids").over(Window.orderBy("part")) - F.col("part_ids")
     bases = blocks.groupBy("part").agg(F.sum("n_ids").alias("part_ids")).select("part", before.alias("base"))
-    rows = blocks.select("part", "first_id", "payload").mapInPandas(documents, ROWS)
+    rows = map_frames(blocks.select("part", "first_id", "payload"), documents, ROWS)
     return rows.join(bases, "part").select(
         "doc_id", (F.col("base") + F.col("start")).alias("start"), "n_tokens", "ids"
     )
