@@ -25,6 +25,7 @@ from goldseam.llm.sketch import summed
 from goldseam.workloads.registry import table
 
 COUNTERS = 1 << 20
+CELLS = 256
 _KNOWN: dict[bytes, int] = {}
 _KNOWN_MOST = 300_000
 _MIX = (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB)
@@ -114,25 +115,28 @@ class Threshold:
 
 
 def index(docs: DataFrame, words: int, limit: Threshold, keep: list[str]) -> DataFrame:
-    """``keep``, ``_key`` (hash of the text), ``_n``, ``_set`` and ``_prefix`` of every text."""
+    """``keep``, ``_key`` (hash of the text), ``_n``, ``_set``, ``_prefix`` and ``_cells`` of
+    every text."""
     levels = docs.sparkSession.sparkContext.broadcast(frequency_levels(docs.select("_text"), words))
 
     def sets(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         level = levels.value
         for frame in batches_of(frames, "_text", 1_000_000):
-            n, ids, prefixes = [], [], []
+            n, ids, prefixes, cells = [], [], [], []
             for text in frame["_text"]:
                 found = shingles(text, words)
                 n.append(len(found))
                 ids.append(set_id(found) if len(found) else None)
+                classes = (found >> np.uint64(56)).astype(np.int64)
+                cells.append(np.bincount(classes, minlength=CELLS).astype("<u4").tobytes())
                 if len(found):
                     order = np.lexsort((found, level[(found & np.uint64(COUNTERS - 1)).astype(np.int64)]))
                     found = found[order[: limit.prefix(len(found))]]
                 prefixes.append(found.view(np.int64))
-            yield frame.drop(columns="_text").assign(_n=n, _set=ids, _prefix=prefixes)
+            yield frame.drop(columns="_text").assign(_n=n, _set=ids, _prefix=prefixes, _cells=cells)
 
     rows = docs.withColumn("_key", F.xxhash64("_text")).select(*keep, "_key", "_text")
-    schema = ddl(rows, "_n long", "_set binary", "_prefix array<long>", without=("_text",))
+    schema = ddl(rows, "_n long", "_set binary", "_prefix array<long>", "_cells binary", without=("_text",))
     return written(map_frames(rows, sets, schema), "sets")
 
 
@@ -158,22 +162,63 @@ def components(links: DataFrame) -> DataFrame:
     return nodes if nodes is not None else links.selectExpr("a AS node", "b AS root").where("false")
 
 
-def compare(docs: DataFrame, rows: DataFrame, pairs: DataFrame, words: int) -> DataFrame:
-    """``a, b, na, nb, common`` of pairs of sets, the sets made anew from one text each."""
+def _marks(keys: DataFrame) -> np.ndarray:
+    """A bit table of hashed keys: 64 bits for each key, at most 16 MB whatever their number.
+
+    Rows whose bit is not set are surely not among the keys; a crowded table only lets more rows
+    through, which the later join drops.
+    """
+    bits = min(max(1 << 15, 1 << (64 * keys.count()).bit_length()), 1 << 27)
+    place = F.pmod("_key", F.lit(bits)) + 1
+    parts = keys.groupBy(F.bitmap_bucket_number(place).alias("part")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("bits")
+    )
+    table = np.zeros(bits // 8, np.uint8)
+    for part in parts.collect():
+        at = (part["part"] - 1) * 4096
+        table[at : at + 4096] = np.frombuffer(part["bits"], np.uint8)
+    return table
+
+
+def _bounded(rows: DataFrame, pairs: DataFrame, limit: Threshold) -> DataFrame:
+    """Pairs that the signatures allow to link: the overlap is at most the sum of the smaller counts
+    in each of ``CELLS`` classes of hashes."""
     wanted = pairs.select(F.col("a").alias("_set")).union(pairs.select("b")).distinct()
-    chosen = rows.join(wanted, "_set", "left_semi").groupBy("_set").agg(F.min(F.struct("_pick", "_key")).alias("c"))
-    chosen = written(chosen.select("c._pick", "c._key"), "chosen")
+    signs = rows.join(wanted, "_set", "left_semi").groupBy("_set").agg(F.first("_cells").alias("cells"))
+    signs = written(signs, "cells")
+    x = signs.select(F.col("_set").alias("a"), F.col("cells").alias("x"))
+    y = signs.select(F.col("_set").alias("b"), F.col("cells").alias("y"))
+
+    def bound(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            x, y = (np.frombuffer(b"".join(frame[c]), "<u4").reshape(-1, CELLS) for c in "xy")
+            yield frame.drop(columns=["x", "y"]).assign(most=np.minimum(x, y).sum(axis=1, dtype=np.int64))
+
+    both = pairs.join(x, "a").join(y, "b").select("a", "b", "na", "nb", "x", "y")
+    rows = map_frames(both, bound, "a binary, b binary, na long, nb long, most long")
+    return rows.where(F.col("most") >= limit.needed(F.col("na"), F.col("nb"))).drop("most")
+
+
+def compare(docs: DataFrame, rows: DataFrame, pairs: DataFrame, words: int, limit: Threshold) -> DataFrame:
+    """``a, b, na, nb, common`` of pairs of sets; ``common`` is null where signatures rule a link
+    out. The other sets are made anew, from one text each."""
+    open_pairs = written(_bounded(rows, pairs, limit), "open-pairs")
+    wanted = open_pairs.select(F.col("a").alias("_set")).union(open_pairs.select("b")).distinct()
+    chosen = rows.join(wanted, "_set", "left_semi").groupBy("_set").agg(F.min("_key").alias("_key"))
+    chosen = written(chosen, "chosen")
+    marks = docs.sparkSession.sparkContext.broadcast(_marks(chosen))
 
     def make(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        table = marks.value
         for frame in batches_of(frames, "_text", 1_000_000):
+            at = frame["_key"].to_numpy(np.int64) % (8 * len(table))
+            frame = frame[(table[at // 8] >> (at % 8).astype(np.uint8)) & 1 == 1]
             found = [shingles(text, words) for text in frame["_text"]]
             yield pd.DataFrame({"set": [set_id(x) for x in found], "items": [x.tobytes() for x in found]})
 
-    same = F.col("l._pick").eqNullSafe(F.col("r._pick")) & (F.col("l._key") == F.col("r._key"))
-    texts = docs.withColumn("_key", F.xxhash64("_text")).alias("l").join(chosen.alias("r"), same, "left_semi")
-    sets = written(
-        map_frames(texts.select("_text"), make, "set binary, items binary").dropDuplicates(["set"]), "items"
-    )
+    texts = docs.select(F.xxhash64("_text").alias("_key"), "_text")
+    sets = map_frames(texts, make, "set binary, items binary").dropDuplicates(["set"])
+    sets = written(sets.join(chosen.select(F.col("_set").alias("set")), "set", "left_semi"), "items")
 
     def overlap(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
@@ -185,8 +230,9 @@ def compare(docs: DataFrame, rows: DataFrame, pairs: DataFrame, words: int) -> D
 
     x = sets.select(F.col("set").alias("a"), F.col("items").alias("x"))
     y = sets.select(F.col("set").alias("b"), F.col("items").alias("y"))
-    both = pairs.join(x, "a").join(y, "b").select("a", "b", "na", "nb", "x", "y")
-    return map_frames(both, overlap, "a binary, b binary, na long, nb long, common long")
+    both = open_pairs.join(x, "a").join(y, "b").select("a", "b", "na", "nb", "x", "y")
+    counted = map_frames(both, overlap, "a binary, b binary, na long, nb long, common long")
+    return pairs.join(counted.select("a", "b", "common"), ["a", "b"], "left")
 
 
 def _pair(x: str, y: str) -> list[Column]:
@@ -264,7 +310,7 @@ def near_copies(
             derived = written(_derived(pairs, done, limit), "derived")
             pairs = derived.where("common is null").drop("common")
             sure = derived.where("common is not null")
-        fresh = compare(docs, rows, written(pairs, "pairs"), words)
+        fresh = compare(docs, rows, written(pairs, "pairs"), words, limit)
         done = written(fresh if done is None else fresh.unionByName(sure).unionByName(done), "compared")
         linked = limit.linked(F.col("common"), F.col("na"), F.col("nb"))
         roots = components(done.where(linked))
@@ -277,7 +323,7 @@ def near_copies(
     own = written(own, "own")
     named = own.groupBy("_root").agg(F.min("first").alias("component_id"))
     named = written(own.join(named, "_root").select("_set", "_root", "component_id"), "named")
-    return rows.drop("_prefix").join(named, "_set", "left").select(
+    return rows.drop("_prefix", "_cells").join(named, "_set", "left").select(
         F.col("_pick").alias("doc_id"),
         F.col("_n").alias("n_shingles"),
         F.when(F.col("_n") > 0, F.col("component_id")).otherwise(F.col("_pick")).alias("component_id"),
@@ -319,6 +365,7 @@ def _derived(pairs: DataFrame, done: DataFrame, limit: Threshold) -> DataFrame:
     least ``i + j - n`` and at most ``min(i, j) + min(rest, rest)`` in common. A pair whose most is
     too small is left out; one whose least links it gets that as ``common``; else it is null.
     """
+    done = done.where("common is not null")
     sides = done.select("a", "b", "na", "nb", "common").union(done.select("b", "a", "nb", "na", "common"))
     best = sides.groupBy("a").agg(F.max(F.struct("common", "b", "nb")).alias("l")).select("a", "l")
     x = best.select("a", F.col("l").alias("x"))
