@@ -21,6 +21,11 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def narrow(df: DataFrame, label: str) -> DataFrame:
+    """``written`` in about as many files as the cluster has cores, for tables of keys and counts."""
+    return written(df.coalesce(df.sparkSession.sparkContext.defaultParallelism), label)
+
+
 def _arrow(schema: str) -> pa.Schema:
     return to_arrow_schema(StructType.fromDDL(schema))
 

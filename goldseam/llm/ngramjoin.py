@@ -18,13 +18,13 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from goldseam.llm.common import ddl, map_frames, written
+from goldseam.llm.common import ddl, map_frames, narrow, written
 from goldseam.llm.pieces import batches_of
 from goldseam.llm.registry import query
 from goldseam.llm.sketch import summed
 from goldseam.workloads.registry import table
 
-COUNTERS = 1 << 20
+COUNTERS = 1 << 21
 CELLS = 256
 _KNOWN: dict[bytes, int] = {}
 _KNOWN_MOST = 300_000
@@ -84,8 +84,8 @@ def frequency_levels(docs: DataFrame, words: int) -> np.ndarray:
         return total
 
     counts = summed(docs, COUNTERS, count)
-    mean = counts.mean()
-    over = np.maximum(0, counts - mean) // (4 * math.sqrt(mean) + 4)
+    usual = float(np.median(counts))
+    over = np.maximum(0, counts - usual) // (math.sqrt(usual) + 1)
     return np.ceil(np.log2(over + 1)).astype(np.uint8)
 
 
@@ -143,22 +143,22 @@ def index(docs: DataFrame, words: int, limit: Threshold, keep: list[str]) -> Dat
 def components(links: DataFrame) -> DataFrame:
     """``node, root`` of all nodes of links ``a, b``: every node takes its smallest neighbour, links
     are drawn anew between what was taken, until none is left. Nodes at least halve each time."""
-    edges = written(links.select("a", "b").where("a <> b").distinct(), "edges")
+    edges = narrow(links.select("a", "b").where("a <> b").distinct(), "edges")
     nodes = None
     while not edges.isEmpty():
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        taken = written(both.groupBy("a").agg(F.min(F.least("a", "b")).alias("to")), "taken")
+        taken = narrow(both.groupBy("a").agg(F.min(F.least("a", "b")).alias("to")), "taken")
         if nodes is None:
             nodes = taken.select(F.col("a").alias("node"), F.col("to").alias("root"))
         else:
             step = taken.select(F.col("a").alias("root"), "to")
-            nodes = written(
+            nodes = narrow(
                 nodes.join(step, "root", "left").select("node", F.coalesce("to", "root").alias("root")), "nodes"
             )
         left = taken.select("a", F.col("to").alias("x"))
         right = taken.select(F.col("a").alias("b"), F.col("to").alias("y"))
         edges = edges.join(left, "a").join(right, "b").where("x <> y")
-        edges = written(edges.select(F.col("x").alias("a"), F.col("y").alias("b")).distinct(), "edges")
+        edges = narrow(edges.select(F.col("x").alias("a"), F.col("y").alias("b")).distinct(), "edges")
     return nodes if nodes is not None else links.selectExpr("a AS node", "b AS root").where("false")
 
 
@@ -185,7 +185,7 @@ def _bounded(rows: DataFrame, pairs: DataFrame, limit: Threshold) -> DataFrame:
     in each of ``CELLS`` classes of hashes."""
     wanted = pairs.select(F.col("a").alias("_set")).union(pairs.select("b")).distinct()
     signs = rows.join(wanted, "_set", "left_semi").groupBy("_set").agg(F.first("_cells").alias("cells"))
-    signs = written(signs, "cells")
+    signs = narrow(signs, "cells")
     x = signs.select(F.col("_set").alias("a"), F.col("cells").alias("x"))
     y = signs.select(F.col("_set").alias("b"), F.col("cells").alias("y"))
 
@@ -202,10 +202,10 @@ def _bounded(rows: DataFrame, pairs: DataFrame, limit: Threshold) -> DataFrame:
 def compare(docs: DataFrame, rows: DataFrame, pairs: DataFrame, words: int, limit: Threshold) -> DataFrame:
     """``a, b, na, nb, common`` of pairs of sets; ``common`` is null where signatures rule a link
     out. The other sets are made anew, from one text each."""
-    open_pairs = written(_bounded(rows, pairs, limit), "open-pairs")
+    open_pairs = narrow(_bounded(rows, pairs, limit), "open-pairs")
     wanted = open_pairs.select(F.col("a").alias("_set")).union(open_pairs.select("b")).distinct()
     chosen = rows.join(wanted, "_set", "left_semi").groupBy("_set").agg(F.min("_key").alias("_key"))
-    chosen = written(chosen, "chosen")
+    chosen = narrow(chosen, "chosen")
     marks = docs.sparkSession.sparkContext.broadcast(_marks(chosen))
 
     def make(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -281,6 +281,8 @@ def near_copies(
     lists = written(blocked.withColumn("place", F.floor(F.lit(8) * F.col("pos") / F.col("_n"))), "lists")
 
     done = roots = None
+    by_list = lists.groupBy("token").agg(F.count("*").alias("m"))
+    before = by_list.agg(F.sum(F.expr("m * (m - 1) / 2"))).first()[0] or 0
     for turn in range(star_rounds + 1):
         grouped = lists.withColumn("root", F.col("_set"))
         if roots is not None:
@@ -290,12 +292,16 @@ def near_copies(
             by_root = grouped.groupBy("token", "root").count()
             by_root = by_root.groupBy("token").agg(F.count("*").alias("roots"), F.sum("count").alias("m"),
                                                    F.sum(F.col("count") * F.col("count")).alias("own"))
-            open_lists = written(by_root.where("roots > 1").withColumn("open", F.expr("(m * m - own) / 2")), "open")
+            open_lists = narrow(by_root.where("roots > 1").withColumn("open", F.expr("(m * m - own) / 2")), "open")
             size = open_lists.agg(F.sum("open").alias("pairs"), F.sum("m").alias("m")).first()
             grouped = written(grouped.join(open_lists.select("token"), "token"), "still")
             if not size["m"]:
                 break
-        last = turn == star_rounds or (turn > 0 and size["pairs"] <= 32 * size["m"])
+        # Leaders go on while they settle at least half of what was open.
+        last = turn == star_rounds
+        if turn and not last:
+            last = size["pairs"] <= 32 * size["m"] or size["pairs"] > before / 2
+            before = size["pairs"]
         if last:
             pairs = _open_pairs(grouped, limit)
         else:
@@ -307,11 +313,11 @@ def near_copies(
             pairs = joined.select(*_pair("x", "y")).distinct()
         if done is not None:
             pairs = pairs.join(done.select("a", "b"), ["a", "b"], "left_anti")
-            derived = written(_derived(pairs, done, limit), "derived")
+            derived = narrow(_derived(pairs, done, limit), "derived")
             pairs = derived.where("common is null").drop("common")
             sure = derived.where("common is not null")
-        fresh = compare(docs, rows, written(pairs, "pairs"), words, limit)
-        done = written(fresh if done is None else fresh.unionByName(sure).unionByName(done), "compared")
+        fresh = compare(docs, rows, narrow(pairs, "pairs"), words, limit)
+        done = narrow(fresh if done is None else fresh.unionByName(sure).unionByName(done), "compared")
         linked = limit.linked(F.col("common"), F.col("na"), F.col("nb"))
         roots = components(done.where(linked))
         if last:
