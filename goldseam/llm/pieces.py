@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import os
 import re
+import struct
 from collections.abc import Callable, Iterable
 from functools import lru_cache
 
@@ -19,6 +20,10 @@ LETTERS = "A-Za-zÀ-ÖØ-öø-ɏ"
 _PIECES = re.compile(
     rf"[{SPACE}]*[{LETTERS}]+(?=[!-/:-@\[-`{{-~{SPACE}])|[{SPACE}]*[^{SPACE}]+|[{SPACE}]+"
 )
+_WORD = re.compile(f" ?[{LETTERS}]+")
+# Byte-level vocabularies show printable bytes as themselves, the others from U+0100 on, in order.
+_PRINTED = [*range(33, 127), *range(161, 173), *range(174, 256)]
+_SHOWN = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in _PRINTED)}
 LONG_PIECE = 64
 
 
@@ -59,15 +64,26 @@ class PieceEncoder:
 def tokenizer_encoder(path: str) -> PieceEncoder:
     """A piece encoder over a tokenizers file; special tokens in a text are ordinary text."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    import numpy as np
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(path)
     tokenizer.encode_special_tokens = True
 
-    def encode_new(pieces: list[str]):
-        for e in tokenizer.encode_batch_fast(pieces, add_special_tokens=False):
-            yield np.array(e.ids, "<u4").tobytes()
+    tokenize, pack = tokenizer.model.tokenize, struct.pack
+
+    def encode_new(pieces: list[str]) -> list[bytes]:
+        # A run of letters is one match, so it goes to the model at once; the rest is cut first.
+        whole = [_WORD.fullmatch(p) is not None for p in pieces]
+        rest = [p for p, one in zip(pieces, whole) if not one]
+        cut = iter(tokenizer.encode_batch_fast(rest, add_special_tokens=False) if rest else [])
+        out = []
+        for piece, one in zip(pieces, whole):
+            if one:
+                ids = [t.id for t in tokenize(piece.encode().decode("latin-1").translate(_SHOWN))]
+            else:
+                ids = next(cut).ids
+            out.append(pack(f"<{len(ids)}I", *ids))
+        return out
 
     return PieceEncoder(encode_new)
 

@@ -11,7 +11,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from goldseam.llm.common import map_frames
+from goldseam.llm.common import map_frames, narrow
 from goldseam.llm.pieces import batches_of, tokenizer_encoder
 from goldseam.llm.registry import query
 from goldseam.session import new_path
@@ -174,7 +174,9 @@ def read_token_files(spark: SparkSession, path: str) -> DataFrame:
     blocks = spark.read.schema(BLOCKS).parquet(path)
     # One row per written range, so the running total is over a short list.
     before = F.sum("part_ids").over(Window.orderBy("part")) - F.col("part_ids")
-    bases = blocks.groupBy("part").agg(F.sum("n_ids").alias("part_ids")).select("part", before.alias("base"))
+    parts = blocks.groupBy("part").agg(F.sum("n_ids").alias("part_ids"))
+    # Written first, so that Spark knows its size before it plans the join.
+    bases = narrow(parts.select("part", before.alias("base")), "bases")
     rows = map_frames(blocks.select("part", "first_id", "payload"), documents, ROWS)
     return rows.join(bases, "part").select(
         "doc_id", (F.col("base") + F.col("start")).alias("start"), "n_tokens", "ids"
