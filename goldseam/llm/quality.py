@@ -6,6 +6,7 @@ import re
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -24,8 +25,8 @@ POOLED = 3 * WIDTH + 2
 #: their ids. Word vectors are learned from all documents.
 SAMPLE_ROWS = 20_000
 REJECT_BELOW = 0.3
-_KNOWN: dict[str, tuple[int, int]] = {}
-_KNOWN_MOST = 300_000
+_KNOWN: dict[str, int] = {}
+_KNOWN_MOST = 600_000
 
 
 def _index_vectors() -> tuple[np.ndarray, np.ndarray]:
@@ -35,18 +36,26 @@ def _index_vectors() -> tuple[np.ndarray, np.ndarray]:
     return places, rng.choice([-1.0, 1.0], (BUCKETS, NONZERO))
 
 
-def _units(word: str) -> tuple[int, int]:
-    """Buckets of a word's letters and of its shape (case, digits and marks, runs as one)."""
+def _case(letters: str) -> str:
+    return "x" if letters.islower() else "X" if letters.isupper() and len(letters) > 1 else "Xx"
 
-    def case(m: re.Match) -> str:
-        s = m[0]
-        return "x" if s.islower() else "X" if s.isupper() and len(s) > 1 else "Xx"
 
-    letters = "".join(c for c in word.lower() if c.isalpha())
-    shape = re.sub(r"\d+", "9", re.sub(r"[^\W\d_]+", case, word))
-    shape = re.sub(r"(.)\1+", r"\1\1", shape)[:12]
-    pick = lambda s: zlib.crc32(s.encode("utf-8", "replace")) % BUCKETS
-    return pick("w" + letters), pick("s" + shape)
+@lru_cache(maxsize=100_000)
+def _bucket(unit: str) -> int:
+    return zlib.crc32(unit.encode("utf-8", "replace")) % BUCKETS
+
+
+def _units(word: str) -> int:
+    """Buckets of a word's letters and of its shape (case, digits and marks, runs as one), as one
+    number."""
+    if word.isalpha():
+        letters, shape = word.lower(), _case(word)
+    else:
+        letters = "".join(filter(str.isalpha, word)).lower()
+        shape = re.sub(r"\d+", "9", re.sub(r"[^\W\d_]+", lambda m: _case(m[0]), word[:64]))
+        shape = re.sub(r"(.)\1+", r"\1\1", shape)[:12]
+    place = zlib.crc32(("w" + letters).encode("utf-8", "replace")) % BUCKETS
+    return place * BUCKETS + _bucket("s" + shape)
 
 
 def units(texts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -56,13 +65,13 @@ def units(texts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     known, both, sizes = _KNOWN, [], []
     for text in texts:
         words = text.split() if text else []
-        for word in set(words):
+        for word in words:
             if word not in known:
                 known[word] = _units(word)
         sizes.append(len(words))
-        both.extend(map(known.__getitem__, words))
-    pairs = np.array(both, np.int64).reshape(-1, 2)
-    return pairs[:, 0], pairs[:, 1], np.array(sizes, np.int64)
+        both.append(np.fromiter(map(known.__getitem__, words), np.int64, len(words)))
+    pairs = np.concatenate(both) if both else np.zeros(0, np.int64)
+    return pairs // BUCKETS, pairs % BUCKETS, np.array(sizes, np.int64)
 
 
 def fit_vectors(docs: DataFrame, text_col: str = "text") -> np.ndarray:
@@ -74,7 +83,7 @@ def fit_vectors(docs: DataFrame, text_col: str = "text") -> np.ndarray:
     def count(frames: Iterator[pd.DataFrame]) -> np.ndarray:
         places, signs = _index_vectors()
         total = np.zeros(BUCKETS * WIDTH)
-        for frame in batches_of(frames, text_col, 1_000_000):
+        for frame in batches_of(frames, text_col, 2_000_000):
             letters, shapes, sizes = units(frame[text_col])
             text = np.repeat(np.arange(len(sizes)), sizes)
             near = text[1:] == text[:-1]
@@ -105,7 +114,7 @@ def pool(texts, vectors: np.ndarray) -> np.ndarray:
         count = np.bincount(owner, minlength=n)
         starts = np.flatnonzero(np.diff(owner, prepend=-1))
         if len(starts):
-            sums = np.add.reduceat(vectors[bucket].astype(np.float64), starts)
+            sums = np.add.reduceat(vectors[bucket], starts)
             some = count > 0
             out[some, k * WIDTH : (k + 1) * WIDTH] = sums / count[some, None]
     out[:, -2] = np.log1p(sizes)
