@@ -128,15 +128,16 @@ def distinct_over_span(
     width = max(span // cells, 1)
     points = materialize(points.withColumn("_cell", cell_of("_t", width)), "points")
     latest = (
-        points.select(key, "_cell", "_t", F.explode("_items").alias("_item"))
+        points.select(key, "_cell", "_t", F.explode_outer("_items").alias("_item"))
         .groupBy(key, "_cell", "_item")
         .agg(F.max("_t").alias("_at"))
     )
-    # A key has one row per cell it occurs in, so this window is bounded by the time line.
+    # A key has one row per cell it occurs in (also where all items are null), so this window is
+    # bounded by the time line.
     line = Window.partitionBy(key).orderBy("_cell").rangeBetween(-(cells + 1), -1)
     carried = (
         latest.groupBy(key, "_cell")
-        .agg(F.collect_list(F.struct("_item", "_at")).alias("_ends"))
+        .agg(F.collect_list(F.when(F.col("_item").isNotNull(), F.struct("_item", "_at"))).alias("_ends"))
         .select(key, "_cell", F.flatten(F.collect_list("_ends").over(line)).alias("_before"))
     )
     inside = Window.partitionBy(key, "_cell").orderBy("_t")
@@ -292,9 +293,10 @@ def materialize_view(
 def refresh_online(
     online: DataFrame, features: DataFrame, keys: Sequence[str], time: str, end: Column
 ) -> DataFrame:
-    """Incremental refresh from the high-water mark of the stored table up to ``end``."""
+    """Incremental refresh from the high-water mark of the stored table up to ``end``; an empty
+    table is filled from all features."""
     mark = online.agg(F.max(time).alias("m")).scalar()
-    fresh = features.filter((F.col(time) > mark) & (F.col(time) <= end))
+    fresh = features.filter((mark.isNull() | (F.col(time) > mark)) & (F.col(time) <= end))
     return latest_per_key(online.unionByName(fresh), keys, [time])
 
 

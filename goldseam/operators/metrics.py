@@ -288,9 +288,13 @@ def chronological_split(
             return F.lit(False)
         found = F.lit(True)
         for name, spec in reversed(list(zip(names, order))):
-            edge = _literal(ends[border][name], df.schema[name].dataType)
-            before = F.col(name) > edge if spec.startswith("-") else F.col(name) < edge
-            found = before | ((F.col(name) == edge) & found)
+            value, edge = F.col(name), _literal(ends[border][name], df.schema[name].dataType)
+            # Nulls sort first in ascending and last in descending order.
+            if spec.startswith("-"):
+                before = (value > edge) | (value.isNotNull() & edge.isNull())
+            else:
+                before = (value < edge) | (value.isNull() & edge.isNotNull())
+            found = F.coalesce(before, F.lit(False)) | (value.eqNullSafe(edge) & found)
         return found
 
     label = (

@@ -198,7 +198,12 @@ def running_sums(
     inside = local(rows, Window.partitionBy(*on).orderBy(*sort_columns(order)))
     joined = _attach(inside, carried, on, "left")
     added = joined.withColumns(
-        {out: F.col(out) + F.coalesce(F.col(f"_c_{out}"), F.lit(0)) for out in sums}
+        {
+            out: (F.col(out) + F.coalesce(F.col(f"_c_{out}"), F.lit(0))).cast(
+                inside.schema[out].dataType
+            )
+            for out in sums
+        }
     )
     return added.drop("_chunk", *[f"_c_{out}" for out in sums])
 
@@ -385,12 +390,16 @@ def span_totals(
     result = both.filter(~F.col("_old"))
     if middle is None:
         return result.select(
-            *keys, time, F.col("_pn").alias(count_name), F.col("_ps").alias(sum_name)
+            *keys,
+            time,
+            F.col("_pn").alias(count_name),
+            F.when(F.col("_pn") > 0, F.col("_ps")).alias(sum_name),
         )
     joined = join_whole(result, middle, [*keys, "_cell"])
     return joined.select(
         *keys,
         time,
         (F.col("_pn") + F.col("_mn")).alias(count_name),
-        (F.col("_ps") + F.col("_ms")).alias(sum_name),
+        # No value in the span: null, as a plain window gives it.
+        F.when(F.col("_pn") + F.col("_mn") > 0, F.col("_ps") + F.col("_ms")).alias(sum_name),
     )

@@ -194,7 +194,7 @@ def raise_if_failed(result: DataFrame) -> dict:
     """The one-row report as a dict; raises when a check failed."""
     row = result.first().asDict()
     if row["overall"] != "PASS":
-        raise ValueError(f"Quality checks FAILED for {row['table_name']}: {row['failures']}")
+        raise ValueError(f"{row['table_name']} is not accepted: {row['failures']}")
     return row
 
 

@@ -267,3 +267,40 @@ def test_full_cells_are_split(frame, data, spark, monkeypatch):
             & (data["ts"] >= row.ts - timedelta(hours=30))
         ]
         assert row.n == len(inside)
+
+
+def test_null_items_and_values(spark, plan):
+    """Null items, values and times give the same rows and types under both plans."""
+    from goldseam.operators import features, ordered
+
+    rows = [("a", f"2024-01-01 0{h}:00:00", None if h % 2 else "USD", None if h < 3 else 1.25) for h in range(6)]
+    rows += [(None, "2024-01-01 05:00:00", "EUR", 2.0), ("b", "2024-01-02 00:00:00", None, None)]
+    df = spark.createDataFrame(rows, "k string, t string, c string, v double").selectExpr(
+        "k", "CAST(t AS timestamp) AS t", "c", "v", "CAST(v AS decimal(10,2)) AS d"
+    )
+    kinds = features.distinct_over_span(df, "k", "t", "c", 3600, "n")
+    got = sorted(((r.k, r.t.hour, r.n) for r in kinds.collect()), key=repr)
+    want = [("a", h, 1) for h in range(6)] + [(None, 5, 1), ("b", 0, 0)]
+    assert got == sorted(want, key=repr)
+    totals = ordered.span_totals(df, ["k"], "t", 3600, "v", ("n", "s"), cells=1)
+    sums = {(r.k, r.t.hour): (r.n, r.s) for r in totals.collect()}
+    assert sums["a", 1] == (0, None) and sums["a", 3] == (1, 1.25) and sums["b", 0] == (0, None)
+    running = ordered.running_sums(df, ["k"], ["t"], {"s": "d"})
+    assert running.schema["s"].dataType.simpleString() == "decimal(20,2)"
+
+
+def test_split_with_null_times(spark, plan):
+    rows = [(i, None if i < 5 else f"2024-01-01 0{i}:00:00") for i in range(10)]
+    df = spark.createDataFrame(rows, "id long, t string").selectExpr("id", "CAST(t AS timestamp) AS t")
+    got = {r.id: r.split for r in M.chronological_split(df, ["t", "id"]).collect()}
+    assert [got[i] for i in range(10)] == ["train"] * 7 + ["validation"] + ["test"] * 2
+    down = {r.id: r.split for r in M.chronological_split(df, ["-t", "id"]).collect()}
+    assert [i for i in range(10) if down[i] == "train"] == [0, 1, 5, 6, 7, 8, 9]
+
+
+def test_refresh_of_an_empty_store(spark):
+    from goldseam.operators import features
+
+    rows = spark.sql("SELECT 'u' AS k, timestamp'2024-01-01' AS t, 1 AS x")
+    got = features.refresh_online(rows.where("false"), rows, ["k"], "t", F.lit("2025-01-01").cast("timestamp"))
+    assert got.count() == 1
