@@ -175,14 +175,19 @@ def files_wanted(files: DataFrame, partition: str, size: str = "size", target: i
 def compact(df: DataFrame, partition: str, wanted: DataFrame) -> DataFrame:
     """Rows laid out so that each partition is written as its wanted number of files.
 
-    ``wanted`` (partition, output_files) has a row per partition. One shuffle on partition
-    and slice, with one task per file.
+    ``wanted`` (partition, output_files) has a row per partition. Files are numbered through all
+    partitions, and one shuffle sends each number to a task of its own.
     """
     total = wanted.agg(F.sum("output_files").alias("n")).first()["n"] or 1
-    sliced = df.join(wanted, partition).withColumn(
-        "_slice", F.pmod(F.xxhash64(*df.columns), F.col("output_files"))
+    before = F.sum("output_files").over(Window.orderBy(partition)) - F.col("output_files")
+    numbered = wanted.select(F.col(partition).alias("_part"), "output_files", before.alias("_before"))
+    sliced = df.join(numbered, F.col(partition).eqNullSafe(F.col("_part"))).select(
+        *df.columns,
+        (F.col("_before") + F.pmod(F.xxhash64(*df.columns), F.col("output_files")))
+        .cast("int")
+        .alias("_slice"),
     )
-    return sliced.repartition(int(total), partition, "_slice").drop("_slice", "output_files")
+    return sliced.repartitionById(int(total), F.col("_slice")).drop("_slice")
 
 
 def reprocess_range(
