@@ -305,7 +305,9 @@ def near_copies(
         if last:
             pairs = _open_pairs(grouped, limit)
         else:
-            rank = F.xxhash64("_set", F.lit(turn))
+            # An edited copy has n-grams of its own, which push the shared ones back: where a shared
+            # n-gram stands first, the set is most like the others. Later rounds try others.
+            rank = F.struct(F.col("pos") if turn == 0 else F.lit(0), F.xxhash64("_set", F.lit(turn)))
             leaders = grouped.groupBy("token", "band").agg(F.min(F.struct(rank, "_set", "_n", "pos", "root")).alias("l"))
             leaders = leaders.select("token", "band", "l._set", "l._n", "l.pos", "l.root")
             joined = grouped.alias("x").join(leaders.alias("y"), ["token", "band"])
