@@ -115,8 +115,8 @@ class Threshold:
 
 
 def index(docs: DataFrame, words: int, limit: Threshold, keep: list[str]) -> DataFrame:
-    """``keep``, ``_key`` (hash of the text), ``_n``, ``_set``, ``_prefix`` and ``_cells`` of
-    every text."""
+    """``keep``, ``_key`` (hash of the text), ``_n``, ``_digest`` of the set, ``_prefix`` and
+    ``_cells`` of every text."""
     levels = docs.sparkSession.sparkContext.broadcast(frequency_levels(docs.select("_text"), words))
 
     def sets(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -133,10 +133,10 @@ def index(docs: DataFrame, words: int, limit: Threshold, keep: list[str]) -> Dat
                     order = np.lexsort((found, level[(found & np.uint64(COUNTERS - 1)).astype(np.int64)]))
                     found = found[order[: limit.prefix(len(found))]]
                 prefixes.append(found.view(np.int64))
-            yield frame.drop(columns="_text").assign(_n=n, _set=ids, _prefix=prefixes, _cells=cells)
+            yield frame.drop(columns="_text").assign(_n=n, _digest=ids, _prefix=prefixes, _cells=cells)
 
     rows = docs.withColumn("_key", F.xxhash64("_text")).select(*keep, "_key", "_text")
-    schema = ddl(rows, "_n long", "_set binary", "_prefix array<long>", "_cells binary", without=("_text",))
+    schema = ddl(rows, "_n long", "_digest binary", "_prefix array<long>", "_cells binary", without=("_text",))
     return written(map_frames(rows, sets, schema), "sets")
 
 
@@ -180,12 +180,11 @@ def _marks(keys: DataFrame) -> np.ndarray:
     return table
 
 
-def _bounded(rows: DataFrame, pairs: DataFrame, limit: Threshold) -> DataFrame:
+def _bounded(sets: DataFrame, pairs: DataFrame, limit: Threshold) -> DataFrame:
     """Pairs that the signatures allow to link: the overlap is at most the sum of the smaller counts
     in each of ``CELLS`` classes of hashes."""
     wanted = pairs.select(F.col("a").alias("_set")).union(pairs.select("b")).distinct()
-    signs = rows.join(wanted, "_set", "left_semi").groupBy("_set").agg(F.first("_cells").alias("cells"))
-    signs = narrow(signs, "cells")
+    signs = narrow(sets.join(wanted, "_set", "left_semi").select("_set", F.col("_cells").alias("cells")), "cells")
     x = signs.select(F.col("_set").alias("a"), F.col("cells").alias("x"))
     y = signs.select(F.col("_set").alias("b"), F.col("cells").alias("y"))
 
@@ -195,17 +194,16 @@ def _bounded(rows: DataFrame, pairs: DataFrame, limit: Threshold) -> DataFrame:
             yield frame.drop(columns=["x", "y"]).assign(most=np.minimum(x, y).sum(axis=1, dtype=np.int64))
 
     both = pairs.join(x, "a").join(y, "b").select("a", "b", "na", "nb", "x", "y")
-    rows = map_frames(both, bound, "a binary, b binary, na long, nb long, most long")
+    rows = map_frames(both, bound, "a long, b long, na long, nb long, most long")
     return rows.where(F.col("most") >= limit.needed(F.col("na"), F.col("nb"))).drop("most")
 
 
-def compare(docs: DataFrame, rows: DataFrame, pairs: DataFrame, words: int, limit: Threshold) -> DataFrame:
+def compare(docs: DataFrame, known: DataFrame, pairs: DataFrame, words: int, limit: Threshold) -> DataFrame:
     """``a, b, na, nb, common`` of pairs of sets; ``common`` is null where signatures rule a link
     out. The other sets are made anew, from one text each."""
-    open_pairs = narrow(_bounded(rows, pairs, limit), "open-pairs")
+    open_pairs = narrow(_bounded(known, pairs, limit), "open-pairs")
     wanted = open_pairs.select(F.col("a").alias("_set")).union(open_pairs.select("b")).distinct()
-    chosen = rows.join(wanted, "_set", "left_semi").groupBy("_set").agg(F.min("_key").alias("_key"))
-    chosen = narrow(chosen, "chosen")
+    chosen = narrow(known.join(wanted, "_set", "left_semi").select("_set", "_digest", "_key"), "chosen")
     marks = docs.sparkSession.sparkContext.broadcast(_marks(chosen))
 
     def make(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -214,11 +212,11 @@ def compare(docs: DataFrame, rows: DataFrame, pairs: DataFrame, words: int, limi
             at = frame["_key"].to_numpy(np.int64) % (8 * len(table))
             frame = frame[(table[at // 8] >> (at % 8).astype(np.uint8)) & 1 == 1]
             found = [shingles(text, words) for text in frame["_text"]]
-            yield pd.DataFrame({"set": [set_id(x) for x in found], "items": [x.tobytes() for x in found]})
+            yield pd.DataFrame({"_digest": [set_id(x) for x in found], "items": [x.tobytes() for x in found]})
 
     texts = docs.select(F.xxhash64("_text").alias("_key"), "_text")
-    sets = map_frames(texts, make, "set binary, items binary").dropDuplicates(["set"])
-    sets = written(sets.join(chosen.select(F.col("_set").alias("set")), "set", "left_semi"), "items")
+    sets = map_frames(texts, make, "_digest binary, items binary").dropDuplicates(["_digest"])
+    sets = written(sets.join(chosen.select("_digest", "_set"), "_digest").select("_set", "items"), "items")
 
     def overlap(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
@@ -228,10 +226,10 @@ def compare(docs: DataFrame, rows: DataFrame, pairs: DataFrame, words: int, limi
             ]
             yield frame.drop(columns=["x", "y"]).assign(common=common)
 
-    x = sets.select(F.col("set").alias("a"), F.col("items").alias("x"))
-    y = sets.select(F.col("set").alias("b"), F.col("items").alias("y"))
+    x = sets.select(F.col("_set").alias("a"), F.col("items").alias("x"))
+    y = sets.select(F.col("_set").alias("b"), F.col("items").alias("y"))
     both = open_pairs.join(x, "a").join(y, "b").select("a", "b", "na", "nb", "x", "y")
-    counted = map_frames(both, overlap, "a binary, b binary, na long, nb long, common long")
+    counted = map_frames(both, overlap, "a long, b long, na long, nb long, common long")
     return pairs.join(counted.select("a", "b", "common"), ["a", "b"], "left")
 
 
@@ -261,7 +259,7 @@ def near_copies(
     text_col: str = "text",
     star_rounds: int = 12,
 ) -> DataFrame:
-    """``doc_id, n_shingles, component_id`` of every row, and ``_key, _set, _root``.
+    """``doc_id, n_shingles, component_id`` of every row, and ``_key, _root``.
 
     Two rows link when the Jaccard similarity of their sets of word n-grams is at least
     ``num / den``; a component is what links connect, named by its smallest id. N-grams are
@@ -274,7 +272,12 @@ def near_copies(
     limit = Threshold(num, den)
     docs = docs.select(F.col(id_col).cast("long").alias("_pick"), F.col(text_col).alias("_text"))
     rows = index(docs, words, limit, ["_pick"])
-    sets = rows.where("_n > 0").groupBy("_set").agg(F.first("_n").alias("_n"), F.first("_prefix").alias("_prefix"))
+    sets = rows.where("_n > 0").groupBy("_digest").agg(
+        F.first("_n").alias("_n"), F.first("_prefix").alias("_prefix"), F.first("_cells").alias("_cells"),
+        F.min("_key").alias("_key"), F.min("_pick").alias("first"),
+    )
+    # Written before use, so a set keeps its number; numbers are half as wide as digests and repeat bytes.
+    sets = written(sets.withColumn("_set", F.monotonically_increasing_id()), "distinct")
     postings = sets.select("_set", "_n", F.posexplode("_prefix").alias("pos", "token"))
     shared = postings.groupBy("token").count().where("count > 1").select("token")
     blocked = postings.join(shared, "token").withColumn("band", limit.band(F.col("_n")))
@@ -318,24 +321,23 @@ def near_copies(
             derived = narrow(_derived(pairs, done, limit), "derived")
             pairs = derived.where("common is null").drop("common")
             sure = derived.where("common is not null")
-        fresh = compare(docs, rows, narrow(pairs, "pairs"), words, limit)
+        fresh = compare(docs, sets, narrow(pairs, "pairs"), words, limit)
         done = narrow(fresh if done is None else fresh.unionByName(sure).unionByName(done), "compared")
         linked = limit.linked(F.col("common"), F.col("na"), F.col("nb"))
         roots = components(done.where(linked))
         if last:
             break
 
-    own = rows.where("_n > 0").groupBy("_set").agg(F.min("_pick").alias("first"))
     known = roots.select(F.col("node").alias("_set"), "root")
-    own = own.join(known, "_set", "left").select("_set", "first", F.coalesce("root", "_set").alias("_root"))
+    own = sets.join(known, "_set", "left").select("_digest", "first", F.coalesce("root", "_set").alias("_root"))
     own = written(own, "own")
     named = own.groupBy("_root").agg(F.min("first").alias("component_id"))
-    named = written(own.join(named, "_root").select("_set", "_root", "component_id"), "named")
-    return rows.drop("_prefix", "_cells").join(named, "_set", "left").select(
+    named = written(own.join(named, "_root").select("_digest", "_root", "component_id"), "named")
+    return rows.drop("_prefix", "_cells").join(named, "_digest", "left").select(
         F.col("_pick").alias("doc_id"),
         F.col("_n").alias("n_shingles"),
         F.when(F.col("_n") > 0, F.col("component_id")).otherwise(F.col("_pick")).alias("component_id"),
-        "_key", "_set", "_root",
+        "_key", "_root",
     )
 
 
