@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Iterable
+from datetime import date, timedelta
+
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from goldseam.operators import gold as G
@@ -46,20 +50,55 @@ def load_silver(spark: SparkSession, lake: str, first_day: str, last_day: str |
     return OUT.overwrite_partitions(laid, _path(lake, "silver", "transactions"), ["date"])
 
 
-def load_gold(
+def event_days(
     spark: SparkSession, lake: str, first_day: str, last_day: str | None = None
+) -> set[date | None]:
+    """The days on which the silver rows loaded for some days happened; none without a table."""
+    try:
+        silver = spark.read.parquet(_path(lake, "silver", "transactions"))
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return set()
+    days = _days(silver, first_day, last_day).select(F.to_date("timestamp").alias("day")).distinct()
+    return {row["day"] for row in days.collect()}
+
+
+def _happened_on(days: Iterable[date | None]) -> Column:
+    """Rows of some days, as ranges of the time column that Parquet statistics can skip by."""
+    found, time = F.lit(False), F.col("timestamp")
+    known = {d for d in days if d is not None}
+    for day in sorted(known):
+        if day - timedelta(1) in known:
+            continue
+        end = day + timedelta(1)
+        while end in known:
+            end += timedelta(1)
+        found |= (time >= F.lit(day).cast("timestamp")) & (time < F.lit(end).cast("timestamp"))
+    return found | time.isNull() if None in days else found
+
+
+def load_gold(
+    spark: SparkSession,
+    lake: str,
+    first_day: str,
+    last_day: str | None = None,
+    also: Iterable[date | None] = (),
 ) -> dict[str, int]:
-    """Refresh the four aggregates for the given days.
+    """Refresh the four aggregates for all days on which the rows loaded for some days happened.
 
-    Only those days of silver are read. What spans days (the trend and the user totals) is
-    computed from small per-day tables, so the work grows with the new rows and not with
-    the history.
+    A row may arrive in a later day's load than the day it happened on. So every day that a
+    loaded row touches, and every day of ``also`` (those that replaced rows touched), is computed
+    anew from all of silver's rows of that day. The trend and the user totals combine per-day
+    tables and grow with these, not with the transactions. A touched day on which no row is left
+    keeps its former aggregates.
     """
 
     def at(name: str) -> str:
         return _path(lake, "gold", name)
 
-    silver = _days(spark.read.parquet(_path(lake, "silver", "transactions")), first_day, last_day)
+    days = event_days(spark, lake, first_day, last_day) | set(also)
+    silver = spark.read.parquet(_path(lake, "silver", "transactions")).filter(_happened_on(days))
     OUT.overwrite_partitions(G.daily_base(silver), at("daily_base"), ["date"])
     OUT.overwrite_partitions(G.user_days(silver), at("user_days"), ["date"])
     hourly = G.hourly_rates(silver).withColumn(
@@ -85,9 +124,10 @@ def run(
     counts: dict = {"bronze": load_bronze(spark, raw, lake, start, last_day)}
     bronze = _days(spark.read.parquet(_path(lake, "bronze", "transactions")), start, last_day)
     Q.raise_if_failed(Q.run_all(bronze, Q.bronze_suite(), "bronze.transactions"))
+    replaced = event_days(spark, lake, start, last_day)
     counts["silver"] = load_silver(spark, lake, start, last_day)
     silver = _days(spark.read.parquet(_path(lake, "silver", "transactions")), start, last_day)
     R.validate_silver(silver)
     Q.raise_if_failed(Q.run_all(silver, Q.silver_suite(), "silver.transactions"))
-    counts["gold"] = load_gold(spark, lake, start, last_day)
+    counts["gold"] = load_gold(spark, lake, start, last_day, replaced)
     return counts

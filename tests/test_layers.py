@@ -184,6 +184,34 @@ def test_gold_by_day_equals_gold_at_once(spark):
         assert got.exceptAll(want).count() == 0, name
 
 
+def test_late_rows_join_the_day_they_happened_on(spark):
+    lake = new_path(spark, "lake")
+
+    def load(day, times):
+        rows = [(f"{day}-{i}", "u1", t, "USD", 10, 5, False) for i, t in enumerate(times)]
+        schema = "transaction_id string, user_id string, timestamp timestamp, currency string, amount_brl int, exchange_rate int, is_anomaly boolean"
+        silver = spark.createDataFrame(rows, schema).withColumn("date", F.lit(day).cast("date"))
+        OUT.overwrite_partitions(silver, f"{lake}/silver/transactions", ["date"])
+
+    def totals():
+        volume = {str(r["date"]): r["transaction_count"] for r in spark.read.parquet(f"{lake}/gold/daily_volume").collect()}
+        return volume, spark.read.parquet(f"{lake}/gold/user_summary").first()["total_transactions"]
+
+    assert daily.event_days(spark, lake, "2024-01-01") == set()
+    load("2024-01-01", [datetime(2024, 1, 1, 10 + i) for i in range(5)])
+    daily.load_gold(spark, lake, "2024-01-01")
+    assert totals() == ({"2024-01-01": 5}, 5)
+    load("2024-01-02", [datetime(2024, 1, 1, 23, 59, 30), *[datetime(2024, 1, 2, i) for i in range(3)]])
+    for _ in range(2):
+        daily.load_gold(spark, lake, "2024-01-02")
+        assert totals() == ({"2024-01-01": 6, "2024-01-02": 3}, 9)
+    # The load of Jan 2 again, now without the late row.
+    replaced = daily.event_days(spark, lake, "2024-01-02")
+    load("2024-01-02", [datetime(2024, 1, 2, i) for i in range(3)])
+    daily.load_gold(spark, lake, "2024-01-02", also=replaced)
+    assert totals() == ({"2024-01-01": 5, "2024-01-02": 3}, 8)
+
+
 def test_gates_stop_the_daily_job(spark):
     raw, lake = new_path(spark, "raw"), new_path(spark, "lake")
     rows = [("1", "u1", datetime(2024, 1, 15, 10), "USD", -100)]
