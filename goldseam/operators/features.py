@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from goldseam.functions import columns as X
 from goldseam.operators.ordered import (
@@ -223,6 +224,32 @@ def _patterns_in_one_pass(
     return _pattern_columns(framed, user, time)
 
 
+def user_history(
+    df: DataFrame, user: str = "user_id", time: str = "timestamp", amount: str = "amount_brl"
+) -> DataFrame:
+    """Totals of a user's last 30 days at each of their event times."""
+    totals = span_totals(
+        df, [user], time, 30 * DAY, amount, ("total_transactions_30d", "total_volume_30d"), cells=30
+    )
+    return totals.select(
+        user,
+        F.col(time).alias("event_timestamp"),
+        "total_transactions_30d",
+        "total_volume_30d",
+        X.ratio("total_volume_30d", "total_transactions_30d").alias("avg_ticket_30d"),
+    )
+
+
+def training_signals(rows: DataFrame) -> DataFrame:
+    """Model inputs that come from the stored views, for rows with point-in-time features."""
+    return rows.withColumns(
+        {
+            "velocity_1h": F.col("transactions_last_1h"),
+            "z_score_amount": X.share_z("avg_amount_last_24h", "avg_ticket_30d"),
+        }
+    )
+
+
 def average_over_span(
     df: DataFrame, keys: Sequence[str], time: str, value: str, span_seconds: int, output: str
 ) -> DataFrame:
@@ -237,13 +264,18 @@ def history_zscore(
     time: str,
     amount: str,
     tiebreak: str,
-    scale: int = 2,
+    scale: int | None = None,
     output: str = "z_score",
 ) -> DataFrame:
     """Distance of an amount from the user's earlier amounts, in sample deviations.
 
-    Sums of exact decimals are carried, so the variance does not lose digits.
+    Sums of exact decimals are carried, so the variance does not lose digits. Amounts keep
+    ``scale`` decimals: by default those of a decimal type, six at most, and four of a double.
     """
+    if scale is None:
+        kind = df.schema[amount].dataType
+        scale = min(kind.scale, 6) if isinstance(kind, T.DecimalType) else 4
+    fine = f"decimal(38,{min(2 * scale, 6)})"
     exact = F.col(amount).cast(f"decimal(18,{scale})")
     rows = df.withColumns(
         {"_x": exact, "_xx": (exact * exact).cast(f"decimal(36,{2 * scale})"), "_one": F.lit(1)}
@@ -253,9 +285,9 @@ def history_zscore(
     )
     count = F.col("_n").cast("decimal(18,0)")
     # n * sum of squares - square of the sum is exact; only the last steps are floating.
-    spread = (count * F.col("_ss").cast(f"decimal(30,{2 * scale})")).cast("decimal(38,4)") - (
+    spread = (count * F.col("_ss").cast(f"decimal(30,{2 * scale})")).cast(fine) - (
         F.col("_s").cast(f"decimal(18,{scale})") * F.col("_s").cast(f"decimal(18,{scale})")
-    ).cast("decimal(38,4)")
+    ).cast(fine)
     variance = F.try_divide(spread.cast("double"), (F.col("_n") * (F.col("_n") - 1)).cast("double"))
     mean = X.ratio("_s", "_n")
     z = X.history_z(exact.cast("double"), mean, F.sqrt(variance))

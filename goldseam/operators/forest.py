@@ -62,21 +62,18 @@ def sample_per_tree(
 ) -> DataFrame:
     """At most ``sample_rows`` rows for each tree, chosen by hashes of the key.
 
-    A large table gives every sampled row to one tree, so a row costs one hash. In a small
-    one the trees share rows.
+    A first hash keeps about ``2 * trees * sample_rows`` rows (all, if there are fewer), a second
+    per tree draws from these, so that a row of the table costs one hash and every tree gets about
+    twice the rows it needs. Trees may share rows.
     """
     window = Window.partitionBy("tree").orderBy("_pick", key)
-    if total > 2 * trees * sample_rows:
-        drawn = df.filter(
-            F.pmod(F.xxhash64(F.lit(seed), key), F.lit(total)) < 2 * trees * sample_rows
-        ).withColumn("tree", F.pmod(F.xxhash64(F.lit(seed + 1), key), F.lit(trees)).cast("int"))
-    else:
-        chosen = F.filter(
-            F.sequence(F.lit(0), F.lit(trees - 1)),
-            lambda t: F.pmod(F.xxhash64(F.lit(seed), t, F.col(key)), F.lit(max(total, 1)))
-            < 2 * sample_rows,
-        )
-        drawn = df.withColumn("tree", F.explode(chosen))
+    whole, pool = max(total, 1), min(max(total, 1), 2 * trees * sample_rows)
+    kept = F.pmod(F.xxhash64(F.lit(seed), key), F.lit(whole)) < pool
+    chosen = F.filter(
+        F.sequence(F.lit(0), F.lit(trees - 1)),
+        lambda t: F.pmod(F.xxhash64(F.lit(seed + 1), t, F.col(key)), F.lit(pool)) < 2 * sample_rows,
+    )
+    drawn = df.filter(kept).withColumn("tree", F.explode(chosen))
     # About 2 * trees * sample_rows rows are left. They are placed by tree in a fixed number of
     # tasks, because growing is costly per row and the sizes would suggest a single task.
     ranked = drawn.withColumn("_pick", F.xxhash64(F.lit(seed + 2), "tree", key))
@@ -127,13 +124,14 @@ class Forest:
 
     @staticmethod
     def collect(
-        nodes: DataFrame, features: Sequence[str], sample_rows: int, max_trees: int = 1_000
+        nodes: DataFrame, features: Sequence[str], sample_rows: int, trees: int = 100
     ) -> Forest:
-        """Bring a node table to the driver; refuses one larger than a forest can be."""
-        bound = max_trees * (2 * sample_rows - 1)
+        """Bring the node table of ``trees`` trees to the driver; refuses one larger than such a
+        forest can be."""
+        bound = trees * (2 * sample_rows - 1)
         rows = nodes.limit(bound + 1).toPandas()
         if len(rows) > bound:
-            raise ValueError(f"a forest of {max_trees} trees has at most {bound} nodes")
+            raise ValueError(f"a forest of {trees} trees has at most {bound} nodes")
         packed = []
         for _, tree in rows.groupby("tree", sort=True):
             tree = tree.sort_values("node")
@@ -223,56 +221,42 @@ def permutation_importance(
     threshold: float,
     label: str = "label",
     repeats: int = 5,
-    sample_rows: int = 5_000,
+    slot_rows: int = 100_000,
     seed: int = 42,
 ) -> DataFrame:
-    """Mean drop of F1 when one feature is shuffled, on a random sample of bounded size.
+    """Mean drop of F1 when one feature is shuffled, over all rows. ``key`` identifies a row.
 
-    The shuffled column comes from joining the sample with itself on two row numbers; the
-    sample is at most ``sample_rows`` rows, repeated for every feature and repeat.
+    In each repeat the rows are dealt into slots of about ``slot_rows`` by a hash and put into a
+    random order there. Every row takes the feature of the row after it, the last one that of the
+    first: a random permutation from one sort per repeat, without numbering the table. The
+    features share the order; each of them is scored with the others unchanged.
     """
     from goldseam.operators.metrics import confusion
 
     names = list(forest.features)
-    sample = (
-        df.select(key, label, *[F.col(n).cast("double").alias(n) for n in names])
-        .orderBy(F.xxhash64(F.lit(seed), key), key)
-        .limit(sample_rows)
-    )
-    trials = F.explode(
-        F.array(
-            *[
-                F.struct(F.lit(n).alias("feature"), F.lit(r).alias("repeat"))
-                for n in ["", *names]
-                for r in range(repeats if n else 1)
-            ]
-        )
-    )
-    tried = sample.withColumn("_trial", trials).select(
-        "*", "_trial.feature", "_trial.repeat"
-    )
-    by = Window.partitionBy("feature", "repeat")
-    numbered = tried.withColumns(
+    rows = df.select(key, label, *[F.col(n).cast("double").alias(n) for n in names])
+    slots = max(1, math.ceil(df.count() / slot_rows))
+    tried = rows.withColumn("repeat", F.explode(F.sequence(F.lit(0), F.lit(repeats - 1)))).withColumns(
         {
-            "_place": F.row_number().over(by.orderBy(key)),
-            "_draw": F.row_number().over(
-                by.orderBy(F.xxhash64(F.lit(seed), key, "feature", "repeat"), key)
-            ),
+            "_slot": F.pmod(F.xxhash64(F.lit(seed), key, "repeat"), F.lit(slots)),
+            "_draw": F.xxhash64(F.lit(seed + 1), key, "repeat"),
         }
     )
-    donor = numbered.select(
-        "feature",
-        "repeat",
-        F.col("_draw").alias("_place"),
-        F.struct(*names).alias("_other"),
+    by = Window.partitionBy("repeat", "_slot").orderBy("_draw", key)
+    whole = by.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    values = F.struct(*names)
+    # Spread by number, not by size: scoring is costly per row.
+    spread = tried.repartition(max(repeats * slots, 1), "repeat", "_slot")
+    mixed = spread.withColumn(
+        "_other", F.coalesce(F.lead(values).over(by), F.first(values).over(whole))
     )
-    mixed = numbered.join(donor, ["feature", "repeat", "_place"])
-    swapped = mixed.withColumns(
+    # The unchanged rows are scored once, in the first repeat.
+    trials = F.array(*[F.lit(n) for n in ["", *names]])
+    each = mixed.withColumn("feature", F.explode(trials)).filter("feature <> '' or repeat = 0")
+    swapped = each.withColumns(
         {n: F.when(F.col("feature") == n, F.col(f"_other.{n}")).otherwise(F.col(n)) for n in names}
     )
-    # Scoring is costly per row, so the trials are spread over tasks by number, not by size.
-    spread = swapped.repartition(repeats * len(names) + 1, "feature", "repeat")
-    scored = spread.withColumn("_score", score_column(forest))
+    scored = swapped.withColumn("_score", score_column(forest))
     flagged = scored.withColumn("prediction", (F.col("_score") > threshold).cast("int"))
     f1 = confusion(flagged, label, "prediction", ["feature", "repeat"])
     # One row per trial from here on.

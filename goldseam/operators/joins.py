@@ -64,9 +64,14 @@ def as_of_join(
 
 
 def historical_features(
-    events: DataFrame, features: DataFrame, view: FeatureView, event_time: str = "event_timestamp"
+    events: DataFrame,
+    features: DataFrame,
+    view: FeatureView,
+    event_time: str = "event_timestamp",
+    columns: Sequence[str] | None = None,
 ) -> DataFrame:
-    """Training rows with the values of a feature view as they were known at each event."""
+    """Training rows with the values of a feature view (all or some of its columns) as they were
+    known at each event. Rows without an entity or a time get none."""
     renamed = features.withColumnRenamed(view.timestamp, f"{view.name}_at")
     return as_of_join(
         events,
@@ -74,11 +79,22 @@ def historical_features(
         view.entity,
         event_time,
         f"{view.name}_at",
-        view.features,
+        columns or view.features,
         view.ttl_seconds,
     )
 
 
+def training_rows(
+    events: DataFrame,
+    views: Sequence[tuple[DataFrame, FeatureView, Sequence[str]]],
+    event_time: str = "event_timestamp",
+) -> DataFrame:
+    """Events with features of several views, each as known at the event and within its own TTL."""
+    for features, view, columns in views:
+        events = historical_features(events, features, view, event_time, columns).drop(f"{view.name}_at")
+    return events
+
+
 def latest_features(
     features: DataFrame, keys: Sequence[str], time: str, tiebreak: Sequence[str] = ()
 ) -> DataFrame:

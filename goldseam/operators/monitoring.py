@@ -133,7 +133,7 @@ ALERT_RULES = (
     AlertRule("DataDriftDetected", "warning", "max_psi", 0.2, "ml-engineering"),
     AlertRule("ModelStaleness", "warning", "model_age_seconds", 2_592_000, "ml-engineering"),
     AlertRule("DataQualityDegraded", "warning", "failed_share", 0.05),
-    AlertRule("LowTransactionVolume", "info", "low_volume_hours", 0),
+    AlertRule("LowTransactionVolume", "info", "low_volume", 0),
 )
 
 # Receivers by severity.

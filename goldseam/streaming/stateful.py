@@ -73,7 +73,6 @@ def rate_anomaly_sink(
     output_path: str,
     state_path: str,
     window_rows: int = 20,
-    state_files: int = 1,
 ) -> DataStreamWriter:
     """Flag rates in time order, across micro-batches.
 
@@ -98,7 +97,7 @@ def rate_anomaly_sink(
         overwrite_partitions(result, output_path, ["_batch"])
         newest = Window.partitionBy(pair).orderBy(*sort_columns([time, tiebreak], flip=True))
         tails = rows.withColumn("_rn", F.row_number().over(newest)).filter(F.col("_rn") <= kept)
-        tails.select(*columns).coalesce(state_files).write.mode("overwrite").parquet(
+        tails.select(*columns).write.mode("overwrite").parquet(
             f"{state_path}/batch={batch_id}"
         )
 

@@ -748,7 +748,7 @@ def alert_metrics(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
             ((now - F.unix_micros(F.col("t").cast("timestamp"))) / 1_000_000.0).alias("value")
         ),
         "failed_share": failing.select((1 - F.col("pass_rate")).alias("value")),
-        "low_volume_hours": low.agg(F.count_if("low").alias("value")),
+        "low_volume": low.agg(F.max_by(F.col("low").cast("int"), "hour").alias("value")),
     }
 
 
@@ -760,7 +760,7 @@ _ALERTS_SQL = f"""with {DIRTY_SQL}, {_FEATURES_SQL},
   rk as (select *, coalesce(le, 'inf'::double) as hi, lag(cum_count, 1, 0) over w as prev, lag(le, 1, 0) over w as lo,
     0.95 * max(cum_count) over () as rank from bk window w as (order by coalesce(le, 'inf'::double))),
   hv as (select date_trunc('hour', ts) as hour, count(*) as n from events group by 1),
-  lv as (select n, avg(n) over (order by hour rows between unbounded preceding and 1 preceding) as m from hv),
+  lv as (select hour, n, avg(n) over (order by hour rows between unbounded preceding and 1 preceding) as m from hv),
   a as (
     select 'HighConsumerLag' as alert, 'critical' as severity, 'data-engineering' as team, 10000.0 as lim,
       cast((select max(latest - committed) from o) as double) as v
@@ -777,7 +777,7 @@ _ALERTS_SQL = f"""with {DIRTY_SQL}, {_FEATURES_SQL},
     union all select 'DataQualityDegraded', 'warning', 'data-engineering', 0.05,
       (select count(*) filter (where amount_brl is null or amount_brl <= 0) / count(*) from dirty)
     union all select 'LowTransactionVolume', 'info', 'data-engineering', 0,
-      (select count(*) filter (where n < m * 0.5) from lv))"""
+      (select arg_max(case when n < m * 0.5 then 1 else 0 end, hour) from lv))"""
 
 
 @query(

@@ -10,6 +10,7 @@ from goldseam.functions import columns as X
 from goldseam.operators import features as FE
 from goldseam.operators import joins as J
 from goldseam.operators import metrics as M
+from goldseam.session import materialize
 from goldseam.workloads.binding import DIRTY_SQL, TX_SQL, dirty_transactions, long, ntz, r6, transactions
 from goldseam.workloads.registry import query, table
 
@@ -39,21 +40,21 @@ def asof_features(spark: SparkSession, folder: str) -> DataFrame:
 @query(
     "online_lookup",
     f"""with {TX_SQL}, u as (select user_id, arg_max(value, "timestamp") as last_view from tx
-        where event_type = 'view' and value > 60 group by 1),
+        where event_type = 'view' group by 1),
       c as (select currency, arg_max(exchange_rate, "timestamp") as current_rate from tx group by 1)
     select t.transaction_id, coalesce(u.last_view, t.value) as last_view,
       cast(coalesce(c.current_rate, 1) as double) as current_rate
-    from tx t left join u using (user_id) left join c using (currency) where t.event_type <> 'error'""",
+    from tx t left join u using (user_id) left join c using (currency)""",
 )
 def online_lookup(spark: SparkSession, folder: str) -> DataFrame:
     rows = transactions(spark, folder)
-    viewed = rows.filter("event_type = 'view' and value > 60").select(
+    viewed = rows.filter("event_type = 'view'").select(
         "user_id", "timestamp", F.col("value").alias("last_view")
     )
     rates = rows.select("currency", "timestamp", F.col("exchange_rate").alias("current_rate"))
     users = J.latest_features(viewed, ["user_id"], "timestamp").drop("timestamp")
     pairs = J.latest_features(rates, ["currency"], "timestamp").drop("timestamp")
-    requests = rows.filter("event_type <> 'error'").select("transaction_id", "user_id", "currency", "value")
+    requests = rows.select("transaction_id", "user_id", "currency", "value")
     first = J.with_latest(requests, users, ["user_id"], {"last_view": F.col("value")})
     both = J.with_latest(first, pairs, ["currency"], {"current_rate": 1.0})
     return both.select("transaction_id", "last_view", F.col("current_rate").cast("double").alias("current_rate"))
@@ -380,25 +381,76 @@ def score_norm(spark: SparkSession, folder: str) -> DataFrame:
     return rows.select("event_id", r6(X.score_from_raw(raw, prediction)).alias("score"))
 
 
-_MATRIX_SQL = f"""{DIRTY_SQL}, fm as (select transaction_id, coalesce(cast(amount_brl as double), 0) as amount_brl,
+_TRAINING_SQL = f"""{DIRTY_SQL}, view as (select distinct user_id, "timestamp",
+    count(*) over month as n30, cast(sum(amount_brl) over month as double) as v30,
+    count(*) over hour as n1, avg(cast(amount_brl as double)) over day as recent,
+    avg(cast(hour("timestamp") < 6 as int)) over upto as night from tx
+    window month as (partition by user_id order by "timestamp" range between interval 30 day preceding and current row),
+      hour as (partition by user_id order by "timestamp" range between interval 1 hour preceding and current row),
+      day as (partition by user_id order by "timestamp" range between interval 24 hour preceding and current row),
+      upto as (partition by user_id order by "timestamp" range between unbounded preceding and current row)),
+  training as (select d.*, n30, v30, n1, recent, night, case when recent is not null then
+    greatest(least((recent - v30 / n30) / case when recent = 0 then 1 else recent end, 5), -5) end as z
+    from dirty d left join view using (user_id, "timestamp"))"""
+
+_MATRIX_SQL = f"""{_TRAINING_SQL}, fm as (select transaction_id, coalesce(cast(amount_brl as double), 0) as amount_brl,
     coalesce(cast(hour("timestamp") as double), 0) as hour_of_day,
     coalesce(cast(dayofweek("timestamp") + 1 as double), 0) as day_of_week,
     coalesce(cast(hour("timestamp") between 9 and 17 and dayofweek("timestamp") between 1 and 5 as double), 0)
       as is_business_hours,
-    cast(spread_pct as double) as spread_pct, 0.0::double as velocity_1h, 0.0::double as z_score_amount,
-    cast(is_anomaly as int) as label from dirty)"""
+    cast(spread_pct as double) as spread_pct, coalesce(cast(n1 as double), 0) as velocity_1h,
+    coalesce(z, 0) as z_score_amount, cast(is_anomaly as int) as label from training)"""
 
+#: The features of the two user views that go into training.
+_USER_COLUMNS = ("total_transactions_30d", "total_volume_30d", "avg_ticket_30d")
+_PATTERN_COLUMNS = ("transactions_last_1h", "avg_amount_last_24h", "night_transaction_ratio")
 
-def model_matrix(spark: SparkSession, folder: str) -> DataFrame:
+
+def training(spark: SparkSession, folder: str) -> DataFrame:
+    """Silver rows with the features of two views at their time."""
     from goldseam.operators import refine as R
 
+    known = transactions(spark, folder)
+    views = [
+        (FE.user_history(known), S.USER_FEATURES, _USER_COLUMNS),
+        (FE.pattern_features(known), S.PATTERN_FEATURES, _PATTERN_COLUMNS),
+    ]
     silver = R.enrich(dirty_transactions(spark, folder))
-    return FE.feature_matrix(silver, S.MODEL_FEATURES, keep=["transaction_id"])
+    return FE.training_signals(J.training_rows(silver, views, "timestamp"))
+
 
+@query(
+    "training_frame",
+    f"""with {_TRAINING_SQL} select transaction_id, n30 as total_transactions_30d, round(v30, 6) as total_volume_30d,
+      round(v30 / n30, 6) as avg_ticket_30d, n1 as transactions_last_1h, round(recent, 6) as avg_amount_last_24h,
+      round(night, 6) as night_transaction_ratio, round(z, 6) as z_score_amount from training""",
+)
+def training_frame(spark: SparkSession, folder: str) -> DataFrame:
+    """Six features of two views and the amount's deviation, as known at each transaction."""
+    return training(spark, folder).select(
+        "transaction_id",
+        "total_transactions_30d",
+        r6(F.col("total_volume_30d").cast("double")).alias("total_volume_30d"),
+        r6("avg_ticket_30d").alias("avg_ticket_30d"),
+        "transactions_last_1h",
+        r6("avg_amount_last_24h").alias("avg_amount_last_24h"),
+        r6("night_transaction_ratio").alias("night_transaction_ratio"),
+        r6("z_score_amount").alias("z_score_amount"),
+    )
 
-@query("feature_matrix", f"with {_MATRIX_SQL} select * from fm")
+
+def model_matrix(spark: SparkSession, folder: str) -> DataFrame:
+    """The inputs of the detectors for every transaction, written once: models read it often."""
+    rows = training(spark, folder)
+    return materialize(FE.feature_matrix(rows, S.MODEL_FEATURES, keep=["transaction_id"]), "matrix")
+
+
+@query(
+    "feature_matrix",
+    f"with {_MATRIX_SQL} select * replace (round(z_score_amount, 6) as z_score_amount) from fm",
+)
 def feature_matrix(spark: SparkSession, folder: str) -> DataFrame:
-    return model_matrix(spark, folder)
+    return model_matrix(spark, folder).withColumn("z_score_amount", r6("z_score_amount"))
 
 
 _SCALED = ", ".join(

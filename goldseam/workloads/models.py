@@ -60,7 +60,7 @@ def points(spark: SparkSession, folder: str) -> DataFrame:
 def iforest_score(spark: SparkSession, folder: str) -> DataFrame:
     """Scores from a hand-written forest."""
     nodes = spark.createDataFrame(FIXED_NODES, FO.NODE_DDL)
-    forest = FO.Forest.collect(nodes, FEATURES, 8)
+    forest = FO.Forest.collect(nodes, FEATURES, 8, 2)
     return points(spark, folder).select("event_id", r6(FO.score_column(forest)).alias("score"))
 
 

@@ -239,7 +239,7 @@ def stream_hourly_volume(spark: SparkSession, folder: str) -> DataFrame:
 def stream_score(spark: SparkSession, folder: str) -> DataFrame:
     """Each event joined with its user's features and scored by the hand-written forest."""
     nodes = spark.createDataFrame(FIXED_NODES, FO.NODE_DDL)
-    forest = FO.Forest.collect(nodes, ["amount_brl", "hour_of_day"], 8)
+    forest = FO.Forest.collect(nodes, ["amount_brl", "hour_of_day"], 8, 2)
     users = user_features(spark, folder).select(
         "user_id",
         "avg_ticket_30d",

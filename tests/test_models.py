@@ -49,16 +49,18 @@ def test_forest_is_repeatable(cloud):
     assert rows() == rows()
 
 
-def test_large_tables_share_no_rows_between_trees(cloud):
-    drawn = FO.sample_per_tree(cloud.select("id", "a"), "id", 4, 20, 410, 1)
-    assert drawn.count() == drawn.select("id").distinct().count()
-    assert max(r["count"] for r in drawn.groupBy("tree").count().collect()) <= 20
+@pytest.mark.parametrize("trees, samples", [(4, 20), (40, 20), (4, 300)])
+def test_every_tree_gets_its_rows_at_any_size(cloud, trees, samples):
+    drawn = FO.sample_per_tree(cloud.select("id", "a"), "id", trees, samples, 410, 1)
+    sizes = [r["count"] for r in drawn.groupBy("tree").count().collect()]
+    assert sizes == [samples] * trees
+    assert drawn.groupBy("tree", "id").count().filter("count > 1").count() == 0
 
 
 def test_oversized_node_table_is_refused(spark):
     nodes = spark.createDataFrame([(0, i, -1, 0.0, -1, -1, 1, 0) for i in range(9)], FO.NODE_DDL)
     with pytest.raises(ValueError):
-        FO.Forest.collect(nodes, ["a"], 2, max_trees=2)
+        FO.Forest.collect(nodes, ["a"], 2, trees=2)
 
 
 def brute_lof(train, rows, k, same):
@@ -189,3 +191,15 @@ def test_permutation_importance_finds_the_feature(cloud):
     limit = FO.threshold_of(noisy.select(FO.score_column(forest).alias("s")), "s", 0.03)
     got = {r["feature"]: r["importance"] for r in FO.permutation_importance(noisy, forest, "id", limit, repeats=2).collect()}
     assert max(got, key=got.get) == "a"
+
+
+def test_permutation_importance_of_all_rows_in_slots(cloud):
+    noisy = cloud.withColumns({"b": F.rand(1), "c": F.lit(1.0)})
+    nodes, seen = FO.fit_forest(noisy, ["a", "b", "c"], "id", trees=40)
+    forest = FO.Forest.collect(nodes, ["a", "b", "c"], seen)
+    limit = FO.threshold_of(noisy.select(FO.score_column(forest).alias("s")), "s", 0.03)
+    rows = FO.permutation_importance(noisy, forest, "id", limit, repeats=2, slot_rows=50).collect()
+    got = {r["feature"]: r for r in rows}
+    assert set(got) == {"a", "b", "c"}
+    assert max(got, key=lambda n: got[n]["importance"]) == "a"
+    assert got["c"]["importance"] == 0.0 and got["c"]["importance_std"] == 0.0
