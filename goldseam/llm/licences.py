@@ -56,6 +56,30 @@ RULES = {
     "Unlicense": [(24,)],
     "All-Rights-Reserved": [(25,)],
 }
+#: Sentences and wordings that only the joined form knows; the SQL twin has those above.
+MORE = {
+    "You may obtain a copy of the License at https://www.apache.org/licenses/LICENSE-2.0 Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an \"AS IS\" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.": 9,
+    "THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NON-INFRINGEMENT.": 5,
+    "Permission to use, copy, modify, and distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies.": 21,
+    "This library is free software;": 101,
+    "you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.": 102,
+    "you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation, either version 2.1 of the License, or (at your option) any later version.": 103,
+    "you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.": 104,
+    "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted.": 105,
+    "Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software and accompanying documentation covered by this license (the \"Software\") to use, reproduce, display, distribute, execute, and transmit the Software, and to prepare derivative works of the Software, and to permit third-parties to whom the Software is furnished to do so, all subject to the following:": 106,
+    "Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and redistribute it freely, subject to the following restrictions:": 107,
+}
+MORE_RULES = {
+    "LGPL-3.0": [(11, 102), (101, 102)],
+    "LGPL-2.1": [(11, 103), (101, 103)],
+    "AGPL-3.0": [(11, 104)],
+    "0BSD": [(105,)],
+    "BSL-1.0": [(106,)],
+    "Zlib": [(107,)],
+}
+#: A sentence of so few words that is a rule by itself has to be a whole sentence or paragraph in
+#: the joined form; longer ones may also start or end with a line.
+SHORT_WORDS = 15
 #: A rule that a longer one contains is not reported beside it.
 CONTAINED = {"BSD-2-Clause": "BSD-3-Clause"}
 #: Every known sentence holds one of these; texts without them have no known sentence.
@@ -88,13 +112,63 @@ def _sequence(text: Column) -> Column:
     return F.concat(F.lit(","), F.concat_ws(",", F.transform(ids, lambda i: i.cast("string"))), F.lit(","))
 
 
+# Marks in the joined form: a sentence end; a blank line or the end of a copyright or title line; any
+# other line break.
+_STOP, _GAP, _BREAK = "\x01", "\x02", "\x03"
+_TITLE = (
+    rf"(?m)(^|{_STOP})([^a-z0-9\r\n]*(?:(?:copyright|\(c\)|\u00a9)[^\r\n]*|[^\r\n]{{0,60}}\blicen[cs]e"
+    r"[^a-z0-9\r\n]*(?:\([^()\r\n]*\))?[^a-z0-9\r\n]*))[\r\n]+"
+)
+
+
+def _joined_known() -> dict[str, int]:
+    return {**_known(), **{normal(s): i for s, i in MORE.items()}}
+
+
+def _joined_pattern() -> str:
+    """Every known sentence between two marks, with line breaks between any two words."""
+    alone = {rule[0] for rules in [*RULES.values(), *MORE_RULES.values()] for rule in rules if len(rule) == 1}
+    strict, loose = [], []
+    for sentence, i in _joined_known().items():
+        words = sentence.split(" ")
+        if i in alone and len(words) < SHORT_WORDS:
+            strict.append(f"(?: {_BREAK})? ".join(words))
+        else:
+            loose.append(f"(?: [{_GAP}{_BREAK}])? ".join(words))
+    return (
+        rf"(?<=[{_STOP}{_GAP}{_BREAK}] )(?:{'|'.join(loose)})(?= [{_STOP}{_GAP}{_BREAK}])"
+        rf"|(?<=[{_STOP}{_GAP}] )(?:{'|'.join(strict)})(?= [{_STOP}{_GAP}])"
+    )
+
+
+def _joined(text: Column) -> Column:
+    """Known identifiers in the order of the text, where the ends of sentences and of lines both
+    count as cuts and a sentence may run over line breaks."""
+    marks = _STOP + _GAP + _BREAK
+    plain = F.translate(text, UPPER + marks, LOWER + " " * len(marks))
+    plain = F.regexp_replace(plain, _END, f"$1 {_STOP} ")
+    plain = F.regexp_replace(plain, _TITLE, f"$1$2 {_GAP} ")
+    plain = F.regexp_replace(plain, r"\r\n|[\r\n]", f" {_BREAK} ")
+    plain = F.trim(F.regexp_replace(plain, f"[^a-z0-9{marks}]+", " "))
+    plain = F.concat(F.lit(f"{_STOP} "), plain, F.lit(f" {_STOP} "))
+    # Of marks in a row the strongest stays; two line breaks are a blank line.
+    plain = F.regexp_replace(plain, f"(?:[{_GAP}{_BREAK}] )*+{_STOP} (?:[{marks}] )*+", f"{_STOP} ")
+    plain = F.regexp_replace(plain, f"(?:[{_GAP}{_BREAK}] ){{2,}}+|{_GAP} ", f"{_GAP} ")
+    known = F.create_map(*[F.lit(x) for pair in _joined_known().items() for x in pair])
+    found = F.regexp_extract_all(plain, F.lit(_joined_pattern()), F.lit(0))
+    ids = F.transform(found, lambda s: known[F.regexp_replace(s, f" [{_GAP}{_BREAK}]", "")].cast("string"))
+    return F.concat(F.lit(","), F.concat_ws(",", ids), F.lit(","))
+
+
 def find_licences(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """All columns, ``_sentences`` (known identifiers in order) and ``_licences`` (names in order).
 
-    A text is cut into sentences twice: as lines, and with line breaks read as spaces, because
-    notices are often wrapped; a rule may hold in either. Everything is one narrow pass without a
-    shuffle. Null and empty texts have no sentences; repeated rows are kept; an empty table gives
-    no rows; existing columns of these two names are replaced.
+    For ``_sentences`` a text is cut into sentences twice: as lines, and with line breaks read as
+    spaces. Verbatim notices have wrapped sentences below lines without a full stop, so
+    ``_licences`` also follows a third, joined form with the cuts of both (``_joined``); a rule may
+    hold in any of the three. Everything is one narrow pass without a shuffle. Null and empty texts
+    have no sentences; repeated rows are kept; an empty table gives no rows; existing columns of
+    these two names are replaced.
     """
     text = F.regexp_replace(F.coalesce(F.col(text_col), F.lit("")), _SHORT, "v ")
     folded = F.translate(F.col(text_col), UPPER, LOWER)
@@ -102,18 +176,30 @@ def find_licences(docs: DataFrame, text_col: str = "text") -> DataFrame:
     for word in CUES:
         cue = cue | folded.contains(word)
     both = F.concat(_sequence(F.regexp_replace(text, "[\r\n]+", " ")), F.lit("|"), _sequence(text))
-    rows = docs.withColumn("_sentences", F.when(cue, both).otherwise(F.lit(",,|,,")))
-    names = []
-    for name, rules in RULES.items():
-        held = F.lit(False)
+    joined = "_joined"
+    while joined in docs.columns:
+        joined += "_"
+    rows = docs.withColumns(
+        {
+            "_sentences": F.when(cue, both).otherwise(F.lit(",,|,,")),
+            joined: F.when(cue, _joined(text)).otherwise(F.lit(",,")),
+        }
+    )
+
+    def holds(rules) -> Column:
+        out = F.lit(False)
         for rule in rules:
-            held = held | F.col("_sentences").contains("," + ",".join(map(str, rule)) + ",")
-        longer = CONTAINED.get(name)
-        if longer:
-            for rule in RULES[longer]:
-                held = held & ~F.col("_sentences").contains("," + ",".join(map(str, rule)) + ",")
+            ids = "," + ",".join(map(str, rule)) + ","
+            out = out | F.col("_sentences").contains(ids) | F.col(joined).contains(ids)
+        return out
+
+    names = []
+    for name, rules in {**RULES, **MORE_RULES}.items():
+        held = holds(rules)
+        if name in CONTAINED:
+            held = held & ~holds(RULES[CONTAINED[name]])
         names.append(F.when(held, F.lit(name)))
-    return rows.withColumn("_licences", F.array_compact(F.array(*names)))
+    return rows.withColumn("_licences", F.array_compact(F.array(*names))).drop(joined)
 
 
 def sql() -> str:

@@ -243,6 +243,100 @@ def test_licences(spark, docs, none):
     assert licences.find_licences(docs).count() == len(edge_rows()) and licences.find_licences(none).count() == 0
 
 
+MIT = """MIT License
+
+Copyright (c) 2020 Jane Doe
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
+IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,
+FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE
+AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER
+LIABILITY."""
+APACHE = """Copyright 2020 X
+
+Licensed under the Apache License, Version 2.0 (the "License");
+you may not use this file except in compliance with the License.
+You may obtain a copy of the License at
+
+    http://www.apache.org/licenses/LICENSE-2.0
+
+Unless required by applicable law or agreed to in writing, software
+distributed under the License is distributed on an "AS IS" BASIS,
+WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.
+See the License for the specific language governing permissions and
+limitations under the License."""
+GPL = """prog - does things
+Copyright (C) 2020 Jane Doe
+
+This program is free software: you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation, either version 3 of the License, or
+(at your option) any later version.
+
+This program is distributed in the hope that it will be useful,
+but WITHOUT ANY WARRANTY; without even the implied warranty of
+MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE."""
+ISC = """ISC License
+
+Copyright (c) 2020, Jane Doe
+
+Permission to use, copy, modify, and/or distribute this software for any
+purpose with or without fee is hereby granted, provided that the above
+copyright notice and this permission notice appear in all copies.
+
+THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES"""
+BSD = """BSD 3-Clause License
+
+Copyright (c) 2020, Jane Doe
+
+Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution.
+
+3. Neither the name of the copyright holder nor the names of its
+   contributors may be used to endorse or promote products derived from
+   this software without specific prior written permission.
+
+THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS\""""
+
+
+def test_licences_wrapped(spark):
+    """Verbatim notices: alone, inside comments, with other line ends, below a line without a stop."""
+    notices = {
+        "MIT": MIT, "Apache-2.0": APACHE, "GPL-3.0": GPL, "ISC": ISC, "BSD-3-Clause": BSD,
+        "BSD-2-Clause": BSD[: BSD.index("3. Neither")], "GPL-2.0": GPL.replace("software:", "software;").replace("n 3 ", "n 2 "),
+        "LGPL-3.0": GPL.replace("General", "Lesser General"), "AGPL-3.0": GPL.replace("General", "Affero General"),
+        "MPL-2.0": "This Source Code Form is subject to the terms of the Mozilla Public\nLicense, v. 2.0. If a copy of the MPL was not "
+                   "distributed with this\nfile, You can obtain one at https://mozilla.org/MPL/2.0/.",
+    }
+    rows = []
+    for name, text in notices.items():
+        forms = [text, text.replace("\n", "\r\n"), "/*\n * " + text.replace("\n", "\n * ") + "\n */\nint main;"]
+        forms += ["# " + text.replace("\n", "\n# "), "read me first\n" + text + "\nand so on", text.replace("\n\n", "\n")]
+        rows += [(name, i, form) for i, form in enumerate(forms)]
+    no = ["This is not\nlicensed under\nthe MIT License.", MIT.replace("free of charge, ", ""), GPL.replace("General", "Other")]
+    rows += [("", i, text) for i, text in enumerate(no)]
+    found = licences.find_licences(spark.createDataFrame(rows, "name string, form int, text string")).collect()
+    wrong = [(r["name"], r.form, r["_licences"]) for r in found if r["_licences"] != ([r["name"]] if r["name"] else [])]
+    assert not wrong
+
+
 def test_packing(docs, none):
     got = packing.pack(docs, JSON, open_windows=2, size=64).collect()
     left = sorted(((r[0], np.append(ids_of(r[1]), 0).astype("<u4").tobytes()) for r in edge_rows()), key=repr)
