@@ -18,7 +18,7 @@ from goldseam.workloads.registry import table
 # Comments and raw elements, tags with quoted attributes, any other mark-up, a cut-off tag.
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    r"|<(?P<raw>script|style|noscript|template|svg|iframe|textarea|title|math|object)\b[^>]*+>.*?(?:</(?P=raw)\s*>|\Z)"
+    r"|<(?P<raw>script|style|noscript|template|svg|iframe|textarea|title)\b[^>]*+>.*?(?:</(?P=raw)\s*>|\Z)"
     r"|<(?P<close>/?)(?P<tag>[a-z][^\s/>]*+)(?P<attrs>(?:=\s*+\"[^\"]*+\"|=\s*+'[^']*+'|[^>=]|=(?!\s*[\"']))*+)>"
     r"|<[a-z/!?][^>]*+(?:>|\Z)",
     re.DOTALL | re.IGNORECASE,
@@ -27,7 +27,9 @@ _ATTR = re.compile(r"""([a-z-]+)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.
 _WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
 INLINE = set(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s "
-    "samp small span strike strong sub sup time tt u var wbr".split()
+    "samp small span strike strong sub sup time tt u var wbr "
+    "math mi mn mo ms mtext mspace mrow mfrac msqrt mroot mstyle mpadded mphantom mover munder munderover "
+    "msub msup msubsup mmultiscripts mprescripts semantics annotation annotation-xml".split()
 )
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 #: An opening tag ends these open elements, up to the nearest of their containers.
@@ -42,9 +44,11 @@ ENDS = {
 }
 PARAGRAPHS = {"p", "pre", "td", "blockquote", "li", "dd"}
 DROPPED = set(
-    "nav footer aside form button select option input dialog menu head script style noscript template "
-    "iframe svg fieldset datalist audio video canvas map".split()
+    "nav footer aside button select option input dialog menu head script style noscript template "
+    "iframe svg datalist audio video canvas map annotation annotation-xml".split()
 )
+#: Often small, but some pages stand in one as a whole.
+FORMS = {"form", "fieldset"}
 #: Words in class, id or role that mark menus, notices, adverts, reader comments and the like.
 SIDE_WORDS = set(
     "ad ads adv advert adverts advertisement advertising banner sponsor sponsored promo promotion sidebar "
@@ -53,8 +57,18 @@ SIDE_WORDS = set(
     "social related recommended newsletter subscribe subscription signup login search form widget "
     "toolbar pager pagination skip hidden outbrain taboola copyright contentinfo complementary".split()
 )
+#: Side words that also name the layout of a page in the class of its wrapper.
+LAYOUT_WORDS = set(
+    "banner sidebar nav navbar navigation menu header footer masthead notice alert modal overlay share "
+    "sharing social login search form widget toolbar skip copyright".split()
+)
+#: Before a side word: the wrapper has or lacks such a part.
+STATES = {"has", "have", "no", "with", "without"}
 MAIN_WORDS = set("article content main body post entry story text".split())
 WHOLE = {"article", "main"}
+#: A marked element stays if it holds at least half of the text around it and the rest, outside all
+#: marked elements, is less than this share: for layout words and forms, for other words.
+REST_BESIDE_LAYOUT, REST_BESIDE_OTHER = 0.2, 0.02
 
 
 class Page:
@@ -63,38 +77,106 @@ class Page:
     def __init__(self, source: str):
         self.tags, self.parents, self.side = ["root"], [-1], [False]
         self.link, self.named = [False], [False]
+        #: Elements that may be side matter, by their marks: the share that may lie beside them.
+        self.marked: dict[int, float] = {}
         self.events: list[tuple[int, str | None]] = []
         self._read(source)
+        if self.marked:
+            self._settle()
 
     def _open(self, tag: str, attrs: str, parent: int) -> int:
-        side, named = self.side[parent], False
+        side, named, rest = self.side[parent], False, None
         if not side:
             inside = self._within(parent, WHOLE)
             side = tag in DROPPED or (tag == "header" and not inside)
+            if tag in FORMS:
+                rest = REST_BESIDE_LAYOUT
             if attrs and tag not in ("html", "body"):
-                words, marked = self._words(attrs)
-                named = bool(words & MAIN_WORDS)
-                side = side or marked or (bool(words & SIDE_WORDS) and not named and tag not in WHOLE)
+                words, named, hidden = self._words(attrs)
+                side = side or hidden
+                if words and not named and tag not in WHOLE:
+                    rest = REST_BESIDE_LAYOUT if words <= LAYOUT_WORDS else REST_BESIDE_OTHER
         self.tags.append(tag)
         self.parents.append(parent)
         self.side.append(side)
         self.link.append(self.link[parent] or tag == "a")
         self.named.append(named)
+        if rest is not None and not side:
+            self.marked[len(self.tags) - 1] = rest
         return len(self.tags) - 1
 
     @staticmethod
-    def _words(attrs: str) -> tuple[set[str], bool]:
-        words: set[str] = set()
-        marked = bool(re.search(r"(?:^|\s)hidden(?=[\s/]|$)", attrs, re.IGNORECASE))
+    def _words(attrs: str) -> tuple[set[str], bool, bool]:
+        """Side words, whether a name ends in a main word, and whether the element is hidden.
+
+        In each name the last known word decides: ``post-comments`` are comments.
+        """
+        sides: set[str] = set()
+        named = False
+        hidden = bool(re.search(r"(?:^|\s)hidden(?=[\s/]|$)", attrs, re.IGNORECASE))
         for m in _ATTR.finditer(attrs):
             name, value = m[1].lower(), m[2] or m[3] or m[4] or ""
             if name in ("class", "id", "role"):
-                words.update(w.lower() for w in _WORD.findall(value))
+                for part in value.split():
+                    last, before = None, ""
+                    for word in map(str.lower, _WORD.findall(part)):
+                        if word in MAIN_WORDS or (word in SIDE_WORDS and before not in STATES):
+                            last = word
+                        before = word
+                    if last in MAIN_WORDS:
+                        named = True
+                    elif last:
+                        sides.add(last)
             elif name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.IGNORECASE):
-                marked = True
+                hidden = True
             elif name == "aria-hidden" and value.lower() == "true":
-                marked = True
-        return words, marked
+                hidden = True
+        return sides, named, hidden
+
+    def _settle(self) -> None:
+        """Decide which marked elements are side matter, outer ones first.
+
+        One stays if it wraps the page's main element, or, by its layout words, the only articles,
+        or nearly all unlinked text around it; all others are dropped as a whole.
+        """
+        n = len(self.tags)
+        text, around, mark, whole, main, direct = ([0] * n for _ in range(6))
+        for node, piece in self.events:
+            if piece and not self.side[node] and not self.link[node]:
+                text[node] += len(piece.strip())
+        # The nearest marked element or article, and the nearest marked element, with the own one.
+        for node in range(1, n):
+            up, held = self.parents[node], node in self.marked
+            around[node] = node if held or self.tags[node] in WHOLE else around[up]
+            mark[node] = node if held else mark[up]
+            if self.tags[node] in WHOLE and not self.side[node]:
+                direct[mark[node]] += 1
+        for node in range(n - 1, 0, -1):
+            up = self.parents[node]
+            if not self.side[node]:
+                whole[node] += self.tags[node] in WHOLE
+                main[node] += self.tags[node] == "main"
+            # Articles in the elements of other words, such as comments, are no evidence.
+            if self.marked.get(node) != REST_BESIDE_OTHER:
+                whole[up] += whole[node]
+            main[up] += main[node]
+            text[up] += text[node]
+        beside = text[:]
+        for node in self.marked:
+            beside[around[self.parents[node]]] -= text[node]
+        # Whether an article lies free, or in a marked element that stays.
+        free = {0: direct[0] > 0}
+        for node in range(1, n):
+            up = self.parents[node]
+            self.side[node] |= self.side[up]
+            rest = self.marked.get(node)
+            if rest is None or self.side[node]:
+                continue
+            known, space = free[mark[up]], around[up]
+            wraps = not known and (main[node] or (whole[node] and rest == REST_BESIDE_LAYOUT))
+            most = 2 * text[node] >= text[space] and beside[space] < rest * text[space]
+            self.side[node] = not (wraps or most)
+            free[node] = known or direct[node] > 0
 
     def _within(self, node: int, tags: set[str]) -> bool:
         while node >= 0:

@@ -148,6 +148,34 @@ def test_main_text():
     assert htmltext.main_text('<article><p>x<a title="' * 500) is not None
 
 
+LONG = "<p>" + "A long sentence, with words, and more of them, for the text. " * 6 + "</p>"
+READERS = '<div><p>I, as a reader, say, this, and, that, and, more.</p></div>'
+
+
+def test_main_text_wrappers():
+    """A mark on the wrapper of a page does not drop the page; comments in an article go."""
+    text = htmltext.main_text(f"<main><h1>Title</h1>{LONG * 2}</main>")
+    inner = f"<h1>Title</h1>{LONG * 2}"
+    menu = '<nav><a href="/">Home</a></nav>'
+    for opened, closed in (
+        ("<div class='layout has-sidebar'>", "</div>"), ("<div id='page' class='no-sidebar'>", "</div>"),
+        ("<div class='social-science'>", "</div>"), ("<form runat='server'>", "</form>"), ("<div class='sidebar-layout'>", "</div>"),
+        ("<div class='header-fixed'><form><div class='nav-left'>", "</div></form></div>"),
+    ):
+        side = '<div class="sidebar"><p>Some, words, beside, the, text.</p></div>'
+        for body in (inner, f"<article>{inner}</article>", f"<main>{inner}</main>", f"<div id='main'>{inner}</div>"):
+            got = htmltext.main_text(f"<body>{opened}{menu}{body}{side}{closed}<footer>end</footer></body>")
+            assert got == text, (opened, body[:20], got)
+    for name in ("post-comments", "article-comments", "comments"):
+        comments = f'<section id="{name}">{READERS}</section>'
+        assert htmltext.main_text(f"<article>{inner}{comments}</article>") == text
+        replies = f'<div class="{name}"><article class="comment">{READERS * 40}</article></div>'
+        assert htmltext.main_text(f"<div class='post'>{inner}</div>{replies}") == text
+    formula = "<p>Here <math><mi>x</mi><mo>=</mo><mn>2</mn><annotation>x=2</annotation></math> holds.</p>"
+    assert htmltext.main_text(f"<article>{formula}<object data='a'>shown instead</object></article>") == "Here x=2 holds. shown instead"
+    assert htmltext.main_text("<div class=nav>" * 3000 + "deep") == "deep"
+
+
 def test_main_text_table(spark):
     pages = spark.createDataFrame([(1, "u", PAGE, "old"), (1, "u", PAGE, "old"), (None, None, None, None)],
                                   "page_id long, url string, html string, _text string")
