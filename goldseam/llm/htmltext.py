@@ -43,6 +43,7 @@ ENDS = {
     "option": ({"option"}, {"select"}),
 }
 PARAGRAPHS = {"p", "pre", "td", "blockquote", "li", "dd"}
+PROSE = {"p", "pre", "blockquote", "h1", "h2", "h3", "h4", "h5", "h6"}
 DROPPED = set(
     "nav footer aside button select option input dialog menu head script style noscript template "
     "iframe svg datalist audio video canvas map annotation annotation-xml".split()
@@ -69,6 +70,8 @@ WHOLE = {"article", "main"}
 #: A marked element stays if it holds at least half of the text around it and the rest, outside all
 #: marked elements, is less than this share: for layout words and forms, for other words.
 REST_BESIDE_LAYOUT, REST_BESIDE_OTHER = 0.2, 0.02
+#: Text beside the best element belongs to it while less than this share of it is linked.
+LINKED_MOST = 0.3
 
 
 class Page:
@@ -286,21 +289,41 @@ class Page:
         best = max(range(n), key=lambda i: (score[i], i), default=0)
         if score[best] <= 0:
             return {0}
-        above = best
+        above, whole = best, False
         while above > 0:
             if self.tags[above] in WHOLE:
-                best = above
+                best, whole = above, True
                 break
             above = self.parents[above]
         chosen = {best}
+        children: dict[int, list[int]] = {}
         for node in range(1, n):
-            if self.parents[node] != self.parents[best] or node == best or not length[node]:
-                continue
+            if length[node]:
+                children.setdefault(self.parents[node], []).append(node)
+        for node in children.get(self.parents[best], ()):
             dense = linked[node] / length[node]
             tag = self.tags[node]
-            plain = tag == "p" and dense < 0.25 and (length[node] > 80 or dense == 0)
-            if score[node] >= max(10, 0.2 * score[best]) or plain or tag in ("h1", "h2"):
+            if whole:
+                plain = tag == "p" and dense < 0.25 and (length[node] > 80 or dense == 0)
+                if score[node] >= max(10, 0.2 * score[best]) or plain or tag in ("h1", "h2"):
+                    chosen.add(node)
+            elif dense < LINKED_MOST or tag in ("h1", "h2"):
                 chosen.add(node)
+        if whole:
+            return chosen
+        # Other parts of the text may lie further up: all of little linked text that
+        # hold a paragraph, a heading or a long block.
+        long = [False] * n
+        for block, (size, _) in paragraphs.items():
+            long[block] = size >= 80 or self.tags[block] in PROSE
+        for node in range(n - 1, 0, -1):
+            long[self.parents[node]] |= long[node]
+        above = self.parents[best]
+        while above > 0:
+            for node in children.get(self.parents[above], ()):
+                if long[node] and node != above and linked[node] < LINKED_MOST * length[node]:
+                    chosen.add(node)
+            above = self.parents[above]
         return chosen
 
 

@@ -176,6 +176,19 @@ def test_main_text_wrappers():
     assert htmltext.main_text("<div class=nav>" * 3000 + "deep") == "deep"
 
 
+def test_main_text_siblings():
+    """Short parts beside the best element, and parts further up, belong to the text."""
+    first = f"<div>{LONG * 8}</div>"
+    last = "<h2>End</h2><p>" + "A closing paragraph of about eighty characters that ends the page, in all. </p>"
+    rest = "<ul><li>one</li><li>two</li></ul><blockquote>said</blockquote><pre>code</pre><h3>Sub</h3><table><tr><td>cell</td></tr></table>"
+    links = "<ul>" + '<li><a href="/x">Other page</a></li>' * 9 + "</ul>"
+    end = "End A closing paragraph of about eighty characters that ends the page, in all."
+    got = htmltext.main_text(f"<div id='wrap'>{first}<div>{last}</div>{rest}{links}</div>")
+    assert got.endswith(f"{end} one two said code Sub cell")
+    got = htmltext.main_text(f"<div><div class='row'>{first}</div><div class='row'><div>{last}</div></div>{links}</div>")
+    assert got.endswith(end) and "Other page" not in got
+
+
 def test_main_text_table(spark):
     pages = spark.createDataFrame([(1, "u", PAGE, "old"), (1, "u", PAGE, "old"), (None, None, None, None)],
                                   "page_id long, url string, html string, _text string")
