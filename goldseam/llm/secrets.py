@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -30,7 +31,12 @@ SENSITIVE = re.compile(
     r"authorization|bearer|client[_-]?id|auth",
     re.ASCII | re.IGNORECASE,
 )
-_CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
+LEAST_LENGTH = 16
+_CANDIDATE = re.compile(rf"[A-Za-z0-9+/_=-]{{{LEAST_LENGTH},}}")
+_PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
+_VOWEL = re.compile(r"[aeiouyAEIOUY]")
+#: Share of vowels from which letters in parts of three or more read like words; random ones have 0.23.
+LEAST_VOWELS = 0.28
 #: Identifiers that prime the compressor.
 IDENTIFIERS = (
     "password passwd secret token api_key apikey access_key private_key client_id client_secret "
@@ -78,22 +84,49 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(out)
 
 
-def novel_spans(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
-    """Incompressible strings near a sensitive word, outside the spans that are known already."""
-    out, last = [], -1
-    for word in SENSITIVE.finditer(text):
-        for m in _CANDIDATE.finditer(text, word.end(), word.end() + CONTEXT + 256):
-            if m.start() > word.end() + CONTEXT:
+def _candidates(text: str) -> list[tuple[int, int]]:
+    """Strings with a sensitive word at most ``CONTEXT`` characters before or after them.
+
+    A word inside a string cuts it: the parts before and behind it count.
+    """
+    words = [m.span() for m in SENSITIVE.finditer(text)]
+    out: set[tuple[int, int]] = set()
+    for _, after in words:
+        for m in _CANDIDATE.finditer(text, after, after + CONTEXT + 256):
+            if m.start() > after + CONTEXT:
                 break
             # A candidate that the window cuts is followed to its end.
-            start, end = _CANDIDATE.match(text, m.start()).span()
-            if start <= last or any(s < end and start < e for s, _, e in base):
-                continue
-            last = start
-            mixed = re.search(r"\d", text[start:end]) and re.search(r"[A-Za-z]", text[start:end])
-            around = (text[max(0, start - CONTEXT) : start], text[end : end + CONTEXT])
-            if mixed and novelty(around[0], text[start:end], around[1]) >= LEAST_NOVELTY:
-                out.append((start, 3, end))
+            out.add(_CANDIDATE.match(text, m.start()).span())
+    starts = [start for start, _ in words]
+    for m in _CANDIDATE.finditer(text) if words else ():
+        place = bisect_left(starts, m.start())
+        if place < len(starts):
+            end = min(m.end(), starts[place])
+            if starts[place] - end <= CONTEXT and end - m.start() >= LEAST_LENGTH:
+                out.add((m.start(), end))
+    return sorted(out, key=lambda x: (x[0], -x[1]))
+
+
+def wordlike(candidate: str) -> bool:
+    """Whether a string without digits reads like words or a name: long parts with vowels."""
+    parts = _PART.findall(candidate)
+    n = sum(map(len, parts))
+    return n >= 3 * len(parts) and len(_VOWEL.findall(candidate)) >= LEAST_VOWELS * n
+
+
+def novel_spans(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
+    """Incompressible strings near a sensitive word, outside the spans that are known already."""
+    out, last, done = [], -1, -1
+    for start, end in _candidates(text):
+        if start <= last or end <= done or any(s < end and start < e for s, _, e in base):
+            continue
+        candidate = text[start:end]
+        if not re.search(r"[A-Za-z]", candidate) or not (re.search(r"\d", candidate) or not wordlike(candidate)):
+            continue
+        around = (text[max(0, start - CONTEXT) : start], text[end : end + CONTEXT])
+        if novelty(around[0], candidate, around[1]) >= LEAST_NOVELTY:
+            out.append((start, 3, end))
+            last, done = start, end
     return out
 
 

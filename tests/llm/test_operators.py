@@ -272,6 +272,25 @@ def test_secrets(docs, none):
     assert secrets.redact(docs).count() == len(edge_rows()) and secrets.scan_secrets(none).count() == 0
 
 
+def test_secrets_on_either_side(spark):
+    """Candidates before their word, and without digits; names and long words stay."""
+    key, letters = "kJ8f2LmQx93ZbVt7Yw0RsPd4", "kJxfLmQxBvZbVtGYwHRsPdNc"
+    found = lambda text: secrets.joined(secrets.novel_spans(text, []))
+    assert found(f'x = "{key}" # auth header') == "novel:5:29"
+    assert found(f"the value {letters} is our token") == "novel:10:34" and found(f"bearer {letters}") == "novel:7:31"
+    assert found(f"auth {key}, token") == "novel:5:29" and found(f"{key}_token") == "novel:0:25"
+    assert found(f"{key}{' ' * 64}auth") == "novel:0:24" and found(f"{key}{' ' * 65}auth") == ""
+    rng, letter = random.Random(2), "abcdefghijklmnopqrstuvwxyz"
+    long = "".join(rng.choice(letter + letter.upper() + "0123456789+/") for _ in range(900))
+    assert found(f"{long} token") == f"novel:0:{len(long)}"
+    names = "internationalization Verantwortlichkeit MyVeryOwnFactoryBean XMLHttpRequestUpload THE_CONSTANT_VALUE_NAME 4122859641637651"
+    assert [n for n in names.split() if found(f"auth {n}") or found(f"{n} auth")] == []
+    made = ["".join(rng.choice(letter + letter.upper()) for _ in range(16)) for _ in range(300)]
+    assert sum(bool(found(f"the auth header is {x} here")) for x in made) > 270
+    df = spark.createDataFrame([(1, f'x = "{key}" # auth header')], "doc_id long, text string")
+    assert secrets.redact(df).first().text == 'x = "[secret]" # auth header'
+
+
 def test_licences(spark, docs, none):
     mit = " ".join(licences.SENTENCES[i] for i in (3, 4, 5))
     rows = [(1, mit.replace(", ", ",\n")), (2, "a. Released under the MIT License.\nb"), (3, None), (4, ""),
