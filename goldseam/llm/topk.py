@@ -14,7 +14,7 @@ from goldseam.llm.common import written
 from goldseam.llm.registry import query
 from goldseam.workloads.registry import table
 
-FOUND = "query_id long, vec_id long, score long"
+FOUND = "query_id long, asked long, vec_id long, score long"
 
 
 class Tree:
@@ -93,7 +93,7 @@ class Tree:
 def _search(candidates: pd.DataFrame, queries: pd.DataFrame, k: int) -> pd.DataFrame:
     """The best ``k`` candidates of every query, for one shard and one block of queries."""
     if not len(candidates) or not len(queries):
-        return pd.DataFrame({c: pd.Series(dtype="int64") for c in ("query_id", "vec_id", "score")})
+        return pd.DataFrame({c: pd.Series(dtype="int64") for c in ("query_id", "asked", "vec_id", "score")})
     vectors, wanted = (np.array(x["vector"].tolist(), np.int64) for x in (candidates, queries))
     most = int(np.abs(vectors).max(initial=0)) * int(np.abs(wanted).max(initial=0)) * vectors.shape[1]
     if most < 2**53:
@@ -106,9 +106,10 @@ def _search(candidates: pd.DataFrame, queries: pd.DataFrame, k: int) -> pd.DataF
     for at in range(0, len(wanted), 256):
         cut = slice(at, at + 256)
         bounds = up[cut] @ tree.high.T + down[cut] @ tree.low.T
-        for own, q, b, limit in zip(queries["vec_id"].iloc[cut], wanted[cut], bounds, known[cut]):
-            out += [(own, -i, s) for s, i in tree.search(int(own), q, b.tolist(), k, limit)]
-    return pd.DataFrame(out, columns=["query_id", "vec_id", "score"])
+        names = zip(queries["vec_id"].iloc[cut], queries["asked"].iloc[cut])
+        for (own, number), q, b, limit in zip(names, wanted[cut], bounds, known[cut]):
+            out += [(own, number, -i, s) for s, i in tree.search(int(own), q, b.tolist(), k, limit)]
+    return pd.DataFrame(out, columns=["query_id", "asked", "vec_id", "score"])
 
 
 def top_inner_products(
@@ -131,8 +132,9 @@ def top_inner_products(
 
     Vectors that are null, or hold a null or non-finite component, take no part, nor do rows with
     a null id. Vectors of another length than the query's are compared by no definition and raise
-    an error. Equal scores go to the smaller id; rows that repeat an id count as rows, and a
-    query's own id is no candidate. Fewer candidates than ``k`` give fewer rows; an empty table
+    an error. Equal scores go to the smaller id; candidate rows that repeat an id count as rows, and
+    a query's own id is no candidate. Equal query rows are one query; an id with several vectors is
+    one query for each of them, with a list of its own, so its ranks repeat. Fewer candidates than ``k`` give fewer rows; an empty table
     none; other columns are ignored.
     """
     x = F.col(vector_col)
@@ -142,7 +144,8 @@ def top_inner_products(
     rows = vectors.where(good).select(F.col(id_col).cast("long").alias("vec_id"), whole.alias("vector"))
     rows = written(rows, "vectors")
     n = rows.count()
-    asked = rows.where(is_query)
+    # The hash tells the vectors of one id apart, and equal rows are asked once.
+    asked = rows.where(is_query).withColumn("asked", F.xxhash64("vector")).dropDuplicates(["vec_id", "asked"])
     shards, blocks = max(1, math.ceil(n / shard_rows)), max(1, math.ceil(asked.count() / block_rows))
     deal = lambda parts: F.pmod(F.xxhash64("vec_id", F.lit(parts)), F.lit(parts)).cast("int")
     dealt = rows.withColumn("shard", deal(shards))
@@ -156,19 +159,19 @@ def top_inner_products(
 
     def best(found: DataFrame, upto: int) -> DataFrame:
         place = F.row_number().over(
-            Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+            Window.partitionBy("query_id", "asked").orderBy(F.desc("score"), "vec_id")
         )
         return found.withColumn("rank", place).where(F.col("rank") <= upto)
 
     numbers = F.sequence(F.lit(0), F.lit(blocks - 1))
     spread = dealt.withColumn("block", F.explode(numbers))
     none = [F.lit(None).cast("long").alias(c) for c in ("kth_score", "kth_id")]
-    start = asked.select("vec_id", "vector", "block", first_shard.alias("shard"), *none)
+    start = asked.select("vec_id", "asked", "vector", "block", first_shard.alias("shard"), *none)
     first = written(run(spread.where(first_shard == F.col("shard")), start), "first-shard")
     kth = best(first, k).where(F.col("rank") == k).select(
-        F.col("query_id").alias("vec_id"), F.col("score").alias("kth_score"), F.col("vec_id").alias("kth_id")
+        F.col("query_id").alias("vec_id"), "asked", F.col("score").alias("kth_score"), F.col("vec_id").alias("kth_id")
     )
-    others = asked.join(kth, "vec_id", "left").withColumn(
+    others = asked.join(kth, ["vec_id", "asked"], "left").withColumn(
         "shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1)))
     )
     rest = run(

@@ -460,6 +460,23 @@ def test_topk(spark, shard_rows, block_rows):
     assert topk.top_inner_products(df.where("false"), F.col("vec_id") % 10 == 0).count() == 0
 
 
+@pytest.mark.parametrize("shard_rows", [1000, 16])
+def test_topk_repeated_queries(spark, shard_rows):
+    """A query row that stands twice gives one list; an id with two vectors a list for each."""
+    rng = np.random.default_rng(6)
+    vectors = [(i, rng.normal(size=4).tolist()) for i in range(1, 80)]
+    first, second = rng.normal(size=4).tolist(), rng.normal(size=4).tolist()
+    asked = [(0, first), (0, first), (100, first), (100, second)]
+    df = spark.createDataFrame(vectors + asked, "vec_id long, embedding array<float>")
+    found = topk.top_inner_products(df, F.col("vec_id") % 100 == 0, shard_rows=shard_rows)
+    whole = [(i, np.floor(256 * np.array(v, np.float32).astype(float)).astype(int)) for i, v in vectors + asked]
+    want = []
+    for q, v in ((0, whole[-4][1]), (100, whole[-2][1]), (100, whole[-1][1])):
+        best = sorted((-int(v @ x), i) for i, x in whole if i != q)[:5]
+        want += [(q, k + 1, i, -s) for k, (s, i) in enumerate(best)]
+    assert result(found, "query_id", "rank", "vec_id", "score") == sorted(want, key=repr)
+
+
 def test_pipeline(spark, docs, tmp_path):
     folder = str(tmp_path)
     rng = random.Random(8)
