@@ -265,6 +265,9 @@ def near_copies(
     ``num / den``; a component is what links connect, named by its smallest id. N-grams are
     compared by 64-bit hashes, equal sets are found by 128-bit hashes.
 
+    Only components are computed: sets that are in one component already are not compared, so
+    the links within a component are neither listed nor counted.
+
     A null or empty text, or one without words, has an empty set and links with nothing; rows
     with equal texts link; rows that share an id are separate, and a null id names no component
     (it is null only where all ids are). An empty table gives no rows; other columns are ignored.
