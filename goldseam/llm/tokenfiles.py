@@ -152,7 +152,10 @@ def write_token_files(
 
 
 def read_token_files(spark: SparkSession, path: str) -> DataFrame:
-    """One row per document: ``doc_id, start`` (ids of all documents before it), ``n_tokens, ids``."""
+    """One row per document: ``doc_id, start`` (ids of all documents before it), ``n_tokens, ids``.
+
+    A full scan decodes the boundaries of a block in order; select serves single look-ups.
+    """
 
     def documents(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
