@@ -2,6 +2,7 @@
 
 from goldseam.llm import (  # noqa: F401
     bpe,
+    filteraudit,
     hostrules,
     htmltext,
     licences,
