@@ -8,6 +8,7 @@ from goldseam.llm import (  # noqa: F401
     licences,
     ngramjoin,
     packing,
+    passages,
     quality,
     secrets,
     tokenfiles,
