@@ -11,6 +11,7 @@ from goldseam.llm import (  # noqa: F401
     passages,
     quality,
     secrets,
+    spelling,
     tokenfiles,
     topk,
 )
