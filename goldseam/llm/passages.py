@@ -28,8 +28,8 @@ from goldseam.workloads.registry import table
 COUNTERS = 1 << 20
 #: Words of a chunk within which equal strings are packed once.
 CHUNK_WORDS = 2_000_000
-#: Buckets per shuffle partition; a task unpacks one bucket at a time.
-BUCKETS_EACH = 4
+#: Groups of minimisers in a bucket; a task unpacks and sorts one group at a time.
+GROUPS = 8
 _FACTORS = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)
 _WINDOW = 0x2545F4914F6CDD1D
 
@@ -125,37 +125,51 @@ def _gather(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     return np.arange(int(lengths.sum())) + np.repeat(starts - before, lengths)
 
 
-def _packed(lengths: np.ndarray, least: np.ndarray, most: np.ndarray, words: np.ndarray) -> bytes:
+def _packed(groups: np.ndarray, lengths: np.ndarray, least: np.ndarray, most: np.ndarray, words: np.ndarray) -> bytes:
+    """Strings ordered by group in one row: their words once, the most frequent first, then numbers
+    of words. ``groups`` is the number of strings in each group."""
     import zstandard
 
-    used, at = np.unique(words, return_inverse=True)
+    used, at, counts = np.unique(words, return_inverse=True, return_counts=True)
+    by = np.argsort(-counts, kind="stable")
+    rank = np.empty(len(used), "<u4")
+    rank[by] = np.arange(len(used), dtype="<u4")
     wide = "<u2" if len(used) <= 1 << 16 else "<u4"
     head = np.array([len(lengths), len(used), len(words)], "<u4")
-    low = np.diff(least, prepend=0)
-    parts = [head, lengths.astype("<u4"), low.astype("<i8"), (most - least).astype("<i8")]
-    # Bytes of one weight together: the upper ones repeat.
-    ids = np.ascontiguousarray(at.astype(wide)).view(np.uint8).reshape(len(at), -1).T
-    data = b"".join(p.tobytes() for p in parts) + used.astype("<u8").tobytes() + np.ascontiguousarray(ids).tobytes()
+    parts = [head, groups.astype("<u4"), lengths.astype("<u4")]
+    parts += [np.diff(least, prepend=0).astype("<i8"), (most - least).astype("<i8"), used[by].astype("<u8")]
+    # Bytes of one weight together: the upper ones are nearly all zero.
+    numbers = rank[at].astype(wide).view(np.uint8).reshape(len(at), -1).T
+    data = b"".join(p.tobytes() for p in parts) + np.ascontiguousarray(numbers).tobytes()
     return zstandard.ZstdCompressor(level=1).compress(data)
 
 
-def _unpacked(blob: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    import zstandard
+class Packed:
+    """A packed row read back; ``group(i)`` gives lengths, smallest and largest ids and words."""
+
+    def __init__(self, blob: bytes):
+        import zstandard
+
+        data = zstandard.ZstdDecompressor().decompress(blob)
+        n, n_used, n_words = np.frombuffer(data, "<u4", 3).tolist()
+        groups = np.frombuffer(data, "<u4", GROUPS, 12).astype(np.int64)
+        at = 12 + 4 * GROUPS
+        self.lengths = np.frombuffer(data, "<u4", n, at).astype(np.int64)
+        self.least = np.cumsum(np.frombuffer(data, "<i8", n, at + 4 * n))
+        self.most = self.least + np.frombuffer(data, "<i8", n, at + 12 * n)
+        at += 20 * n
+        self.used = np.frombuffer(data, "<u8", n_used, at)
+        at += 8 * n_used
+        wide = 2 if n_used <= 1 << 16 else 4
+        self.planes = np.frombuffer(data, np.uint8, wide * n_words, at).reshape(wide, n_words)
+        self.cuts = np.concatenate([[0], np.cumsum(groups)])
+        self.word_cuts = np.concatenate([[0], np.cumsum(self.lengths)])[self.cuts]
 
-    data = zstandard.ZstdDecompressor().decompress(blob)
-    n, n_used, n_words = np.frombuffer(data, "<u4", 3).tolist()
-    at = 12
-    lengths = np.frombuffer(data, "<u4", n, at).astype(np.int64)
-    low = np.frombuffer(data, "<i8", n, at + 4 * n)
-    least = np.cumsum(low)
-    most = least + np.frombuffer(data, "<i8", n, at + 12 * n)
-    at += 20 * n
-    used = np.frombuffer(data, "<u8", n_used, at)
-    at += 8 * n_used
-    wide = 2 if n_used <= 1 << 16 else 4
-    ids = np.frombuffer(data, np.uint8, wide * n_words, at).reshape(wide, n_words)
-    ids = np.ascontiguousarray(ids.T).view(f"<u{wide}").ravel()
-    return lengths, least, most, used[ids]
+    def group(self, i: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        lo, hi = self.cuts[i], self.cuts[i + 1]
+        planes = self.planes[:, self.word_cuts[i] : self.word_cuts[i + 1]]
+        numbers = np.ascontiguousarray(planes.T).view(f"<u{len(planes)}").ravel()
+        return self.lengths[lo:hi], self.least[lo:hi], self.most[lo:hi], self.used[numbers]
 
 
 def _bucket_rows(chunk: list[tuple[np.ndarray, Strings, np.ndarray]], buckets: int) -> pa.RecordBatch:
@@ -169,15 +183,17 @@ def _bucket_rows(chunk: list[tuple[np.ndarray, Strings, np.ndarray]], buckets: i
     order, heads = _grouped(low, high)
     least, most = (f.reduceat(ids[order], heads) for f in (np.minimum, np.maximum))
     one = order[heads]
-    bucket = (mixed(keys[one]) % np.uint64(buckets)).astype(np.int64)
-    by = np.lexsort((least, bucket))
-    one, least, most, bucket = one[by], least[by], most[by], bucket[by]
+    dealt = mixed(keys[one]) % np.uint64(buckets * GROUPS)
+    bucket, group = (dealt // np.uint64(GROUPS)).astype(np.int64), (dealt % np.uint64(GROUPS)).astype(np.int64)
+    by = np.lexsort((least, group, bucket))
+    one, least, most, bucket, group = one[by], least[by], most[by], bucket[by], group[by]
     cuts = np.flatnonzero(np.diff(bucket, prepend=-1))
     blobs = []
     for lo, hi in zip(cuts.tolist(), [*cuts[1:].tolist(), len(bucket)]):
         rows = one[lo:hi]
         at = _gather(starts[rows], lengths[rows])
-        blobs.append(_packed(lengths[rows], least[lo:hi], most[lo:hi], words[at]))
+        groups = np.bincount(group[lo:hi], minlength=GROUPS)
+        blobs.append(_packed(groups, lengths[rows], least[lo:hi], most[lo:hi], words[at]))
     return pa.RecordBatch.from_arrays(
         [pa.array(bucket[cuts], pa.int32()), pa.array(blobs, pa.binary())], names=["bucket", "strings"]
     )
@@ -199,14 +215,14 @@ def _first_places(words: np.ndarray, places: np.ndarray, size: int) -> tuple[np.
     return _grouped(*[words[places + k] for k in range(size)])
 
 
-def repeats_of(blobs: list[bytes], size: int) -> dict[str, np.ndarray]:
-    """From a bucket's packed strings the stretches of windows that a smaller document has too.
+def repeats_of(rows: list[Packed], group: int, size: int) -> dict[str, np.ndarray]:
+    """From a group of a bucket's strings the stretches of windows that a smaller document has too.
 
     For each string (``high, low``) that stands in a document larger than the smallest one with
     one of its windows: the windows ``from_window`` to ``to_window`` and that smallest id,
     ``least``.
     """
-    parts = [_unpacked(b) for b in blobs]
+    parts = [row.group(group) for row in rows]
     lengths, least, most, words = (np.concatenate([p[i] for p in parts]) for i in range(4))
     starts = np.cumsum(lengths) - lengths
     high, low = _identities(words, starts, lengths)
@@ -289,7 +305,6 @@ def repeated_stretches(
     rows = rows.where("id IS NOT NULL AND text IS NOT NULL")
     levels = spark.sparkContext.broadcast(frequency_levels(rows, mark))
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    buckets = partitions * BUCKETS_EACH
 
     def strings(batches: Iterator[pa.RecordBatch], ids: int, text: int):
         for batch in batches:
@@ -308,32 +323,21 @@ def repeated_stretches(
                 chunk.append((words, found, ids))
                 held += len(words)
             if held >= CHUNK_WORDS:
-                yield _bucket_rows(chunk, buckets)
+                yield _bucket_rows(chunk, partitions)
                 chunk, held = [], 0
         if chunk:
-            yield _bucket_rows(chunk, buckets)
+            yield _bucket_rows(chunk, partitions)
 
     names = ["high", "low", "from_window", "to_window", "least"]
 
     def receive(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def result(blobs: list[bytes]) -> pa.RecordBatch:
-            found = repeats_of(blobs, size)
-            return pa.RecordBatch.from_arrays([pa.array(found[c], pa.int64()) for c in names], names=names)
-
-        bucket, blobs = None, []
-        for batch in batches:
-            for here, blob in zip(batch.column(0).to_pylist(), batch.column(1)):
-                if here != bucket and blobs:
-                    yield result(blobs)
-                    blobs = []
-                bucket = here
-                blobs.append(blob.as_py())
-        if blobs:
-            yield result(blobs)
+        rows = [Packed(blob.as_py()) for batch in batches for blob in batch.column(0)]
+        for group in range(GROUPS if rows else 0):
+            found = repeats_of(rows, group, size)
+            yield pa.RecordBatch.from_arrays([pa.array(found[c], pa.int64()) for c in names], names=names)
 
     packed = rows.mapInArrow(send, "bucket int, strings binary")
-    dealt = packed.repartitionById(partitions, F.pmod("bucket", F.lit(partitions)).cast("int"))
-    dealt = dealt.sortWithinPartitions("bucket")
+    dealt = packed.repartitionById(partitions, F.col("bucket")).select("strings")
     found = written(dealt.mapInArrow(receive, ", ".join(f"{c} long" for c in names)), "repeats")
     bits = spark.sparkContext.broadcast(_marks(found))
 
