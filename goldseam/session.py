@@ -13,6 +13,8 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Long texts: a batch for a Python worker is bounded by its bytes.
+    "spark.sql.execution.arrow.maxBytesPerBatch": "8m",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.files.maxPartitionBytes": "128m",
     "spark.sql.streaming.stateStore.providerClass": (
@@ -55,6 +57,7 @@ def apply_settings(spark: SparkSession) -> SparkSession:
     for name in (
         "spark.sql.sources.partitionOverwriteMode",
         "spark.sql.streaming.stateStore.providerClass",
+        "spark.sql.execution.arrow.maxBytesPerBatch",
     ):
         spark.conf.set(name, SETTINGS[name])
     return spark
