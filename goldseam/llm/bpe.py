@@ -4,15 +4,17 @@ from __future__ import annotations
 
 import base64
 from collections.abc import Iterator
-from functools import lru_cache
+from itertools import islice
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from goldseam.llm.common import ddl, map_frames
-from goldseam.llm.pieces import SPACE, PieceEncoder, batches_of
+from goldseam.llm.memory import worker_state
+from goldseam.llm.pieces import SPACE, PieceEncoder, column_slices
 from goldseam.llm.registry import query
 from goldseam.workloads.registry import table
 
@@ -28,7 +30,8 @@ class BytePairs:
     automaton over bytes mapped to Latin-1; answers about neighbours are kept.
     """
 
-    KNOWN = 1_000_000
+    #: Answers about neighbours kept; the older half goes when they are full.
+    KNOWN = 100_000
 
     def __init__(self, ranks: dict[bytes, int]):
         import ahocorasick
@@ -39,7 +42,7 @@ class BytePairs:
         self.shorter: dict[int, int] = {}
         self.merge_of: dict[tuple[int, int], int] = {}
         self.parts: dict[int, tuple[int, int]] = {}
-        self.answers: dict[tuple[int, int], bool] = {}
+        self.answers: dict[int, bool] = {}
         self.automaton = ahocorasick.Automaton()
         for rank in sorted(self.words):
             word = self.words[rank]
@@ -90,11 +93,12 @@ class BytePairs:
 
     def fits(self, left: int, right: int) -> bool:
         """``_fits`` with kept answers, at most ``KNOWN`` of them."""
-        answer = self.answers.get((left, right))
+        key = left << 32 | right
+        answer = self.answers.get(key)
         if answer is None:
             if len(self.answers) >= self.KNOWN:
-                self.answers.clear()
-            answer = self.answers[left, right] = self._fits(left, right)
+                self.answers = dict(islice(self.answers.items(), self.KNOWN // 2, None))
+            answer = self.answers[key] = self._fits(left, right)
         return answer
 
     def encode(self, piece: bytes) -> list[int]:
@@ -130,57 +134,69 @@ class BytePairs:
         return b"".join(map(self.words.__getitem__, ids.tolist()))
 
 
-@lru_cache(maxsize=2)
 def byte_pairs(path: str) -> BytePairs:
     with open(path, "rb") as lines:
         pairs = (line.split() for line in lines if line.strip())
         return BytePairs({base64.b64decode(word): int(rank) for word, rank in pairs})
 
 
-@lru_cache(maxsize=2)
-def pair_encoder(path: str, pattern: str) -> PieceEncoder:
-    """A piece encoder: matches of ``pattern`` (its ``\\s`` as tokenizer libraries read it)."""
-    import regex
+class PairCoder(PieceEncoder):
+    """A piece encoder over a file of ranks: matches of ``pattern`` (its ``\\s`` as tokenizer libraries
+    read it), each by itself."""
 
-    pairs = byte_pairs(path)
-    matches = regex.compile(
-        pattern.replace(r"[^\s", f"[^{SPACE}").replace(r"\S", f"[^{SPACE}]").replace(r"\s", f"[{SPACE}]")
-    )
+    def __init__(self, path: str, pattern: str):
+        import regex
+
+        super().__init__(self._encode_new)
+        self.pairs = byte_pairs(path)
+        self.matches = regex.compile(
+            pattern.replace(r"[^\s", f"[^{SPACE}").replace(r"\S", f"[^{SPACE}]").replace(r"\s", f"[{SPACE}]")
+        )
 
-    def encode_new(pieces: list[str]) -> Iterator[bytes]:
+    def _encode_new(self, pieces: list[str]) -> Iterator[bytes]:
         for piece in pieces:
             ids: list[int] = []
-            for match in matches.findall(piece):
-                ids += pairs.encode(match.encode())
+            for match in self.matches.findall(piece):
+                ids += self.pairs.encode(match.encode())
             yield np.array(ids, "<u4").tobytes()
 
-    return PieceEncoder(encode_new)
+
+def pair_coder(path: str, pattern: str) -> PairCoder:
+    """Encoder and decoder of a worker; both use one table of ranks."""
+    return worker_state(("pairs", path, pattern), lambda: PairCoder(path, pattern))
 
 
 def encode_texts(
-    docs: DataFrame, ranks: str, pattern: str, id_col: str = "doc_id", text_col: str = "text"
+    docs: DataFrame, ranks: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", decode: bool = False
 ) -> DataFrame:
-    """``doc_id, ids``: the ids of every text as little-endian unsigned 32-bit integers.
+    """``doc_id, ids``: the ids of every text as little-endian unsigned 32-bit integers; with ``decode``
+    also ``decoded``, the bytes that these ids stand for.
 
-    Null and empty texts have no ids; null and repeated document ids are kept; an empty table
-    gives no rows; other columns are ignored.
+    Null and empty texts have no ids; null and repeated document ids are kept; texts are taken whole,
+    whatever their length; an empty table gives no rows; other columns are ignored.
     """
 
-    def encode(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encoder = pair_encoder(ranks, pattern)
-        for frame in batches_of(frames, "_text", 1_000_000):
-            yield pd.DataFrame({"doc_id": frame["doc_id"], "ids": encoder.encode_batch(frame["_text"])})
+    names = ["doc_id", "ids", *["decoded"] * decode]
+
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        coder = pair_coder(ranks, pattern)
+        for keys, texts in column_slices(batches):
+            ids = coder.encode_column(texts)
+            columns = [keys, pa.array(ids, pa.binary())]
+            if decode:
+                columns.append(pa.array([coder.pairs.decode(np.frombuffer(x, "<u4")) for x in ids], pa.binary()))
+            yield pa.RecordBatch.from_arrays(columns, names=names)
 
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("_text"))
     kind = rows.schema["doc_id"].dataType.simpleString()
-    return map_frames(rows, encode, f"doc_id {kind}, ids binary")
+    return rows.mapInArrow(encode, f"doc_id {kind}, ids binary" + ", decoded binary" * decode)
 
 
 def decode_ids(encoded: DataFrame, ranks: str, ids_col: str = "ids") -> DataFrame:
     """All columns and ``decoded``, the bytes that the ids stand for; null ids decode to none."""
 
     def decode(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        pairs = byte_pairs(ranks)
+        pairs = worker_state(("ranks", ranks), lambda: byte_pairs(ranks))
         for frame in frames:
             ids = [np.frombuffer(x or b"", "<u4") for x in frame[ids_col]]
             yield frame.assign(decoded=[pairs.decode(x) for x in ids])
@@ -195,8 +211,8 @@ def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
-    encoded = encode_texts(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
-    return decode_ids(encoded, ranks).select(
+    docs = table(spark, sf_dir, "documents")
+    return encode_texts(docs, ranks, public_tokenizers.PATTERN, decode=True).select(
         "doc_id",
         (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"),

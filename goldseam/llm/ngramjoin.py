@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from goldseam.llm.common import ddl, map_frames, narrow, written
+from goldseam.llm.memory import Kept, worker_state
 from goldseam.llm.pieces import batches_of
 from goldseam.llm.registry import query
 from goldseam.llm.sketch import summed
@@ -26,8 +27,6 @@ from goldseam.workloads.registry import table
 
 COUNTERS = 1 << 21
 CELLS = 256
-_KNOWN: dict[bytes, int] = {}
-_KNOWN_MOST = 300_000
 _MIX = (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB)
 
 
@@ -42,12 +41,7 @@ def shingles(text: str | None, words: int) -> np.ndarray:
     found = text.encode("utf-8", "surrogatepass").lower().split() if text else []
     if not found:
         return np.zeros(0, np.uint64)
-    if len(_KNOWN) > _KNOWN_MOST:
-        _KNOWN.clear()
-    known = _KNOWN
-    for word in set(found):
-        if word not in known:
-            known[word] = xxhash.xxh64_intdigest(word)
+    known = worker_state("ngrams", Kept).table(set(found), lambda new: map(xxhash.xxh64_intdigest, new))
     hashes = np.fromiter(map(known.__getitem__, found), np.uint64, len(found))
     if len(found) < words:
         hashes, words = np.concatenate([hashes, np.full(words - len(found), len(found), np.uint64)]), words

@@ -7,12 +7,15 @@ import struct
 from collections.abc import Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
-from goldseam.llm.common import apply_frames, map_frames, written
-from goldseam.llm.pieces import batches_of, tokenizer_encoder
+from goldseam.llm.common import apply_frames, written
+from goldseam.llm.pieces import column_slices, tokenizer_encoder
 from goldseam.llm.registry import query
 from goldseam.workloads.registry import table
 
@@ -81,7 +84,9 @@ def pack(
     ignored.
     """
 
-    def local(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    kinds = to_arrow_schema(StructType.fromDDL(PIECES))
+
+    def local(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = tokenizer_encoder(tokenizer)
         end = struct.pack("<I", end_id)
         task = TaskContext.get().partitionId()
@@ -91,14 +96,12 @@ def pack(
         def rows(window: list, number: int, group: int | None):
             return [(*head, number, place, ids, group) for place, (head, ids) in window]
 
-        def table_of(out: list) -> pd.DataFrame:
-            names = "doc_id start length doc_tokens sequence_id offset ids open_group".split()
-            return pd.DataFrame(out, columns=names, dtype=object)
+        def table_of(out: list) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(zip(*out), kinds)], schema=kinds)
 
-        for frame in batches_of(frames, "_text", 1_000_000):
+        for numbers, texts in column_slices(batches):
             out: list = []
-            keys = [None if pd.isna(k) else int(k) for k in frame["_id"]]
-            for key, ids in zip(keys, encoder.encode_batch(frame["_text"])):
+            for key, ids in zip(numbers.to_pylist(), encoder.encode_column(texts)):
                 ids += end
                 total = len(ids) // 4
                 for start in range(0, total, size):
@@ -130,7 +133,7 @@ def pack(
         )
 
     texts = docs.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).alias("_text"))
-    first = written(map_frames(texts, local, PIECES), "packed")
+    first = written(texts.mapInArrow(local, PIECES), "packed")
     closed = first.where("open_group is null")
     groups = first.where("open_group is not null").groupBy("open_group")
     rest = apply_frames(groups, merge, PIECES)

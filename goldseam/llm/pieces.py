@@ -10,82 +10,168 @@ from __future__ import annotations
 import os
 import re
 import struct
-from collections.abc import Callable, Iterable
-from functools import lru_cache
+from collections.abc import Callable, Iterable, Iterator
+
+import numpy as np
+import pyarrow as pa
+
+from goldseam.llm.memory import Kept, worker_state
+from goldseam.llm.words import column_bytes, hashed_spans, text_slices
 
 # White space as the tokenizer libraries define it (the Unicode property, fixed values).
 SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 # Letters after which ASCII punctuation or white space always begins a new match.
 LETTERS = "A-Za-zÀ-ÖØ-öø-ɏ"
+_WIDE_SPACES = [chr(c) for c in (0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)]
+#: Bytes of ids of pieces that a worker keeps: encoding a new piece takes ten times a look-up.
+PIECE_BYTES = 96 << 20
 _PIECES = re.compile(
     rf"[{SPACE}]*[{LETTERS}]+(?=[!-/:-@\[-`{{-~{SPACE}])|[{SPACE}]*[^{SPACE}]+|[{SPACE}]+"
 )
-_WORD = re.compile(f" ?[{LETTERS}]+")
-# Byte-level vocabularies show printable bytes as themselves, the others from U+0100 on, in order.
-_PRINTED = [*range(33, 127), *range(161, 173), *range(174, 256)]
-_SHOWN = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in _PRINTED)}
-LONG_PIECE = 64
+_IS_SPACE, _IS_MARK, _IS_LETTER = (np.zeros(256, bool) for _ in range(3))
+_IS_SPACE[[32, *range(9, 14)]] = True
+_IS_MARK[[*range(33, 48), *range(58, 65), *range(91, 97), *range(123, 127)]] = True
+_IS_LETTER[[*range(65, 91), *range(97, 123)]] = True
+# Byte-level vocabularies show a space so (fixed value).
+_SHOWN_SPACE = "\u0120"
+
+
+def piece_starts(data: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Where pieces begin: at texts, at ASCII white space behind anything else, and at ASCII
+    punctuation behind a letter. ``ends`` are the places where texts begin, and the last end."""
+    if not len(data):
+        return np.zeros(0, np.int64)
+    space = _IS_SPACE[data]
+    cuts = np.zeros(len(data), bool)
+    cuts[1:] = space[1:] & ~space[:-1]
+    before = np.zeros(len(data), bool)  # a letter stands before
+    before[1:] = _IS_LETTER[data[:-1]]
+    lead, tail = data[:-2], data[1:-1]
+    # Two-byte letters, but for the signs of multiplication and division.
+    before[2:] |= (lead == 0xC3) & (tail >= 0x80) & (tail != 0x97) & (tail != 0xB7)
+    before[2:] |= ((lead >= 0xC4) & (lead <= 0xC8) & (tail >= 0x80)) | ((lead == 0xC9) & (tail >= 0x80) & (tail < 0x90))
+    cuts |= before & _IS_MARK[data]
+    cuts[ends[:-1][np.diff(ends) > 0]] = True
+    return np.flatnonzero(cuts)
 
 
 class PieceEncoder:
     """Little-endian unsigned 32-bit ids of texts; ``encode_new`` encodes a list of pieces.
 
-    ``entries`` bounds the table of known pieces; a full table is emptied. Pieces of more than
-    ``LONG_PIECE`` characters are never kept.
+    Ids of pieces are kept within a number of bytes. ``added`` are tokens that a library looks for
+    before anything else, with their ids: a text is cut at them, and what lies between is encoded
+    by itself.
     """
 
-    def __init__(self, encode_new: Callable[[list[str]], Iterable[bytes]], entries: int = 400_000):
+    def __init__(
+        self, encode_new: Callable[[list[str]], Iterable[bytes]], added: dict[str, bytes] | None = None
+    ):
         self.encode_new = encode_new
-        self.entries = entries
-        self.known: dict[str, bytes] = {}
+        self.kept = Kept(PIECE_BYTES)
+        self.added = added or {}
+        longest = "|".join(map(re.escape, sorted(self.added, key=len, reverse=True)))
+        self.cut = re.compile(f"({longest})") if longest else None
+        self.odd = re.compile("|".join(filter(None, [*_WIDE_SPACES, longest])).encode())
 
     def encode_batch(self, texts: Iterable[str | None]) -> list[bytes]:
         """The ids of each text; none for a null or empty text."""
-        cut = [_PIECES.findall(t) if t else [] for t in texts]
-        known = self.known
-        new = list({p for pieces in cut for p in pieces if p not in known})
-        if len(known) + len(new) > self.entries:
-            known.clear()
-            new = list({p for pieces in cut for p in pieces})
-        fresh = known
-        for at in range(0, len(new), 4096):
-            part = new[at : at + 4096]
-            fresh.update(zip(part, self.encode_new(part)))
-        out = [b"".join([fresh[p] for p in pieces]) for pieces in cut]
-        for p in new:
-            if len(p) > LONG_PIECE:
-                del known[p]
-        if len(known) > self.entries:
-            known.clear()
+        return self.encode_column(pa.array(texts, pa.large_string(), from_pandas=True))
+
+    def encode_column(self, column: pa.Array) -> list[bytes]:
+        """The ids of each text of a string column.
+
+        Texts are cut on their bytes, and equal pieces are found by a 64-bit number and their
+        length, so that each distinct piece of the column is looked up once.
+        """
+        data, ends = column_bytes(column)
+        starts = piece_starts(data, ends)
+        odd = self._uncertain(data, ends)
+        owner = np.searchsorted(starts, ends)
+        sizes = np.diff(starts, append=len(data))
+        _, first, kind = np.unique(hashed_spans(data, starts), return_index=True, return_inverse=True)
+        if (sizes != sizes[first][kind]).any():
+            raise ValueError("two pieces of different length share a number")
+        whole = data.tobytes()
+        distinct = [whole[s : s + n] for s, n in zip(starts[first].tolist(), sizes[first].tolist())]
+        cut = [self.pieces(column[i].as_py()) for i in odd]
+        known = self.kept.table(set(distinct).union(*cut), self._answers)
+        found = [known[p] for p in distinct]
+        count = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        ids = np.frombuffer(b"".join(found), "<u4")
+        before = np.cumsum(count) - count
+        n = count[kind]
+        at = np.cumsum(n) - n
+        tokens = ids[np.repeat(before[kind] - at, n) + np.arange(int(n.sum()))].tobytes()
+        bounds = (4 * np.append(at, len(tokens) // 4))[owner].tolist()
+        out = [tokens[s:e] for s, e in zip(bounds, bounds[1:])]
+        for i, pieces in zip(odd, cut):
+            out[i] = b"".join([known[p] for p in pieces])
         return out
 
+    def _uncertain(self, data: np.ndarray, ends: np.ndarray) -> list[int]:
+        """Texts with wider white space, or with an added token: these are cut as strings."""
+        places = [m.start() for m in self.odd.finditer(data)]
+        return np.unique(np.searchsorted(ends, places, "right") - 1).tolist()
 
-@lru_cache(maxsize=4)
-def tokenizer_encoder(path: str) -> PieceEncoder:
-    """A piece encoder over a tokenizers file; special tokens in a text are ordinary text."""
+    def pieces(self, text: str) -> list[bytes]:
+        """A text cut as a string."""
+        out: list[str] = []
+        for part in self.cut.split(text) if self.cut else [text]:
+            out += [part] if part in self.added else _PIECES.findall(part)
+        return [p.encode() for p in out]
+
+    def _answers(self, pieces: list[bytes]) -> list[bytes]:
+        texts = [p.decode() for p in pieces]
+        ids = iter(self.encode_new([t for t in texts if t not in self.added]))
+        return [self.added[t] if t in self.added else next(ids) for t in texts]
+
+
+def _tokenizer_encoder(path: str) -> PieceEncoder:
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True
-
-    tokenize, pack = tokenizer.model.tokenize, struct.pack
+    added = {}
+    for number, token in tokenizer.get_added_tokens_decoder().items():
+        if token.lstrip or token.rstrip or token.single_word or token.normalized:
+            raise ValueError(f"an added token that depends on its neighbours: {token.content}")
+        added[token.content] = struct.pack("<I", number)
+    vocabulary = tokenizer.get_vocab()
+    begins = np.zeros(max(vocabulary.values()) + 1, bool)
+    begins[[number for token, number in vocabulary.items() if token.startswith(_SHOWN_SPACE)]] = True
+    # A space and letters are one match each, and only a match's first token begins with the space,
+    # so many can be encoded as one text and cut apart again.
+    spaced = re.compile(f" [{LETTERS}]+")
+
+    def ids_of(texts: list[str]) -> list[np.ndarray]:
+        return [np.array(e.ids, "<u4") for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def encode_new(pieces: list[str]) -> list[bytes]:
-        # A run of letters is one match, so it goes to the model at once; the rest is cut first.
-        whole = [_WORD.fullmatch(p) is not None for p in pieces]
-        rest = [p for p, one in zip(pieces, whole) if not one]
-        cut = iter(tokenizer.encode_batch_fast(rest, add_special_tokens=False) if rest else [])
-        out = []
-        for piece, one in zip(pieces, whole):
-            if one:
-                ids = [t.id for t in tokenize(piece.encode().decode("latin-1").translate(_SHOWN))]
-            else:
-                ids = next(cut).ids
-            out.append(pack(f"<{len(ids)}I", *ids))
-        return out
+        joined = [spaced.fullmatch(p) is not None for p in pieces]
+        rest = iter(ids_of([p for p, one in zip(pieces, joined) if not one]))
+        words = [p for p, one in zip(pieces, joined) if one]
+        data, cuts = b"", [0]
+        if words:
+            ids = ids_of(["".join(words)])[0]
+            data, cuts = ids.tobytes(), [*(4 * np.flatnonzero(begins[ids])).tolist(), 4 * len(ids)]
+            if len(cuts) != len(words) + 1:
+                raise ValueError("the tokenizer does not begin a match at every space")
+        ranges = zip(cuts, cuts[1:])
+        return [data[slice(*next(ranges))] if one else next(rest).tobytes() for one in joined]
+
+    return PieceEncoder(encode_new, added)
+
+
+def tokenizer_encoder(path: str) -> PieceEncoder:
+    """A piece encoder over a tokenizers file, one per worker."""
+    return worker_state(("tokenizer", path), lambda: _tokenizer_encoder(path))
+
 
-    return PieceEncoder(encode_new)
+def column_slices(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[pa.Array, pa.Array]]:
+    """First and second column of record batches, cut to texts of about 4 MB."""
+    for batch in batches:
+        for lo, hi in text_slices(batch.column(1)):
+            yield batch.column(0).slice(lo, hi - lo), batch.column(1).slice(lo, hi - lo)
 
 
 def batches_of(frames: Iterable, column: str, limit: int = 4_000_000):

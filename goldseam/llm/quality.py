@@ -6,7 +6,6 @@ import re
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -14,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from goldseam.llm.common import ddl, map_frames
+from goldseam.llm.memory import Kept, worker_state
 from goldseam.llm.pieces import batches_of
 from goldseam.llm.registry import query
 from goldseam.llm.sketch import summed
@@ -25,8 +25,6 @@ POOLED = 3 * WIDTH + 2
 #: their ids. Word vectors are learned from all documents.
 SAMPLE_ROWS = 20_000
 REJECT_BELOW = 0.3
-_KNOWN: dict[str, int] = {}
-_KNOWN_MOST = 600_000
 
 
 def _index_vectors() -> tuple[np.ndarray, np.ndarray]:
@@ -40,36 +38,28 @@ def _case(letters: str) -> str:
     return "x" if letters.islower() else "X" if letters.isupper() and len(letters) > 1 else "Xx"
 
 
-@lru_cache(maxsize=100_000)
 def _bucket(unit: str) -> int:
     return zlib.crc32(unit.encode("utf-8", "replace")) % BUCKETS
 
 
 def _units(word: str) -> int:
-    """Buckets of a word's letters and of its shape (case, digits and marks, runs as one), as one
-    number."""
+    """Buckets of a whole word's letters and of its shape (case, digits and marks, runs as one), as
+    one number."""
     if word.isalpha():
         letters, shape = word.lower(), _case(word)
     else:
         letters = "".join(filter(str.isalpha, word)).lower()
-        shape = re.sub(r"\d+", "9", re.sub(r"[^\W\d_]+", lambda m: _case(m[0]), word[:64]))
-        shape = re.sub(r"(.)\1+", r"\1\1", shape)[:12]
-    place = zlib.crc32(("w" + letters).encode("utf-8", "replace")) % BUCKETS
-    return place * BUCKETS + _bucket("s" + shape)
+        shape = re.sub(r"\d+", "9", re.sub(r"[^\W\d_]+", lambda m: _case(m[0]), word))
+        shape = re.sub(r"(.)\1+", r"\1\1", shape)
+    return _bucket("w" + letters) * BUCKETS + _bucket("s" + shape)
 
 
 def units(texts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Letter buckets, shape buckets and number of words of texts, texts one after another."""
-    if len(_KNOWN) > _KNOWN_MOST:
-        _KNOWN.clear()
-    known, both, sizes = _KNOWN, [], []
-    for text in texts:
-        words = text.split() if text else []
-        for word in words:
-            if word not in known:
-                known[word] = _units(word)
-        sizes.append(len(words))
-        both.append(np.fromiter(map(known.__getitem__, words), np.int64, len(words)))
+    found = [text.split() if text else [] for text in texts]
+    known = worker_state("quality", Kept).table(set().union(*found), lambda words: map(_units, words))
+    both = [np.fromiter(map(known.__getitem__, words), np.int64, len(words)) for words in found]
+    sizes = [len(words) for words in found]
     pairs = np.concatenate(both) if both else np.zeros(0, np.int64)
     return pairs // BUCKETS, pairs % BUCKETS, np.array(sizes, np.int64)
 

@@ -7,12 +7,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from goldseam.llm.common import map_frames, narrow
-from goldseam.llm.pieces import batches_of, tokenizer_encoder
+from goldseam.llm.pieces import column_slices, tokenizer_encoder
 from goldseam.llm.registry import query
 from goldseam.session import new_path
 from goldseam.workloads.registry import table
@@ -120,23 +121,24 @@ def write_token_files(
     Each task holds a range of document ids, in order, and cuts it into blocks of about
     ``block_ids`` ids (a longer document is a block of its own). Spark commits the files, so a
     repeated task leaves no second copy. Null ids come first; rows with equal ids lie next to
-    each other, ordered by a hash of the text, and may be dealt to several tasks. A null or empty
-    text is its end id. An empty table writes no block.
+    each other in any order, and may be dealt to several tasks. A null or empty text is its end id. An empty table writes no block.
     """
 
-    def blocks(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = tokenizer_encoder(tokenizer)
         end = struct.pack("<I", end_id)
         part = TaskContext.get().partitionId()
         keys, ids, held, first, number = [], [], 0, 0, 0
 
         def flush():
-            row = (part, number, first, len(keys), held, write_block(keys, ids))
-            return pd.DataFrame([row], columns="part block first_id n_docs n_ids payload".split())
-
-        for frame in batches_of(frames, "_text", 1_000_000):
-            for key, x in zip(frame["_id"], encoder.encode_batch(frame["_text"])):
-                keys.append(None if pd.isna(key) else int(key))
+            row = [part, number, first, len(keys), held, write_block(keys, ids)]
+            kinds = [*[pa.int64()] * 5, pa.binary()]
+            names = "part block first_id n_docs n_ids payload".split()
+            return pa.RecordBatch.from_arrays([pa.array([x], k) for x, k in zip(row, kinds)], names=names)
+
+        for numbers, texts in column_slices(batches):
+            for key, x in zip(numbers.to_pylist(), encoder.encode_column(texts)):
+                keys.append(key)
                 ids.append(x + end)
                 held += len(x) // 4 + 1
                 if held >= block_ids:
@@ -146,9 +148,8 @@ def write_token_files(
             yield flush()
 
     rows = docs.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).alias("_text"))
-    order = ("_id", F.xxhash64("_text"))
-    dealt = rows.repartitionByRange(*order).sortWithinPartitions(*order)
-    map_frames(dealt, blocks, BLOCKS).write.option("compression", "zstd").parquet(path)
+    dealt = rows.repartitionByRange("_id").sortWithinPartitions("_id")
+    dealt.mapInArrow(blocks, BLOCKS).write.option("compression", "zstd").parquet(path)
 
 
 def read_token_files(spark: SparkSession, path: str) -> DataFrame:

@@ -41,13 +41,9 @@ def hashed_words(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     Two different words of up to 64 bytes get the same number with probability 2**-64; a longer
     one takes part as a whole, its places turned by a factor for every 64 bytes.
     """
-    ends = _offsets(column)
-    n = len(ends) - 1
-    data = column.buffers()[2]
-    if not n or data is None or ends[-1] == ends[0]:
-        return np.zeros(0, np.uint64), np.zeros(n + 1, np.int64)
-    data = np.frombuffer(data, np.uint8)[ends[0] : ends[-1]]
-    ends = ends - ends[0]
+    data, ends = column_bytes(column)
+    if not len(data):
+        return np.zeros(0, np.uint64), np.zeros(len(ends), np.int64)
     space = _SPACE[data]
     begins = ~space
     begins[1:] &= space[:-1]
@@ -67,14 +63,16 @@ def hashed_words(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(parts), np.searchsorted(at, ends)
 
 
-def _hash_bytes(data: np.ndarray, space: np.ndarray, at: np.ndarray) -> np.ndarray:
+def _hash_bytes(data: np.ndarray, space: np.ndarray | None, at: np.ndarray) -> np.ndarray:
     if not len(at):
         return np.zeros(0, np.uint64)
-    place = np.arange(at[0], len(data)) - np.repeat(at, np.diff(at, append=len(data)))
-    bytes_, blank = data[at[0] :], space[at[0] :]
-    terms = _NOISE[(place & (_PLACES - 1)) * 256 + bytes_]
-    terms[blank] = 0
-    far = np.flatnonzero((place >= _PLACES) & ~blank)
+    place = np.arange(at[0], len(data), dtype=np.int32) - np.repeat(at.astype(np.int32), np.diff(at, append=len(data)))
+    terms = _NOISE[((place & (_PLACES - 1)) << 8) | data[at[0] :]]
+    far = place >= _PLACES
+    if space is not None:
+        terms[space[at[0] :]] = 0
+        far &= ~space[at[0] :]
+    far = np.flatnonzero(far)
     if len(far):
         turns = place[far] // _PLACES
         powers = np.multiply.accumulate(np.full(int(turns.max()) + 1, _LONG, np.uint64))
@@ -82,6 +80,26 @@ def _hash_bytes(data: np.ndarray, space: np.ndarray, at: np.ndarray) -> np.ndarr
     return np.add.reduceat(terms, at - at[0])
 
 
+def hashed_spans(data: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """A number for each span of bytes, from one start to the next; the first start is 0."""
+    out, lo = [], 0
+    while lo < len(starts):
+        hi = max(lo + 1, int(np.searchsorted(starts, starts[lo] + _CHUNK)))
+        end = starts[hi] if hi < len(starts) else len(data)
+        out.append(_hash_bytes(data[starts[lo] : end], None, starts[lo:hi] - starts[lo]))
+        lo = hi
+    return np.concatenate(out) if out else np.zeros(0, np.uint64)
+
+
+def column_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of all texts of a string column, and where each begins (one entry more)."""
+    ends = _offsets(column)
+    data = column.buffers()[2]
+    if data is None:
+        return np.zeros(0, np.uint8), ends - ends[:1]
+    return np.frombuffer(data, np.uint8)[ends[0] : ends[-1]], ends - ends[0]
+
+
 def mixed(x: np.ndarray) -> np.ndarray:
     """64-bit numbers scrambled one to one."""
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)

@@ -234,7 +234,7 @@ def test_bpe(docs, none):
 
 
 def test_bpe_random():
-    rng, pairs, known = random.Random(9), bpe.pair_encoder(RANKS, public.PATTERN), tiktoken_encoding()
+    rng, pairs, known = random.Random(9), bpe.pair_coder(RANKS, public.PATTERN), tiktoken_encoding()
     texts = ["".join(rng.choice("ab \n=-'st1é日 \x85\x1c.K") for _ in range(rng.randint(0, 80))) for _ in range(800)]
     for text, ids in zip(texts, pairs.encode_batch(texts)):
         assert np.frombuffer(ids, "<u4").tolist() == known.encode_ordinary(text)
@@ -495,3 +495,53 @@ def test_pipeline(spark, docs, tmp_path):
     assert {1000, 1001, 1002, BIG} <= set(kept) and not {2000, 2001, 6, 7, 9, 2, 3} & set(kept)
     packed = corpus_pipeline.run(spark, folder).collect()
     assert {r.doc_id for r in packed} == set(kept)
+
+
+def test_added_tokens_as_the_library():
+    from tokenizers import Tokenizer
+
+    from goldseam.llm.pieces import tokenizer_encoder
+
+    rng, library = random.Random(4), Tokenizer.from_file(JSON)
+    parts = ["<|endoftext|>", "<|endoftext|", "|>", " ", "a", " the", "\n", "é", " naïve", "日本", "x1", "'s", "  \t"]
+    texts = ["".join(rng.choice(parts) for _ in range(rng.randint(0, 25))) for _ in range(2000)]
+    texts += ["<|endoftext|>", " <|endoftext|> ", "word " * 3000 + "<|endoftext|>"]
+    for text, ids in zip(texts, tokenizer_encoder(JSON).encode_batch(texts)):
+        assert np.frombuffer(ids, "<u4").tolist() == library.encode(text, add_special_tokens=False).ids
+
+
+def test_kept_bytes():
+    """What a worker keeps is bounded in bytes, whatever the number and length of words."""
+    from goldseam.llm import memory
+
+    def words(most):
+        rng = random.Random(3)
+        return ["".join(rng.choices("abcdefgh123.", k=rng.randint(1, most))) for _ in range(3000)]
+
+    state = memory.worker_state("quality", memory.Kept)
+    long = "x" * 10_000
+    for start in range(0, 200_000, 10_000):
+        quality.units([" ".join(f"{long}{i}" for i in range(start, start + 100)), " ".join(f"w{i} {i}" for i in range(start, start + 10_000))])
+        assert state is memory.worker_state("quality", memory.Kept)
+        kept = {**state.older, **{k: v for k, v in state.newer.items() if len(k) <= memory.LONG_KEY}}
+        assert all(len(k) <= memory.LONG_KEY for k in state.older)
+        assert sum(map(len, kept)) + 60 * len(kept) < state.limit
+    small = memory.Kept(20_000)
+    for _ in range(20):
+        some = set(words(12)[:500])
+        assert {w: v for w, v in small.table(some, lambda new: map(len, new)).items() if w in some} == {w: len(w) for w in some}
+    assert memory.worker_state("other", dict) == {} and memory._state[0] == "other"
+
+
+def test_whole_word_shapes():
+    same = "1.2" * 100
+    assert quality._units(same + "A-b") != quality._units(same + "a:b")
+
+
+def test_neighbour_answers_stay_right_when_evicted(monkeypatch):
+    monkeypatch.setattr(bpe.BytePairs, "KNOWN", 10)
+    rng, pairs, known = random.Random(1), bpe.byte_pairs(RANKS), tiktoken_encoding()
+    for _ in range(300):
+        piece = "".join(rng.choice("abcdet") for _ in range(rng.randint(1, 30)))
+        assert pairs.encode(piece.encode()) == known.encode_ordinary(piece)
+    assert len(pairs.answers) <= 10
