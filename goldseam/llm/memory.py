@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import sys
 from collections.abc import Callable, Hashable, Iterable
 from typing import Any
 
@@ -10,7 +9,7 @@ from typing import Any
 KEPT_BYTES = 32 << 20
 #: Keys of more characters are never kept.
 LONG_KEY = 64
-_SLOT = 100  # of a dictionary, for each entry
+_ENTRY = 200  # bytes of an entry besides its characters
 
 _state: tuple[Hashable, Any] | None = None
 
@@ -38,30 +37,29 @@ class Kept:
         self.bytes = 0
         self.long: list = []
 
-    def _put(self, keys: Iterable, answers: Iterable) -> None:
-        size = sys.getsizeof
-        for key, answer in zip(keys, answers):
-            self.newer[key] = answer
-            if len(key) > LONG_KEY:
-                self.long.append(key)
-            else:
-                self.bytes += size(key) + size(answer) + _SLOT
+    def _put(self, keys: list, answers: list) -> None:
+        self.newer.update(zip(keys, answers))
+        self.long += [k for k in keys if len(k) > LONG_KEY]
+        self.bytes += _ENTRY * len(keys) + sum(map(len, keys))
+        if answers and isinstance(answers[0], bytes):
+            self.bytes += sum(map(len, answers))
 
     def table(self, wanted: set, answer: Callable[[list], Iterable]) -> dict:
         """A table with the answers of all ``wanted`` keys; ``answer`` is asked for new ones. It holds
         until the next call."""
         for key in self.long:
-            del self.newer[key]
+            gone = self.newer.pop(key)
+            self.bytes -= _ENTRY + len(key) + (len(gone) if isinstance(gone, bytes) else 0)
         self.long = []
         if 2 * self.bytes > self.limit:
             self.newer, self.older, self.bytes = {}, self.newer, 0
         new = wanted.difference(self.newer)
         unknown = new.difference(self.older)
         if len(unknown) < len(new):
-            again = new - unknown
+            again = list(new - unknown)
             self._put(again, [self.older[k] for k in again])
         fresh = list(unknown)
         for at in range(0, len(fresh), 4096):
             part = fresh[at : at + 4096]
-            self._put(part, answer(part))
+            self._put(part, list(answer(part)))
         return self.newer

@@ -13,6 +13,7 @@ import struct
 from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 
 from goldseam.llm.memory import Kept, worker_state
@@ -24,7 +25,7 @@ SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 LETTERS = "A-Za-zÀ-ÖØ-öø-ɏ"
 _WIDE_SPACES = [chr(c) for c in (0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)]
 #: Bytes of ids of pieces that a worker keeps: encoding a new piece takes ten times a look-up.
-PIECE_BYTES = 96 << 20
+PIECE_BYTES = 128 << 20
 _PIECES = re.compile(
     rf"[{SPACE}]*[{LETTERS}]+(?=[!-/:-@\[-`{{-~{SPACE}])|[{SPACE}]*[^{SPACE}]+|[{SPACE}]+"
 )
@@ -88,7 +89,9 @@ class PieceEncoder:
         odd = self._uncertain(data, ends)
         owner = np.searchsorted(starts, ends)
         sizes = np.diff(starts, append=len(data))
-        _, first, kind = np.unique(hashed_spans(data, starts), return_index=True, return_inverse=True)
+        kind, numbers = pd.factorize(hashed_spans(data, starts))
+        first = np.empty(len(numbers), np.int64)
+        first[kind[::-1]] = np.arange(len(kind) - 1, -1, -1)
         if (sizes != sizes[first][kind]).any():
             raise ValueError("two pieces of different length share a number")
         whole = data.tobytes()
@@ -139,9 +142,11 @@ def _tokenizer_encoder(path: str) -> PieceEncoder:
     vocabulary = tokenizer.get_vocab()
     begins = np.zeros(max(vocabulary.values()) + 1, bool)
     begins[[number for token, number in vocabulary.items() if token.startswith(_SHOWN_SPACE)]] = True
-    # A space and letters are one match each, and only a match's first token begins with the space,
-    # so many can be encoded as one text and cut apart again.
-    spaced = re.compile(f" [{LETTERS}]+")
+    # Of a space and what follows up to the next, only the first token begins with the space, so
+    # many can be encoded as one text and cut apart again.
+    spaced = re.compile(f" [^{SPACE}]+")
+    if hasattr(tokenizer.model, "_resize_cache"):
+        tokenizer.model._resize_cache(0)  # known pieces never reach it
 
     def ids_of(texts: list[str]) -> list[np.ndarray]:
         return [np.array(e.ids, "<u4") for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -168,9 +173,9 @@ def tokenizer_encoder(path: str) -> PieceEncoder:
 
 
 def column_slices(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[pa.Array, pa.Array]]:
-    """First and second column of record batches, cut to texts of about 4 MB."""
+    """First and second column of record batches, cut to texts of about 8 MB."""
     for batch in batches:
-        for lo, hi in text_slices(batch.column(1)):
+        for lo, hi in text_slices(batch.column(1), 8 << 20):
             yield batch.column(0).slice(lo, hi - lo), batch.column(1).slice(lo, hi - lo)
 
 
