@@ -63,15 +63,23 @@ def apply_settings(spark: SparkSession) -> SparkSession:
     return spark
 
 
+_FOLDERS: dict[str, str] = {}
+
+
+def _new_folder(spark: SparkSession) -> str:
+    folder = tempfile.mkdtemp(prefix="goldseam-")
+    _FOLDERS[spark.sparkContext.applicationId] = folder
+    return folder
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, as named by ``spark.checkpoint.dir``."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder
-    if spark.sparkContext.master.startswith("local"):
-        folder = tempfile.mkdtemp(prefix="goldseam-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-        return folder
+    if spark.sparkContext.master.startswith("local") and "local-cluster" not in spark.sparkContext.master:
+        # The setting cannot change in a running session, so the folder is remembered here.
+        return _FOLDERS.get(spark.sparkContext.applicationId) or _new_folder(spark)
     raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
 
 

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import DataStreamWriter
+from pyspark.sql import types as T
+from pyspark.sql.streaming import DataStreamWriter, StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
 from goldseam.functions import columns as X
 from goldseam.operators.features import rate_changes, serving_vector
@@ -104,6 +107,148 @@ def rate_anomaly_sink(
     return stream.writeStream.foreachBatch(write)
 
 
+class RollingRates(StatefulProcessor):
+    """Per pair: rows that the watermark has not passed, and the last rates before them.
+
+    Rows wait in a list state until the watermark has passed them, so they are judged in time order
+    however they came in; an event-time timer wakes the pair. Judged rows leave the last
+    ``window_rows + 1`` rates behind. State per pair is bounded by the rows within the watermark's
+    delay. Later rows than that are dropped by Spark and counted in the query's progress.
+    """
+
+    def __init__(
+        self, pair: str, time: str, rate: str, tiebreak: str, state: T.StructType, window_rows: int, min_rows: int, deviations: float
+    ):
+        self.pair, self.time, self.rate, self.tiebreak, self.schema = pair, time, rate, tiebreak, state
+        self.window_rows, self.min_rows, self.deviations = window_rows, min_rows, deviations
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.waiting = handle.getListState("waiting", self.schema)
+        self.tail = handle.getListState("tail", T.StructType([T.StructField("rate", T.DoubleType())]))
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        for frame in rows:
+            times = frame[self.time]
+            self.waiting.appendList(
+                list(zip([t.to_pydatetime() for t in times], frame[self.rate].tolist(), frame[self.tiebreak].tolist()))
+            )
+            self.handle.registerTimer(_millis(times.min()) + 1)
+        return iter(())
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        rows = pd.DataFrame(list(self.waiting.get()), columns=["time", "rate", "tiebreak"])
+        if rows.empty:
+            return
+        passed = pd.to_datetime(timerValues.getCurrentWatermarkInMs(), unit="ms")
+        rows = rows.sort_values(["time", "tiebreak"], kind="stable")
+        ready, left = rows[rows["time"] < passed], rows[rows["time"] >= passed]
+        if len(left):
+            self.waiting.put(list(left.itertuples(index=False, name=None)))
+            self.handle.registerTimer(_millis(left["time"].min()) + 1)
+        else:
+            self.waiting.clear()
+        if not len(ready):
+            return
+        old = [row[0] for row in self.tail.get()]
+        rates = np.array([*old, *ready["rate"]], float)
+        change, flag = rolling_flags(rates, self.window_rows, self.min_rows, self.deviations)
+        self.tail.put([(None if np.isnan(x) else float(x),) for x in rates[-self.window_rows - 1 :]])
+        new = slice(len(old), None)
+        out = {self.pair: key[0], self.tiebreak: ready["tiebreak"].array, self.time: ready["time"].array}
+        yield pd.DataFrame({**out, "pct_change": change[new], "is_anomaly": flag[new]}, index=range(len(ready)))
+
+    def close(self) -> None:
+        pass
+
+
+def _millis(when: pd.Timestamp) -> int:
+    return pd.Timestamp(when).value // 1_000_000
+
+
+def rolling_flags(rates: np.ndarray, window_rows: int, min_rows: int, deviations: float) -> tuple[np.ndarray, np.ndarray]:
+    """Percentage changes of rates in time order, and whether each lies outside the given number of
+    deviations from the mean of the last ``window_rows`` changes, itself included."""
+    before = np.concatenate([[np.nan], rates[:-1]])
+    before[before == 0] = np.nan
+    change = (rates - before) / before * 100
+    padded = np.concatenate([np.full(window_rows - 1, np.nan), change])
+    flags = np.zeros(len(change), bool)
+    for at in range(0, len(change), 4096):
+        part = padded[at : at + 4096 + window_rows - 1]
+        frames = np.lib.stride_tricks.sliding_window_view(part, window_rows)
+        n = np.count_nonzero(~np.isnan(frames), axis=1)
+        some = np.flatnonzero(n >= max(2, min_rows))
+        frames, now = frames[some], frames[some, -1]
+        mean, spread = np.nanmean(frames, axis=1), np.nanstd(frames, axis=1, ddof=1)
+        # A missing change compares as false.
+        flags[at + some] = (spread > 0) & (np.abs(now - mean) > deviations * spread)
+    return change, flags
+
+
+def rolling_rate_flags(
+    stream: DataFrame,
+    pair: str,
+    time: str,
+    rate: str,
+    tiebreak: str,
+    late: str,
+    window_rows: int = 20,
+    min_rows: int = 5,
+    deviations: float = 2.0,
+) -> DataFrame:
+    """``pair, tiebreak, time, pct_change, is_anomaly`` of a stream, with keyed state in the state store.
+
+    A row comes out when the watermark, ``late`` behind the newest row, has passed it. The flags equal
+    those of the batch operator over all rows that were not late, in whatever order they came in.
+    Null times and rows later than the watermark are not judged. A pair is worked on by one task, as
+    each row needs those before it; ``rate_anomaly_sink`` splits a hot pair.
+    """
+    rows = stream.select(pair, F.col(time).cast("timestamp").alias(time), F.col(rate).cast("double").alias(rate), tiebreak)
+    rows = rows.where(F.col(time).isNotNull())
+    kind = rows.schema[tiebreak].dataType
+    state = T.StructType().add("time", T.TimestampType()).add("rate", T.DoubleType()).add("tiebreak", kind)
+    out = T.StructType().add(pair, rows.schema[pair].dataType).add(tiebreak, kind).add(time, T.TimestampType())
+    out = out.add("pct_change", T.DoubleType()).add("is_anomaly", T.BooleanType())
+    processor = RollingRates(pair, time, rate, tiebreak, state, window_rows, min_rows, deviations)
+    keyed = rows.withWatermark(time, late).groupBy(pair)
+    return keyed.transformWithStateInPandas(processor, out, "Append", "EventTime")
+
+
+def late_rows(query: StreamingQuery) -> int:
+    """Rows that the stateful operators of a query dropped as later than the watermark."""
+    operators = [o for p in query.recentProgress for o in p["stateOperators"]]
+    return sum(o["numRowsDroppedByWatermark"] for o in operators)
+
+
+def prediction_feedback(
+    predictions: DataFrame,
+    labels: DataFrame,
+    keys: Sequence[str],
+    predicted_at: str,
+    labelled_at: str,
+    within: str,
+    late: str,
+) -> DataFrame:
+    """Two streams joined: each prediction with its labels of the ``within`` after it, or with none.
+
+    Both sides carry a watermark ``late`` behind their newest row. With the interval it bounds the
+    state: a prediction without a label comes out, its label columns null, and is dropped when the
+    watermark has passed the end of its interval; a label when no prediction can reach it any more.
+    """
+    left = predictions.withWatermark(predicted_at, late).alias("p")
+    right = labels.withWatermark(labelled_at, late)
+    for key in keys:
+        right = right.withColumnRenamed(key, f"_label_{key}")
+    on = [F.col(k) == F.col(f"_label_{k}") for k in keys]
+    on.append(F.col(labelled_at) >= F.col(predicted_at))
+    on.append(F.col(labelled_at) <= F.col(predicted_at) + F.expr(f"interval {within}"))
+    condition = on[0]
+    for part in on[1:]:
+        condition = condition & part
+    return left.join(right, condition, "leftOuter").drop(*[f"_label_{k}" for k in keys])
+
+
 def score_stream(
     stream: DataFrame,
     users: DataFrame,

@@ -18,6 +18,7 @@ from goldseam.workloads.binding import (
     FAULT_TEXT_SQL,
     TX_SQL,
     code,
+    long,
     money,
     ntz,
     r6,
@@ -25,7 +26,7 @@ from goldseam.workloads.binding import (
 )
 from goldseam.workloads.features import _USERS_SQL, user_features
 from goldseam.workloads.models import _NODES_SQL, _PATH_SQL, FIXED_NODES
-from goldseam.workloads.registry import query, table
+from goldseam.workloads.registry import ORACLES, query, table
 
 
 def landed(spark: SparkSession, rows: DataFrame) -> DataFrame:
@@ -153,7 +154,35 @@ def cdc_apply_deletes(spark: SparkSession, folder: str) -> DataFrame:
     select event_id, coalesce(n >= 5 and sd > 0 and abs(chg - mu) > 2 * sd, false) as is_anomaly from s""",
 )
 def stream_rate_anomaly(spark: SparkSession, folder: str) -> DataFrame:
-    """Three landings in time order, each processed when it is there."""
+    """Three landings that overlap in time, each a run of its own; a last row moves the watermark on.
+
+    A row lands up to 36 hours after its time, within the two days that rows may be late.
+    """
+    rows = table(spark, folder, "events").select(
+        "event_type", F.col("ts").cast("timestamp").alias("ts"), "value", "event_id"
+    )
+    landed_at = F.col("ts") + F.make_dt_interval(hours=F.col("event_id") % 7 * 6)
+    source, output, checkpoint = (new_path(spark, n) for n in ("landed", "flags", "checkpoint"))
+    borders = ["2000-01-01", "2024-01-11", "2024-01-21", "2100-01-01"]
+    last = spark.range(1).select(
+        F.lit("none").alias("event_type"), F.lit("2200-01-01").cast("timestamp").alias("ts"),
+        F.lit(0.0).alias("value"), F.lit(-1).cast("long").alias("event_id"),
+    )
+    parts = [rows.filter((landed_at >= start) & (landed_at < end)) for start, end in zip(borders, borders[1:])]
+    for part in [*parts, last]:
+        part.write.mode("append").parquet(source)
+        stream = IN.file_stream(spark, source, rows.schema)
+        flags = ST.rolling_rate_flags(stream, "event_type", "ts", "value", "event_id", "2 days")
+        IG.run_available(ST.append_sink(flags, output), checkpoint)
+    return spark.read.parquet(output).select("event_id", "is_anomaly")
+
+
+@query(
+    "stream_rate_tables",
+    ORACLES["stream_rate_anomaly"],
+)
+def stream_rate_tables(spark: SparkSession, folder: str) -> DataFrame:
+    """The same flags by the sink that keeps its tails in a table per batch; rows land in time order."""
     rows = table(spark, folder, "events").select("event_type", "ts", "value", "event_id")
     source, output = new_path(spark, "landed"), new_path(spark, "flags")
     state, checkpoint = new_path(spark, "tails"), new_path(spark, "checkpoint")
@@ -167,6 +196,50 @@ def stream_rate_anomaly(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(output).select("event_id", "is_anomaly")
 
 
+@query(
+    "stream_feedback",
+    """with p as (select doc_id, n_chars > 1000 as predicted, timestamp '2024-01-01' + to_seconds(doc_id * 60) as predicted_at
+        from documents),
+      l as (select doc_id, cast(toxic as bigint) as label,
+        timestamp '2024-01-01' + to_seconds(doc_id * 60 + (doc_id % 5) * 3600) as labelled_at from labels)
+    select p.doc_id, p.predicted, l.label, case when l.doc_id is null then 'pending'
+      when p.predicted = (l.label = 1) then 'right' else 'wrong' end as outcome
+    from p left join l on p.doc_id = l.doc_id and labelled_at between predicted_at and predicted_at + interval 3 hours""",
+)
+def stream_feedback(spark: SparkSession, folder: str) -> DataFrame:
+    """Predictions and labels as two streams; labels come up to four hours after, three are waited for."""
+    base = F.lit("2024-01-01").cast("timestamp")
+    minutes = F.make_dt_interval(mins=F.col("doc_id"))
+    predictions = table(spark, folder, "documents").select(
+        "doc_id", (F.col("n_chars") > 1000).alias("predicted"), (base + minutes).alias("predicted_at")
+    )
+    delay = F.make_dt_interval(hours=F.col("doc_id") % 5)
+    labels = table(spark, folder, "labels").select(
+        "doc_id", long("toxic").alias("label"), (base + minutes + delay).alias("labelled_at")
+    )
+    sources = [new_path(spark, n) for n in ("predictions", "labels")]
+    output, checkpoint = new_path(spark, "feedback"), new_path(spark, "checkpoint")
+    end = F.lit("2200-01-01").cast("timestamp")
+    last = [
+        # With an id, as rows without one are filtered before they move the watermark.
+        spark.range(1).select(
+            *[(end if n.endswith("_at") else F.lit(own if n == "doc_id" else None).cast(k)).alias(n) for n, k in df.dtypes]
+        )
+        for df, own in ((predictions, -1), (labels, -2))
+    ]
+    for land in ((predictions, labels), last):
+        for rows, source in zip(land, sources):
+            rows.write.mode("append").parquet(source)
+        streams = [IN.file_stream(spark, s, df.schema) for s, df in zip(sources, (predictions, labels))]
+        joined = ST.prediction_feedback(*streams, ["doc_id"], "predicted_at", "labelled_at", "3 hours", "1 hour")
+        IG.run_available(ST.append_sink(joined, output), checkpoint)
+    rows = spark.read.parquet(output)
+    outcome = F.when(F.col("labelled_at").isNull(), "pending").when(
+        F.col("predicted") == (F.col("label") == 1), "right"
+    )
+    return rows.select("doc_id", "predicted", "label", outcome.otherwise("wrong").alias("outcome"))
+
+
 @query("stream_dedup", "select event_id, event_type, value from events")
 def stream_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """Every event arrives twice and is kept once."""

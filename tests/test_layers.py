@@ -234,3 +234,33 @@ def test_layer_tables(spark):
     names = OUT.create_layer(spark, "gold", new_path(spark, "gold"))
     assert names == ["gold.daily_volume", "gold.user_summary", "gold.hourly_rates", "gold.anomaly_summary"]
     assert spark.table("gold.daily_volume").count() == 0
+
+
+def test_shared_folder_without_a_setting(spark, monkeypatch):
+    """A local session without ``spark.checkpoint.dir`` gets one folder for its whole life."""
+    from goldseam import session
+
+    class Conf:
+        def get(self, name, default=None):
+            return default
+
+    class Unset:
+        conf, sparkContext = Conf(), spark.sparkContext
+
+    first = session.shared_folder(Unset())
+    assert first and session.shared_folder(Unset()) == first
+
+
+def test_base_queries_without_the_llm_packages(tmp_path):
+    """A missing package of the training-data operators leaves the other queries."""
+    import os
+    import subprocess
+    import sys
+
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    code = (
+        "import sys; sys.modules['public_tokenizers'] = None; import warnings; warnings.simplefilter('ignore');"
+        "import __spark_entry__ as e; n = e.queries();"
+        "assert 'gold_daily_volume' in n and not any(x.startswith('op1_') for x in n), sorted(n)"
+    )
+    subprocess.run([sys.executable, "-c", code], cwd=root, check=True, env={**os.environ, "PYTHONPATH": root})

@@ -79,6 +79,60 @@ def test_rate_anomalies_equal_the_batch(spark, plan):
     assert got == want and any(want.values())
 
 
+def rate_rows():
+    start = datetime(2024, 1, 1)
+    rows = []
+    for i in range(300):
+        rate = None if i % 41 == 7 else 0.0 if i % 67 == 9 else 5 + (i * 37 % 11) / 100 + (3.0 if i % 53 == 50 else 0.0)
+        rows.append(("hot" if i % 4 else f"p{i % 3}", start + timedelta(minutes=i), rate, i))
+    return rows
+
+
+def test_keyed_state_out_of_order_restart_and_late(spark):
+    source, out, mark = (new_path(spark, n) for n in ("in", "out", "mark"))
+    ddl = "pair string, ts timestamp, rate double, id long"
+    rows = rate_rows()
+    landing = sorted(rows, key=lambda r: r[3] + r[3] * 7 % 13)  # up to 12 minutes late
+    late = [("hot", rows[10][1], 99.0, 1000), ("new", rows[20][1], 1.0, 1001)]
+    end = ("none", datetime(2200, 1, 1), 0.0, -1)
+    schema = spark.createDataFrame(rows[:1], ddl).schema
+    dropped = 0
+    for part in (landing[:90], landing[90:200], [], landing[200:] + late, [end]):
+        if part:
+            land(spark, source, part, ddl)
+        flags = ST.rolling_rate_flags(IN.file_stream(spark, source, schema), "pair", "ts", "rate", "id", "20 minutes")
+        dropped += ST.late_rows(IG.run_available(ST.append_sink(flags, out), mark))
+    got = spark.read.parquet(out).collect()
+    batch = FE.rate_changes(spark.createDataFrame(rows, ddl), "pair", "ts", "rate", "id")
+    want = {r["id"]: r["is_anomaly"] for r in batch.collect()}
+    assert len(got) == len(rows) and {r["id"]: r["is_anomaly"] for r in got} == want and any(want.values())
+    assert dropped == len(late)
+
+
+def test_feedback_streams_with_late_and_missing_labels(spark):
+    sources = [new_path(spark, n) for n in ("predictions", "labels")]
+    out, mark = new_path(spark, "out"), new_path(spark, "mark")
+    kinds = ("id long, predicted_at timestamp", "id long, label int, labelled_at timestamp")
+    start, hour, end = datetime(2024, 1, 1), timedelta(hours=1), datetime(2200, 1, 1)
+    predictions = [(i, start + i * hour) for i in range(12)] + [(3, start + 5 * hour), (None, start)]
+    labels = [(i, i % 2, start + (i + i % 5) * hour) for i in range(0, 12, 2)] + [(3, 7, start + 5 * hour), (None, 1, start)]
+    labels += [(6, 9, start + 6.5 * hour), (99, 1, start)]
+    schemas = [spark.createDataFrame([], k).schema for k in kinds]
+    steps = [(predictions[:6], []), ([], labels[:4]), (predictions[6:], labels[4:]), ([(-1, end)], [(-2, None, end)])]
+    for step in steps:
+        for rows, source, ddl in zip(step, sources, kinds):
+            land(spark, source, rows, ddl)
+        streams = [IN.file_stream(spark, s, k) for s, k in zip(sources, schemas)]
+        joined = ST.prediction_feedback(*streams, ["id"], "predicted_at", "labelled_at", "2 hours", "30 hours")
+        IG.run_available(ST.append_sink(joined, out), mark)
+    got = sorted([(r["id"], r["predicted_at"], r["label"]) for r in spark.read.parquet(out).collect()], key=repr)
+    want = []
+    for i, at in predictions:
+        met = [x for j, x, when in labels if j is not None and i == j and at <= when <= at + 2 * hour]
+        want += [(i, at, x) for x in met or [None]]
+    assert got == sorted(want, key=repr)
+
+
 ROW = T.StructType([T.StructField("id", T.LongType()), T.StructField("price", T.DecimalType(10, 2))])
 
 
@@ -145,4 +199,22 @@ def test_rates_and_topics(spark):
     IG.run_available(ST.table_sink(ST.topic_counts(stream, "topic", "value", "off"), out), mark)
     got = {r["topic"]: (r["messages"], r["last_message"]) for r in spark.read.parquet(out).collect()}
     assert got == {"a": (5, "v4"), "b": (1, "w")}
-    assert ST.message_rate(stream, "ts").columns == ["window_start", "window_end", "msg_per_sec"]
+
+
+def test_message_rate_stream(spark):
+    source, out, mark = (new_path(spark, n) for n in ("in", "out", "mark"))
+    ddl = "ts timestamp"
+    day = datetime(2024, 1, 1)
+    rows = [(day + timedelta(seconds=s),) for s in (5, 61, 62, 300, 301, 900)]
+    for part in (rows[:3], rows[3:], [(day + timedelta(days=1),)]):
+        land(spark, source, part, ddl)
+        stream = IN.file_stream(spark, source, spark.createDataFrame(rows, ddl).schema)
+        IG.run_available(ST.append_sink(ST.message_rate(stream, "ts"), out), mark)
+    got = {r["window_start"]: (r["window_end"], r["msg_per_sec"]) for r in spark.read.parquet(out).collect()}
+    want = {}
+    for k in range(-5, 20):
+        start, end = day + timedelta(minutes=k), day + timedelta(minutes=k + 5)
+        n = sum(start <= t < end for (t,) in rows)
+        if n:
+            want[start] = (end, n / 300)
+    assert got == want
