@@ -106,52 +106,42 @@ def currency_features(
     )
 
 
+def span_changes(df: DataFrame, key: str, time: str, item: str, span_seconds: int) -> DataFrame:
+    """``key, _t, _change``: where the number of distinct items in the last span goes up or down.
+
+    An occurrence counts from its time to the earlier of its expiry, a microsecond after the span,
+    and the item's next occurrence, which takes over. So each occurrence is +1 at its own time and -1
+    at that end, and the running sum at a time is the number of distinct items in the span before it.
+    """
+    seen = df.select(key, F.col(item).alias("_item"), micros(time).alias("_t")).dropna(subset=["_item", "_t"]).distinct()
+
+    def until_next(rows: DataFrame, window) -> DataFrame:
+        return rows.withColumn("_next", F.lag("_t", 1).over(window))
+
+    ends = rolling(seen, [key, "_item"], ["-_t"], 1, until_next)
+    end = F.least(F.col("_t") + (span_seconds * 1_000_000 + 1), F.col("_next"))
+    both = F.array(
+        F.struct(F.col("_t"), F.lit(1).cast("long").alias("_change")),
+        F.struct(end.alias("_t"), F.lit(-1).cast("long").alias("_change")),
+    )
+    changes = ends.select(key, F.inline(both))
+    return changes.groupBy(key, "_t").agg(F.sum("_change").alias("_change")).where("_change <> 0")
+
+
 def distinct_over_span(
-    df: DataFrame, key: str, time: str, item: str, span_seconds: int, output: str, cells: int = 168
+    df: DataFrame, key: str, time: str, item: str, span_seconds: int, output: str
 ) -> DataFrame:
     """Distinct items of a key within [t - span, t], one row per (key, time).
 
-    An item is inside the span when its latest occurrence is. Above the group limit the
-    time line is cut into cells: earlier cells only matter through the latest time of each
-    item, which is carried in as one small map per cell.
+    Null items do not count. Rows without a time are one more moment of their key.
     """
-    span = span_seconds * 1_000_000
-    points = (
-        df.withColumn("_t", micros(time))
-        .groupBy(key, time, "_t")
-        .agg(F.collect_set(item).alias("_items"))
-    )
-    if fits_one_task(df, [key], SLIDING_ROWS):
-        frame = Window.partitionBy(key).orderBy("_t").rangeBetween(-span, 0)
-        seen = F.array_distinct(F.flatten(F.collect_set("_items").over(frame)))
-        return points.select(key, time, F.size(seen).cast("long").alias(output))
-
-    width = max(span // cells, 1)
-    points = materialize(points.withColumn("_cell", cell_of("_t", width)), "points")
-    latest = (
-        points.select(key, "_cell", "_t", F.explode_outer("_items").alias("_item"))
-        .groupBy(key, "_cell", "_item")
-        .agg(F.max("_t").alias("_at"))
-    )
-    # A key has one row per cell it occurs in (also where all items are null), so this window is
-    # bounded by the time line.
-    line = Window.partitionBy(key).orderBy("_cell").rangeBetween(-(cells + 1), -1)
-    carried = (
-        latest.groupBy(key, "_cell")
-        .agg(F.collect_list(F.when(F.col("_item").isNotNull(), F.struct("_item", "_at"))).alias("_ends"))
-        .select(key, "_cell", F.flatten(F.collect_list("_ends").over(line)).alias("_before"))
-    )
-    inside = Window.partitionBy(key, "_cell").orderBy("_t")
-    here = F.array_distinct(
-        F.flatten(F.collect_set("_items").over(inside.rangeBetween(Window.unboundedPreceding, 0)))
-    )
-    joined = points.withColumn("_here", here)
-    joined = join_whole(joined, carried, [key, "_cell"])
-    live = F.filter("_before", lambda x: x["_at"] >= F.col("_t") - span)
-    names = F.transform(live, lambda x: x["_item"])
-    return joined.select(
-        key, time, F.size(F.array_union("_here", names)).cast("long").alias(output)
-    )
+    points = df.select(key, time, micros(time).alias("_t"), F.lit(0).cast("long").alias("_change")).distinct()
+    changes = span_changes(df, key, time, item, span_seconds)
+    line = points.where("_t IS NOT NULL").unionByName(changes, allowMissingColumns=True)
+    line = line.groupBy(key, "_t").agg(F.max(time).alias(time), F.sum("_change").alias("_change"))
+    timed = running_sums(line, [key], ["_t"], {output: "_change"}).where(F.col(time).isNotNull())
+    untimed = df.where(F.col(time).isNull()).groupBy(key, time).agg(F.count_distinct(item).alias(output))
+    return timed.select(key, time, F.col(output).cast("long").alias(output)).unionByName(untimed)
 
 
 def pattern_features(
@@ -204,24 +194,27 @@ def _patterns_in_one_pass(
             F.sum(amount).alias("_s"),
             F.count(F.lit(1)).alias("_rows"),
             F.sum(night).alias("_night"),
-            F.collect_set(currency).alias("_items"),
         )
     )
+    # Rises and falls of the distinct currencies stand in the same line, so one sort serves all.
+    changes = span_changes(df, user, time, currency, 7 * DAY)
+    sums = [F.sum(c).alias(c) for c in ("_n", "_s", "_rows", "_night", "_change")]
+    line_of = points.unionByName(changes, allowMissingColumns=True).groupBy(user, "_t")
+    points = line_of.agg(F.max(time).alias(time), *sums)
     line = Window.partitionBy(user).orderBy("_t")
-    hour, day, week = (line.rangeBetween(-s * 1_000_000, 0) for s in (HOUR, DAY, 7 * DAY))
+    hour, day = (line.rangeBetween(-s * 1_000_000, 0) for s in (HOUR, DAY))
     upto = line.rangeBetween(Window.unboundedPreceding, 0)
-    kinds = F.array_distinct(F.flatten(F.collect_set("_items").over(week)))
     framed = points.withColumns(
         {
             "transactions_last_1h": F.sum("_n").over(hour),
             "_n24": F.sum("_n").over(day),
             "_s24": F.sum("_s").over(day),
-            "distinct_currencies_last_7d": F.size(kinds).cast("long"),
+            "distinct_currencies_last_7d": F.coalesce(F.sum("_change").over(upto), F.lit(0).cast("long")),
             "_all": F.sum("_rows").over(upto),
             "_nights": F.sum("_night").over(upto),
         }
     )
-    return _pattern_columns(framed, user, time)
+    return _pattern_columns(framed.where("_rows IS NOT NULL"), user, time)
 
 
 def user_history(

@@ -30,8 +30,10 @@ GROUP_ROWS = 2_000_000
 # Spark evaluates a sliding frame anew for every row, so the cost of a group grows with
 # rows times frame length. Time-span frames therefore get a lower limit.
 SLIDING_ROWS = 20_000
-# The built-in exact percentile keeps every distinct value of a group in one task's map.
-PERCENTILE_ROWS = 1_000_000
+# Quantiles: the sketch's inverse error, and the most values between two bounds that are listed.
+SKETCH_ACCURACY = 5_000
+LISTED = 20_000
+_GRID = 128
 # Chunks grow in number with the table; the upper bound keeps the borders and the tables of
 # spanning keys small, and a chunk that gets larger than planned is sorted with spilling.
 CHUNK_ROWS = 5_000_000
@@ -270,6 +272,112 @@ def row_at(df: DataFrame, order: Sequence[str], positions: dict[str, int]) -> Da
     return pick(inside.withColumn("_place", F.col("_start") + local))
 
 
+def select_quantiles(
+    df: DataFrame,
+    keys: Sequence[str],
+    columns: Sequence[str],
+    probabilities: Sequence[float],
+    extra: Sequence[Column] = (),
+) -> DataFrame:
+    """Exact linearly interpolated quantiles of several double columns, by distributed selection.
+
+    One pass sketches all columns and yields for every quantile two values of the data that surely
+    enclose it. A second pass counts what lies below and lists the few values between, from which the
+    quantile is read. Where more than ``LISTED`` values lie between, further passes sketch only
+    these and move the bounds together first; each divides their number by about twenty, so passes
+    grow with the logarithm of the rows and no list with the data. Equal values move to the bounds, so
+    a value that a third of all rows hold is a number in a count.
+
+    Returns ``keys``, ``q_0, q_1, ..`` (an array for each column, of nulls if it has no value) and the
+    ``extra`` aggregates. The expressions are SQL text, as there are dozens for each quantile.
+    """
+    targets = [(i, float(p)) for i in range(len(columns)) for p in probabilities]
+    margin = 3 / SKETCH_ACCURACY
+    names = [f"`{c}`" for c in columns]
+
+    def sketch(value: str, places: Sequence[float]) -> str:
+        return f"percentile_approx({value}, array({', '.join(f'{x!r}D' for x in places)}), {SKETCH_ACCURACY})"
+
+    def ranks(i: int, p: float) -> tuple[str, str, str]:
+        at = f"({p!r}D * (_n{i} - 1))"
+        return at, f"floor({at})", f"ceil({at})"
+
+    places = [x for p in probabilities for x in (max(0.0, p - margin), min(1.0, p + margin))]
+    parts = []
+    for i, v in enumerate(names):
+        parts += [f"count({v}) AS _n{i}", f"min({v}) AS _least{i}", f"max({v}) AS _most{i}", f"{sketch(v, places)} AS _a{i}"]
+    first = df.groupBy(*keys).agg(*[F.expr(x) for x in parts], *extra)
+    numbers = [f"_n{i}" for i in range(len(columns))]
+    extras = first.columns[len(keys) + len(parts) :]
+    # The margin has to cover a rank, as a sketch counts ranks in another way; few values are enclosed
+    # by the smallest and the largest one.
+    few = 4 / margin
+    bounds, between = [], []
+    for t, (i, _) in enumerate(targets):
+        k = t % len(probabilities)
+        lo, hi = (f"IF(_n{i} < {few}, _{e}{i}, _a{i}[{2 * k + up}])" for up, e in enumerate(("least", "most")))
+        bounds.append(f"struct({lo} AS lo, {hi} AS hi)")
+        between.append(f"IF(_n{i} < {few}, _n{i}, ceil(_n{i} * {4 * margin}))")
+
+    def settled(rows: DataFrame, bounds: list[str], between: list[str]) -> DataFrame:
+        """The bounds, computed once: a table, or without keys its one row."""
+        both = [f"array({', '.join(bounds)}) AS _b", f"array({', '.join(between)}) AS _m"]
+        rows = rows.select(*keys, *numbers, *extras, *[F.expr(x) for x in both])
+        return materialize(rows, "bounds") if keys else rows.sparkSession.createDataFrame(rows.collect(), rows.schema)
+
+    def counts(state: DataFrame, listed: Callable[[str], str]) -> DataFrame:
+        """What lies below, at and above each lower bound; the rows are joined with their bounds, or,
+        without keys, compared with plain numbers."""
+        rows = join_whole(df, state.select(*keys, "_b"), keys) if keys else df
+        known = None if keys else state.select("_b").first()["_b"]
+        parts = []
+        for t, (i, _) in enumerate(targets):
+            lo, hi = f"_b[{t}].lo", f"_b[{t}].hi"
+            if known:
+                lo, hi = ("CAST(NULL AS DOUBLE)" if x is None else f"CAST('{x!r}' AS DOUBLE)" for x in known[t])
+            v = names[i]
+            inside = f"CASE WHEN {v} > {lo} AND {v} < {hi} THEN {v} END"
+            parts += [
+                f"count_if({v} < {lo}) AS _below{t}", f"count_if({v} = {lo}) AS _at{t}",
+                f"count({inside}) AS _in{t}", f"{listed(inside)} AS _list{t}",
+            ]
+        grouped = rows.groupBy(*keys).agg(*[F.expr(x) for x in parts])
+        return join_whole(grouped, state, keys) if keys else grouped.crossJoin(F.broadcast(state))
+
+    state = settled(first, bounds, between)
+    grid = [k / _GRID for k in range(_GRID + 1)]
+    while (state.agg(F.max(F.array_max("_m"))).first()[0] or 0) > LISTED:
+        found = counts(state, lambda inside: sketch(inside, grid))
+        bounds, between = [], []
+        for t, (i, p) in enumerate(targets):
+            _, low, high = ranks(i, p)
+            ends = []
+            # A mark further out covers the sketch's error; beyond the marks the bound stays.
+            for rank, step, far in ((low, -1, f"_b[{t}].lo"), (high, 2, f"_b[{t}].hi")):
+                place = f"(CAST(floor(({rank} - _below{t} - _at{t}) * {_GRID} / greatest(_in{t}, 1)) AS INT) + {step})"
+                ends.append(f"IF(_in{t} > 0 AND {place} BETWEEN 0 AND {_GRID}, get(_list{t}, {place}), {far})")
+            bounds.append(f"struct({ends[0]} AS lo, {ends[1]} AS hi)")
+            between.append(f"ceil(_in{t} * {6 / _GRID}) + 2")
+        state = settled(found, bounds, between)
+
+    found = counts(state, lambda inside: f"array_sort(collect_list({inside}))")
+    picked, results = [], []
+    for t, (i, p) in enumerate(targets):
+        at, low, high = ranks(i, p)
+        for side, rank in (("l", low), ("h", high)):
+            picked.append(
+                f"CASE WHEN _n{i} > 0 AND {rank} < _below{t} THEN CAST(raise_error('a bound is no bound') AS DOUBLE) "
+                f"WHEN {rank} < _below{t} + _at{t} THEN _b[{t}].lo WHEN {rank} < _below{t} + _at{t} + _in{t} "
+                f"THEN get(_list{t}, CAST({rank} - _below{t} - _at{t} AS INT)) ELSE _b[{t}].hi END AS _{side}{t}"
+            )
+        mixed = f"({high} - {at}) * _l{t} + ({at} - {low}) * _h{t}"
+        results.append(f"CASE WHEN _n{i} > 0 THEN CASE WHEN _l{t} = _h{t} THEN _l{t} WHEN {low} = {high} THEN _l{t} ELSE {mixed} END END")
+    found = found.select(*keys, *numbers, *extras, *[F.expr(x) for x in picked])
+    each = len(probabilities)
+    arrays = [f"array({', '.join(results[i * each : (i + 1) * each])}) AS q_{i}" for i in range(len(columns))]
+    return found.select(*keys, *[F.expr(x) for x in arrays], *extras)
+
+
 def exact_quantiles(
     df: DataFrame,
     keys: Sequence[str],
@@ -277,37 +385,10 @@ def exact_quantiles(
     probabilities: Sequence[float],
     output: str = "quantiles",
 ) -> DataFrame:
-    """Exact linearly interpolated quantiles per key, as one array column.
-
-    Large groups are first counted per distinct value, then the two neighbouring ranks of
-    each quantile are read off the cumulative counts.
-    """
+    """Exact linearly interpolated quantiles per key, as one array column. Nulls do not count; a
+    key without values has no row."""
     present = df.select(*keys, F.col(value).cast("double").alias("_v")).filter("_v is not null")
-    wanted = [float(p) for p in probabilities]
-    if fits_one_task(present, keys, PERCENTILE_ROWS):
-        picked = F.percentile("_v", F.array(*[F.lit(p) for p in wanted]))
-        return present.groupBy(*keys).agg(picked.alias(output))
-
-    # Written once, since the size check, the ranks and the totals all read it.
-    counts = materialize(present.groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_n")), "counts")
-    ranked = running_sums(counts, keys, ["_v"], {"_cum": "_n"})
-    totals = counts.groupBy(*keys).agg(F.sum("_n").alias("_total"))
-    if keys:
-        both = join_whole(ranked, totals, keys)
-    else:
-        both = ranked.withColumn("_total", totals.select("_total").scalar())
-    picks = []
-    for i, p in enumerate(wanted):
-        at = F.lit(p) * (F.col("_total") - 1)
-        picks.append(F.min(F.when(F.col("_cum") > F.floor(at), F.col("_v"))).alias(f"_lo{i}"))
-        picks.append(F.min(F.when(F.col("_cum") > F.ceil(at), F.col("_v"))).alias(f"_hi{i}"))
-        picks.append(F.first(at - F.floor(at)).alias(f"_part{i}"))
-    found = both.groupBy(*keys).agg(*picks)
-    values = [
-        F.col(f"_lo{i}") + (F.col(f"_hi{i}") - F.col(f"_lo{i}")) * F.col(f"_part{i}")
-        for i in range(len(wanted))
-    ]
-    return found.select(*keys, F.array(*values).alias(output))
+    return select_quantiles(present, keys, ["_v"], probabilities).select(*keys, F.col("q_0").alias(output))
 
 
 def _divisor(span: int, least: int) -> int:

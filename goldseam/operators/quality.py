@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from goldseam.functions import columns as X
-from goldseam.operators.ordered import PERCENTILE_ROWS, exact_quantiles, fits_one_task
+from goldseam.operators.ordered import select_quantiles
 from goldseam.schemas import VALID_CURRENCIES
 
 
@@ -222,48 +222,25 @@ def unpivot(df: DataFrame, columns: Sequence[str], keep: Sequence[str] = ()) ->
 def profile_numeric(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Minimum, quartiles, maximum, mean and deviation of each column, quartiles exact.
 
-    A table that fits one task is profiled in a single aggregate. A larger one takes its
-    quartiles from counts per distinct value.
+    All columns share two passes: one for the plain figures and the bounds of the quartiles, one for
+    the quartiles.
     """
-    wanted = [0.25, 0.5, 0.75]
-    small = fits_one_task(df, [], PERCENTILE_ROWS)
-    parts = []
-    for i, name in enumerate(columns):
-        value = F.col(name).cast("double")
-        parts += [
-            F.count(value).alias(f"n{i}"),
-            F.min(value).alias(f"lo{i}"),
-            F.max(value).alias(f"hi{i}"),
-            F.avg(value).alias(f"m{i}"),
-            F.stddev(value).alias(f"s{i}"),
-        ]
-        if small:
-            parts.append(F.percentile(value, F.array(*[F.lit(p) for p in wanted])).alias(f"q{i}"))
-    rows = [
+    names = [f"_v{i}" for i in range(len(columns))]
+    rows = df.select(*[F.col(c).cast("double").alias(n) for c, n in zip(columns, names)])
+    figures = {"non_null": F.count, "min": F.min, "max": F.max, "mean": F.avg, "stddev": F.stddev}
+    extra = [fn(n).alias(f"{figure}{n}") for n in names for figure, fn in figures.items()]
+    found = select_quantiles(rows, [], names, [0.25, 0.5, 0.75], extra)
+    entries = [
         F.struct(
             F.lit(name).alias("column_name"),
-            F.col(f"n{i}").alias("non_null"),
-            F.col(f"lo{i}").alias("min"),
-            F.col(f"hi{i}").alias("max"),
-            F.col(f"m{i}").alias("mean"),
-            F.col(f"s{i}").alias("stddev"),
-            *([F.col(f"q{i}").alias("quantiles")] if small else []),
+            F.col(f"non_null{n}").alias("non_null"),
+            F.col(f"min{n}").alias("min"),
+            *[F.col(f"q_{i}")[k].alias(q) for k, q in enumerate(("p25", "p50", "p75"))],
+            *[F.col(f"{figure}{n}").alias(figure) for figure in ("max", "mean", "stddev")],
         )
-        for i, name in enumerate(columns)
+        for i, (name, n) in enumerate(zip(columns, names))
     ]
-    profile = df.agg(*parts).select(F.inline(F.array(*rows)))
-    if not small:
-        quartiles = exact_quantiles(unpivot(df, columns), ["name"], "value", wanted)
-        profile = profile.join(quartiles.withColumnRenamed("name", "column_name"), "column_name", "left")
-    return profile.select(
-        "column_name",
-        "non_null",
-        "min",
-        *[F.col("quantiles")[i].alias(n) for i, n in enumerate(("p25", "p50", "p75"))],
-        "max",
-        "mean",
-        "stddev",
-    )
+    return found.select(F.inline(F.array(*entries)))
 
 
 def daily_counts(df: DataFrame, day: str | Column, since: str | Column) -> DataFrame:

@@ -304,3 +304,26 @@ def test_refresh_of_an_empty_store(spark):
     rows = spark.sql("SELECT 'u' AS k, timestamp'2024-01-01' AS t, 1 AS x")
     got = features.refresh_online(rows.where("false"), rows, ["k"], "t", F.lit("2025-01-01").cast("timestamp"))
     assert got.count() == 1
+
+
+@pytest.mark.parametrize("listed", [20_000, 60, 4])
+@pytest.mark.parametrize("keys", [[], ["k"]])
+def test_selection_of_quantiles(spark, monkeypatch, listed, keys):
+    """Bounds are moved together until few values are left, also around ties and far apart values."""
+    import numpy as np
+
+    monkeypatch.setattr(O, "LISTED", listed)
+    rng = np.random.default_rng(listed)
+    heavy = [5.0] * 3000 + list(rng.normal(5, 1e-9, 500)) + [float("-inf"), float("inf")]
+    wide = list(10.0 ** rng.integers(-300, 300, 2000) * rng.choice([-1.0, 1.0], 2000))
+    rows = [("a", float(v), -float(v)) for v in heavy + wide] + [(None, float(i), None) for i in range(7)] + [("one", 2.5, None), ("none", None, None)]
+    df = spark.createDataFrame(rows, "k string, v double, w double").repartition(5)
+    wanted = [0.0, 0.01, 0.25, 0.5, 0.731, 0.99, 1.0]
+    got = O.select_quantiles(df, keys, ["v", "w"], wanted).collect()
+    plain = df.groupBy(*keys).agg(*[F.percentile(c, F.array(*[F.lit(p) for p in wanted])).alias(c) for c in "vw"])
+    want = {r["k"] if keys else 0: r for r in plain.collect()}
+    assert len(got) == len(want)
+    for r in got:
+        expected = want[r["k"] if keys else 0]
+        for column, have in (("v", r["q_0"]), ("w", r["q_1"])):
+            assert have == (expected[column] or [None] * len(wanted)), (r, expected)
