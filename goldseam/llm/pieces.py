@@ -13,11 +13,10 @@ import struct
 from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 
 from goldseam.llm.memory import Kept, worker_state
-from goldseam.llm.words import column_bytes, hashed_spans, text_slices
+from goldseam.llm.words import column_bytes, grouped, hashed_spans, text_slices
 
 # White space as the tokenizer libraries define it (the Unicode property, fixed values).
 SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
@@ -25,7 +24,7 @@ SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 LETTERS = "A-Za-zÀ-ÖØ-öø-ɏ"
 _WIDE_SPACES = [chr(c) for c in (0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)]
 #: Bytes of ids of pieces that a worker keeps: encoding a new piece takes ten times a look-up.
-PIECE_BYTES = 128 << 20
+PIECE_BYTES = 48 << 20
 _PIECES = re.compile(
     rf"[{SPACE}]*[{LETTERS}]+(?=[!-/:-@\[-`{{-~{SPACE}])|[{SPACE}]*[^{SPACE}]+|[{SPACE}]+"
 )
@@ -65,10 +64,13 @@ class PieceEncoder:
     """
 
     def __init__(
-        self, encode_new: Callable[[list[str]], Iterable[bytes]], added: dict[str, bytes] | None = None
+        self,
+        encode_new: Callable[[list[str]], Iterable[bytes]],
+        added: dict[str, bytes] | None = None,
+        kept_bytes: int = PIECE_BYTES,
     ):
         self.encode_new = encode_new
-        self.kept = Kept(PIECE_BYTES)
+        self.kept = Kept(kept_bytes)
         self.added = added or {}
         longest = "|".join(map(re.escape, sorted(self.added, key=len, reverse=True)))
         self.cut = re.compile(f"({longest})") if longest else None
@@ -89,9 +91,7 @@ class PieceEncoder:
         odd = self._uncertain(data, ends)
         owner = np.searchsorted(starts, ends)
         sizes = np.diff(starts, append=len(data))
-        kind, numbers = pd.factorize(hashed_spans(data, starts))
-        first = np.empty(len(numbers), np.int64)
-        first[kind[::-1]] = np.arange(len(kind) - 1, -1, -1)
+        kind, first = grouped(hashed_spans(data, starts))
         if (sizes != sizes[first][kind]).any():
             raise ValueError("two pieces of different length share a number")
         whole = data.tobytes()
@@ -129,7 +129,7 @@ class PieceEncoder:
         return [self.added[t] if t in self.added else next(ids) for t in texts]
 
 
-def _tokenizer_encoder(path: str) -> PieceEncoder:
+def _tokenizer_encoder(path: str, kept_bytes: int = PIECE_BYTES) -> PieceEncoder:
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
@@ -164,18 +164,21 @@ def _tokenizer_encoder(path: str) -> PieceEncoder:
         ranges = zip(cuts, cuts[1:])
         return [data[slice(*next(ranges))] if one else next(rest).tobytes() for one in joined]
 
-    return PieceEncoder(encode_new, added)
+    return PieceEncoder(encode_new, added, kept_bytes)
 
 
-def tokenizer_encoder(path: str) -> PieceEncoder:
+def tokenizer_encoder(path: str, kept_bytes: int = PIECE_BYTES) -> PieceEncoder:
     """A piece encoder over a tokenizers file, one per worker."""
-    return worker_state(("tokenizer", path), lambda: _tokenizer_encoder(path))
+    return worker_state(("tokenizer", path, kept_bytes), lambda: _tokenizer_encoder(path, kept_bytes))
 
 
-def column_slices(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[pa.Array, pa.Array]]:
-    """First and second column of record batches, cut to texts of about 8 MB."""
+def column_slices(
+    batches: Iterable[pa.RecordBatch], limit: int = 2 << 20
+) -> Iterator[tuple[pa.Array, pa.Array]]:
+    """First and second column of record batches, cut to texts of about ``limit`` bytes; encoding takes
+    about thirty bytes of memory for each."""
     for batch in batches:
-        for lo, hi in text_slices(batch.column(1), 8 << 20):
+        for lo, hi in text_slices(batch.column(1), limit):
             yield batch.column(0).slice(lo, hi - lo), batch.column(1).slice(lo, hi - lo)
 
 

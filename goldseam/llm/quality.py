@@ -9,14 +9,15 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from goldseam.llm.common import ddl, map_frames
-from goldseam.llm.memory import Kept, worker_state
 from goldseam.llm.pieces import batches_of
 from goldseam.llm.registry import query
 from goldseam.llm.sketch import summed
+from goldseam.llm.words import column_bytes, grouped, text_slices, word_numbers
 from goldseam.workloads.registry import table
 
 BUCKETS, WIDTH, NONZERO = 8192, 32, 4
@@ -25,6 +26,7 @@ POOLED = 3 * WIDTH + 2
 #: their ids. Word vectors are learned from all documents.
 SAMPLE_ROWS = 20_000
 REJECT_BELOW = 0.3
+_RUNS, _DIGITS, _LETTERS = re.compile(r"(.)\1+"), re.compile(r"\d+"), re.compile(r"[^\W\d_]+")
 
 
 def _index_vectors() -> tuple[np.ndarray, np.ndarray]:
@@ -42,26 +44,39 @@ def _bucket(unit: str) -> int:
     return zlib.crc32(unit.encode("utf-8", "replace")) % BUCKETS
 
 
-def _units(word: str) -> int:
+def _units(word: str, shapes: dict[str, int]) -> int:
     """Buckets of a whole word's letters and of its shape (case, digits and marks, runs as one), as
     one number."""
     if word.isalpha():
         letters, shape = word.lower(), _case(word)
     else:
         letters = "".join(filter(str.isalpha, word)).lower()
-        shape = re.sub(r"\d+", "9", re.sub(r"[^\W\d_]+", lambda m: _case(m[0]), word))
-        shape = re.sub(r"(.)\1+", r"\1\1", shape)
-    return _bucket("w" + letters) * BUCKETS + _bucket("s" + shape)
+        shape = _DIGITS.sub("9", _LETTERS.sub(lambda m: _case(m[0]), word))
+        shape = _RUNS.sub(r"\1\1", shape)
+    bucket = shapes.get(shape)
+    if bucket is None:
+        bucket = _bucket("s" + shape)
+        shapes[shape] = bucket
+    return _bucket("w" + letters) * BUCKETS + bucket
 
 
 def units(texts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Letter buckets, shape buckets and number of words of texts, texts one after another."""
-    found = [text.split() if text else [] for text in texts]
-    known = worker_state("quality", Kept).table(set().union(*found), lambda words: map(_units, words))
-    both = [np.fromiter(map(known.__getitem__, words), np.int64, len(words)) for words in found]
-    sizes = [len(words) for words in found]
-    pairs = np.concatenate(both) if both else np.zeros(0, np.int64)
-    return pairs // BUCKETS, pairs % BUCKETS, np.array(sizes, np.int64)
+    """Letter buckets, shape buckets and number of words of texts, texts one after another. Each
+    distinct word of about 4 MB of text is looked at once; nothing is kept between calls."""
+    column = pa.array(texts, pa.large_string(), from_pandas=True)
+    pairs, sizes = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    for lo, hi in text_slices(column):
+        part = column.slice(lo, hi - lo)
+        numbers, first, starts = word_numbers(part)
+        kind, one = grouped(numbers)
+        data = column_bytes(part)[0].tobytes()
+        ends = np.append(starts[1:], len(data))[one].tolist()
+        shapes: dict[str, int] = {}
+        words = (data[s:e].rstrip().decode() for s, e in zip(starts[one].tolist(), ends))
+        pairs.append(np.fromiter((_units(w, shapes) for w in words), np.int64, len(one))[kind])
+        sizes.append(np.diff(first))
+    both = np.concatenate(pairs)
+    return both // BUCKETS, both % BUCKETS, np.concatenate(sizes)
 
 
 def fit_vectors(docs: DataFrame, text_col: str = "text") -> np.ndarray:
@@ -73,7 +88,7 @@ def fit_vectors(docs: DataFrame, text_col: str = "text") -> np.ndarray:
     def count(frames: Iterator[pd.DataFrame]) -> np.ndarray:
         places, signs = _index_vectors()
         total = np.zeros(BUCKETS * WIDTH)
-        for frame in batches_of(frames, text_col, 2_000_000):
+        for frame in batches_of(frames, text_col, 4_000_000):
             letters, shapes, sizes = units(frame[text_col])
             text = np.repeat(np.arange(len(sizes)), sizes)
             near = text[1:] == text[:-1]
@@ -191,7 +206,7 @@ class QualityModel:
 
         def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             vectors, network = shared.value
-            for frame in batches_of(frames, text_col, 1_000_000):
+            for frame in batches_of(frames, text_col, 2_000_000):
                 yield frame.assign(_score=network.scores(pool(frame[text_col], vectors)))
 
         schema = ddl(docs)
@@ -216,7 +231,7 @@ def fit_quality(
     shared = docs.sparkSession.sparkContext.broadcast(vectors)
 
     def pooled(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in batches_of(frames, "_text", 1_000_000):
+        for frame in batches_of(frames, "_text", 2_000_000):
             x = pool(frame["_text"], shared.value).astype(np.float32)
             yield pd.DataFrame({"_id": frame["_id"], "_label": frame["_label"], "_x": [v.tobytes() for v in x]})
 

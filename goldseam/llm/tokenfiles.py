@@ -21,6 +21,8 @@ from goldseam.workloads.registry import table
 MAGIC = b"EFID"
 HEAD = struct.Struct("<4sIQBxxx")  # magic, documents, ids, low bits
 SAMPLE = 64
+#: Bytes of known pieces in a worker, and of texts that are encoded at once.
+KEPT_BYTES, SLICE_BYTES = 128 << 20, 8 << 20
 BLOCKS = "part long, block long, first_id long, n_docs long, n_ids long, payload binary"
 ROWS = "part long, doc_id long, start long, n_tokens long, ids binary"
 
@@ -125,7 +127,7 @@ def write_token_files(
     """
 
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = tokenizer_encoder(tokenizer)
+        encoder = tokenizer_encoder(tokenizer, KEPT_BYTES)
         end = struct.pack("<I", end_id)
         part = TaskContext.get().partitionId()
         keys, ids, held, first, number = [], [], 0, 0, 0
@@ -136,7 +138,7 @@ def write_token_files(
             names = "part block first_id n_docs n_ids payload".split()
             return pa.RecordBatch.from_arrays([pa.array([x], k) for x, k in zip(row, kinds)], names=names)
 
-        for numbers, texts in column_slices(batches):
+        for numbers, texts in column_slices(batches, SLICE_BYTES):
             for key, x in zip(numbers.to_pylist(), encoder.encode_column(texts)):
                 keys.append(key)
                 ids.append(x + end)

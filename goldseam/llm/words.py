@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 
 _PLACES = 64
@@ -35,15 +36,21 @@ def _offsets(column: pa.Array) -> np.ndarray:
 
 
 def hashed_words(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """``word_numbers`` without the places."""
+    return word_numbers(column)[:2]
+
+
+def word_numbers(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Numbers of all words ``[^\\x20\\x09-\\x0D]+`` of the texts, one text after another, and the
-    place of each text's first word (one entry more than texts). Null texts have no words.
+    place of each text's first word (one entry more than texts); then the byte at which each word
+    begins. Null texts have no words.
 
     Two different words of up to 64 bytes get the same number with probability 2**-64; a longer
     one takes part as a whole, its places turned by a factor for every 64 bytes.
     """
     data, ends = column_bytes(column)
     if not len(data):
-        return np.zeros(0, np.uint64), np.zeros(len(ends), np.int64)
+        return np.zeros(0, np.uint64), np.zeros(len(ends), np.int64), np.zeros(0, np.int64)
     space = _SPACE[data]
     begins = ~space
     begins[1:] &= space[:-1]
@@ -60,7 +67,7 @@ def hashed_words(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         parts.append(_hash_bytes(data[lo:hi], space[lo:hi], np.flatnonzero(begins[lo:hi])))
         lo = hi
     at = np.flatnonzero(begins)
-    return np.concatenate(parts), np.searchsorted(at, ends)
+    return np.concatenate(parts), np.searchsorted(at, ends), at
 
 
 def _hash_bytes(data: np.ndarray, space: np.ndarray | None, at: np.ndarray) -> np.ndarray:
@@ -100,6 +107,14 @@ def column_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(data, np.uint8)[ends[0] : ends[-1]], ends - ends[0]
 
 
+def grouped(numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The kind of each number, and where each kind stands first."""
+    kind, kinds = pd.factorize(numbers)
+    first = np.empty(len(kinds), np.int64)
+    first[kind[::-1]] = np.arange(len(kind) - 1, -1, -1)
+    return kind, first
+
+
 def mixed(x: np.ndarray) -> np.ndarray:
     """64-bit numbers scrambled one to one."""
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)

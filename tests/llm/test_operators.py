@@ -514,28 +514,26 @@ def test_kept_bytes():
     """What a worker keeps is bounded in bytes, whatever the number and length of words."""
     from goldseam.llm import memory
 
-    def words(most):
-        rng = random.Random(3)
-        return ["".join(rng.choices("abcdefgh123.", k=rng.randint(1, most))) for _ in range(3000)]
-
-    state = memory.worker_state("quality", memory.Kept)
-    long = "x" * 10_000
+    rng, long = random.Random(3), "x" * 10_000
+    state = memory.worker_state("ngrams", memory.Kept)
     for start in range(0, 200_000, 10_000):
-        quality.units([" ".join(f"{long}{i}" for i in range(start, start + 100)), " ".join(f"w{i} {i}" for i in range(start, start + 10_000))])
-        assert state is memory.worker_state("quality", memory.Kept)
+        text = " ".join([f"{long}{i}" for i in range(start, start + 100)] + [f"w{i} {i}" for i in range(start, start + 10_000)])
+        ngramjoin.shingles(text, 5)
+        quality.units([text])
+        assert state is memory.worker_state("ngrams", memory.Kept)
         kept = {**state.older, **{k: v for k, v in state.newer.items() if len(k) <= memory.LONG_KEY}}
         assert all(len(k) <= memory.LONG_KEY for k in state.older)
         assert sum(map(len, kept)) + 60 * len(kept) < state.limit
     small = memory.Kept(20_000)
     for _ in range(20):
-        some = set(words(12)[:500])
+        some = {"".join(rng.choices("abcdefgh123.", k=rng.randint(1, 12))) for _ in range(500)}
         assert {w: v for w, v in small.table(some, lambda new: map(len, new)).items() if w in some} == {w: len(w) for w in some}
     assert memory.worker_state("other", dict) == {} and memory._state[0] == "other"
 
 
 def test_whole_word_shapes():
     same = "1.2" * 100
-    assert quality._units(same + "A-b") != quality._units(same + "a:b")
+    assert quality._units(same + "A-b", {}) != quality._units(same + "a:b", {})
 
 
 def test_neighbour_answers_stay_right_when_evicted(monkeypatch):
