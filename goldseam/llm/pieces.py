@@ -24,7 +24,7 @@ SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 LETTERS = "A-Za-zÀ-ÖØ-öø-ɏ"
 _WIDE_SPACES = [chr(c) for c in (0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)]
 #: Bytes of ids of pieces that a worker keeps: encoding a new piece takes ten times a look-up.
-PIECE_BYTES = 48 << 20
+PIECE_BYTES = 32 << 20
 _PIECES = re.compile(
     rf"[{SPACE}]*[{LETTERS}]+(?=[!-/:-@\[-`{{-~{SPACE}])|[{SPACE}]*[^{SPACE}]+|[{SPACE}]+"
 )
@@ -173,7 +173,7 @@ def tokenizer_encoder(path: str, kept_bytes: int = PIECE_BYTES) -> PieceEncoder:
 
 
 def column_slices(
-    batches: Iterable[pa.RecordBatch], limit: int = 2 << 20
+    batches: Iterable[pa.RecordBatch], limit: int = 1 << 20
 ) -> Iterator[tuple[pa.Array, pa.Array]]:
     """First and second column of record batches, cut to texts of about ``limit`` bytes; encoding takes
     about thirty bytes of memory for each."""

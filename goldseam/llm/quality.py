@@ -62,10 +62,10 @@ def _units(word: str, shapes: dict[str, int]) -> int:
 
 def units(texts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Letter buckets, shape buckets and number of words of texts, texts one after another. Each
-    distinct word of about 4 MB of text is looked at once; nothing is kept between calls."""
+    distinct word of about 1 MB of text is looked at once; nothing is kept between calls."""
     column = pa.array(texts, pa.large_string(), from_pandas=True)
     pairs, sizes = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-    for lo, hi in text_slices(column):
+    for lo, hi in text_slices(column, 1 << 20):
         part = column.slice(lo, hi - lo)
         numbers, first, starts = word_numbers(part)
         kind, one = grouped(numbers)
@@ -88,7 +88,7 @@ def fit_vectors(docs: DataFrame, text_col: str = "text") -> np.ndarray:
     def count(frames: Iterator[pd.DataFrame]) -> np.ndarray:
         places, signs = _index_vectors()
         total = np.zeros(BUCKETS * WIDTH)
-        for frame in batches_of(frames, text_col, 4_000_000):
+        for frame in batches_of(frames, text_col, 1_000_000):
             letters, shapes, sizes = units(frame[text_col])
             text = np.repeat(np.arange(len(sizes)), sizes)
             near = text[1:] == text[:-1]
@@ -206,7 +206,7 @@ class QualityModel:
 
         def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             vectors, network = shared.value
-            for frame in batches_of(frames, text_col, 2_000_000):
+            for frame in batches_of(frames, text_col, 1_000_000):
                 yield frame.assign(_score=network.scores(pool(frame[text_col], vectors)))
 
         schema = ddl(docs)
@@ -231,7 +231,7 @@ def fit_quality(
     shared = docs.sparkSession.sparkContext.broadcast(vectors)
 
     def pooled(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in batches_of(frames, "_text", 2_000_000):
+        for frame in batches_of(frames, "_text", 1_000_000):
             x = pool(frame["_text"], shared.value).astype(np.float32)
             yield pd.DataFrame({"_id": frame["_id"], "_label": frame["_label"], "_x": [v.tobytes() for v in x]})
 
