@@ -16,32 +16,38 @@ from goldseam.llm.ngramjoin import one_of_each
 from goldseam.llm.packing import pack
 from goldseam.llm.quality import REJECT_BELOW, fit_quality
 from goldseam.llm.secrets import redact
+from goldseam.session import apply_settings
 from goldseam.workloads.registry import table
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier, fitted to ``labels``, scores at 0.3 or more."""
+    apply_settings(spark)
     model = fit_quality(docs, table(spark, sf_dir, "labels"))
     return model.score(docs).where(F.col("_score") >= REJECT_BELOW).select(*docs.columns)
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the base rule and whose host is not rejected."""
+    apply_settings(spark)
     return host_rules(docs, docs.columns).where("kept").select("_row.*")
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group that links of 0.8 or more connect: the smallest id."""
+    apply_settings(spark)
     return one_of_each(docs).select(*docs.columns)
 
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, secrets replaced by a label, ``n_chars`` counted anew."""
+    apply_settings(spark)
     return redact(docs).withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of all documents, with their ids, in sequences of 1024."""
+    apply_settings(spark)
     return pack(docs, public_tokenizers.path("byte_bpe_50k.json"))
 
 
