@@ -6,6 +6,7 @@ import re
 from bisect import bisect_left
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import accumulate
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -87,23 +88,26 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 def _candidates(text: str) -> list[tuple[int, int]]:
     """Strings with a sensitive word at most ``CONTEXT`` characters before or after them.
 
-    A word inside a string cuts it: the parts before and behind it count.
+    A word inside a string cuts it: the part before the first word, all that follows it, and the
+    parts between two words count. So each character is in four strings at most, however many words
+    a string holds.
     """
     words = [m.span() for m in SENSITIVE.finditer(text)]
     out: set[tuple[int, int]] = set()
-    for _, after in words:
-        for m in _CANDIDATE.finditer(text, after, after + CONTEXT + 256):
-            if m.start() > after + CONTEXT:
-                break
-            # A candidate that the window cuts is followed to its end.
-            out.add(_CANDIDATE.match(text, m.start()).span())
     starts = [start for start, _ in words]
     for m in _CANDIDATE.finditer(text) if words else ():
-        place = bisect_left(starts, m.start())
-        if place < len(starts):
-            end = min(m.end(), starts[place])
-            if starts[place] - end <= CONTEXT and end - m.start() >= LEAST_LENGTH:
-                out.add((m.start(), end))
+        start, end = m.span()
+        first, after = bisect_left(starts, start), bisect_left(starts, end)
+        if first > 0 and start - words[first - 1][1] <= CONTEXT:
+            out.add((start, end))
+        if first == after:
+            if after < len(words) and starts[after] - end <= CONTEXT:
+                out.add((start, end))
+            continue
+        cuts = [(start, starts[first]), (words[first][1], end)]
+        ends = [*starts[first + 1 : after], end]
+        cuts += [(words[first + i][1], cut) for i, cut in enumerate(ends)]
+        out.update((s, e) for s, e in cuts if e - s >= LEAST_LENGTH)
     return sorted(out, key=lambda x: (x[0], -x[1]))
 
 
@@ -117,8 +121,11 @@ def wordlike(candidate: str) -> bool:
 def novel_spans(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
     """Incompressible strings near a sensitive word, outside the spans that are known already."""
     out, last, done = [], -1, -1
+    starts = [s for s, _, _ in base]
+    reach = list(accumulate((e for _, _, e in base), max))
     for start, end in _candidates(text):
-        if start <= last or end <= done or any(s < end and start < e for s, _, e in base):
+        known = bisect_left(starts, end)
+        if start <= last or end <= done or (known and reach[known - 1] > start):
             continue
         candidate = text[start:end]
         if not re.search(r"[A-Za-z]", candidate) or not (re.search(r"\d", candidate) or not wordlike(candidate)):
@@ -138,9 +145,9 @@ def scan_secrets(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """All columns, and ``_n_assign, _n_access, _n_hex, _base, _spans``.
 
     ``_base`` lists the spans of the fixed patterns, ``_spans`` also the incompressible strings,
-    both as ``kind:start:end`` in code points. A null or empty text has none; repeated rows are
-    kept; an empty table gives no rows; existing columns of these names are replaced. One pass
-    without a shuffle.
+    both as ``kind:start:end`` in code points. A null or empty text has none; the time for a text
+    grows in proportion to its length; repeated rows are kept; an empty table gives no rows;
+    existing columns of these names are replaced. One pass without a shuffle.
     """
     added = ["_n_assign", "_n_access", "_n_hex", "_base", "_spans"]
     docs = docs.drop(*added)
