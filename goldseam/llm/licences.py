@@ -115,9 +115,11 @@ def _sequence(text: Column) -> Column:
 # Marks in the joined form: a sentence end; a blank line or the end of a copyright or title line; any
 # other line break.
 _STOP, _GAP, _BREAK = "\x01", "\x02", "\x03"
+# Linear in the length of a line: no two neighbouring parts can share out the same characters.
+_MARKS = r"[^a-z0-9\r\n]"
 _TITLE = (
-    rf"(?m)(^|{_STOP})([^a-z0-9\r\n]*(?:(?:copyright|\(c\)|\u00a9)[^\r\n]*|[^\r\n]{{0,60}}\blicen[cs]e"
-    r"[^a-z0-9\r\n]*(?:\([^()\r\n]*\))?[^a-z0-9\r\n]*))[\r\n]+"
+    rf"(?m)(^|{_STOP})([^a-z0-9\r\n{_STOP}]*(?:(?:copyright|\(c\)|\u00a9)[^\r\n]*+"
+    rf"|[^\r\n]{{0,60}}\blicen[cs]e(?:{_MARKS}*+(?=[\r\n])|(?>{_MARKS}*\([^()\r\n]*+\)){_MARKS}*+)))[\r\n]+"
 )
 
 
@@ -147,7 +149,8 @@ def _joined(text: Column) -> Column:
     marks = _STOP + _GAP + _BREAK
     plain = F.translate(text, UPPER + marks, LOWER + " " * len(marks))
     plain = F.regexp_replace(plain, _END, f"$1 {_STOP} ")
-    plain = F.regexp_replace(plain, _TITLE, f"$1$2 {_GAP} ")
+    # With a break behind the last line no title is tried again from each mark within it.
+    plain = F.regexp_replace(F.concat(plain, F.lit("\n")), _TITLE, f"$1$2 {_GAP} ")
     plain = F.regexp_replace(plain, r"\r\n|[\r\n]", f" {_BREAK} ")
     plain = F.trim(F.regexp_replace(plain, f"[^a-z0-9{marks}]+", " "))
     plain = F.concat(F.lit(f"{_STOP} "), plain, F.lit(f" {_STOP} "))
