@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from goldseam.functions import columns as X
@@ -80,16 +80,99 @@ def user_days(
     )
 
 
+def user_totals(days: DataFrame) -> DataFrame:
+    """Totals per user from daily totals, mergeable with further ones."""
+    return days.groupBy("user_id").agg(
+        F.count(F.lit(1)).alias("days"),
+        F.sum("transactions").alias("transactions"),
+        F.sum("volume").alias("volume"),
+        F.sum("amounts").alias("amounts"),
+        F.min("first_at").alias("first_at"),
+        F.max("last_at").alias("last_at"),
+    )
+
+
+def summary_of_totals(totals: DataFrame) -> DataFrame:
+    """The user summary from totals per user."""
+    return totals.select(
+        "user_id",
+        F.col("transactions").alias("total_transactions"),
+        F.col("volume").cast("decimal(18,2)").alias("total_volume_brl"),
+        F.try_divide("volume", "amounts").cast("double").alias("avg_transaction_brl"),
+        F.col("first_at").alias("first_transaction_at"),
+        F.col("last_at").alias("last_transaction_at"),
+    )
+
+
 def combine_user_days(days: DataFrame) -> DataFrame:
     """The user summary from daily totals."""
-    average = F.try_divide(F.sum("volume"), F.sum("amounts"))
-    return days.groupBy("user_id").agg(
-        F.sum("transactions").alias("total_transactions"),
-        F.sum("volume").cast("decimal(18,2)").alias("total_volume_brl"),
-        average.cast("double").alias("avg_transaction_brl"),
-        F.min("first_at").alias("first_transaction_at"),
-        F.max("last_at").alias("last_transaction_at"),
+    return summary_of_totals(user_totals(days))
+
+
+def user_changes(before: DataFrame, after: DataFrame) -> DataFrame:
+    """Signed changes per user when daily totals ``before`` are replaced by ``after``.
+
+    Sums and counts are differences. The extremes of both sides stand beside them, as a minimum
+    cannot be taken back by subtraction. Users whose totals stay as they are have no row.
+    """
+    sign, old = F.col("_sign"), F.col("_sign") < 0
+    signed = before.withColumn("_sign", F.lit(-1)).unionByName(after.withColumn("_sign", F.lit(1)))
+    changes = signed.groupBy("user_id").agg(
+        F.sum(sign).alias("d_days"),
+        *[F.sum(F.col(c) * sign).alias(f"d_{c}") for c in ("transactions", "volume", "amounts")],
+        F.min(F.when(old, F.col("first_at"))).alias("old_first"),
+        F.max(F.when(old, F.col("last_at"))).alias("old_last"),
+        F.min(F.when(~old, F.col("first_at"))).alias("new_first"),
+        F.max(F.when(~old, F.col("last_at"))).alias("new_last"),
+    )
+    same = F.col("old_first").eqNullSafe(F.col("new_first")) & F.col("old_last").eqNullSafe(F.col("new_last"))
+    for column in ("d_days", "d_transactions", "d_volume", "d_amounts"):
+        same = same & (F.coalesce(F.col(column), F.lit(0)) == 0)
+    return changes.filter(~same)
+
+
+def apply_user_changes(totals: DataFrame, changes: DataFrame) -> DataFrame:
+    """New totals of all users of both sides, and ``_open``: whether their extremes must be looked up.
+
+    An extreme stays open only if the row that held it was taken back and no new row reaches it.
+    Users without a day left are gone. Volumes are exact for decimals and whole numbers.
+    """
+    old, new = totals.alias("t"), changes.alias("c")
+    both = old.join(new, F.col("t.user_id").eqNullSafe(F.col("c.user_id")), "full_outer")
+
+    def moved(column: str) -> Column:
+        now = F.coalesce(F.col(f"t.{column}"), F.lit(0)) + F.coalesce(F.col(f"c.d_{column}"), F.lit(0))
+        return now.cast(totals.schema[column].dataType)
+
+    first, last = F.col("t.first_at"), F.col("t.last_at")
+    lost_first = (F.col("c.old_first") <= first) & ~F.coalesce(F.col("c.new_first") <= first, F.lit(False))
+    lost_last = (F.col("c.old_last") >= last) & ~F.coalesce(F.col("c.new_last") >= last, F.lit(False))
+    amounts = moved("amounts")
+    return both.select(
+        F.coalesce("t.user_id", "c.user_id").alias("user_id"),
+        moved("days").alias("days"),
+        moved("transactions").alias("transactions"),
+        F.when(amounts != 0, moved("volume")).alias("volume"),
+        amounts.alias("amounts"),
+        F.least(first, "c.new_first").alias("first_at"),
+        F.greatest(last, "c.new_last").alias("last_at"),
+        F.coalesce(lost_first | lost_last, F.lit(False)).alias("_open"),
+    ).filter("days > 0")
+
+
+def look_up_extremes(totals: DataFrame, days: DataFrame) -> DataFrame:
+    """Totals with the extremes of open users taken from the daily totals; ``_open`` is dropped."""
+    ids = totals.filter("_open").select(F.col("user_id").alias("_user"))
+    theirs = days.join(ids, F.col("user_id").eqNullSafe(F.col("_user")), "left_semi")
+    found = theirs.groupBy(F.col("user_id").alias("_user")).agg(
+        F.min("first_at").alias("_first"), F.max("last_at").alias("_last")
     )
+    both = totals.join(found, F.col("_open") & F.col("user_id").eqNullSafe(F.col("_user")), "left")
+    ends = {
+        "first_at": F.when(F.col("_open"), F.col("_first")).otherwise(F.col("first_at")),
+        "last_at": F.when(F.col("_open"), F.col("_last")).otherwise(F.col("last_at")),
+    }
+    return both.withColumns(ends).select(*[c for c in totals.columns if c != "_open"])
 
 
 def user_summary(

@@ -8,6 +8,7 @@ from datetime import date, timedelta
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from goldseam.operators import gold as G
 from goldseam.operators import quality as Q
@@ -78,6 +79,87 @@ def _happened_on(days: Iterable[date | None]) -> Column:
     return found | time.isNull() if None in days else found
 
 
+#: User totals are kept in this many parts; a load rewrites the parts of the users that it touches.
+USER_BUCKETS = 64
+
+
+def _on_days(days: Iterable[date | None]) -> Column:
+    known = [d for d in days if d is not None]
+    found = F.col("date").isin(known) if known else F.lit(False)
+    found = F.coalesce(found, F.lit(False))
+    return found | F.col("date").isNull() if None in days else found
+
+
+def _stored(spark: SparkSession, path: str, schema: StructType) -> DataFrame | None:
+    """A table with known columns, also if it has no row; None if it was never written."""
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+
+
+def _finish_users(spark: SparkSession, lake: str) -> None:
+    """Carry out a user refresh that is prepared in full; also after a break, as often as needed."""
+    ready = _path(lake, "gold", "_user_refresh")
+    if not OUT.is_written(spark, f"{ready}/done"):
+        return
+    parts = {r["kind"]: r for r in spark.read.parquet(f"{ready}/done").collect()}
+    for name, column in (("user_days", "date"), ("user_totals", "bucket")):
+        values = parts[name]["days" if column == "date" else "buckets"]
+        OUT.replace_partitions(spark.read.parquet(f"{ready}/{name}"), _path(lake, "gold", name), column, values)
+    OUT.delete_folder(spark, ready)
+
+
+def refresh_users(spark: SparkSession, lake: str, silver: DataFrame, days: Iterable[date | None]) -> None:
+    """Move the totals per user from the former rows of some days to ``silver``, all their rows now.
+
+    The former daily totals are taken back and the new ones added, so only the parts of
+    ``gold/user_totals`` that hold a changed user are read and rewritten, and older days are read
+    only for users whose first or last row was taken back. A step that breaks can be run again: the
+    new rows are prepared beside the tables first, and putting them in place can be repeated.
+    """
+    _finish_users(spark, lake)
+    days = set(days)
+    ready = _path(lake, "gold", "_user_refresh")
+
+    def prepared(df: DataFrame, name: str) -> DataFrame:
+        df.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(f"{ready}/{name}")
+        return spark.read.schema(df.schema).parquet(f"{ready}/{name}")
+
+    after = prepared(G.user_days(silver), "user_days")
+    fresh = G.user_totals(after)
+    bucket = OUT.bucket_of("user_id", USER_BUCKETS)
+    known = _stored(spark, _path(lake, "gold", "user_days"), after.schema)
+    totals = _stored(
+        spark, _path(lake, "gold", "user_totals"), fresh.withColumn("bucket", bucket).schema
+    )
+    kept = known.filter(~_on_days(days)) if known is not None else None
+    everything = after if kept is None else kept.unionByName(after)
+    if totals is None or known is None:
+        changed = G.user_totals(everything)
+        buckets = list(range(USER_BUCKETS))
+    else:
+        changes = prepared(G.user_changes(known.filter(_on_days(days)), after), "changes")
+        buckets = sorted(r["b"] for r in changes.select(bucket.alias("b")).distinct().collect())
+        touched = totals.filter(F.col("bucket").isin(buckets)).drop("bucket")
+        changed = prepared(G.apply_user_changes(touched, changes), "moved")
+        if changed.filter("_open").isEmpty():
+            changed = changed.drop("_open")
+        else:
+            changed = G.look_up_extremes(changed, everything)
+    prepared(changed.withColumn("bucket", bucket), "user_totals")
+    done = [("user_days", sorted(days, key=str), None), ("user_totals", None, buckets)]
+    prepared(spark.createDataFrame(done, "kind string, days array<date>, buckets array<int>"), "done")
+    _finish_users(spark, lake)
+
+
+def user_summary(spark: SparkSession, lake: str) -> DataFrame:
+    """The user summary from the kept totals, without a shuffle."""
+    return G.summary_of_totals(spark.read.parquet(_path(lake, "gold", "user_totals")))
+
+
 def load_gold(
     spark: SparkSession,
     lake: str,
@@ -89,9 +171,9 @@ def load_gold(
 
     A row may arrive in a later day's load than the day it happened on. So every day that a
     loaded row touches, and every day of ``also`` (those that replaced rows touched), is computed
-    anew from all of silver's rows of that day. The trend and the user totals combine per-day
-    tables and grow with these, not with the transactions. A touched day on which no row is left
-    keeps its former aggregates.
+    anew from all of silver's rows of that day; a day on which no row is left goes. User totals
+    move by the differences (``refresh_users``); the trend is combined from rows per day and
+    currency.
     """
 
     def at(name: str) -> str:
@@ -99,19 +181,19 @@ def load_gold(
 
     days = event_days(spark, lake, first_day, last_day) | set(also)
     silver = spark.read.parquet(_path(lake, "silver", "transactions")).filter(_happened_on(days))
-    OUT.overwrite_partitions(G.daily_base(silver), at("daily_base"), ["date"])
-    OUT.overwrite_partitions(G.user_days(silver), at("user_days"), ["date"])
+    OUT.replace_partitions(G.daily_base(silver), at("daily_base"), "date", days)
+    refresh_users(spark, lake, silver, days)
     hourly = G.hourly_rates(silver).withColumn(
         "date", F.to_date((F.expr("hour_bucket div 100")).cast("string"), "yyyyMMdd")
     )
-    trend = G.daily_trend(spark.read.parquet(at("daily_base")))
-    users = G.combine_user_days(spark.read.parquet(at("user_days")))
+    base = _stored(spark, at("daily_base"), G.daily_base(silver).schema)
+    trend = G.daily_trend(base if base is not None else G.daily_base(silver))
     return {
         "daily_volume": OUT.replace_table(trend, at("daily_volume")),
-        "user_summary": OUT.replace_table(users, at("user_summary")),
-        "hourly_rates": OUT.overwrite_partitions(hourly, at("hourly_rates"), ["date"]),
-        "anomaly_summary": OUT.overwrite_partitions(
-            G.anomaly_summary(silver), at("anomaly_summary"), ["date"]
+        "user_summary": OUT.replace_table(user_summary(spark, lake), at("user_summary")),
+        "hourly_rates": OUT.replace_partitions(hourly, at("hourly_rates"), "date", days),
+        "anomaly_summary": OUT.replace_partitions(
+            G.anomaly_summary(silver), at("anomaly_summary"), "date", days
         ),
     }
 

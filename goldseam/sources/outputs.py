@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -36,6 +36,50 @@ def overwrite_partitions(df: DataFrame, path: str, partitions: Sequence[str]) ->
     return int(seen.get["rows"])
 
 
+def replace_partitions(df: DataFrame, path: str, partition: str, values: Iterable[object]) -> int:
+    """Replace the partitions of ``values`` and those that ``df`` holds, and return the rows written.
+
+    Partitions of ``values`` without a row are removed. Which partitions have rows is seen while
+    they are written, so ``df`` is computed once; the driver gets one value per partition.
+    """
+    seen = Observation("partitions")
+    counted = df.hint("rebalance", F.col(partition)).observe(
+        seen,
+        F.count(F.lit(1)).alias("rows"),
+        F.collect_set(partition).alias("held"),
+        F.count_if(F.col(partition).isNull()).alias("unknown"),
+    )
+    writer = counted.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy(partition).parquet(path)
+    found = seen.get
+    held = {*found["held"], *([None] if found["unknown"] else [])}
+    drop_partitions(df.sparkSession, path, partition, set(values) - held)
+    return int(found["rows"])
+
+
+def drop_partitions(spark: SparkSession, path: str, partition: str, values: Iterable[object]) -> None:
+    """Remove whole partitions of one column; missing ones are no error. None is the null partition."""
+    for value in values:
+        name = "__HIVE_DEFAULT_PARTITION__" if value is None else str(value)
+        delete_folder(spark, f"{path.rstrip('/')}/{partition}={name}")
+
+
+def _file_system(spark: SparkSession, path: str):
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    store, place = _file_system(spark, path)
+    store.delete(place, True)
+
+
+def is_written(spark: SparkSession, path: str) -> bool:
+    """Whether a write to this folder was completed."""
+    store, place = _file_system(spark, f"{path.rstrip('/')}/_SUCCESS")
+    return store.exists(place)
+
+
 def replace_table(df: DataFrame, path: str) -> int:
     """Replace a whole table; the row count comes from the same pass."""
     seen = Observation("replaced")

@@ -1,6 +1,8 @@
 """Bronze, silver and gold cases, sources and sinks."""
 
+import random
 from datetime import date, datetime
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
@@ -212,6 +214,86 @@ def test_late_rows_join_the_day_they_happened_on(spark):
     assert totals() == ({"2024-01-01": 5, "2024-01-02": 3}, 8)
 
 
+def _user_rows(spark, rows):
+    schema = "transaction_id string, user_id string, timestamp timestamp, amount_brl decimal(15,2)"
+    return spark.createDataFrame([(str(i), *r) for i, r in enumerate(rows)], schema)
+
+
+def test_user_totals_by_signed_changes(spark):
+    lake, rng = new_path(spark, "lake"), random.Random(4)
+    held = {}
+    users = ["u1", "u1", "u1", "u2", "u3", "u4", None]
+    for step in range(5):
+        days = rng.sample(range(1, 7), 2) if step < 4 else [1, 2, 3]
+        for d in days:
+            # In the last step three days lose all their rows.
+            held[d] = [
+                (rng.choice(users), datetime(2024, 1, d, rng.randint(0, 23)), None if rng.random() < 0.3 else Decimal(rng.randint(1, 999)) / 100)
+                for _ in range(rng.randint(1, 6) if step < 4 else 0)
+            ]
+        rows = _user_rows(spark, [r for d in days for r in held[d]])
+        for _ in range(2 if step == 2 else 1):
+            daily.refresh_users(spark, lake, rows, [datetime(2024, 1, d).date() for d in days])
+        got = daily.user_summary(spark, lake)
+        want = G.user_summary(_user_rows(spark, [r for rows in held.values() for r in rows]))
+        assert sorted(map(repr, got.collect())) == sorted(map(repr, want.select(*got.columns).collect())), step
+
+
+def test_broken_refresh_of_users_is_finished_once(spark, monkeypatch):
+    lake, day = new_path(spark, "lake"), [datetime(2024, 1, 1).date()]
+    daily.refresh_users(spark, lake, _user_rows(spark, [("u1", datetime(2024, 1, 1, 5), Decimal(3)), ("u2", datetime(2024, 1, 1), None)]), day)
+    rows = _user_rows(spark, [("u1", datetime(2024, 1, 1, 6), Decimal(4))])
+    put, calls = OUT.replace_partitions, []
+
+    def breaks_at_second(*args):
+        calls.append(args)
+        if len(calls) == 2:
+            raise RuntimeError("lost")
+        return put(*args)
+
+    monkeypatch.setattr(OUT, "replace_partitions", breaks_at_second)
+    with pytest.raises(RuntimeError):
+        daily.refresh_users(spark, lake, rows, day)
+    monkeypatch.undo()
+    for _ in range(2):
+        daily.refresh_users(spark, lake, rows, day)
+        got = [tuple(r) for r in daily.user_summary(spark, lake).collect()]
+        assert got == [("u1", 1, Decimal("4.00"), 4.0, datetime(2024, 1, 1, 6), datetime(2024, 1, 1, 6))]
+
+
+def test_untouched_parts_and_days_stay(spark):
+    lake = new_path(spark, "lake")
+    rows = [(f"u{i}", datetime(2024, 1, d, 1 + d), Decimal(i)) for i in range(200) for d in (1, 2)]
+    days = [datetime(2024, 1, d).date() for d in (1, 2)]
+    daily.refresh_users(spark, lake, _user_rows(spark, rows), days)
+
+    def files():
+        listed = IN.list_files(spark, f"{lake}/gold").collect()
+        return {r["full_path"] for r in listed if "/user_totals/bucket=" in r["full_path"] or "/user_days/date=" in r["full_path"]}
+
+    before = files()
+    daily.refresh_users(spark, lake, _user_rows(spark, [("u7", datetime(2024, 1, 3), Decimal(1))]), [datetime(2024, 1, 3).date()])
+    gone = before - files()
+    assert len(gone) == 1 and "user_totals/bucket=" in gone.pop()
+
+
+def test_day_without_rows_goes(spark):
+    lake = new_path(spark, "lake")
+    schema = "transaction_id string, user_id string, timestamp timestamp, currency string, amount_brl int, exchange_rate int, is_anomaly boolean"
+
+    def load(rows):
+        silver = spark.createDataFrame(rows, schema).withColumn("date", F.lit("2024-01-05").cast("date"))
+        OUT.overwrite_partitions(silver, f"{lake}/silver/transactions", ["date"])
+
+    load([("1", "u1", datetime(2024, 1, 4, 9), "USD", 10, 5, True), ("2", "u2", datetime(2024, 1, 5, 9), "USD", 10, 5, False)])
+    daily.load_gold(spark, lake, "2024-01-05")
+    replaced = daily.event_days(spark, lake, "2024-01-05")
+    load([("2", "u2", datetime(2024, 1, 5, 9), "USD", 10, 5, False)])
+    daily.load_gold(spark, lake, "2024-01-05", also=replaced)
+    for name in ("daily_volume", "hourly_rates", "anomaly_summary", "user_summary"):
+        assert spark.read.parquet(f"{lake}/gold/{name}").count() == 1, name
+
+
 def test_gates_stop_the_daily_job(spark):
     raw, lake = new_path(spark, "raw"), new_path(spark, "lake")
     rows = [("1", "u1", datetime(2024, 1, 15, 10), "USD", -100)]
