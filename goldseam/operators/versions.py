@@ -175,7 +175,8 @@ def files_wanted(files: DataFrame, partition: str, size: str = "size", target: i
 def compact(df: DataFrame, partition: str, wanted: DataFrame) -> DataFrame:
     """Rows laid out so that each partition is written as its wanted number of files.
 
-    ``wanted`` (partition, output_files) has a row per partition. Files are numbered through all
+    Rows are dealt in turn by their number within a task, so equal rows spread too and any column
+    type may occur. ``wanted`` (partition, output_files) has a row per partition. Files are numbered through all
     partitions, and one shuffle sends each number to a task of its own.
     """
     total = wanted.agg(F.sum("output_files").alias("n")).first()["n"] or 1
@@ -183,7 +184,7 @@ def compact(df: DataFrame, partition: str, wanted: DataFrame) -> DataFrame:
     numbered = wanted.select(F.col(partition).alias("_part"), "output_files", before.alias("_before"))
     sliced = df.join(numbered, F.col(partition).eqNullSafe(F.col("_part"))).select(
         *df.columns,
-        (F.col("_before") + F.pmod(F.xxhash64(*df.columns), F.col("output_files")))
+        (F.col("_before") + F.pmod(F.monotonically_increasing_id(), F.col("output_files")))
         .cast("int")
         .alias("_slice"),
     )

@@ -11,6 +11,8 @@ from goldseam.operators import monitoring as MO
 from goldseam.operators import versions as V
 from goldseam.plans import maintenance as MT
 from goldseam.session import new_path
+from goldseam.sources import inputs as IN
+from goldseam.sources import outputs as OUT
 
 ROWS = [
     (1, "a", 1, datetime(2024, 1, 1), "upsert"),
@@ -89,14 +91,62 @@ def test_maintenance_on_files(spark, log):
     files = [r["full_path"] for r in MT.find_orphans(spark, path, spark.createDataFrame([("x",)], "path string")).collect()]
     references = spark.createDataFrame([(f,) for f in files[1:]], "path string")
     before = state(V.current_state(spark.read.parquet(path), ["id"]))
-    result = MT.run_all(
-        spark, path, fresh, ["id"], F.lit(datetime(2024, 1, 12)), references, execute=True
-    )
+    args = (spark, path, fresh, ["id"], F.lit(datetime(2024, 1, 12)), references)
+    # Files of now are too young for the default age.
+    assert MT.run_all(*args, execute=True)["deleted"] == 0 and os.path.exists(files[0].removeprefix("file:").replace("///", "/"))
+    result = MT.run_all(*args, execute=True, min_age_hours=0, grace_hours=0)
     assert result["expired_upto"] == 2 and result["orphan_files"] == 1 and result["deleted"] == 1
     assert not os.path.exists(files[0].removeprefix("file:").replace("///", "/"))
     assert state(V.current_state(spark.read.parquet(fresh), ["id"])) == before
 
 
+def test_removal_in_two_steps(spark):
+    path, marks = new_path(spark, "lake"), new_path(spark, "marks")
+    spark.range(40).repartition(4).write.parquet(path)
+    listed = lambda: IN.list_files(spark, path)
+    files = sorted(r["full_path"] for r in listed().collect())
+    local = lambda f: f.removeprefix("file:").replace("///", "/")
+    refs = lambda *names: spark.createDataFrame([(n,) for n in ("x", *names)], "path string")
+    hours = lambda n: F.timestamp_micros(F.unix_micros(F.current_timestamp()) + int(n * 3_600_000_000))
+    assert MT.mark_orphans(listed(), refs(), hours(0)).count() == 0
+    OUT.replace_table(MT.mark_orphans(listed(), refs(files[0]), hours(73)), marks)
+    marked = spark.read.parquet(marks)
+    assert sorted(r["full_path"] for r in marked.collect()) == files[1:]
+    assert MT.sweep_marks(marked, listed(), refs(files[0]), hours(80)).count() == 0
+    # Since the marks were set: one file got a reference, one was written anew, one is new.
+    spark.range(1).repartition(1).write.mode("append").parquet(path)
+    os.utime(local(files[2]), (1_800_000_000, 1_800_000_000))
+    swept = MT.sweep_marks(marked, listed(), refs(files[0], files[1]), hours(98)).cache()
+    assert [tuple(r) for r in swept.collect()] == [(files[3], True)]
+    assert sorted(map(os.path.exists, map(local, files))) == [False, True, True, True] and listed().count() == 4
+    # A repeated attempt counts the same.
+    gone = marked.filter(F.col("full_path") == files[3])
+    assert [r["deleted"] for r in MT.remove_files(gone).collect()] == [True]
+    # Marks keep their first time, but not those of changed files.
+    first = {r["full_path"]: r["marked_at"] for r in marked.collect()}
+    later = {r["full_path"]: r["marked_at"] for r in MT.mark_orphans(listed(), refs(files[0]), hours(1_000_000), 0, marked).collect()}
+    assert later[files[1]] == first[files[1]] and later[files[2]] > first[files[2]]
+
+
+def test_compact_escaped_and_null_partitions(spark):
+    path = new_path(spark, "escaped")
+    rows = spark.createDataFrame([(i, p) for i in range(20) for p in ("a b", "x:y%2/z=+", None, "plain")], "id int, p string")
+    for _ in range(3):
+        rows.repartition(2).write.mode("append").partitionBy("p").parquet(path)
+    before = sorted(map(repr, spark.read.parquet(path).select("id", "p").collect()))
+    assert MT.compact_table(spark, path, "p").count() == 4
+    assert sorted(map(repr, spark.read.parquet(path).select("id", "p").collect())) == before
+    assert IN.list_files(spark, path, "*.parquet").count() == 4
+
+
+def test_compact_deals_equal_rows(spark):
+    path = new_path(spark, "equal")
+    rows = spark.range(400).select(F.lit(1).alias("p"), F.create_map(F.lit("k"), F.lit(1)).alias("m"))
+    V.compact(rows, "p", spark.createDataFrame([(1, 4)], "p int, output_files int")).write.partitionBy("p").parquet(path)
+    sizes = spark.read.parquet(path).groupBy(F.input_file_name()).count().collect()
+    assert sorted(r["count"] for r in sizes) == [100] * 4
+
+
 def test_compact_table(spark):
     path = new_path(spark, "small")
     rows = spark.range(100).withColumn("p", F.col("id") % 2)
