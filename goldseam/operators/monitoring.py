@@ -123,17 +123,19 @@ class AlertRule:
     metric: str
     limit: float
     team: str = "data-engineering"
+    #: How long the condition has to hold before the alert fires.
+    held_seconds: int = 300
 
 
-# Names, severities and limits of the alerts.
+# Names, severities, limits and holding times of the alerts.
 ALERT_RULES = (
     AlertRule("HighConsumerLag", "critical", "consumer_lag", 10_000),
     AlertRule("NoDataIngestion", "critical", "ingestion_age_seconds", 3_600),
     AlertRule("InferenceServiceCritical", "critical", "latency_p95_seconds", 0.5, "ml-engineering"),
-    AlertRule("DataDriftDetected", "warning", "max_psi", 0.2, "ml-engineering"),
-    AlertRule("ModelStaleness", "warning", "model_age_seconds", 2_592_000, "ml-engineering"),
-    AlertRule("DataQualityDegraded", "warning", "failed_share", 0.05),
-    AlertRule("LowTransactionVolume", "info", "low_volume", 0),
+    AlertRule("DataDriftDetected", "warning", "max_psi", 0.2, "ml-engineering", 900),
+    AlertRule("ModelStaleness", "warning", "model_age_seconds", 2_592_000, "ml-engineering", 3_600),
+    AlertRule("DataQualityDegraded", "warning", "failed_share", 0.05, held_seconds=600),
+    AlertRule("LowTransactionVolume", "info", "low_volume", 0, held_seconds=1_800),
 )
 
 # Receivers by severity.
@@ -165,6 +167,80 @@ def evaluate_alerts(metrics: dict[str, DataFrame], rules: Sequence[AlertRule] =
     return reduce(DataFrame.unionByName, frames)
 
 
+def alert_timeline(
+    series: DataFrame, rules: Sequence[AlertRule] = ALERT_RULES, step_seconds: int = 60
+) -> DataFrame:
+    """State of every alert and label set at each of its evaluations.
+
+    ``series`` has one row (alert, labels, at, value) per evaluation, as a rollup gives them. The
+    condition holds while the value exceeds the rule's limit; a null value, an evaluation left out
+    (more than ``step_seconds`` between two) or an alert without a rule ends it. It is pending until
+    it has held as long as the rule asks, then firing; the first evaluation after that without it is
+    resolved, others are inactive. ``active_since`` is the start of the present run.
+    """
+
+    def of_rule(name: str) -> Column:
+        known = [x for r in rules for x in (F.lit(r.alert), F.lit(float(getattr(r, name))))]
+        return F.try_element_at(F.create_map(*known), F.col("alert"))
+
+    line = Window.partitionBy("alert", "labels").orderBy("at")
+    now = micros("at")
+    marked = series.withColumns(
+        {
+            "_holds": F.coalesce(F.col("value") > of_rule("limit"), F.lit(False)),
+            "_apart": now - F.lag(now).over(line) > step_seconds * 1_000_000,
+        }
+    )
+    goes_on = F.lag("_holds").over(line) & ~F.col("_apart")
+    began = F.col("_holds") & ~F.coalesce(goes_on, F.lit(False))
+    since = F.last(F.when(began, F.col("at")), ignorenulls=True).over(line)
+    marked = marked.withColumn("active_since", F.when(F.col("_holds"), since))
+    held = micros("at") - micros("active_since") >= of_rule("held_seconds") * 1_000_000
+    marked = marked.withColumn("_fires", F.col("_holds") & F.coalesce(held, F.lit(False)))
+    state = (
+        F.when(F.col("_fires"), "firing")
+        .when(F.col("_holds"), "pending")
+        .when(F.lag("_fires").over(line), "resolved")
+        .otherwise("inactive")
+    )
+    return marked.withColumn("state", state).select(*series.columns, "active_since", "state")
+
+
+def alert_states(
+    series: DataFrame, now: Column, rules: Sequence[AlertRule] = ALERT_RULES, step_seconds: int = 60
+) -> DataFrame:
+    """One row per alert and label set: its state at ``now``, and how often and when last it fired.
+
+    A label set that was not evaluated within ``step_seconds`` before ``now`` does not hold any more;
+    it is resolved if it ever fired. The severity and team come from the rule.
+    """
+    timeline = alert_timeline(series, rules, step_seconds)
+    fires = F.col("state") == "firing"
+    last = timeline.groupBy("alert", "labels").agg(
+        F.max_by(F.struct("at", "value", "active_since", "state"), "at").alias("_l"),
+        F.count_distinct(F.when(fires, F.col("active_since"))).alias("times_fired"),
+        F.max(F.when(fires, F.col("at"))).alias("last_fired"),
+    )
+    fresh = micros(now) - micros(F.col("_l.at")) <= step_seconds * 1_000_000
+    active = fresh & F.col("_l.state").isin("firing", "pending")
+    state = (
+        F.when(active, F.col("_l.state"))
+        .when(F.col("last_fired").isNotNull(), "resolved")
+        .otherwise("inactive")
+    )
+    texts = {n: F.create_map(*[x for r in rules for x in (F.lit(r.alert), F.lit(getattr(r, n)))]) for n in ("severity", "team")}
+    return last.select(
+        "alert",
+        "labels",
+        *[F.try_element_at(m, F.col("alert")).alias(n) for n, m in texts.items()],
+        state.alias("state"),
+        F.col("_l.value").alias("value"),
+        F.when(active, F.col("_l.active_since")).alias("active_since"),
+        "times_fired",
+        "last_fired",
+    )
+
+
 def route_alerts(alerts: DataFrame, routes: Sequence[tuple[str, str]] = ALERT_ROUTES) -> DataFrame:
     """Fired alerts with each receiver of their severity.
 

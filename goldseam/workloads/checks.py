@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from goldseam import schemas as S
@@ -469,6 +469,43 @@ def feature_drift(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+VALIDATED_AT = "2024-01-31 01:30:00"
+
+
+@query(
+    "feature_validation",
+    f"""with {_FEATURES_SQL}, p as (select * from psi_amount union all select * from psi_hour
+        union all select * from psi_k),
+    v as (select event_type as view, max(ts) as last_updated from events group by 1
+      union all select 'not materialised', null),
+    f as (select view, (epoch_us(timestamp '{VALIDATED_AT}') - epoch_us(last_updated)) / 3600000000.0 as age from v),
+    t as (select view, round(age, 6) as hours_since_update,
+      case when age is null then 'UNKNOWN' when age > 2 then 'STALE' else 'FRESH' end as status from f)
+    select *, (select count(*) from p where psi >= 0.2) as drifted_features,
+      case when (select count(*) from t where status = 'STALE') > 0 then 'CRITICAL'
+        when (select bool_or(psi >= 0.2) from p) then 'WARNING' else 'OK' end as overall_status from t""",
+)
+def feature_validation(spark: SparkSession, folder: str) -> DataFrame:
+    """Freshness of every view, drifted features and the status of all: stale views are critical."""
+    events = table(spark, folder, "events")
+    views = events.groupBy(F.col("event_type").alias("view")).agg(F.max("ts").alias("last_updated"))
+    missing = spark.range(1).select(
+        F.lit("not materialised").alias("view"), F.lit(None).cast(views.schema["last_updated"].dataType).alias("last_updated")
+    )
+    fresh = FE.view_freshness(views.unionByName(missing), F.expr(f"timestamp_ntz '{VALIDATED_AT}'"), 2.0)
+    first, second = halves(spark, folder)
+    drift = M.drift(first, second, ["feature"], "value", min_rows=10)
+    drifted = drift.agg(F.count_if("drifted").alias("n")).scalar()
+    stale = fresh.agg(F.count_if(F.col("status") == "STALE").alias("n")).scalar()
+    return fresh.select(
+        "view",
+        r6("hours_since_update").alias("hours_since_update"),
+        "status",
+        drifted.alias("drifted_features"),
+        M.overall_status(stale, drifted).alias("overall_status"),
+    )
+
+
 @query(
     "sla_compliance",
     """with r as (select o_orderkey, o_orderdate, min(l_shipdate) as done from orders
@@ -788,6 +825,72 @@ def alert_report(spark: SparkSession, folder: str) -> DataFrame:
     return MO.evaluate_alerts(alert_metrics(spark, folder)).withColumn("value", r6("value"))
 
 
+#: Holding times fit for evaluations once an hour.
+HOURLY_RULES = (
+    MO.AlertRule("HighConsumerLag", "critical", "lag", 25, held_seconds=3_600),
+    MO.AlertRule("DataQualityDegraded", "warning", "failed_share", 0.05, held_seconds=3_600),
+    MO.AlertRule("LowTransactionVolume", "info", "shortfall", 0.5, held_seconds=7_200),
+)
+
+
+def hourly_series(spark: SparkSession, folder: str) -> DataFrame:
+    """The metrics of three rules by topic and hour, all from one rollup of the transactions."""
+    rows = dirty_transactions(spark, folder).filter("timestamp is not null")
+    bad = F.col("amount_brl").isNull() | (F.col("amount_brl") <= 0)
+    rollup = rows.groupBy(F.col("event_type").alias("labels"), F.date_trunc("hour", "timestamp").alias("at")).agg(
+        F.count(F.lit(1)).alias("n"),
+        F.count_if(bad).alias("bad"),
+        F.max("event_id").alias("latest"),
+        F.max(F.when(F.col("value") < 5, F.col("event_id"))).alias("committed"),
+    )
+    past = Window.partitionBy("labels").orderBy("at").rowsBetween(Window.unboundedPreceding, 0)
+    lag = F.max("latest").over(past) - F.coalesce(F.max("committed").over(past), F.lit(0))
+    wide = rollup.withColumn("lag", lag)
+    before = Window.partitionBy("labels").orderBy("at").rowsBetween(Window.unboundedPreceding, -1)
+    wide = wide.withColumn("shortfall", 1 - X.ratio(F.col("n"), F.avg("n").over(before)))
+    values = {"HighConsumerLag": "lag", "DataQualityDegraded": F.col("bad") / F.col("n"), "LowTransactionVolume": "shortfall"}
+    pairs = [
+        F.struct(F.lit(a).alias("alert"), (F.col(v) if isinstance(v, str) else v).cast("double").alias("value"))
+        for a, v in values.items()
+    ]
+    return wide.select("labels", "at", F.inline(F.array(*pairs))).select("alert", "labels", "at", "value")
+
+
+@query(
+    "alert_states",
+    f"""with {DIRTY_SQL}, r as (
+      select event_type as labels, date_trunc('hour', "timestamp") as hr, count(*) as n,
+        count(*) filter (where amount_brl is null or amount_brl <= 0) as bad, max(event_id) as latest,
+        max(event_id) filter (where value < 5) as committed
+      from dirty where "timestamp" is not null group by 1, 2),
+    w as (select *, max(latest) over p - coalesce(max(committed) over p, 0) as lag,
+        1 - n / nullif(avg(n) over (partition by labels order by hr rows between unbounded preceding and 1 preceding), 0) as shortfall
+      from r window p as (partition by labels order by hr)),
+    s as (select 'HighConsumerLag' as alert, 'critical' as severity, 25 as lim, 1 as hours, labels, hr, cast(lag as double) as value from w
+      union all select 'DataQualityDegraded', 'warning', 0.05, 1, labels, hr, bad / n from w
+      union all select 'LowTransactionVolume', 'info', 0.5, 2, labels, hr, shortfall from w),
+    hits as (select *, hr - to_hours(row_number() over (partition by alert, labels order by hr)) as run from s where value > lim),
+    runs as (select alert, labels, hours, run, min(hr) as began, max(hr) as ended from hits group by all),
+    fired as (select alert, labels, count(*) as times_fired, max(ended) as last_fired from runs
+      where ended - began >= to_hours(hours) group by all),
+    now as (select max(hr) as t from r),
+    l as (select alert, labels, any_value(severity) as severity, max(hr) as hr, arg_max(coalesce(value, 'nan'::double), hr) as value from s group by 1, 2)
+    select l.alert, l.labels, l.severity, 'data-engineering' as team,
+      case when u.began is not null and u.ended - u.began >= to_hours(u.hours) then 'firing' when u.began is not null then 'pending'
+        when f.last_fired is not null then 'resolved' else 'inactive' end as state,
+      round(case when isnan(l.value) then null else l.value end, 6) as value, u.began as active_since,
+      coalesce(times_fired, 0) as times_fired, last_fired
+    from l cross join now left join fired f on f.alert = l.alert and f.labels = l.labels
+      left join runs u on u.alert = l.alert and u.labels = l.labels and u.ended = l.hr and l.hr >= now.t - to_hours(1)""",
+)
+def alert_states(spark: SparkSession, folder: str) -> DataFrame:
+    """Alerts by topic with their holding times, evaluated once an hour."""
+    series = hourly_series(spark, folder)
+    now = series.agg(F.max("at").alias("t")).scalar()
+    found = MO.alert_states(series, now, HOURLY_RULES, 3_600)
+    return found.withColumns({"value": r6("value"), **{c: ntz(c) for c in ("active_since", "last_fired")}})
+
+
 @query(
     "alert_routing",
     _ALERTS_SQL

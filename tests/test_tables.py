@@ -197,3 +197,33 @@ def test_islands_and_routes(spark):
         ("B", "warning", "email-data-team"),
         ("B", "warning", "slack-data-alerts"),
     ]
+
+
+def test_alert_states(spark):
+    rules = (MO.AlertRule("A", "critical", "m", 10, held_seconds=120), MO.AlertRule("B", "info", "m", 0, "ml", 0))
+    at = lambda m: datetime(2024, 1, 1, 0, m)
+    values = {
+        ("A", "x"): {0: 11, 1: 12, 2: 13, 3: 14, 4: 5, 5: 20, 6: 20},
+        # A missing evaluation or value ends a run.
+        ("A", "y"): {0: 11, 1: 11, 3: 11, 4: 11, 5: None, 6: 11},
+        ("A", None): {0: 99, 1: 99, 2: 99, 3: 99},
+        ("A", "z"): {4: 11, 5: 11, 6: 10.5},
+        ("B", "x"): {6: 1},
+        ("unknown", "x"): {6: 1000},
+    }
+    rows = [(a, l, at(m), None if v is None else float(v)) for (a, l), vs in values.items() for m, v in vs.items()]
+    series = spark.createDataFrame(rows, "alert string, labels string, at timestamp, value double")
+    line = {}
+    for r in MO.alert_timeline(series, rules).orderBy("at").collect():
+        line.setdefault((r["alert"], r["labels"]), []).append(r["state"][0])
+    assert {k: "".join(v) for k, v in line.items()} == {
+        ("A", "x"): "ppffrpp", ("A", "y"): "ppppip", ("A", None): "ppff", ("A", "z"): "ppf", ("B", "x"): "f", ("unknown", "x"): "i",
+    }
+    got = {(r["alert"], r["labels"]): r for r in MO.alert_states(series, F.lit(at(6)), rules).collect()}
+    assert {k: (r["state"], r["times_fired"]) for k, r in got.items()} == {
+        ("A", "x"): ("pending", 1), ("A", "y"): ("pending", 0), ("A", None): ("resolved", 1), ("A", "z"): ("firing", 1),
+        ("B", "x"): ("firing", 1), ("unknown", "x"): ("inactive", 0),
+    }
+    assert got["A", "x"]["active_since"] == at(5) and got["A", "x"]["last_fired"] == at(3)
+    assert got["A", None]["active_since"] is None and got["B", "x"]["team"] == "ml" and got["unknown", "x"]["severity"] is None
+    assert MO.alert_states(series.limit(0), F.lit(at(6)), rules).count() == 0
