@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from goldseam.operators import changelog as CL
 from goldseam.operators import refine as R
 from goldseam.operators import versions as V
 from goldseam.session import new_path
@@ -103,6 +104,35 @@ def incremental_read(spark: SparkSession, folder: str) -> DataFrame:
     return changed.drop("_committed_at")
 
 
+def stored_log(spark: SparkSession, folder: str) -> str:
+    """The change log, stored by commit and key bucket; returns its folder."""
+    path = new_path(spark, "log")
+    CL.store_commits(change_log(spark, folder), path, KEYS, buckets=4)
+    return path
+
+
+@query(
+    "stored_incremental_read",
+    f"with {_LOG} select {_COLS}, _commit_id, _op from g where _commit_id > {TARGET} and _commit_id <= {TARGET + 6}",
+)
+def stored_incremental_read(spark: SparkSession, folder: str) -> DataFrame:
+    """Six commits of the stored log; no other is opened."""
+    changed = CL.read_log(spark, stored_log(spark, folder), TARGET, TARGET + 6)
+    return changed.select(*KEYS, "l_partkey", "l_suppkey", "l_shipdate", "l_extendedprice", "_commit_id", "_op")
+
+
+@query(
+    "stored_state_at_time",
+    f"""with {_LOG}, s as (select * from g where _committed_at <= timestamp '1999-03-15 12:00:00' {_PICK})
+    select {_COLS} from s where _op <> 'delete'""",
+)
+def stored_state_at_time(spark: SparkSession, folder: str) -> DataFrame:
+    """Live rows as of a moment, from the commits that were made by then."""
+    moment = F.expr("timestamp_ntz '1999-03-15 12:00:00'")
+    log = CL.read_log(spark, stored_log(spark, folder), moment=moment)
+    return _payload(V.current_state(log, KEYS, TIES))
+
+
 _SNAPSHOTS = f"""{_LOG}, s as (select _commit_id as snapshot_id, max(_committed_at) as committed_at,
     count(*) filter (where _op <> 'delete') as added_rows, count(*) filter (where _op = 'delete') as deleted_rows
     from g group by 1)"""

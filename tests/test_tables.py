@@ -6,6 +6,7 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
+from goldseam.operators import changelog as CL
 from goldseam.operators import joins as J
 from goldseam.operators import monitoring as MO
 from goldseam.operators import versions as V
@@ -227,3 +228,52 @@ def test_alert_states(spark):
     assert got["A", "x"]["active_since"] == at(5) and got["A", "x"]["last_fired"] == at(3)
     assert got["A", None]["active_since"] is None and got["B", "x"]["team"] == "ml" and got["unknown", "x"]["severity"] is None
     assert MO.alert_states(series.limit(0), F.lit(at(6)), rules).count() == 0
+
+
+def test_stored_log_opens_what_it_needs(spark):
+    path = new_path(spark, "log")
+    rows = spark.range(600).select(
+        (F.col("id") % 60).alias("id"),
+        F.col("id").cast("string").alias("v"),
+        (F.col("id") / 60).cast("long").alias("_commit_id"),
+        F.timestamp_seconds(F.lit(1_704_067_200) + 3_600 * (F.col("id") / 60).cast("long")).alias("_committed_at"),
+        F.when(F.col("id") % 7 == 0, "delete").otherwise("upsert").alias("_op"),
+    )
+    for _ in range(2):
+        assert CL.store_commits(rows, path, ["id"]) == 600
+    same = lambda a, b: sorted(map(tuple, a.select(*rows.columns).collect())) == sorted(map(tuple, b.collect()))
+    moment = F.timestamp_seconds(F.lit(1_704_067_200 + 4 * 3_600 + 60))
+    three = spark.createDataFrame([(3,), (4,), (3,), (99,)], "id long")
+    assert same(CL.read_log(spark, path), rows)
+    assert same(CL.read_log(spark, path, moment=moment), rows.filter("_commit_id <= 4"))
+    assert same(CL.read_log(spark, path, 2, 8, keys=three), rows.filter("_commit_id > 2 and _commit_id <= 8 and id in (3, 4)"))
+    assert state(V.current_state(CL.read_log(spark, path, moment=moment), ["id"])) == state(V.state_at_commit(rows, ["id"], 4))
+    # Every file outside commits 3 to 4 and the buckets of the keys is damaged; the reads do not open them.
+    held = {r["b"] for r in three.select(CL.key_bucket(["id"]).alias("b")).collect()}
+    for r in IN.list_files(spark, f"{path}/rows", "*.parquet").collect():
+        parts = dict(p.split("=") for p in r["full_path"].split("/") if "=" in p)
+        if int(parts["_commit_id"]) not in (3, 4) or int(parts["_bucket"]) not in held:
+            with open(r["full_path"].removeprefix("file:").replace("///", "/"), "wb") as file:
+                file.write(b"x")
+            crc = os.path.join(os.path.dirname(file.name), f".{os.path.basename(file.name)}.crc")
+            if os.path.exists(crc):
+                os.remove(crc)
+    spark.catalog.clearCache()
+    schema = rows.withColumn("_bucket", F.lit(0)).schema
+    found = CL.read_log(spark, path, 2, moment=moment, keys=three, schema=schema)
+    assert same(found, rows.filter("_commit_id in (3, 4) and id in (3, 4)"))
+    with pytest.raises(Exception, match="(?i)parquet"):
+        CL.read_log(spark, path, 2, moment=moment, schema=schema).collect()
+    plan = found._jdf.queryExecution().toString()
+    assert "PartitionFilters" in plan and "dynamicpruning" in plan
+
+
+def test_broken_commit_is_not_seen(spark):
+    path = new_path(spark, "log")
+    rows = spark.createDataFrame(ROWS, "id long, v string, _commit_id long, _committed_at timestamp, _op string")
+    CL.store_commits(rows.filter("_commit_id < 3"), path, ["id"])
+    late = rows.filter("_commit_id = 3").withColumn("_bucket", CL.key_bucket(["id"]))
+    OUT.overwrite_partitions(late, f"{path}/rows", ["_commit_id", "_bucket"])
+    assert CL.read_log(spark, path).count() == 3
+    CL.store_commits(rows.filter("_commit_id = 3"), path, ["id"])
+    assert CL.read_log(spark, path).count() == 4
