@@ -92,12 +92,7 @@ def _on_days(days: Iterable[date | None]) -> Column:
 
 def _stored(spark: SparkSession, path: str, schema: StructType) -> DataFrame | None:
     """A table with known columns, also if it has no row; None if it was never written."""
-    try:
-        return spark.read.schema(schema).parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return None
+    return spark.read.schema(schema).parquet(path) if OUT.exists(spark, path) else None
 
 
 def _finish_users(spark: SparkSession, lake: str) -> None:

@@ -74,10 +74,14 @@ def delete_folder(spark: SparkSession, path: str) -> None:
     store.delete(place, True)
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    store, place = _file_system(spark, path)
+    return store.exists(place)
+
+
 def is_written(spark: SparkSession, path: str) -> bool:
     """Whether a write to this folder was completed."""
-    store, place = _file_system(spark, f"{path.rstrip('/')}/_SUCCESS")
-    return store.exists(place)
+    return exists(spark, f"{path.rstrip('/')}/_SUCCESS")
 
 
 def replace_table(df: DataFrame, path: str) -> int:
