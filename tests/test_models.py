@@ -102,6 +102,35 @@ def test_lof_matches_brute_force(spark, copies, monkeypatch):
     assert np.allclose([new[i] for i in range(60)], brute_lof(values, fresh, 20, False), rtol=1e-6)
 
 
+def test_lof_of_long_vectors_writes_no_row_per_query_and_cell(spark, monkeypatch):
+    written, real = [], N.materialize
+
+    def counted(df, label="cut"):
+        out = real(df, label)
+        written.append(out.count())
+        return out
+
+    monkeypatch.setattr(N, "materialize", counted)
+    values = np.random.default_rng(7).normal(0, 1, (900, 32))
+    frame = spark.createDataFrame([(i, [float(x) for x in v]) for i, v in enumerate(values)], "id long, v array<double>")
+    got = {r["id"]: r["lof"] for r in N.LocalOutlierFactor(frame, "v", "id", 5).train_scores().collect()}
+    assert np.allclose([got[i] for i in range(900)], brute_lof(values, values, 5, True), rtol=1e-6)
+    assert max(written) <= 900 * 5
+
+
+def test_neighbours_with_equal_distances_and_vectors_without_numbers(spark):
+    grid = [[float(x), float(y), 0.0] for x in range(12) for y in range(12)]
+    odd = [None, [float("nan"), 0.0, 0.0], [float("inf"), 1.0, 1.0], [None, 1.0, 1.0]]
+    points = spark.createDataFrame([(i, v, 1) for i, v in enumerate(grid + odd)], "pid long, vec array<double>, w long")
+    found = N.nearest_neighbors(points.selectExpr("pid as qid", "vec"), N.Cells(points, 7), exclude_self=True)
+    got = {(r["qid"], r["place"]): r["pid"] for r in found.collect()}
+    values = np.array(grid)
+    d = ((values[:, None] - values[None]) ** 2).sum(-1)
+    np.fill_diagonal(d, np.inf)
+    want = np.argsort(d, axis=1, kind="stable")[:, :7]
+    assert got == {(q, n + 1): p for q, row in enumerate(want.tolist()) for n, p in enumerate(row)}
+
+
 def psi(expected, actual, buckets=10):
     edges = np.unique(np.percentile(expected, np.linspace(0, 100, buckets + 1)))
     if len(edges) < 2:
