@@ -118,6 +118,25 @@ def test_lof_of_long_vectors_writes_no_row_per_query_and_cell(spark, monkeypatch
     assert max(written) <= 900 * 5
 
 
+def test_novelty_of_long_vectors_writes_no_row_per_query_and_cell(spark, monkeypatch):
+    written, real = [], N.materialize
+
+    def counted(df, label="cut"):
+        out = real(df, label)
+        written.append(out.count())
+        return out
+
+    rng = np.random.default_rng(8)
+    values, fresh = rng.normal(0, 1, (400, 24)), rng.normal(1e4, 1, (300, 24))
+    rows = [[(f"k{i:03d}", [float(x) for x in v]) for i, v in enumerate(part)] for part in (values, fresh)]
+    old, new = (spark.createDataFrame(part, "id string, v array<double>") for part in rows)
+    model = N.LocalOutlierFactor(old, "v", "id", 5)
+    monkeypatch.setattr(N, "materialize", counted)
+    got = {r["id"]: r["lof"] for r in model.score(new, "v", "id").collect()}
+    assert np.allclose([got[f"k{i:03d}"] for i in range(300)], brute_lof(values, fresh, 5, False), rtol=1e-6)
+    assert max(written) <= 300 * 5
+
+
 def test_neighbours_with_equal_distances_and_vectors_without_numbers(spark):
     grid = [[float(x), float(y), 0.0] for x in range(12) for y in range(12)]
     odd = [None, [float("nan"), 0.0, 0.0], [float("inf"), 1.0, 1.0], [None, 1.0, 1.0]]
