@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.streaming import DataStreamWriter, StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
 from goldseam.functions import columns as X
@@ -107,65 +111,111 @@ def rate_anomaly_sink(
     return stream.writeStream.foreachBatch(write)
 
 
+#: Rows of a chunk of waiting rows, at least, if so many come in together; rows given out at once, at most.
+CHUNK_ROWS = 50_000
+
+
 class RollingRates(StatefulProcessor):
     """Per pair: rows that the watermark has not passed, and the last rates before them.
 
-    Rows wait in a list state until the watermark has passed them, so they are judged in time order
-    however they came in; an event-time timer wakes the pair. Judged rows leave the last
-    ``window_rows + 1`` rates behind. State per pair is bounded by the rows within the watermark's
-    delay. Later rows than that are dropped by Spark and counted in the query's progress.
+    Rows wait in chunks until the watermark has passed them, so they are judged in time order
+    however they came in. A pair has one event-time timer, at its oldest waiting row. A chunk is an
+    entry of a map state with its first and last time; one that the watermark has not reached stays
+    as it is. Judged rows leave the last ``window_rows + 1`` rates behind. State per pair is bounded
+    by the rows within the watermark's delay. Later rows than that are dropped by Spark and counted
+    in the query's progress.
     """
 
     def __init__(
-        self, pair: str, time: str, rate: str, tiebreak: str, state: T.StructType, window_rows: int, min_rows: int, deviations: float
+        self, pair: str, time: str, rate: str, tiebreak: str, kind: pa.DataType, window_rows: int, min_rows: int, deviations: float
     ):
-        self.pair, self.time, self.rate, self.tiebreak, self.schema = pair, time, rate, tiebreak, state
+        self.pair, self.time, self.rate, self.tiebreak = pair, time, rate, tiebreak
+        self.schema = pa.schema([("time", pa.int64()), ("rate", pa.float64()), ("tiebreak", kind)])
         self.window_rows, self.min_rows, self.deviations = window_rows, min_rows, deviations
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.waiting = handle.getListState("waiting", self.schema)
+        self.chunks = handle.getMapState("chunks", "number long", "first long, last long, data binary")
+        # Chunks made so far, and the time of the timer in milliseconds.
+        self.mark = handle.getValueState("mark", "made long, timer long")
         self.tail = handle.getListState("tail", T.StructType([T.StructField("rate", T.DoubleType())]))
 
+    def _keep(self, number: int, rows: pa.Table) -> int:
+        """Store rows as one chunk; its first time in microseconds."""
+        first, last = (bound.as_py() for bound in pc.min_max(rows["time"]).values())
+        sink = pa.BufferOutputStream()
+        with pa.ipc.new_stream(sink, self.schema) as out:
+            out.write_table(rows)
+        self.chunks.updateValue((number,), (first, last, sink.getvalue().to_pybytes()))
+        return first
+
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        for frame in rows:
-            times = frame[self.time]
-            self.waiting.appendList(
-                list(zip([t.to_pydatetime() for t in times], frame[self.rate].tolist(), frame[self.tiebreak].tolist()))
-            )
-            self.handle.registerTimer(_millis(times.min()) + 1)
+        made, timer = self.mark.get() if self.mark.exists() else (0, None)
+        firsts, parts, waiting = [], [], 0
+        for frame in itertools.chain(rows, [None]):
+            if frame is not None and len(frame):
+                times = frame[self.time].astype("datetime64[us]").astype("int64")
+                columns = [times, frame[self.rate].astype(float), frame[self.tiebreak]]
+                arrays = [pa.array(c, f.type, from_pandas=f.name == "tiebreak") for c, f in zip(columns, self.schema)]
+                parts.append(pa.Table.from_arrays(arrays, schema=self.schema))
+                waiting += len(frame)
+            if parts and (frame is None or waiting >= CHUNK_ROWS):
+                firsts.append(self._keep(made, pa.concat_tables(parts)))
+                made, parts, waiting = made + 1, [], 0
+        if firsts:
+            self._wake(made, timer, min(firsts))
         return iter(())
 
+    def _wake(self, made: int, timer: int | None, first: int) -> None:
+        """Have a timer right behind the oldest waiting row, and no other."""
+        at = first // 1_000 + 1
+        if timer is None or at < timer:
+            if timer is not None:
+                self.handle.deleteTimer(timer)
+            self.handle.registerTimer(at)
+            timer = at
+        self.mark.update((made, timer))
+
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        rows = pd.DataFrame(list(self.waiting.get()), columns=["time", "rate", "tiebreak"])
-        if rows.empty:
-            return
-        passed = pd.to_datetime(timerValues.getCurrentWatermarkInMs(), unit="ms")
-        rows = rows.sort_values(["time", "tiebreak"], kind="stable")
-        ready, left = rows[rows["time"] < passed], rows[rows["time"] >= passed]
-        if len(left):
-            self.waiting.put(list(left.itertuples(index=False, name=None)))
-            self.handle.registerTimer(_millis(left["time"].min()) + 1)
+        passed = timerValues.getCurrentWatermarkInMs() * 1_000
+        made = self.mark.get()[0] if self.mark.exists() else 0
+        ready, left, reached = [], [], []
+        for (number,), (first, last, data) in self.chunks.iterator():
+            if first >= passed:
+                left.append(first)
+                continue
+            rows = pa.ipc.open_stream(data).read_all()
+            reached.append((number, rows.filter(pc.greater_equal(rows["time"], passed)) if last >= passed else None))
+            ready.append(rows.filter(pc.less(rows["time"], passed)) if last >= passed else rows)
+        for number, rest in reached:
+            if rest is None:
+                self.chunks.removeKey((number,))
+            else:
+                left.append(self._keep(number, rest))
+        if left:
+            self._wake(made, None, min(left))
         else:
-            self.waiting.clear()
-        if not len(ready):
+            self.mark.clear()
+        if not ready:
             return
-        old = [row[0] for row in self.tail.get()]
-        rates = np.array([*old, *ready["rate"]], float)
+        rows = pa.concat_tables(ready).to_pandas(integer_object_nulls=True)
+        del ready
+        rows = rows.sort_values(["time", "tiebreak"], kind="stable")
+        old = [np.nan if row[0] is None else row[0] for row in self.tail.get()]
+        rates = np.array([*old, *rows["rate"]], float)
         change, flag = rolling_flags(rates, self.window_rows, self.min_rows, self.deviations)
         self.tail.put([(None if np.isnan(x) else float(x),) for x in rates[-self.window_rows - 1 :]])
-        new = slice(len(old), None)
-        out = {self.pair: key[0], self.tiebreak: ready["tiebreak"].array, self.time: ready["time"].array}
-        yield pd.DataFrame({**out, "pct_change": change[new], "is_anomaly": flag[new]}, index=range(len(ready)))
+        change, flag = change[len(old) :], flag[len(old) :]
+        for at in range(0, len(rows), CHUNK_ROWS):
+            some = slice(at, at + CHUNK_ROWS)
+            part = rows.iloc[some]
+            out = {self.pair: key[0], self.tiebreak: part["tiebreak"].array, self.time: part["time"].to_numpy().astype("datetime64[us]")}
+            yield pd.DataFrame({**out, "pct_change": change[some], "is_anomaly": flag[some]}, index=range(len(part)))
 
     def close(self) -> None:
         pass
 
 
-def _millis(when: pd.Timestamp) -> int:
-    return pd.Timestamp(when).value // 1_000_000
-
-
 def rolling_flags(rates: np.ndarray, window_rows: int, min_rows: int, deviations: float) -> tuple[np.ndarray, np.ndarray]:
     """Percentage changes of rates in time order, and whether each lies outside the given number of
     deviations from the mean of the last ``window_rows`` changes, itself included."""
@@ -207,10 +257,9 @@ def rolling_rate_flags(
     rows = stream.select(pair, F.col(time).cast("timestamp").alias(time), F.col(rate).cast("double").alias(rate), tiebreak)
     rows = rows.where(F.col(time).isNotNull())
     kind = rows.schema[tiebreak].dataType
-    state = T.StructType().add("time", T.TimestampType()).add("rate", T.DoubleType()).add("tiebreak", kind)
     out = T.StructType().add(pair, rows.schema[pair].dataType).add(tiebreak, kind).add(time, T.TimestampType())
     out = out.add("pct_change", T.DoubleType()).add("is_anomaly", T.BooleanType())
-    processor = RollingRates(pair, time, rate, tiebreak, state, window_rows, min_rows, deviations)
+    processor = RollingRates(pair, time, rate, tiebreak, to_arrow_type(kind), window_rows, min_rows, deviations)
     keyed = rows.withWatermark(time, late).groupBy(pair)
     return keyed.transformWithStateInPandas(processor, out, "Append", "EventTime")
 

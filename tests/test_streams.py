@@ -1,8 +1,12 @@
 """Streams must equal their batch twins, also over restarts and repeated batches."""
 
+import inspect
 import json
 from datetime import datetime, timedelta
 
+import numpy as np
+import pandas as pd
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -109,6 +113,92 @@ def test_keyed_state_out_of_order_restart_and_late(spark):
     assert dropped == len(late)
 
 
+class Handle:
+    """State of one key in memory, with the number of timers and of state entries written."""
+
+    def __init__(self):
+        self.timers, self.most, self.entries = [], 0, 0
+
+    def registerTimer(self, at):
+        self.timers.append(at)
+        self.most = max(self.most, len(self.timers))
+
+    def deleteTimer(self, at):
+        self.timers.remove(at)
+
+    def getListState(self, name, schema):
+        return self.State(self)
+
+    getValueState = getListState
+
+    def getMapState(self, name, key, value):
+        return self.State(self)
+
+    class State:
+        def __init__(self, handle):
+            self.handle, self.rows, self.map, self.value = handle, [], {}, None
+
+        def exists(self):
+            return self.value is not None
+
+        def get(self):
+            return self.value if self.value is not None else iter(self.rows)
+
+        def update(self, value):
+            self.value = value
+
+        def clear(self):
+            self.rows, self.value = [], None
+
+        def put(self, rows):
+            self.rows = list(rows)
+
+        def appendList(self, rows):
+            self.handle.entries += len(rows)
+            self.rows += rows
+
+        def updateValue(self, key, value):
+            self.handle.entries += 1
+            self.map[key] = value
+
+        def removeKey(self, key):
+            del self.map[key]
+
+        def iterator(self):
+            return iter(list(self.map.items()))
+
+
+class Watermark:
+    def __init__(self, at):
+        self.at = at
+
+    def getCurrentWatermarkInMs(self):
+        return int(self.at.value // 1_000_000)
+
+
+def test_a_pair_keeps_one_timer_and_few_state_entries():
+    rng = np.random.default_rng(3)
+    start = pd.Timestamp("2024-01-01")
+    frame = pd.DataFrame({"ts": start + pd.to_timedelta(np.arange(4000), "s"), "rate": 5 + rng.normal(0, 1, 4000).round(3)})
+    frame = frame.assign(id=np.arange(4000)).sample(frac=1.0, random_state=1)
+    kinds = inspect.signature(ST.RollingRates.__init__).parameters
+    asked = {"pair": "pair", "time": "ts", "rate": "rate", "tiebreak": "id", "kind": pa.int64(), "window_rows": 20, "min_rows": 5, "deviations": 2.0}
+    judge, handle = ST.RollingRates(*[asked.get(n) for n in kinds if n != "self"]), Handle()
+    judge.init(handle)
+    list(judge.handleInputRows(("a",), iter(frame.iloc[i : i + 100] for i in range(0, 4000, 100)), None))
+    assert handle.most == 1 and handle.entries <= 4
+    got = []
+    for at in (start + pd.Timedelta(seconds=1500), start + pd.Timedelta(days=1)):
+        handle.timers.pop()
+        got += list(judge.handleExpiredTimer(("a",), Watermark(at), None))
+    assert not handle.timers
+    out = pd.concat(got)
+    change, flag = ST.rolling_flags(frame.sort_values("ts")["rate"].to_numpy(), 20, 5, 2.0)
+    assert out["id"].tolist() == list(range(4000))
+    assert out["is_anomaly"].tolist() == flag.tolist() and flag.any()
+    assert np.allclose(out["pct_change"][1:], change[1:])
+
+
 def test_feedback_streams_with_late_and_missing_labels(spark):
     sources = [new_path(spark, n) for n in ("predictions", "labels")]
     out, mark = new_path(spark, "out"), new_path(spark, "mark")
