@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from goldseam.llm import bpe, hostrules, htmltext, licences, ngramjoin, packing, quality, secrets, tokenfiles, topk
+from goldseam.llm.pieces import PieceEncoder
 
 RANKS, JSON = public.path("byte_bpe_50k.tiktoken"), public.path("byte_bpe_50k.json")
 BIG = 2**60 + 1
@@ -420,6 +421,19 @@ def test_packing(docs, none):
     assert packing.pack(none, JSON).count() == 0
 
 
+def test_packing_keeps_the_pieces_of_a_large_vocabulary():
+    asked = []
+
+    def encode_new(pieces):
+        asked.extend(pieces)
+        return [b"\0\0\0\0"] * len(pieces)
+
+    encoder = PieceEncoder(encode_new, kept_bytes=packing.KEPT_BYTES)
+    texts = [" ".join(f"w{number}" for number in range(at, at + 30_000)) for at in range(0, 240_000, 30_000)]
+    first, second = ([encoder.encode_batch([text])[0] for text in texts] for _ in range(2))
+    assert first == second and len(asked) == len(set(asked))
+
+
 def test_elias_fano():
     rng = np.random.default_rng(1)
     for most, n in itertools.product((1, 2, 50, 3000), (1, 2, 63, 64, 65, 300)):
