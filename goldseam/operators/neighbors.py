@@ -244,6 +244,10 @@ class Nearest:
                 limit[new] = np.where(np.isnan(above), np.inf, np.maximum(above, 0))
             bar = limit * (1 + 1e-6) + 1e-30 - self.norm[some] * (1 - self.error)
             bar = np.nextafter(bar.astype("f4"), np.float32(np.inf))
+            # Later blocks hold nothing for most queries; a smallest product tells that faster.
+            open_ = np.flatnonzero(~(product.min(axis=1) > bar))
+            if len(open_) < len(some):
+                some, product, bar = some[open_], product[open_], bar[open_]
             hit = np.flatnonzero(~(product > bar[:, None]))
             self._measure(some[hit // len(points)], hit % len(points), pids, vecs, w)
 
@@ -369,6 +373,12 @@ def nearest_neighbors(queries: DataFrame, cells: Cells, exclude_self: bool) -> D
     return dealt.mapInArrow(search, ddl)
 
 
+def _of_vectors(rows: DataFrame, known: DataFrame) -> DataFrame:
+    """Rows with what is known of their vector ``vec``. The hash goes first, as arrays sort slowly."""
+    sides = [x.withColumn("_hash", F.xxhash64("vec")) for x in (rows, known)]
+    return sides[0].join(sides[1], ["_hash", "vec"]).drop("_hash")
+
+
 def _weighted(neighbors: DataFrame, k: int, own: bool) -> DataFrame:
     """How many copies of each neighbour count towards the ``k``, nearest first."""
     before = Window.partitionBy("qid").orderBy("dist", "pid").rowsBetween(Window.unboundedPreceding, -1)
@@ -408,12 +418,10 @@ class LocalOutlierFactor:
         )
         sizes = points.select(F.col("pid").alias("qid"), F.col("w").alias("own"))
         # Every point is kept, also one whose neighbours are all copies of itself.
-        weighted = _weighted(sizes.join(found, "qid", "left"), k, own=True)
-        last = F.max(F.when(F.col("use") > 0, F.col("dist")))
-        k_distance = weighted.groupBy("qid").agg(F.coalesce(last, F.lit(0.0)).alias("kdist"))
-        self.neighbors = materialize(
-            weighted.join(k_distance.withColumnRenamed("kdist", "self_k"), "qid"), "neighbors"
-        )
+        weighted = _weighted(sizes.filter("qid is not null").join(found, "qid", "left"), k, own=True)
+        # A window, as a join of the pairs with their largest distance would search twice.
+        last = F.max(F.when(F.col("use") > 0, F.col("dist"))).over(Window.partitionBy("qid"))
+        self.neighbors = materialize(weighted.withColumn("self_k", F.coalesce(last, F.lit(0.0))), "neighbors")
         self.k_distance = self.neighbors.groupBy(F.col("qid").alias("pid")).agg(
             F.first("self_k").alias("kdist")
         )
@@ -440,7 +448,7 @@ class LocalOutlierFactor:
             self.cells.all_points.select(F.col("pid").alias("qid"), "vec"), "qid"
         ).select("vec", "lof")
         rows = self.rows.select(self.key, F.col(self.vec).cast("array<double>").alias("vec"))
-        return rows.join(by_vec, "vec").select(self.key, "lof")
+        return _of_vectors(rows, by_vec).select(self.key, "lof")
 
     def threshold(self, contamination: float = 0.05) -> float:
         found = exact_quantiles(self.train_scores(), [], "lof", [1.0 - contamination]).first()
@@ -448,7 +456,7 @@ class LocalOutlierFactor:
 
     def score(self, df: DataFrame, vec: str, key: str) -> DataFrame:
         """(key, lof) of new rows against the fitted ones."""
-        queries = distinct_points(df, vec, key).select(F.col("pid").alias("qid"), "vec")
+        queries = materialize(distinct_points(df, vec, key).select(F.col("pid").alias("qid"), "vec"), "queries")
         found = nearest_neighbors(queries, self.cells, exclude_self=False)
         weighted = materialize(
             _weighted(found, self.k, own=False).withColumn("self_k", F.lit(0.0)), "novel"
@@ -457,4 +465,4 @@ class LocalOutlierFactor:
         factors = self._factors(weighted, density)
         by_vec = factors.join(queries, "qid").select("vec", "lof")
         rows = df.select(key, F.col(vec).cast("array<double>").alias("vec"))
-        return rows.join(by_vec, "vec").select(key, "lof")
+        return _of_vectors(rows, by_vec).select(key, "lof")

@@ -137,6 +137,31 @@ def test_novelty_of_long_vectors_writes_no_row_per_query_and_cell(spark, monkeyp
     assert max(written) <= 300 * 5
 
 
+def test_novelty_searches_once_for_each_set_of_rows(spark, monkeypatch):
+    searches, real = {}, N.materialize
+
+    def counted(df, label="cut"):
+        searches[label] = df._jdf.queryExecution().optimizedPlan().toString().count("MapInArrow")
+        return real(df, label)
+
+    monkeypatch.setattr(N, "materialize", counted)
+    rng = np.random.default_rng(9)
+    values, fresh = rng.normal(0, 1, (200, 4)), rng.normal(0, 2, (50, 4))
+    values[0], values[1], fresh[0], fresh[1] = 0.0, -0.0, -0.0, 0.0
+    old, new = (
+        spark.createDataFrame([(i, [float(x) for x in v]) for i, v in enumerate(part)] + [(None, None)], "id long, v array<double>")
+        for part in (values, fresh)
+    )
+    model = N.LocalOutlierFactor(old, "v", "id", 5)
+    trained = {r["id"]: r["lof"] for r in model.train_scores().collect()}
+    assert np.allclose([trained[i] for i in range(200)], brute_lof(values, values, 5, True), rtol=1e-6)
+    got = model.score(new, "v", "id")
+    assert "Aggregate [v" not in got._jdf.queryExecution().optimizedPlan().toString()
+    got = {r["id"]: r["lof"] for r in got.collect()}
+    assert np.allclose([got[i] for i in range(50)], brute_lof(values, fresh, 5, False), rtol=1e-6)
+    assert searches["neighbors"] == searches["novel"] == 1
+
+
 def test_neighbours_with_equal_distances_and_vectors_without_numbers(spark):
     grid = [[float(x), float(y), 0.0] for x in range(12) for y in range(12)]
     odd = [None, [float("nan"), 0.0, 0.0], [float("inf"), 1.0, 1.0], [None, 1.0, 1.0]]
