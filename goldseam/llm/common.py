@@ -13,12 +13,22 @@ from pyspark.sql.types import StructType
 from goldseam.session import new_path
 
 
+#: Shuffle files of a query go when it is over; otherwise they stay until the driver collects garbage.
+SHUFFLES_GO = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def written(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` compactly to the shared folder and read it back: cuts the lineage with files
-    that survive lost executors."""
-    path = new_path(df.sparkSession, label)
-    df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    that survive lost executors. Shuffle files of the write are removed with its end."""
+    spark = df.sparkSession
+    path = new_path(spark, label)
+    before = spark.conf.get(SHUFFLES_GO, None)
+    spark.conf.set(SHUFFLES_GO, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.unset(SHUFFLES_GO) if before is None else spark.conf.set(SHUFFLES_GO, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def narrow(df: DataFrame, label: str) -> DataFrame:

@@ -15,7 +15,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from goldseam.llm.common import ddl, map_frames, narrow, written
@@ -55,6 +55,17 @@ def shingles(text: str | None, words: int) -> np.ndarray:
     return np.unique(total ^ (total >> np.uint64(31)))
 
 
+def _planes(counts: np.ndarray) -> bytes:
+    """``CELLS`` counts, all lowest bytes first: the others are mostly zero and pack to nothing."""
+    return counts.astype("<u4").view(np.uint8).reshape(CELLS, 4).T.tobytes()
+
+
+def _counts(planes: pd.Series) -> np.ndarray:
+    """A row of ``CELLS`` counts for each entry of ``_planes``."""
+    parts = np.frombuffer(b"".join(planes), np.uint8).reshape(-1, 4, CELLS)
+    return np.ascontiguousarray(parts.transpose(0, 2, 1)).view("<u4").reshape(-1, CELLS)
+
+
 def set_id(hashes: np.ndarray) -> bytes:
     import xxhash
 
@@ -122,7 +133,7 @@ def index(docs: DataFrame, words: int, limit: Threshold, keep: list[str]) -> Dat
                 n.append(len(found))
                 ids.append(set_id(found) if len(found) else None)
                 classes = (found >> np.uint64(56)).astype(np.int64)
-                cells.append(np.bincount(classes, minlength=CELLS).astype("<u4").tobytes())
+                cells.append(_planes(np.bincount(classes, minlength=CELLS)))
                 if len(found):
                     order = np.lexsort((found, level[(found & np.uint64(COUNTERS - 1)).astype(np.int64)]))
                     found = found[order[: limit.prefix(len(found))]]
@@ -184,7 +195,7 @@ def _bounded(sets: DataFrame, pairs: DataFrame, limit: Threshold) -> DataFrame:
 
     def bound(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            x, y = (np.frombuffer(b"".join(frame[c]), "<u4").reshape(-1, CELLS) for c in "xy")
+            x, y = _counts(frame["x"]), _counts(frame["y"])
             yield frame.drop(columns=["x", "y"]).assign(most=np.minimum(x, y).sum(axis=1, dtype=np.int64))
 
     both = pairs.join(x, "a").join(y, "b").select("a", "b", "na", "nb", "x", "y")
@@ -276,8 +287,9 @@ def near_copies(
     # Written before use, so a set keeps its number; numbers are half as wide as digests and repeat bytes.
     sets = written(sets.withColumn("_set", F.monotonically_increasing_id()), "distinct")
     postings = sets.select("_set", "_n", F.posexplode("_prefix").alias("pos", "token"))
-    shared = postings.groupBy("token").count().where("count > 1").select("token")
-    blocked = postings.join(shared, "token").withColumn("band", limit.band(F.col("_n")))
+    # Counted where they are listed, as nearly all n-grams are unique: an aggregate would send them again.
+    shared = postings.withColumn("_m", F.count("*").over(Window.partitionBy("token"))).where("_m > 1").drop("_m")
+    blocked = shared.withColumn("band", limit.band(F.col("_n")))
     lists = written(blocked.withColumn("place", F.floor(F.lit(8) * F.col("pos") / F.col("_n"))), "lists")
 
     done = roots = None
@@ -397,11 +409,18 @@ def one_of_each(docs: DataFrame, **options) -> DataFrame:
     nulls_last = F.struct(F.col("doc_id").isNull().alias("no"), "doc_id", "_key")
     kept = found.where("n_shingles > 0").groupBy("_root").agg(F.min(nulls_last).alias("k"))
     kept = written(kept.select("k.doc_id", "k._key"), "kept")
-    ids, key = F.col(f"d.`{id_col}`").cast("long"), F.xxhash64(F.col(f"d.`{text_col}`"))
-    chosen = docs.alias("d").join(
-        kept.alias("k"), ids.eqNullSafe(F.col("k.doc_id")) & (key == F.col("k._key")), "left_semi"
+    # The join and the removal of equal rows share these keys, so texts are shuffled once. Their names are
+    # longer than any column's.
+    own = "_" * (1 + max(map(len, docs.columns)))
+    names = [f"{own}{x}" for x in ("no", "id", "key")]
+
+    def keyed(rows: DataFrame, ids: Column, key: Column) -> DataFrame:
+        return rows.withColumns(dict(zip(names, (ids.isNull(), F.coalesce(ids, F.lit(0)), key))))
+
+    chosen = keyed(docs, F.col(f"`{id_col}`").cast("long"), F.xxhash64(f"`{text_col}`")).join(
+        keyed(kept, F.col("doc_id"), F.col("_key")).select(*names), names, "left_semi"
     )
-    chosen = chosen.dropDuplicates([id_col, text_col])
+    chosen = chosen.dropDuplicates([*names, id_col, text_col]).select(*[F.col(f"`{c}`") for c in docs.columns])
     wordless = F.coalesce(F.translate(F.col(text_col), " \t\n\x0b\f\r", ""), F.lit("")) == ""
     return chosen.where(~wordless).unionByName(docs.where(wordless))
 

@@ -3,6 +3,7 @@
 import itertools
 import random
 import re
+import time
 import zlib
 
 import duckdb
@@ -12,7 +13,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from goldseam.llm import bpe, hostrules, htmltext, licences, ngramjoin, packing, quality, secrets, tokenfiles, topk
+from goldseam.llm import bpe, common, hostrules, htmltext, licences, ngramjoin, packing, quality, secrets, tokenfiles, topk
 from goldseam.llm.pieces import PieceEncoder
 
 RANKS, JSON = public.path("byte_bpe_50k.tiktoken"), public.path("byte_bpe_50k.json")
@@ -119,6 +120,49 @@ def test_join_drifting_copies(spark, seed):
     assert few == got
 
 
+def test_near_copies_send_texts_and_ngrams_once(spark, monkeypatch):
+    plans, real = {}, ngramjoin.written
+
+    def planned(df, label):
+        plans[label] = df._jdf.queryExecution().executedPlan().toString()
+        return real(df, label)
+
+    monkeypatch.setattr(ngramjoin, "written", planned)
+    text = "one two three four five six seven eight nine ten eleven twelve"
+    rows = [(1, text, "a"), (1, text, "b"), (2, text, "c"), (None, text, "d"), (None, "other words", "e"),
+            (None, "other words", "f"), (3, " ", "g"), (3, " ", "h"), (0, "words of zero", "i"), (None, "words of none", "j")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, `_no.te` string").repartition(3)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        kept = ngramjoin.one_of_each(docs)
+        assert kept.columns == docs.columns
+        got = sorted((r["doc_id"] if r["doc_id"] is not None else -1, r["text"]) for r in kept.collect())
+        plan = kept._jdf.queryExecution().optimizedPlan()
+        initial = kept._jdf.queryExecution().executedPlan().initialPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert got == [(-1, "other words"), (-1, "words of none"), (0, "words of zero"), (1, text), (3, " "), (3, " ")]
+    assert "Join LeftSemi" in plan.toString()
+    assert initial.count("Exchange hashpartitioning(") == 2
+    assert plans["lists"].count("Exchange hashpartitioning(token") == 1
+
+
+def test_a_written_table_leaves_no_shuffle_files(spark):
+    def shuffles():
+        files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        return {files.apply(i).getName() for i in range(files.size()) if files.apply(i).getName().startswith("shuffle_")}
+
+    before = shuffles()
+    counts = spark.range(10_000, numPartitions=3).groupBy((F.col("id") % 700).alias("k")).count()
+    out = common.written(counts, "counts")
+    end = time.time() + 20
+    while shuffles() - before and time.time() < end:
+        time.sleep(0.2)
+    assert not shuffles() - before
+    assert out.count() == 700 and out.agg(F.sum("count")).first()[0] == 10_000
+
+
 def test_one_of_each(docs):
     kept = ngramjoin.one_of_each(docs)
     assert kept.columns == docs.columns
