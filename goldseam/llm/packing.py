@@ -25,7 +25,7 @@ PIECES = (
 )
 
 
-#: Bytes of ids of pieces that a worker of the query keeps; with 32 MB many are dropped and encoded again.
+#: Bytes of ids of pieces that a worker of the query keeps.
 KEPT_BYTES = 96 << 20
 
 

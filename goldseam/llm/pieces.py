@@ -15,7 +15,7 @@ from collections.abc import Callable, Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 
-from goldseam.llm.memory import Kept, worker_state
+from goldseam.llm.memory import LONG_KEY, worker_state
 from goldseam.llm.words import column_bytes, grouped, hashed_spans, text_slices
 
 # White space as the tokenizer libraries define it (the Unicode property, fixed values).
@@ -55,6 +55,75 @@ def piece_starts(data: np.ndarray, ends: np.ndarray) -> np.ndarray:
     return np.flatnonzero(cuts)
 
 
+def _stretches(begins: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """The places of stretches that begin somewhere and hold so many places, one after another."""
+    at = np.cumsum(counts) - counts
+    return np.repeat(begins - at, counts) + np.arange(int(counts.sum()))
+
+
+class KeptIds:
+    """Ids of pieces by their numbers, in ``limit`` bytes: an open table of half filled slots, and the
+    ids in one array."""
+
+    def __init__(self, limit: int):
+        self.slots = max(64, limit // 20)
+        self.most = self.slots // 2
+        self.clear()
+
+    def clear(self) -> None:
+        self.used = self.n_ids = 0
+        self.numbers = np.zeros(self.slots, np.uint64)  # 0: an empty slot
+        self.begins = np.zeros(self.slots, np.uint32)
+        self.counts, self.sizes = np.zeros(self.slots, np.uint16), np.zeros(self.slots, np.uint16)
+        self.ids = np.zeros(self.slots, "<u4")
+
+    def full(self) -> bool:
+        return 10 * self.used > 9 * self.most or 10 * self.n_ids > 9 * len(self.ids)
+
+    def _first_slots(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        numbers = np.maximum(numbers, 1)
+        return numbers, ((numbers >> np.uint64(32)) * np.uint64(self.slots) >> np.uint64(32)).astype(np.int64)
+
+    def find(self, numbers: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        """The slot of each number, -1 where there is none."""
+        numbers, slot = self._first_slots(numbers)
+        out = np.full(len(numbers), -1)
+        left = np.arange(len(numbers))
+        while self.used and len(left):
+            there = self.numbers[slot[left]]
+            same = there == numbers[left]
+            out[left[same]] = slot[left[same]]
+            left = left[~same & (there != 0)]
+            slot[left] = (slot[left] + 1) % self.slots
+        known = out >= 0
+        if (self.sizes[out[known]] != sizes[known]).any():
+            raise ValueError("two pieces of different length share a number")
+        return out
+
+    def ids_at(self, slots: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids in slots one after another, and how many each has."""
+        counts = self.counts[slots].astype(np.int64)
+        return self.ids[_stretches(self.begins[slots].astype(np.int64), counts)], counts
+
+    def put(self, numbers: np.ndarray, sizes: np.ndarray, ids: np.ndarray, counts: np.ndarray) -> None:
+        """Keep distinct numbers that have no slot, as many as there is room for."""
+        ends = np.cumsum(counts)
+        n = min(len(numbers), self.most - self.used, int(np.searchsorted(ends, len(self.ids) - self.n_ids, "right")))
+        if n <= 0:
+            return
+        numbers, slot = self._first_slots(numbers[:n])
+        left = np.arange(n)
+        while len(left):
+            free = left[self.numbers[slot[left]] == 0]
+            self.numbers[slot[free]] = numbers[free]
+            left = left[self.numbers[slot[left]] != numbers[left]]
+            slot[left] = (slot[left] + 1) % self.slots
+        self.begins[slot] = self.n_ids + ends[:n] - counts[:n]
+        self.counts[slot], self.sizes[slot] = counts[:n], sizes[:n]
+        self.ids[self.n_ids : self.n_ids + ends[n - 1]] = ids[: ends[n - 1]]
+        self.used, self.n_ids = self.used + n, self.n_ids + int(ends[n - 1])
+
+
 class PieceEncoder:
     """Little-endian unsigned 32-bit ids of texts; ``encode_new`` encodes a list of pieces.
 
@@ -70,7 +139,7 @@ class PieceEncoder:
         kept_bytes: int = PIECE_BYTES,
     ):
         self.encode_new = encode_new
-        self.kept = Kept(kept_bytes)
+        self.newer, self.older = KeptIds(kept_bytes // 2), KeptIds(kept_bytes // 2)
         self.added = added or {}
         longest = "|".join(map(re.escape, sorted(self.added, key=len, reverse=True)))
         self.cut = re.compile(f"({longest})") if longest else None
@@ -87,34 +156,32 @@ class PieceEncoder:
         length, so that each distinct piece of the column is looked up once.
         """
         data, ends = column_bytes(column)
-        starts = piece_starts(data, ends)
-        odd = self._uncertain(data, ends)
+        starts = self._starts(column, data, ends)
         owner = np.searchsorted(starts, ends)
         sizes = np.diff(starts, append=len(data))
-        kind, first = grouped(hashed_spans(data, starts))
+        numbers = hashed_spans(data, starts)
+        kind, first = grouped(numbers)
         if (sizes != sizes[first][kind]).any():
             raise ValueError("two pieces of different length share a number")
-        whole = data.tobytes()
-        distinct = [whole[s : s + n] for s, n in zip(starts[first].tolist(), sizes[first].tolist())]
-        cut = [self.pieces(column[i].as_py()) for i in odd]
-        known = self.kept.table(set(distinct).union(*cut), self._answers)
-        found = [known[p] for p in distinct]
-        count = np.fromiter(map(len, found), np.int64, len(found)) // 4
-        ids = np.frombuffer(b"".join(found), "<u4")
+        ids, count = self._ids_of(data, starts[first], sizes[first], numbers[first])
         before = np.cumsum(count) - count
         n = count[kind]
-        at = np.cumsum(n) - n
-        tokens = ids[np.repeat(before[kind] - at, n) + np.arange(int(n.sum()))].tobytes()
-        bounds = (4 * np.append(at, len(tokens) // 4))[owner].tolist()
-        out = [tokens[s:e] for s, e in zip(bounds, bounds[1:])]
-        for i, pieces in zip(odd, cut):
-            out[i] = b"".join([known[p] for p in pieces])
-        return out
+        tokens = ids[_stretches(before[kind], n)].tobytes()
+        bounds = (4 * np.append(0, np.cumsum(n)))[owner].tolist()
+        return [tokens[s:e] for s, e in zip(bounds, bounds[1:])]
 
-    def _uncertain(self, data: np.ndarray, ends: np.ndarray) -> list[int]:
-        """Texts with wider white space, or with an added token: these are cut as strings."""
+    def _starts(self, column: pa.Array, data: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """Where pieces begin. Texts with wider white space, or with an added token, are cut as strings."""
+        starts = piece_starts(data, ends)
         places = [m.start() for m in self.odd.finditer(data)]
-        return np.unique(np.searchsorted(ends, places, "right") - 1).tolist()
+        odd = np.unique(np.searchsorted(ends, places, "right") - 1)
+        if not len(odd):
+            return starts
+        own = [starts[~np.isin(np.searchsorted(ends, starts, "right") - 1, odd)]]
+        for i in odd.tolist():
+            sizes = np.fromiter(map(len, self.pieces(column[i].as_py())), np.int64)
+            own.append(ends[i] + np.cumsum(sizes) - sizes)
+        return np.sort(np.concatenate(own))
 
     def pieces(self, text: str) -> list[bytes]:
         """A text cut as a string."""
@@ -123,6 +190,38 @@ class PieceEncoder:
             out += [part] if part in self.added else _PIECES.findall(part)
         return [p.encode() for p in out]
 
+    def _ids_of(
+        self, data: np.ndarray, starts: np.ndarray, sizes: np.ndarray, numbers: np.ndarray
+    ) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of distinct pieces one after another, and how many each has. New ones are encoded; those
+        of up to ``LONG_KEY`` bytes stand in the newer table afterwards, as far as it has room."""
+        if self.newer.full():
+            self.newer, self.older = self.older, self.newer
+            self.newer.clear()
+        count, parts = np.zeros(len(numbers), np.int64), []
+        left = np.arange(len(numbers))
+        for table in (self.newer, self.older):
+            at = table.find(numbers[left], sizes[left])
+            known, left = left[at >= 0], left[at < 0]
+            ids, count[known] = table.ids_at(at[at >= 0])
+            parts.append((known, ids))
+        whole = data.tobytes() if len(left) else b""
+        for lo in range(0, len(left), 4096):
+            part = left[lo : lo + 4096]
+            found = self._answers([whole[s : s + n] for s, n in zip(starts[part].tolist(), sizes[part].tolist())])
+            count[part] = np.fromiter(map(len, found), np.int64, len(found)) // 4
+            parts.append((part, np.frombuffer(b"".join(found), "<u4")))
+        begin = np.cumsum(count) - count
+        out = np.empty(int(count.sum()), "<u4")
+        for which, ids in parts:
+            out[_stretches(begin[which], count[which])] = ids
+        for which, ids in parts[1:]:
+            short = which[sizes[which] <= LONG_KEY]
+            if len(short) < len(which):
+                ids = out[_stretches(begin[short], count[short])]
+            self.newer.put(numbers[short], sizes[short], ids, count[short])
+        return out, count
+
     def _answers(self, pieces: list[bytes]) -> list[bytes]:
         texts = [p.decode() for p in pieces]
         ids = iter(self.encode_new([t for t in texts if t not in self.added]))

@@ -478,6 +478,26 @@ def test_packing_keeps_the_pieces_of_a_large_vocabulary():
     assert first == second and len(asked) == len(set(asked))
 
 
+def test_kept_pieces_take_few_bytes():
+    """300,000 pieces stay within 32 MB, and a table that is too small gives the same ids."""
+    asked = []
+
+    def encode_new(pieces):
+        asked.extend(pieces)
+        return [zlib.crc32(p.encode()).to_bytes(4, "little") * (1 + len(p) % 3) for p in pieces]
+
+    large, small, none = (PieceEncoder(encode_new, kept_bytes=n) for n in (32 << 20, 20_000, 0))
+    texts = [" ".join(f"w{number}" for number in range(at, at + 30_000)) for at in range(0, 300_000, 30_000)]
+    first = large.encode_batch(texts)
+    assert [large.encode_batch([text])[0] for text in texts] == first and len(asked) == len(set(asked))
+    rng = random.Random(5)
+    for _ in range(20):
+        texts = [" ".join(f"w{rng.randint(0, 2000)}" for _ in range(300)) + " " + "z" * rng.randint(60, 70), None, "", "a b c"]
+        want = large.encode_batch(texts)
+        assert small.encode_batch(texts) == want == none.encode_batch(texts) and want[1:3] == [b"", b""]
+        assert small.newer.used <= small.newer.most and want[3] == b"".join(encode_new(["a", " b", " c"]))
+
+
 def test_elias_fano():
     rng = np.random.default_rng(1)
     for most, n in itertools.product((1, 2, 50, 3000), (1, 2, 63, 64, 65, 300)):
