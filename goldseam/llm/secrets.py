@@ -141,6 +141,12 @@ def joined(spans: list[tuple[int, int, int]]) -> str:
     return ",".join(f"{KINDS[kind]}:{start}:{end}" for start, kind, end in spans)
 
 
+def all_spans(text: str | None) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, int]]]:
+    """Spans of the fixed patterns, and these with the incompressible strings; none for a null text."""
+    base = base_spans(text) if text else []
+    return base, sorted(base + novel_spans(text, base)) if text else []
+
+
 def scan_secrets(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """All columns, and ``_n_assign, _n_access, _n_hex, _base, _spans``.
 
@@ -156,8 +162,7 @@ def scan_secrets(docs: DataFrame, text_col: str = "text") -> DataFrame:
         for frame in batches_of(frames, text_col):
             rows = []
             for text in frame[text_col]:
-                base = base_spans(text) if text else []
-                spans = sorted(base + novel_spans(text, base)) if text else []
+                base, spans = all_spans(text)
                 n = [sum(k == kind for _, k, _ in base) for kind in range(3)]
                 rows.append((*n, joined(base), joined(spans)))
             yield frame.assign(**dict(zip(added, zip(*rows))))
@@ -169,26 +174,25 @@ def scan_secrets(docs: DataFrame, text_col: str = "text") -> DataFrame:
 
 
 def redact(docs: DataFrame, text_col: str = "text", label: str = "[secret]") -> DataFrame:
-    """The same columns, with every found span replaced by ``label``; overlapping spans as one."""
-    columns = docs.columns
-    found = scan_secrets(docs, text_col)
+    """The same columns, with every span that ``scan_secrets`` finds replaced by ``label``; overlapping
+    spans as one. One pass: a scan and a replacement after it would hold two Python workers for
+    each task, which executors keep for later stages."""
 
     def replace(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
+        for frame in batches_of(frames, text_col):
             out = []
-            for text, spans in zip(frame[text_col], frame["_spans"]):
+            for text in frame[text_col]:
                 done, at = [], 0
-                for span in spans.split(",") if spans else []:
-                    _, start, end = span.split(":")
-                    if int(end) <= at:
+                for start, _, end in all_spans(text)[1]:
+                    if end <= at:
                         continue
-                    if int(start) >= at:
-                        done += [text[at : int(start)], label]
-                    at = int(end)
+                    if start >= at:
+                        done += [text[at:start], label]
+                    at = end
                 out.append("".join(done) + text[at:] if done else text)
-            yield frame.assign(**{text_col: out})[columns]
+            yield frame.assign(**{text_col: out})
 
-    return map_frames(found, replace, ddl(docs))
+    return map_frames(docs, replace, ddl(docs))
 
 
 @query("op6_secret_scan")

@@ -317,6 +317,12 @@ def test_secrets(docs, none):
     assert secrets.redact(docs).count() == len(edge_rows()) and secrets.scan_secrets(none).count() == 0
 
 
+def test_secrets_are_replaced_in_one_pass(docs, capsys):
+    """Two passes hold two Python workers for each task."""
+    secrets.redact(docs).explain()
+    assert capsys.readouterr().out.count("MapInArrow") == 1
+
+
 def test_secrets_on_either_side(spark):
     """Candidates before their word, and without digits; names and long words stay."""
     key, letters = "kJ8f2LmQx93ZbVt7Yw0RsPd4", "kJxfLmQxBvZbVtGYwHRsPdNc"
